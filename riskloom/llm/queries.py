@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.llm.html_extract import op7_html_extraction
+from riskloom.llm.media import op9_media_columns
 from riskloom.llm.token_counts import op4_token_counts
+from riskloom.llm.url_filter import op8_url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_token_counts": op4_token_counts}
+    return {f.__name__: f for f in (op4_token_counts, op7_html_extraction, op8_url_filter, op9_media_columns)}
 
 
 def oracle_sql() -> dict[str, str]:
