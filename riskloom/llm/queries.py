@@ -10,13 +10,14 @@ from riskloom.llm.html_extract import op7_html_extraction
 from riskloom.llm.media import op9_media_columns
 from riskloom.llm.token_counts import op4_token_counts
 from riskloom.llm.url_filter import op8_url_filter
+from riskloom.llm.warc import OP5_SQL, op5_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_token_counts, op7_html_extraction, op8_url_filter, op9_media_columns)}
+    return {f.__name__: f for f in (op4_token_counts, op5_warc, op7_html_extraction, op8_url_filter, op9_media_columns)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc": OP5_SQL}
