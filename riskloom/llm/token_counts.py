@@ -19,6 +19,7 @@ the input are ignored.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -152,6 +153,28 @@ class ChunkMap:
     tail: str | None = None
 
 
+class Known(dict):
+    """Counts already made, in two generations, so that common ones stay when the table is full."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, text: str) -> int:
+        if (got := self.older.get(text)) is None:
+            got = self.make(text)
+        if len(self) >= MOST_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[text] = got
+        return got
+
+
+#: Texts without these characters are in normal form and have the same classes in every Unicode version;
+#: str.split() and the tokenizer then also agree on what a blank is.
+BEYOND = re.compile("[^\x00-\x1b\x20-\u02ff]")
+
+
 class Counter:
     """The compiled tokenizer: normaliser, word rule, transducer."""
 
@@ -169,29 +192,14 @@ class Counter:
         self.split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(rule), "removed", invert=True).pre_tokenize_str
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        counts = self
-
-        class Pieces(dict):
-            """Known pieces in two generations, so that common ones stay when the table is full."""
-
-            older: dict[str, int] = {}
-
-            def __missing__(self, piece: str) -> int:
-                if (got := self.older.get(piece)) is None:
-                    got = counts.piece(piece)
-                if len(self) >= MOST_PIECES:
-                    self.older = dict(self)
-                    self.clear()
-                self[piece] = got
-                return got
-
-        self.pieces = Pieces({"": 0})
-        self.blanks = regex.compile(r"[\t-\r ]+")
+        self.known = Known(lambda w: self.words.count(w.encode()))
+        self.pieces = Known(self.piece)
+        self.pieces[""] = 0
 
     def piece(self, text: str) -> int:
         """Tokens of a stretch without blanks, from start state to start state."""
-        words = self.rule.findall(text) if text.isascii() else [w for w, _ in self.split(text)]
-        return sum(self.words.count(w.encode()) for w in words)
+        words = [w for w, _ in self.split(text)] if BEYOND.search(text) else self.rule.findall(text)
+        return sum(map(self.known.__getitem__, words))
 
     def chunk(self, text: str) -> ChunkMap:
         head, *rest = text.split(" ")
@@ -214,7 +222,7 @@ class Counter:
         return maps[0]
 
     def stretch(self, text: str) -> int:
-        text = self.blanks.sub(" ", text).lower() if text.isascii() else self.normalize(text)
+        text = self.normalize(text) if BEYOND.search(text) else " ".join(text.lower().split())
         whole = self.scan([self.chunk(text[i : i + CHUNK]) for i in range(0, max(1, len(text)), CHUNK)])
         return self.pieces[whole.head] + whole.tokens + self.pieces[whole.tail or ""]
 
