@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm.bpe import op1_byte_bpe
+from riskloom.llm.decontaminate import op6_decontamination
 from riskloom.llm.html_extract import op7_html_extraction
 from riskloom.llm.media import op9_media_columns
 from riskloom.llm.quality import op10_quality_classifier
@@ -19,7 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op3_toxicity, op4_token_counts, op5_warc, op7_html_extraction, op8_url_filter, op9_media_columns, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_byte_bpe, op3_toxicity, op4_token_counts, op5_warc, op6_decontamination, op7_html_extraction, op8_url_filter, op9_media_columns, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:

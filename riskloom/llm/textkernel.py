@@ -20,6 +20,19 @@ BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
 
 
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the base and of its inverse; kept for the longest input so far."""
+    if len(_powers[0]) <= n:
+        for i, base in enumerate((BASE, INVERSE)):
+            p = np.full(n + 1, base, np.uint64)
+            p[0] = 1
+            _powers[i] = np.multiply.accumulate(p)
+    return _powers[0], _powers[1]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = x.astype(np.uint64, copy=True)
@@ -78,14 +91,9 @@ def words_of(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> Words:
         return Words(doc, start, end, np.zeros(0, np.uint64))
     n = len(raw)
     with np.errstate(over="ignore"):
-        powers = np.full(n + 1, BASE, np.uint64)
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
+        up, back = powers(n)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((seen.astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
-        back = np.full(n + 1, INVERSE, np.uint64)
-        back[0] = 1
-        np.multiply.accumulate(back, out=back)
+        np.cumsum((seen + np.uint16(1)) * up[:n], out=sums[1:])
         h = mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
     return Words(doc, start, end, h)
 
