@@ -10,6 +10,7 @@ from riskloom.llm.bpe import op1_byte_bpe
 from riskloom.llm.decontaminate import op6_decontamination
 from riskloom.llm.html_extract import op7_html_extraction
 from riskloom.llm.media import op9_media_columns
+from riskloom.llm.ngram_join import op2_ngram_join
 from riskloom.llm.quality import op10_quality_classifier
 from riskloom.llm.token_counts import op4_token_counts
 from riskloom.llm.toxicity import op3_toxicity
@@ -20,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op3_toxicity, op4_token_counts, op5_warc, op6_decontamination, op7_html_extraction, op8_url_filter, op9_media_columns, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_toxicity, op4_token_counts, op5_warc, op6_decontamination, op7_html_extraction, op8_url_filter, op9_media_columns, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
