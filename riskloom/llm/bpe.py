@@ -38,6 +38,9 @@ KNOWN_WORDS = 300_000
 BUCKETS = 8192
 
 
+OUTPUTS = {"ids": "binary", "decoded": "binary", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -229,11 +232,8 @@ def frequent_words(documents: DataFrame, ranks: dict[bytes, int], rules: tuple[s
     return {w: flat[a:b].tobytes() for w, a, b in zip(got.column("word").to_pylist(), at[:-1], at[1:])}
 
 
-def encode_texts(documents: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", digests: bool = False, most: int = TABLE_WORDS) -> DataFrame:
-    """The kept columns, n_tokens, and `ids` (little-endian unsigned 32-bit numbers) with `decoded` bytes.
-
-    With `digests`, ids_sha256 and decoded_sha256 take the place of ids and decoded.
-    """
+def encode_texts(documents: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", give: tuple[str, ...] = ("ids", "decoded"), most: int = TABLE_WORDS) -> DataFrame:
+    """The kept columns, n_tokens, and what `give` names of OUTPUTS: ids as little-endian unsigned 32-bit numbers, decoded bytes, digests of both."""
     spark = documents.sparkSession
     ranks, rules = load_ranks(ranks_path), word_rules(pattern)
     shared = spark.sparkContext.broadcast((ranks, rules, frequent_words(documents, ranks, rules, text, most)))
@@ -261,18 +261,17 @@ def encode_texts(documents: DataFrame, ranks_path: str, pattern: str, keep: tupl
                 decoded = [b"".join(map(pieces.__getitem__, np.frombuffer(i, "<u4").tolist())) for i in ids]
                 names = [n for n in b.schema.names if n != "_text"]
                 columns = [*(b.column(n) for n in names), pa.array([len(i) // 4 for i in ids], pa.int64())]
-                if digests:
-                    columns += [pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string()) for xs in (ids, decoded)]
-                else:
-                    columns += [pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded"))])
+                for out in give:
+                    values = ids if out.startswith("ids") else decoded
+                    columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in values], pa.string()) if out.endswith("_sha256") else pa.array(values, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_tokens", *give])
 
     kept = documents.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return documents.select(*keep, F.col(text).alias("_text")).mapInArrow(run, f"{schema}, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids binary, decoded binary"))
+    return documents.select(*keep, F.col(text).alias("_text")).mapInArrow(run, ", ".join([schema, "n_tokens long", *(f"{out} {OUTPUTS[out]}" for out in give)]))
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
+    return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, give=("ids_sha256", "decoded_sha256"))

@@ -194,41 +194,59 @@ def compile_items(ids: list[int], texts: list[str | None]) -> Items:
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", item: str = "item_id", item_text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
     """The kept columns, item_id, similarity, first_word and distance: a row for each text and item found in it."""
-    spark = documents.sparkSession
+    found = None
+    for shared in item_passes(benchmark, item, item_text, item_bytes):
+        one = _scan(documents, shared, keep, text, clean=False)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def without_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
+    """The rows of `documents`, all columns as they are, in whose text no item is found; no shuffle."""
+    for shared in item_passes(benchmark, item, item_text, item_bytes):
+        documents = _scan(documents, shared, tuple(documents.columns), text, clean=True)
+    return documents
+
+
+def item_passes(benchmark: DataFrame, item: str, item_text: str, item_bytes: int) -> Iterator:
+    """Broadcasts of the benchmark, each of bounded size."""
     size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     passes = max(1, -(-size // item_bytes))
-    kept = documents.select(*keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "item_id long, similarity double, first_word long, distance int"])
-    given = documents.select(*keep, F.col(text).alias("_text"))
-    found = None
     for n in range(passes):
         part = benchmark.where(F.pmod(F.xxhash64(item, item_text), F.lit(passes)) == n).select(F.col(item).cast("long"), item_text).orderBy(item).collect()
-        shared = spark.sparkContext.broadcast(([r[0] for r in part], [r[1] for r in part]))
+        yield benchmark.sparkSession.sparkContext.broadcast(([r[0] for r in part], [r[1] for r in part]))
+
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = compile_items(*shared.value)
-            for whole in batches:
-                for b in text_slices(whole, "_text"):
+def _scan(documents: DataFrame, shared, keep: tuple[str, ...], text: str, clean: bool) -> DataFrame:
+    """The leaks of a pass, or the rows without any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = compile_items(*shared.value)
+        for whole in batches:
+            for b in text_slices(whole, "_text"):
+                rows = []
+                if items.ids:
                     w = words_in(b.column("_text"))
                     edges = np.searchsorted(w.doc, np.arange(b.num_rows + 1))
-                    rows = []
-                    if len(items.ids):
-                        # texts without any item's shingle are passed over at once
-                        suspect = np.zeros(b.num_rows, bool)
-                        for k in {min(SHINGLE, s) for s in items.size}:
-                            h = ngrams(w.hash, k)
-                            hit = np.flatnonzero(items.weigh(h)[1])
-                            suspect[w.doc[hit]] = True
-                        for i in np.flatnonzero(suspect).tolist():
-                            rows += [(i, *x) for x in items.leaks(w.hash[edges[i] : edges[i + 1]])]
-                    names = [x for x in b.schema.names if x != "_text"]
-                    which = pa.array([r[0] for r in rows], pa.int64())
-                    kinds = [pa.int64(), pa.float64(), pa.int64(), pa.int32()]
-                    yield pa.RecordBatch.from_arrays([*(b.column(x).take(which) for x in names), *(pa.array([r[j + 1] for r in rows], k) for j, k in enumerate(kinds))], names=[*names, "item_id", "similarity", "first_word", "distance"])
-
-        one = given.mapInArrow(run, schema)
-        found = one if found is None else found.unionByName(one)
-    return found
+                    # texts without any item's shingle are passed over at once
+                    suspect = np.zeros(b.num_rows, bool)
+                    for k in {min(SHINGLE, s) for s in items.size}:
+                        suspect[w.doc[np.flatnonzero(items.weigh(ngrams(w.hash, k))[1])]] = True
+                    for i in np.flatnonzero(suspect).tolist():
+                        rows += [(i, *x) for x in items.leaks(w.hash[edges[i] : edges[i + 1]])]
+                names = [x for x in b.schema.names if x != "_text"]
+                if clean:
+                    fine = np.ones(b.num_rows, bool)
+                    fine[[r[0] for r in rows]] = False
+                    yield b.select(names).filter(pa.array(fine))
+                    continue
+                which = pa.array([r[0] for r in rows], pa.int64())
+                kinds = [pa.int64(), pa.float64(), pa.int64(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([*(b.column(x).take(which) for x in names), *(pa.array([r[j + 1] for r in rows], k) for j, k in enumerate(kinds))], names=[*names, "item_id", "similarity", "first_word", "distance"])
+
+    kept = documents.select(*keep)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *([] if clean else ["item_id long, similarity double, first_word long, distance int"])])
+    return documents.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import settle, table, text_slices
+from riskloom.llm.storage import table, text_slices
 from riskloom.llm.textkernel import lower_table, texts_of, words_of
 
 #: Labelled rows that a fit uses at most.
@@ -230,16 +230,27 @@ def labelled_sample(labels: DataFrame, label: str, apart: Column, key: str = "do
     return given.orderBy(F.xxhash64(key), key).limit(most)
 
 
-def score_quality(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", folds: int = 4, held: int = 2, most: int = MOST_LABELLED) -> DataFrame:
-    """key, held_out, score, predicted for every row of `documents`."""
-    held_out = F.crc32(F.col(key).cast("string")) % folds == held
-    stats = settle(text_statistics(documents.select(key, "text"), (key,)), "quality-statistics")
-    sample = labelled_sample(labels, label, F.coalesce(held_out, F.lit(False)), key, most)
-    got = stats.join(F.broadcast(sample), key).limit(2 * most).toPandas()
-    model = fit_rules(got[[f"s_{x}" for x in STATISTICS]].to_numpy(np.float32), got["y"].to_numpy(np.float64))
-    scored = stats.select(key, F.coalesce(held_out, F.lit(False)).alias("held_out"), model.column().alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+def held_out_rows(key: str, folds: int, held: int) -> Column:
+    """Rows that labels aren't learnt from, by the CRC of the key as text; a null key isn't held out."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % folds == held, F.lit(False))
+
+
+def fit_quality(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", folds: int = 4, held: int = 2, most: int = MOST_LABELLED) -> RuleModel:
+    """The rule model of the labelled rows' texts; statistics are made for those rows only."""
+    sample = labelled_sample(labels, label, held_out_rows(key, folds, held), key, most)
+    given = documents.select(key, "text").join(F.broadcast(sample), key)
+    got = text_statistics(given, ("y",)).limit(2 * most).toPandas()
+    return fit_rules(got[[f"s_{x}" for x in STATISTICS]].to_numpy(np.float32), got["y"].to_numpy(np.float64))
+
+
+def score_quality(documents: DataFrame, model: RuleModel, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The kept columns, score and predicted for every row; one pass, no shuffle."""
+    kept = documents.select(*keep, F.col(text).alias("_t"))
+    scored = text_statistics(kept, keep, "_t") if text not in keep else text_statistics(kept.drop("_t"), keep, text)
+    return scored.select(*keep, model.column().alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = score_quality(documents, fit_quality(documents, labels))
+    return scored.select("doc_id", held_out_rows("doc_id", 4, 2).alias("held_out"), "score", "predicted")

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.quality import held_out_rows
 from riskloom.llm.storage import table, text_slices
 
 #: Labelled rows of either class that mining and training use at most.
@@ -211,13 +212,10 @@ def vote_bits(found: dict[int, int], deal: np.ndarray) -> int:
     return bits
 
 
-def score_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", folds: int = 3, held: int = 1, most: int = MOST_LABELLED) -> DataFrame:
-    """key, held_out, score, predicted for every row of `documents`."""
-    spark = documents.sparkSession
-    held_out = F.coalesce(F.crc32(F.col(key).cast("string")) % folds == held, F.lit(False))
-    given = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out).groupBy(key).agg(F.max(label).alias("y"))
-    shares = given.agg(F.avg("y"), F.count("*")).first()
-    prior = float(shares[0] or 0.0)
+def fit_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", folds: int = 3, held: int = 1, most: int = MOST_LABELLED) -> ToxicityModel:
+    """Units from the labelled sample, a label model of all documents' votes, a linear model of its posterior."""
+    given = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out_rows(key, folds, held)).groupBy(key).agg(F.max(label).alias("y"))
+    prior = float(given.agg(F.avg("y")).first()[0] or 0.0)
     picked = [given.where(F.col("y") == y).orderBy(F.xxhash64(key), key).limit(most) for y in (1, 0)]
     sample = picked[0].unionByName(picked[1])
 
@@ -247,20 +245,25 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id",
         rows = [{i: 1 for i, (u, onward) in enumerate(units) if (any(w.startswith(u) for w in s) if onward else u in s)} for s in _narrow(sets, units)]
         votes = np.array([[vote_bits(r, deal) >> v & 1 for v in range(VOTERS)] for r in rows], np.float64)
         model = fit_label_model((bits[:, None] >> np.arange(VOTERS) & 1).astype(np.float64), counts, votes, y)
-        linear = ToxicityModel(units, *fit_linear(rows, model.posterior(votes), len(units)))
-    else:
-        linear = ToxicityModel([], np.zeros(0), math.log((prior + 1e-6) / (1 - prior + 1e-6)))
+        return ToxicityModel(units, *fit_linear(rows, model.posterior(votes), len(units)))
+    return ToxicityModel([], np.zeros(0), math.log((prior + 1e-6) / (1 - prior + 1e-6)))
+
+
+def score_toxicity(documents: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The kept columns, score and predicted for every row; one pass, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(linear.units)
+        finder = Finder(model.units)
         for whole in batches:
-            for b in text_slices(whole, "text"):
-                scores = [linear.score(finder.counts(t.as_py())) for t in b.column("text")]
-                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(scores, pa.float64())], names=["key", "score"])
+            for b in text_slices(whole, "_text"):
+                scores = [model.score(finder.counts(t.as_py())) for t in b.column("_text")]
+                names = [n for n in b.schema.names if n != "_text"]
+                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(scores, pa.float64())], names=[*names, "score"])
 
-    kind = documents.schema[key].dataType.simpleString()
-    out = documents.select(F.col(key).alias("key"), "text").mapInArrow(run, f"key {kind}, score double").withColumnRenamed("key", key)
-    return out.select(key, held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    kept = documents.select(*keep)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    out = documents.select(*keep, F.col(text).alias("_text")).mapInArrow(run, f"{schema}, score double")
+    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def _narrow(sets: list[set[str]], units: list[Unit]) -> list[set[str]]:
@@ -271,4 +274,6 @@ def _narrow(sets: list[set[str]], units: list[Unit]) -> list[set[str]]:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = score_toxicity(documents, fit_toxicity(documents, labels))
+    return scored.select("doc_id", held_out_rows("doc_id", 3, 1).alias("held_out"), "score", "predicted")
