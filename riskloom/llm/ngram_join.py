@@ -17,9 +17,12 @@ size. A filter's false positives, or its filling up, move shingles to a more fre
 for all sets: that costs signatures, never a link.
 
 Equal sets are one from the start. Candidates are verified exactly, first with one partner for each
-set, then with every signature's least set, and at last, in each signature's bucket, all pairs that
-are still in different components. Sets already connected aren't compared, so a large group of near
-copies doesn't make all its pairs.
+set, then with the set of fewest rare shingles among those that share a signature (in a group of
+near copies, the one most like the original), and at last, in each signature's bucket, all pairs
+that are still in different components. Sets already connected aren't compared, and sets that sign
+with pairs also sign with every rare shingle they have: two of them that meet by a pair only share
+no rare shingle, so their overlap is at most what either has besides its rare ones. Both together
+keep a large group of near copies from making all its pairs.
 
 Null and empty texts have no shingles and link with nothing; a text with fewer than k words is one
 shingle. Equal texts, repeated rows and repeated ids each get their row. An id that is null stays
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.storage import settle, table, text_slices
@@ -162,8 +165,8 @@ def _pairs_in_groups(tokens: np.ndarray, needed: int, level: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def signatures_of(h: np.ndarray, off: np.ndarray, filters: tuple[int, np.ndarray, np.ndarray], least: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, signature) of every set; see the module's text."""
+def signatures_of(h: np.ndarray, off: np.ndarray, filters: tuple[int, np.ndarray, np.ndarray], least: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, signature, whether it is a pair) of every set, and each set's number of rare shingles; see the module's text."""
     n = np.diff(off)
     doc = np.repeat(np.arange(len(n)), n)
     kind = np.zeros(len(h), np.int8)
@@ -184,7 +187,9 @@ def signatures_of(h: np.ndarray, off: np.ndarray, filters: tuple[int, np.ndarray
             s = _pairs_in_groups(tokens, int(needed[d] - rare[d]), level)
             out.append(s)
             docs.append(np.full(len(s), d))
-    return np.concatenate(docs), np.concatenate(out)
+    of_pairs = np.ones(sum(map(len, out)), bool)
+    of_pairs[: len(out[0])] = False
+    return np.concatenate(docs), np.concatenate(out), of_pairs, rare
 
 
 # ---- exact verification and components
@@ -260,19 +265,26 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, h, off, keys in _batches(batches, k):
-            doc, s = signatures_of(h, off, filters.value, least, parts)
+            doc, s, of_pairs, rare = signatures_of(h, off, filters.value, least, parts)
             new = np.array([key not in seen for key in keys.tolist()], bool)
             if len(seen) < SEEN:
                 seen.update(keys.tolist())
             keep = new[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(s[keep].view(np.int64)), pa.array(keys[doc[keep]].view(np.int64)), pa.array(np.diff(off)[doc[keep]], pa.int64())], names=["signature", "key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(s[keep].view(np.int64)), pa.array(keys[doc[keep]].view(np.int64)), pa.array(np.diff(off)[doc[keep]], pa.int64()), pa.array(rare[doc[keep]], pa.int64()), pa.array(of_pairs[keep])], names=["signature", "key", "n", "rare", "paired"])
 
-    signed = texts.mapInArrow(sign, "signature long, key long, n long").distinct()
+    signed = texts.mapInArrow(sign, "signature long, key long, n long, rare long, paired boolean").distinct()
     held = settle(signed, "join-signatures")
-    shared = held.groupBy("signature").agg(F.min(F.struct("key", "n")).alias("least"), F.count("*").alias("sets")).where("sets > 1")
-    buckets = settle(held.join(shared, "signature").select("signature", "key", "n", F.col("least.key").alias("pivot"), F.col("least.n").alias("pivot_n")), "join-buckets")
-    fits = lambda x, y: (parts * F.least(x, y) >= least * F.greatest(x, y))
-    stars = settle(buckets.where((F.col("key") != F.col("pivot")) & fits(F.col("n"), F.col("pivot_n"))).select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), "join-stars")
+    shared = held.groupBy("signature").agg(F.min(F.struct("rare", "key", "n")).alias("pivot"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
+    buckets = settle(held.join(shared, "signature"), "join-buckets")
+
+    def may_link(na: Column, ra: Column, nb: Column, rb: Column) -> Column:
+        """By sizes; and if they met by a pair, by what either has besides rare shingles."""
+        most = F.when(F.col("paired"), F.least(na - ra, nb - rb)).otherwise(F.least(na, nb))
+        return parts * most >= least * (na + nb - most)
+
+    near = may_link(F.col("n"), F.col("rare"), F.col("pivot.n"), F.col("pivot.rare"))
+    met = buckets.where((F.col("key") != F.col("pivot.key")) & near).select(F.col("key").alias("a"), F.col("pivot.key").alias("b"), F.col("pivot.rare").alias("rb"))
+    stars = settle(met.distinct(), "join-stars")
 
     wanted = spark.sparkContext.broadcast(key_filter(buckets.select("key").distinct(), "key"))
 
@@ -290,7 +302,8 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
     sets = texts.mapInArrow(whole_sets, "key long, items binary").groupBy("key").agg(F.first("items").alias("items"))
     sets = settle(sets.join(buckets.select("key").distinct(), "key", "left_semi"), "join-sets")
 
-    first = stars.groupBy("a").agg(F.min("b").alias("b"))
+    first = stars.groupBy("a").agg(F.min(F.struct("rb", "b"))["b"].alias("b"))
+    stars = stars.select("a", "b")
     links = settle(verified(first, sets, least, parts), "join-links")
     label = components(links)
     rest = _labelled(stars.join(first, ["a", "b"], "left_anti"), label).where("ca <> cb").select("a", "b")
@@ -298,12 +311,13 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
     label = components(links)
 
     # what is left: pairs of one bucket in different components; buckets of one component drop out first
-    marked = buckets.select("signature", "key", "n").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    marked = buckets.select("signature", "key", "n", "rare", "paired").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = marked.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
     marked = settle(marked.join(mixed, "signature"), "join-mixed")
-    x = marked.select("signature", F.col("key").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = marked.select("signature", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    cross = x.join(y, "signature").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb"))).select("a", "b").distinct()
+    x = marked.select("signature", "paired", F.col("key").alias("a"), F.col("n").alias("na"), F.col("rare").alias("ra"), F.col("component").alias("ca"))
+    y = marked.select("signature", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("rare").alias("rb"), F.col("component").alias("cb"))
+    apart = (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & may_link(*map(F.col, ("na", "ra", "nb", "rb")))
+    cross = x.join(y, "signature").where(apart).select("a", "b").distinct()
     cross = cross.join(stars, ["a", "b"], "left_anti")
     more = settle(verified(cross, sets, least, parts), "join-links")
     if not more.isEmpty():
