@@ -21,8 +21,9 @@ set, then with the set of fewest rare shingles among those that share a signatur
 near copies, the one most like the original), and at last, in each signature's bucket, all pairs
 that are still in different components. Sets already connected aren't compared, and sets that sign
 with pairs also sign with every rare shingle they have: two of them that meet by a pair only share
-no rare shingle, so their overlap is at most what either has besides its rare ones. Both together
-keep a large group of near copies from making all its pairs.
+no rare shingle, so their overlap is at most what either has besides its rare ones, and at most the
+sum of the lesser counts of their frequent shingles in 16 hash classes. Together these keep a large
+group of near copies from making all its pairs.
 
 Null and empty texts have no shingles and link with nothing; a text with fewer than k words is one
 shingle. Equal texts, repeated rows and repeated ids each get their row. An id that is null stays
@@ -31,7 +32,8 @@ null and never names a component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +49,13 @@ MANY = 16
 SEVERAL_BITS, MANY_BITS, REDUCER_ROWS = 27, 25, 1 << 21
 LEAST_PARTS = 8  # log2
 #: Shingles that a task gathers before it hands on their fingerprints; sets that it remembers having seen.
-FLUSH, SEEN = 4_000_000, 1_000_000
+FLUSH, SEEN = 2_000_000, 200_000
 #: log2 of the set size for which one group of frequent shingles is enough.
 GROUP_BITS = 5
 
+#: Shingles that a hash class of a profile counts at most; sets that may hold more are bounded without it.
+PROFILED = 32_000
+
 _TABLE = lower_table()
 
 
@@ -165,8 +170,12 @@ def _pairs_in_groups(tokens: np.ndarray, needed: int, level: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def signatures_of(h: np.ndarray, off: np.ndarray, filters: tuple[int, np.ndarray, np.ndarray], least: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, signature, whether it is a pair) of every set, and each set's number of rare shingles; see the module's text."""
+def signatures_of(h: np.ndarray, off: np.ndarray, filters: tuple[int, np.ndarray, np.ndarray], least: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, signature, whether it is a pair) of every set; each set's number of rare shingles, and its profile.
+
+    A profile counts frequent shingles in 16 hash classes, 16 bits each in four numbers; only sets
+    that sign with pairs have one. See the module's text.
+    """
     n = np.diff(off)
     doc = np.repeat(np.arange(len(n)), n)
     kind = np.zeros(len(h), np.int8)
@@ -178,10 +187,12 @@ def signatures_of(h: np.ndarray, off: np.ndarray, filters: tuple[int, np.ndarray
     place = np.arange(len(h)) - np.repeat(off[:-1], n)
     alone = (place < np.repeat(needed, n)) & (kind == 1)
     docs, out = [doc[alone]], [mix(h[alone] ^ np.uint64(0x5DEECE66D))]
+    profile = np.zeros((len(n), 16), np.uint16)
     rare = np.bincount(doc[kind < 2], minlength=len(n))
     for d in np.flatnonzero((rare < needed) & (n > 1)).tolist():
         tokens = h[off[d] + rare[d] : off[d + 1]]
         size = int(n[d])
+        profile[d] = np.minimum(np.bincount((tokens & np.uint64(15)).astype(np.int64), minlength=16), PROFILED)
         levels = {size.bit_length(), (-(-size * least // parts)).bit_length(), (size * parts // least).bit_length()}
         for level in levels:
             s = _pairs_in_groups(tokens, int(needed[d] - rare[d]), level)
@@ -189,7 +200,7 @@ def signatures_of(h: np.ndarray, off: np.ndarray, filters: tuple[int, np.ndarray
             docs.append(np.full(len(s), d))
     of_pairs = np.ones(sum(map(len, out)), bool)
     of_pairs[: len(out[0])] = False
-    return np.concatenate(docs), np.concatenate(out), of_pairs, rare
+    return np.concatenate(docs), np.concatenate(out), of_pairs, rare, profile.view(np.int64)
 
 
 # ---- exact verification and components
@@ -265,24 +276,28 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, h, off, keys in _batches(batches, k):
-            doc, s, of_pairs, rare = signatures_of(h, off, filters.value, least, parts)
+            doc, s, of_pairs, rare, profile = signatures_of(h, off, filters.value, least, parts)
             new = np.array([key not in seen for key in keys.tolist()], bool)
             if len(seen) < SEEN:
                 seen.update(keys.tolist())
             keep = new[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(s[keep].view(np.int64)), pa.array(keys[doc[keep]].view(np.int64)), pa.array(np.diff(off)[doc[keep]], pa.int64()), pa.array(rare[doc[keep]], pa.int64()), pa.array(of_pairs[keep])], names=["signature", "key", "n", "rare", "paired"])
+            yield pa.RecordBatch.from_arrays([pa.array(s[keep].view(np.int64)), pa.array(keys[doc[keep]].view(np.int64)), pa.array(np.diff(off)[doc[keep]], pa.int64()), pa.array(rare[doc[keep]], pa.int64()), pa.array(of_pairs[keep]), *(pa.array(np.where(of_pairs[keep], profile[doc[keep], i], 0)) for i in range(4))], names=["signature", "key", "n", "rare", "paired", "p0", "p1", "p2", "p3"])
 
-    signed = texts.mapInArrow(sign, "signature long, key long, n long, rare long, paired boolean").distinct()
+    signed = texts.mapInArrow(sign, "signature long, key long, n long, rare long, paired boolean, p0 long, p1 long, p2 long, p3 long").distinct()
     held = settle(signed, "join-signatures")
-    shared = held.groupBy("signature").agg(F.min(F.struct("rare", "key", "n")).alias("pivot"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
+    shared = held.groupBy("signature").agg(F.min(F.struct("rare", "key", "n", "p0", "p1", "p2", "p3")).alias("pivot"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
     buckets = settle(held.join(shared, "signature"), "join-buckets")
 
-    def may_link(na: Column, ra: Column, nb: Column, rb: Column) -> Column:
-        """By sizes; and if they met by a pair, by what either has besides rare shingles."""
-        most = F.when(F.col("paired"), F.least(na - ra, nb - rb)).otherwise(F.least(na, nb))
-        return parts * most >= least * (na + nb - most)
+    def may_link(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+        """By sizes; and if they met by a pair, by what either has besides rare shingles, and by their profiles."""
+        count = lambda of, i: F.shiftright(of(f"p{i // 4}"), 16 * (i % 4)).bitwiseAND(F.lit(0xFFFF))
+        enough = lambda most: most * (parts + least) >= least * (a("n") + b("n"))
+        met = reduce(lambda x, y: x + y, [F.least(count(a, i), count(b, i)) for i in range(16)])
+        alone = ~a("paired")
+        rest = alone | enough(F.least(a("n") - a("rare"), b("n") - b("rare")))
+        return enough(F.least(a("n"), b("n"))) & rest & (alone | (F.greatest(a("n"), b("n")) >= PROFILED) | enough(met))
 
-    near = may_link(F.col("n"), F.col("rare"), F.col("pivot.n"), F.col("pivot.rare"))
+    near = may_link(F.col, lambda c: F.col(f"pivot.{c}"))
     met = buckets.where((F.col("key") != F.col("pivot.key")) & near).select(F.col("key").alias("a"), F.col("pivot.key").alias("b"), F.col("pivot.rare").alias("rb"))
     stars = settle(met.distinct(), "join-stars")
 
@@ -311,13 +326,12 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
     label = components(links)
 
     # what is left: pairs of one bucket in different components; buckets of one component drop out first
-    marked = buckets.select("signature", "key", "n", "rare", "paired").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    marked = buckets.drop("pivot").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = marked.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
     marked = settle(marked.join(mixed, "signature"), "join-mixed")
-    x = marked.select("signature", "paired", F.col("key").alias("a"), F.col("n").alias("na"), F.col("rare").alias("ra"), F.col("component").alias("ca"))
-    y = marked.select("signature", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("rare").alias("rb"), F.col("component").alias("cb"))
-    apart = (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & may_link(*map(F.col, ("na", "ra", "nb", "rb")))
-    cross = x.join(y, "signature").where(apart).select("a", "b").distinct()
+    x, y = (marked.select("signature", *(F.col(c).alias(f"{c}_{side}") for c in marked.columns if c != "signature")) for side in "ab")
+    apart = (F.col("key_a") > F.col("key_b")) & (F.col("component_a") != F.col("component_b")) & may_link(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"))
+    cross = x.join(y, "signature").where(apart).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
     cross = cross.join(stars, ["a", "b"], "left_anti")
     more = settle(verified(cross, sets, least, parts), "join-links")
     if not more.isEmpty():

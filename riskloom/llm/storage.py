@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that a numpy kernel works on at once; bounds a worker's memory whatever Arrow sends.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_500_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
