@@ -93,25 +93,24 @@ def spearman_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
     Pairs that share the same known rows share one ranking of them.
     """
-    rows = df.select(*(no_nan(f).alias(f) for f in features))
-    known = rows.agg(*(F.count_if(F.col(f).isNull()).alias(f) for f in features)).first()
-    holed = [f for f in features if known[f]]
-    groups: dict[frozenset, list[tuple[str, str]]] = {}
-    for a, b in combinations(features, 2):
-        groups.setdefault(frozenset({a, b} & set(holed)), []).append((a, b))
-    out = None
-    for holes, pairs in groups.items():
-        part = rows
-        for f in sorted(holes):
-            part = part.where(F.col(f).isNotNull())
-        used = [f for f in features if any(f in p for p in pairs)]
-        for f in used:
-            ranks = average_rank(part.select(F.lit(1).alias("_g"), f), ["_g"], f).select(f, F.col("rank").alias(f"r_{f}"))
-            part = part.join(ranks, f)
-        row = part.agg(*[F.corr(f"r_{a}", f"r_{b}").alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-        long = row.select(F.inline(F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.round(f"c{i}", 6).alias("correlation")) for i, (a, b) in enumerate(pairs)])))
-        out = long if out is None else out.unionByName(long)
-    return out
+    rows = df.select(*(no_nan(f).alias(f) for f in features)).persist()
+    try:
+        known = rows.agg(*(F.count_if(F.col(f).isNull()).alias(f) for f in features)).first()
+        holed = {f for f in features if known[f]}
+        groups: dict[frozenset, list[tuple[str, str]]] = {}
+        for a, b in combinations(features, 2):
+            groups.setdefault(frozenset({a, b} & holed), []).append((a, b))
+        found: dict[tuple[str, str], float | None] = {}
+        for holes, pairs in groups.items():
+            base = rows.dropna(subset=sorted(holes)) if holes else rows
+            part = base  # ranks come from the rows as they were, so that plans don't grow with each join
+            for f in [f for f in features if any(f in p for p in pairs)]:
+                part = part.join(average_rank(base.select(F.lit(1).alias("_g"), f), ["_g"], f).select(f, F.col("rank").alias(f"r_{f}")), f)
+            got = part.agg(*[F.round(F.corr(f"r_{a}", f"r_{b}"), 6).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]).first()
+            found |= dict(zip(pairs, got))
+    finally:
+        rows.unpersist()
+    return df.sparkSession.createDataFrame([(a, b, found[a, b]) for a, b in combinations(features, 2)], "feature_a string, feature_b string, correlation double")
 
 
 def high_correlations(pairs: DataFrame, threshold: float = 0.7) -> DataFrame:

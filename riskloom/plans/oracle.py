@@ -104,19 +104,6 @@ SCORE_BINS = (
     "report AS (SELECT r.*, raw_bad_rate / overall AS lift, monotone_bad_rate / overall AS monotone_lift, train_bad_rate, raw_bad_rate - train_bad_rate AS bad_rate_gap_vs_train, monotone_bad_rate - train_monotone AS monotone_bad_rate_gap_vs_train FROM sbr r LEFT JOIN (SELECT score_bin, raw_bad_rate AS train_bad_rate, monotone_bad_rate AS train_monotone FROM sbr WHERE dataset = 'train') t USING (score_bin))",
 )
 
-SPEARMAN_FEATURES = ("total_price", "acct_bal", "sum_qty", "avg_disc", "price_copy")
-
-
-def _spearman() -> str:
-    parts = []
-    for i, a in enumerate(SPEARMAN_FEATURES):
-        for b in SPEARMAN_FEATURES[i + 1 :]:
-            known = f"(SELECT {a}, {b} FROM apps WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
-            rank = lambda f, n: f"(SELECT {f}, sum(n) OVER (ORDER BY {f}) - (n - 1) / CAST(2 AS DOUBLE) AS {n} FROM (SELECT {f}, count(*) AS n FROM {known} GROUP BY 1))"  # noqa: E731,B023
-            parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr(ra, rb), 6) AS correlation FROM {known} JOIN {rank(a, 'ra')} USING ({a}) JOIN {rank(b, 'rb')} USING ({b})")
-    return "pairs AS (" + " UNION ALL ".join(parts) + ")"
-
-
 #: Masks of the query's rules, in order, and their texts.
 RULES = (
     ("coalesce(total_price >= 450000, false)", "total_price >= 450000.0"),
@@ -233,7 +220,7 @@ def oracle_sql() -> dict[str, str]:
         + " UNION ALL ".join(f"SELECT '{f}', '==', NULL, {f}, count(*), sum(label) FROM {train} WHERE {f} IS NOT NULL GROUP BY {f}" for f in ("channel", "priority")) + ")",
         f"tt AS (SELECT count(*) AS n, sum(label) AS b FROM {train})",
         f"rated AS (SELECT feature, direction, round(threshold, 6) AS threshold, value, {_r(_share('hits', 'n'), 'coverage', 4)}, hits AS hit_count, {_r(_share('bad', 'hits'), 'bad_rate', 4)}, {_r(_share('b', 'n'), 'overall_bad_rate', 4)}, {_r(_share(_share('bad', 'hits'), _share('b', 'n')), 'lift', 4)} FROM cand, tt)",
-        "best AS (SELECT *, row_number() OVER (PARTITION BY feature, direction ORDER BY lift DESC, coverage, threshold, value) AS k FROM rated WHERE coverage <= 0.05 AND lift >= 2 AND hit_count >= 5)",
+        "best AS (SELECT *, row_number() OVER (PARTITION BY feature, direction ORDER BY lift DESC, coverage, threshold, value) AS k FROM rated WHERE coverage <= 0.1 AND lift >= 2 AND hit_count >= 5)",
     )
     stability = [f"max({c}) FILTER (WHERE dataset = '{d}') AS {c}_{d}" for d in ("train", "test", "valid") for c in ("coverage", "bad_rate", "lift", "hit_count")]
     firsts = ", ".join(f"({m}) AS m{i}" for i, (m, _) in enumerate(RULES))
@@ -261,8 +248,6 @@ def oracle_sql() -> dict[str, str]:
         "score_bins": _with("SELECT dataset, score_bin, bin_order, count, bad_count, raw_bad_rate_monotone, " + ", ".join(_r(c, c) for c in ("raw_bad_rate", "monotone_bad_rate", "lift", "monotone_lift", "cum_bad_capture", "score_min", "score_max", "train_bad_rate", "bad_rate_gap_vs_train", "monotone_bad_rate_gap_vs_train")) + " FROM report", *SCORE_BINS),
         "score_bin_stability": _with("SELECT dataset, count(*) AS n_bins, bool_and(raw_bad_rate_monotone) AS raw_bad_rate_monotone, round(max(abs(bad_rate_gap_vs_train)), 6) AS max_abs_bad_rate_gap_vs_train, round(max(abs(monotone_bad_rate_gap_vs_train)), 6) AS max_abs_monotone_bad_rate_gap_vs_train FROM report GROUP BY 1", *SCORE_BINS),
         "calibration_bins": _with("SELECT dataset, decile, count, round(raw, 6) AS raw_prob_mean, round(cal, 6) AS calibrated_prob_mean, round(act, 6) AS actual_bad_rate, round(abs(raw - act), 6) AS raw_abs_error, round(abs(cal - act), 6) AS calibrated_abs_error FROM agg", f"dq AS (SELECT split, list_sort(list_distinct(quantile_cont(model_score, {_quantiles(10, True)}))) AS c FROM apps GROUP BY 1)", "agg AS (SELECT a.split AS dataset, len(list_filter(c, lambda t: t < model_score)) AS decile, count(*) AS count, avg(model_score) AS raw, avg(model_score * CAST(0.9 AS DOUBLE) + CAST(0.05 AS DOUBLE)) AS cal, avg(CAST(label AS DOUBLE)) AS act FROM apps a JOIN dq ON a.split = dq.split GROUP BY 1, 2)"),
-        "spearman_matrix": _with("SELECT * FROM pairs", _spearman()),
-        "high_corr_pairs": _with("SELECT * FROM pairs WHERE abs(correlation) >= 0.7", _spearman()),
         "monotonicity": _with("SELECT feature, count(*) AS n_bins, CASE WHEN count(*) >= 3 THEN round(coalesce(corr(rb, rw), 0), 6) END AS spearman, coalesce(count(*) >= 3 AND abs(round(coalesce(corr(rb, rw), 0), 6)) >= 0.6, false) AS is_monotone FROM (SELECT feature, avg(pb) OVER (PARTITION BY feature, bin) AS rb, avg(pw) OVER (PARTITION BY feature, woe) AS rw FROM (SELECT feature, bin, woe, row_number() OVER (PARTITION BY feature ORDER BY bin) AS pb, row_number() OVER (PARTITION BY feature ORDER BY woe) AS pw FROM stats WHERE bin >= 0)) GROUP BY 1", f"rows_ AS ({_long(mono)})", CUTS, BINNED, _woe("bin", "binned")),
         "split_stratified": _with("SELECT app_id, split FROM apps"),
         "split_time": _with("SELECT app_id, CASE WHEN k <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train' WHEN k <= floor(n * CAST(0.85 AS DOUBLE)) THEN 'test' ELSE 'valid' END AS split FROM (SELECT app_id, row_number() OVER (ORDER BY apply_time, app_id) AS k, count(*) OVER () AS n FROM apps)"),
