@@ -14,7 +14,9 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
+import itertools
 import json
 import re
 import zlib
@@ -61,6 +63,7 @@ def _ranges(codes: list[int]) -> str:
     return "".join(out)
 
 
+@functools.lru_cache(maxsize=4)
 def word_rules(pattern: str) -> tuple[str, str]:
     """The tokenizer's pattern with its classes written out, for Latin texts and for all others.
 
@@ -69,11 +72,10 @@ def word_rules(pattern: str) -> tuple[str, str]:
     import tiktoken
 
     ranks = {bytes([i]): i for i in range(256)}
-    codes = [*range(0xD800), *range(0xE000, 0x110000)]
     sets = {}
     for name in (r"\p{L}", r"\p{N}", r"\s"):
         one = tiktoken.Encoding("class", pat_str=name, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        sets[name] = [c for c in codes if one(chr(c))]
+        sets[name] = [c for c in itertools.chain(range(0xD800), range(0xE000, 0x110000)) if one(chr(c))]
 
     def written(most: int) -> str:
         inside = {k: _ranges([c for c in v if c < most]) for k, v in sets.items()}

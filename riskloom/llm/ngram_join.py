@@ -285,6 +285,7 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
 
     signed = texts.mapInArrow(sign, "signature long, key long, n long, rare long, paired boolean, p0 long, p1 long, p2 long, p3 long").distinct()
     held = settle(signed, "join-signatures")
+    filters.destroy()
     shared = held.groupBy("signature").agg(F.min(F.struct("rare", "key", "n", "p0", "p1", "p2", "p3")).alias("pivot"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
     buckets = settle(held.join(shared, "signature"), "join-buckets")
 
@@ -316,6 +317,7 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
 
     sets = texts.mapInArrow(whole_sets, "key long, items binary").groupBy("key").agg(F.first("items").alias("items"))
     sets = settle(sets.join(buckets.select("key").distinct(), "key", "left_semi"), "join-sets")
+    wanted.destroy()
 
     first = stars.groupBy("a").agg(F.min(F.struct("rb", "b"))["b"].alias("b"))
     stars = stars.select("a", "b")

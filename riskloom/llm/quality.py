@@ -196,16 +196,18 @@ def lasso_logistic(a: np.ndarray, y: np.ndarray, penalty: float = LASSO, rounds:
     """Accelerated proximal gradient; the intercept isn't penalised."""
     n, m = a.shape
     a1 = np.hstack([a, np.ones((n, 1), np.float32)])
+    # products stay in 32 bits: a wider vector would copy the whole matrix each time
+    times, back = lambda v: a1 @ v.astype(np.float32), lambda r: (a1.T @ r.astype(np.float32)).astype(np.float64)
     v = np.random.default_rng(1).normal(size=m + 1)
     for _ in range(20):  # the largest eigenvalue of the Gram matrix
-        v = a1.T @ (a1 @ v)
+        v = back(times(v))
         v /= np.linalg.norm(v)
-    rate = 4 * n / max(1e-9, np.linalg.norm(a1.T @ (a1 @ v)))
+    rate = 4 * n / max(1e-9, 1.01 * np.linalg.norm(back(times(v))))
     w = z = np.zeros(m + 1)
     t = 1.0
     shrink = np.append(np.full(m, penalty * rate), 0.0)
     for _ in range(rounds):
-        g = a1.T @ (1 / (1 + np.exp(-(a1 @ z))) - y) / n
+        g = back(1 / (1 + np.exp(-times(z))) - y) / n
         step = z - rate * g
         new = np.sign(step) * np.maximum(np.abs(step) - shrink, 0)
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2

@@ -43,14 +43,14 @@ WORD = re.compile(r"\w+")
 Unit = tuple[str, bool]  # the letters, and whether a word may go on after them
 
 
-def mine_units(toxic: list[set[str]], clean: list[set[str]]) -> list[Unit]:
-    """Words and word beginnings that mark the toxic texts, each text given as its set of words.
+def mine_units(toxic: list[tuple[str, ...]], clean: list[tuple[str, ...]]) -> list[Unit]:
+    """Words and word beginnings that mark the toxic texts, each text given as its distinct words.
 
     A beginning replaces the words that it covers where at least three words share it; of nested
     beginnings the shortest that is marked enough stays.
     """
 
-    def count(texts: list[set[str]]) -> tuple[Counter, Counter]:
+    def count(texts: list[tuple[str, ...]]) -> tuple[Counter, Counter]:
         words, starts = Counter(), Counter()
         for t in texts:
             words.update(t)
@@ -72,9 +72,9 @@ def mine_units(toxic: list[set[str]], clean: list[set[str]]) -> list[Unit]:
     return [u for _, u in sorted(units, key=lambda x: (-x[0], x[1]))[:MOST_UNITS]]
 
 
-def _families(texts: list[set[str]]) -> list[set[str]]:
+def _families(texts: list[tuple[str, ...]]) -> list[tuple[str, ...]]:
     """One text of each family of near copies, told by three minima of hashes of their words."""
-    seen: dict[tuple, set[str]] = {}
+    seen: dict[tuple, tuple[str, ...]] = {}
     for t in texts:
         hashes = np.array([zlib.crc32(w.encode()) for w in t] or [0], np.uint64)
         seen.setdefault(tuple(int((hashes * np.uint64(odd) % np.uint64(4294967291)).min()) for odd in (2654435761, 2246822519, 3266489917)), t)
@@ -228,7 +228,9 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", l
     texts = documents.select(key, "text").join(F.broadcast(sample), key).select(F.col("y").cast("int").alias("y"), "text")
     got = texts.mapInArrow(words, "y int, words array<string>").limit(4 * most).toArrow()
     y = np.array(got.column("y").to_pylist(), np.int64)
-    sets = [set(w) for w in got.column("words").to_pylist()]
+    pool: dict[str, str] = {}  # each distinct word once
+    sets = [tuple([pool.setdefault(w, w) for w in words.as_py()]) for words in got.column("words")]
+    del got
     units = mine_units([s for s, v in zip(sets, y) if v], [s for s, v in zip(sets, y) if not v])
     deal = voter_of(units)
 
@@ -266,7 +268,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, keep: tuple[str,
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def _narrow(sets: list[set[str]], units: list[Unit]) -> list[set[str]]:
+def _narrow(sets: list[tuple[str, ...]], units: list[Unit]) -> list[set[str]]:
     """Only the words of each set that some unit could match."""
     starts = {u[: PREFIX[0]] for u, _ in units}
     short = {u for u, _ in units if len(u) < PREFIX[0]}
