@@ -62,14 +62,14 @@ class Scorecard:
 
 def fit_logistic(train: DataFrame, encoder: WoeEncoder, features: Sequence[str], label: str = "label", c: float = 1.0, iterations: int = 1000) -> Scorecard:
     """L2 logistic regression with balanced class weights on standardised WOE; the penalty is 1 / (c * sum of weights)."""
-    rows = train.select(F.col(label).cast("double").alias("y"), *(encoder.column(f).alias(f) for f in features)).where("y IS NOT NULL")
-    row = rows.agg(F.count("*").alias("n"), F.sum("y").alias("b"), *(F.avg(f).alias(f"m_{f}") for f in features), *(F.stddev_pop(f).alias(f"s_{f}") for f in features)).first()
-    n, b = row["n"], row["b"]
+    rows = train.select(F.col(label).cast("double").alias("_y"), *(encoder.column(f).alias(f) for f in features)).where("_y IS NOT NULL")
+    row = rows.agg(F.count("*").alias("_n"), F.sum("_y").alias("_b"), *(F.avg(f).alias(f"m_{f}") for f in features), *(F.stddev_pop(f).alias(f"s_{f}") for f in features)).first()
+    n, b = row["_n"], row["_b"]
     if not n or not 0 < b < n:
         raise ValueError("both classes are needed")
     mean, std = [row[f"m_{f}"] for f in features], [row[f"s_{f}"] or 1.0 for f in features]
-    scaled = rows.select("y", F.when(F.col("y") == 1, n / (2 * b)).otherwise(n / (2 * (n - b))).alias("w"), *(((F.col(f) - m) / s).alias(f) for f, m, s in zip(features, mean, std)))
-    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", standardization=False, elasticNetParam=0.0, regParam=1 / (c * n), maxIter=iterations, tol=1e-9).fit(VectorAssembler(inputCols=list(features), outputCol="x").transform(scaled))
+    scaled = rows.select("_y", F.when(F.col("_y") == 1, n / (2 * b)).otherwise(n / (2 * (n - b))).alias("_w"), *(((F.col(f) - m) / s).alias(f) for f, m, s in zip(features, mean, std)))
+    model = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_w", standardization=False, elasticNetParam=0.0, regParam=1 / (c * n), maxIter=iterations, tol=1e-9).fit(VectorAssembler(inputCols=list(features), outputCol="_x").transform(scaled))
     coef = [float(k) / s for k, s in zip(model.coefficients, std)]
     return Scorecard(encoder, list(features), coef, float(model.intercept) - sum(k * m for k, m in zip(coef, mean)), session=train.sparkSession)
 

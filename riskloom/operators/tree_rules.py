@@ -24,9 +24,9 @@ def mine_tree_rules(df: DataFrame, features: Sequence[str], label: str = "label"
     if not n or not 0 < b < n:
         return []
     median = {f: row[f"m_{f}"] or 0.0 for f in features}
-    rows = df.select(F.col(label).cast("double").alias("y"), F.when(F.col(label) == 1, n / (2 * b)).otherwise(n / (2 * (n - b))).alias("w"), *(F.coalesce(no_nan(f), F.lit(median[f])).alias(f) for f in features))
+    rows = df.select(F.col(label).cast("double").alias("_y"), F.when(F.col(label) == 1, n / (2 * b)).otherwise(n / (2 * (n - b))).alias("_w"), *(F.coalesce(no_nan(f), F.lit(median[f])).alias(f) for f in features))
     strategy = str(most_features) if most_features < len(features) else "all"
-    tree = RandomForestClassifier(featuresCol="x", labelCol="y", weightCol="w", numTrees=1, bootstrap=False, featureSubsetStrategy=strategy, maxDepth=depth, minInstancesPerNode=leaf, seed=seed).fit(VectorAssembler(inputCols=list(features), outputCol="x").transform(rows)).trees[0]
+    tree = RandomForestClassifier(featuresCol="_x", labelCol="_y", weightCol="_w", numTrees=1, bootstrap=False, featureSubsetStrategy=strategy, maxDepth=depth, minInstancesPerNode=leaf, seed=seed).fit(VectorAssembler(inputCols=list(features), outputCol="_x").transform(rows)).trees[0]
     paths: list[tuple[Condition, ...]] = []
 
     def walk(node, path: tuple[Condition, ...]) -> None:

@@ -311,7 +311,7 @@ def gbt_importance(apps):
 def tree_rules(apps):
     from riskloom.operators.tree_rules import mine_tree_rules
 
-    found = mine_tree_rules(_train(apps), ("total_price", "acct_bal", "sum_qty"), "label", most_coverage=0.2)
+    found = mine_tree_rules(_train(apps), ("total_price", "acct_bal", "sum_qty"), "label", most_coverage=0.3, least_lift=1.5)
     return apps.sparkSession.createDataFrame([(r.rule_id, r.text, r.stats["coverage"], r.stats["hit_count"], r.stats["bad_rate"], r.stats["lift"]) for r in found], "rule_id int, condition_str string, coverage double, hit_count long, bad_rate double, lift double")
 
 
