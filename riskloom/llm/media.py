@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import table, text_slices
+from riskloom.llm.storage import settle, table, text_slices
 
 #: Samples in a row of a payload image.
 WIDTH = 64
@@ -113,53 +113,62 @@ def npy_tile(image: np.ndarray, side: int = TILE) -> bytes:
     return out.getvalue()
 
 
-def media_columns(images: DataFrame, content: str = "content", key: str = "id", side: int = TILE) -> DataFrame:
-    """key, height, width, channels, tile (NPY bytes), dhash, problem for each image; no shuffle."""
+def media_columns(images: DataFrame, content: str = "content", key: str = "id", side: int = TILE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """key, the carried columns, height, width, channels, tile (NPY bytes) and its SHA-256, dhash, problem, and size
+    and digests of the samples (payload) and of the bytes (media) for each image; no shuffle."""
+    names = {"height": pa.int32(), "width": pa.int32(), "channels": pa.int32(), "tile": pa.binary(), "tile_sha256": pa.string(), "dhash": pa.string()}
+    names |= {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "problem": pa.string()}
+
+    def described(data: bytes | None) -> tuple:
+        if data is None:
+            return (None,) * len(names)
+        whole = (len(data), hashlib.sha256(data).hexdigest())
+        try:
+            a = decode(data)
+            if not a.size:
+                raise ValueError("no pixels")
+            tile, payload = npy_tile(a, side), a.tobytes()
+            shape = (a.shape[0], a.shape[1], a.shape[2] if a.ndim == 3 else 1)
+            return (*shape, tile, hashlib.sha256(tile).hexdigest(), difference_hash(a), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), *whole, None)
+        except (ValueError, struct.error, IndexError) as e:
+            return (*(None,) * 9, *whole, str(e)[:200])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_slices(whole, "content"):
-                rows = []
-                for data in batch.column("content").to_pylist():
-                    try:
-                        a = None if data is None else decode(data)
-                        if a is not None and not a.size:
-                            raise ValueError("no pixels")
-                        rows.append((None,) * 6 if a is None else (a.shape[0], a.shape[1], a.shape[2] if a.ndim == 3 else 1, npy_tile(a, side), difference_hash(a), None))
-                    except (ValueError, struct.error, IndexError) as e:
-                        rows.append((None, None, None, None, None, str(e)[:200]))
-                kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.string()]
-                columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([batch.column("key"), *columns], names=["key", "height", "width", "channels", "tile", "dhash", "problem"])
-
-    kind = images.schema[key].dataType.simpleString()
-    out = images.select(F.col(key).alias("key"), F.col(content).alias("content")).mapInArrow(run, f"key {kind}, height int, width int, channels int, tile binary, dhash string, problem string")
-    return out.withColumnRenamed("key", key)
+            for batch in text_slices(whole, "_content"):
+                rows = [described(data) for data in batch.column("_content").to_pylist()]
+                kept = [n for n in batch.schema.names if n != "_content"]
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(names.values()))], names=[*kept, *names])
 
+    kept = images.select(key, *carry)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return images.select(key, *carry, F.col(content).alias("_content")).mapInArrow(run, f"{schema}, height int, width int, channels int, tile binary, tile_sha256 string, dhash string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, problem string")
 
-def payload_media(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Store each text's bytes as a PGM of 64 samples a row, read it back, describe what was read.
+
+def payload_images(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """key, n_bytes and content: each text's bytes as a PGM of 64 samples a row.
 
     Null texts count as empty; an empty text is one row of zero bytes.
     """
-    names = {"n_bytes": pa.int64(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_slices(whole, "text"):
-                rows = []
-                for t in batch.column("text"):
-                    b = t.as_buffer().to_pybytes() if t.is_valid else b""
-                    media = write_pgm(b.ljust(max(WIDTH, -(-len(b) // WIDTH) * WIDTH), b"\0"))
-                    image = decode(media)
-                    read = image.tobytes()
-                    rows.append((len(b), len(read), hashlib.sha256(read).hexdigest(), zlib.crc32(read[-64:]), len(media), hashlib.sha256(media).hexdigest(), difference_hash(image)))
-                yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(names.values()))], names=["key", *names])
+                texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column("text")]
+                media = [write_pgm(b.ljust(max(WIDTH, -(-len(b) // WIDTH) * WIDTH), b"\0")) for b in texts]
+                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(map(len, texts), pa.int64()), pa.array(media, pa.binary())], names=["key", "n_bytes", "content"])
 
     kind = documents.schema[key].dataType.simpleString()
-    out = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    out = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n_bytes long, content binary")
     return out.withColumnRenamed("key", key)
 
 
+def payload_media(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Store each text's bytes as a PGM in a table, read the table back, describe and tile the images in it."""
+    stored = settle(payload_images(documents, text, key), "media")
+    out = media_columns(stored, "content", key, carry=("n_bytes",))
+    return out.select(key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.col("dhash").alias("feature"), "tile", "tile_sha256", "problem")
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_media(table(spark, sf_dir, "documents"))

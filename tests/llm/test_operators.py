@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, with nulls, empty and long texts, ties, repeated rows and empty tables."""
 
 import hashlib
+import io
 import itertools
 import random
 import re
@@ -201,6 +202,28 @@ def test_media(spark):
     assert got[0]["height"] == 3 and got[1]["problem"] is None and got[1]["tile"] is None and got[2]["problem"]
 
 
+def test_media_come_from_stored_bytes(spark, monkeypatch):
+    """Tile, hash and digests describe what the table holds, not what was made."""
+    stored = []
+
+    def other(df, purpose):
+        stored.append({r["doc_id"]: bytes(r["content"]) for r in df.collect()})
+        changed = [(r["doc_id"], r["n_bytes"], media.write_pgm(bytes([7]) * 128) if r["doc_id"] == 3 else bytes(r["content"])) for r in df.collect()]
+        return table(spark, changed, df.schema)
+
+    monkeypatch.setattr(media, "settle", other, raising=False)
+    rows = {r["doc_id"]: r for r in media.payload_media(documents(spark, TEXTS)).collect()}
+    assert len(rows) == len(TEXTS) and rows[3]["media_sha256"] == hashlib.sha256(media.write_pgm(bytes([7]) * 128)).hexdigest()
+    for i, r in rows.items():
+        if i != 3:
+            image = media.decode(stored[0][i])
+            fine = np.kron(image.astype(float), np.ones((media.TILE, 1))).reshape(media.TILE, len(image), media.WIDTH).mean(1)
+            want = np.clip(np.round(np.round(fine.reshape(media.TILE, media.TILE, -1).mean(2), 9)), 0, 255)
+            tile = np.load(io.BytesIO(bytes(r["tile"])))
+            assert tile.shape == want.shape and abs(tile - want).max() <= 1 and (tile == want).mean() > 0.95
+            assert r["tile_sha256"] == hashlib.sha256(bytes(r["tile"])).hexdigest() and r["problem"] is None
+
+
 def test_quality_and_toxicity(spark):
     rnd = random.Random(4)
     words = [f"{a}{b}" for a in "bcdfgkl" for b in ("ara", "oni", "umes", "ith")]
