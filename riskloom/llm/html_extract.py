@@ -3,9 +3,9 @@
 A page is cut into text blocks, each with its path of block tags from the root. Per path, the text
 length and the punctuation over the number of blocks give two ratios, weighed down by the share of
 link text. The product of the ratios is smoothed over neighbouring blocks with a Gaussian kernel,
-fused with the path's own score, and cut at a share of the mean score per block. Blocks above the cut decide, by
-their weight, which container element holds the article; every block in it that no boilerplate
-element encloses is kept, in page order.
+fused with the path's own score, and cut at a share of the mean score per block. The least container that holds all
+blocks above the cut, and the page's headings of the first level, holds the article; every block in
+it that no boilerplate element encloses is kept, in page order.
 
 Null or empty html gives an empty text. Unclosed and stray tags are tolerated; comments, scripts
 and styles never count. Repeated rows repeat.
@@ -28,8 +28,6 @@ from riskloom.llm.storage import table, text_slices
 
 #: Width of the kernel in blocks, and the share of the mean score where content starts.
 SIGMA, CUT = 1.0, 0.5
-#: A container is entered while one child holds at least this share of its content weight.
-HOLDS = 0.7
 
 #: HTML elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -166,26 +164,16 @@ def main_text(page: str | None) -> str:
     fused = path_scores(blocks)
     live = np.array([not b.boilerplate for b in blocks])
     cut = CUT * fused[live].mean()
-    weight: dict[tuple[int, ...], float] = {}
-    tags: dict[tuple[int, ...], tuple[str, ...]] = {}
-    for b, f in zip(blocks, fused):
-        if not b.boilerplate and f >= cut:
-            for i in range(1, len(b.within) + 1):
-                weight[b.within[:i]] = weight.get(b.within[:i], 0.0) + len(b.text)
-                tags[b.within[:i]] = b.tags[:i]
-    inside: dict[tuple[int, ...], list[tuple[int, ...]]] = {}
-    for w in weight:
-        inside.setdefault(w[:-1], []).append(w)
-    at: tuple[int, ...] = ()
-    while children := [c for c in inside.get(at, ()) if tags[c][-1] in CONTAINER]:
-        best = max(children, key=lambda c: (weight[c], [-x for x in c]))
-        around = weight[at] if at else sum(weight[c] for c in inside[at])
-        if weight[best] < HOLDS * around:
+    held = [b for b, f in zip(blocks, fused) if not b.boilerplate and (f >= cut or "h1" in b.tags)]
+    depth = 0
+    for i, (tag, number) in enumerate(zip(held[0].tags, held[0].within)):
+        if tag not in CONTAINER or any(b.within[i : i + 1] != (number,) for b in held):
             break
-        at = best
-        if tags[at][-1] == "article":
+        depth = i + 1
+        if tag == "article":
             break
-    return "\n".join(b.text for b in usable if b.within[: len(at)] == at)
+    at = held[0].within[:depth]
+    return "\n".join(b.text for b in usable if b.within[:depth] == at)
 
 
 def extract_text(pages: DataFrame, html_column: str = "html", key: str = "page_id", carry: tuple[str, ...] = ()) -> DataFrame:

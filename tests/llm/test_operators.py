@@ -164,6 +164,25 @@ def test_html(spark):
     assert got[6]["n_chars"] == len(("long, text. " * 20000).strip())
 
 
+def paragraphs(name, n):
+    return [f"{name} number {i} says one thing, then another, and ends." for i in range(n)]
+
+
+@pytest.mark.parametrize("long", [7, 8, 9])
+def test_html_keeps_both_parts_of_an_article(long):
+    """Parts of 70, 80 and 90 per cent, as containers next to each other, below a title and a lead, and nested."""
+    first, second = paragraphs("First", long), paragraphs("Second", 10 - long)
+    parts = ["".join(f"<p>{x}</p>" for x in part) for part in (first, second)]
+    menu = "<nav><a href=/>Home</a></nav>"
+    for kind in ("div", "section"):
+        page = f"<body>{menu}<main><{kind}>{parts[0]}</{kind}><{kind}>{parts[1]}</{kind}></main></body>"
+        assert html_extract.main_text(page) == "\n".join(first + second)
+    page = f"<body>{menu}<table><tr><td>{parts[1]}</td><td>{parts[0]}</td></tr></table></body>"
+    assert html_extract.main_text(page) == "\n".join(second + first)
+    page = f"<body>{menu}<div id=content><h1>Title</h1><p>A lead, as long as other text, ends here.</p><div class=body>{parts[0]}<div>{parts[1]}</div></div></div></body>"
+    assert html_extract.main_text(page) == "\n".join(["Title", "A lead, as long as other text, ends here.", *first, *second])
+
+
 def test_url_rules(spark):
     urls = ["http://www.Example.com/en/a?x", "https://sub.example.com/en/", "http://example.com/fr/x#y", "http://foo.net/es/1", "http://foo.net/de/", "nonsense", None, "http://bar.org", "http://WWW.example.com"]
     rows = [(i, u, None) for i, u in enumerate(urls)]
