@@ -7,8 +7,13 @@ fused with the path's own score, and cut at a share of the mean score per block.
 blocks above the cut, and the page's headings of the first level, holds the article; every block in
 it that no boilerplate element encloses is kept, in page order.
 
+Elements that a tag, role or hiding attribute marks as boilerplate give no text; words of a class or
+id lower the score of what is inside, which then counts only above the cut. An element that holds
+most of the text above the cut, as scored without any marks, is the page's own and no boilerplate,
+unless an unmarked article or main element lies outside it.
+
 Null or empty html gives an empty text. Unclosed and stray tags are tolerated; comments, scripts
-and styles never count. Repeated rows repeat.
+and styles never count. Only scripts, styles, titles and text areas run to the page's end if unclosed. Repeated rows repeat.
 """
 
 from __future__ import annotations
@@ -28,12 +33,15 @@ from riskloom.llm.storage import table, text_slices
 
 #: Width of the kernel in blocks, and the share of the mean score where content starts.
 SIGMA, CUT = 1.0, 0.5
+#: Share of a path's score that is left inside an element with a marked class or id; share of the scored text that lifts a mark.
+NAMED, MOST = 0.01, 0.5
 
 #: HTML elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rt rp wbr img br".split())
 CONTAINER = frozenset("html body div main article section td table tbody tr center form".split())
-UNSEEN = "script|style|noscript|template|textarea|select|svg|math|iframe|object|title|canvas|audio|video"
+RAW = "script|style|title|textarea"
+UNSEEN = frozenset("noscript template select svg math iframe object canvas audio video".split())
 BOILERPLATE = frozenset("head nav header footer aside form button menu dialog fieldset".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES |= {t: {"p"} for t in "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol pre section table ul".split()}
@@ -42,13 +50,14 @@ SCOPE = frozenset("html body div main article section td th table ul ol dl block
 MARKED = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|comments?|disqus|reply|replies|respond|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|sidebars?|side|menus?|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|topbar|header|masthead|footer|copyright|legal|related|recommended|recirc|share|sharing|social|newsletter|subscribe|signup|login|search|widget|skip|toc)(?:$|[\s_-])", re.I)
 MARKED_ROLE = frozenset("navigation banner contentinfo complementary search alert dialog alertdialog form menu menubar toolbar".split())
 
+REST = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
+SKIPPED = rf"<!--(?:.*?-->|.*\Z)|<(?P<raw>{RAW})(?=[\s/>]){REST}(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
 TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)"
-    rf"|<(?P<raw>{UNSEEN})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    rf"{SKIPPED}|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>{REST})>"
     r"|</?[a-zA-Z][^>]*>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+UNSEEN_TAG = re.compile(rf"{SKIPPED}|<(?P<end>/?)(?P<tag>{'|'.join(sorted(UNSEEN))})(?=[\s/>])(?P<rest>{REST})>", re.S | re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 BLANKS = re.compile(r"\s+")
 MARKS = re.compile(r"[.,;:!?…。，、；：！？·]")
@@ -60,32 +69,49 @@ class Block:
     #: Elements around it, outermost first, by number; and their tags.
     within: tuple[int, ...]
     tags: tuple[str, ...]
-    boilerplate: bool
+    #: Which of them are marked by tag, role or hiding, and which by class or id.
+    vetoes: tuple[int, ...]
+    named: tuple[int, ...]
     text: str
     links: int
 
 
-def _marked(tag: str, rest: str) -> tuple[str, bool]:
-    """The element's name in a path, and whether it is boilerplate."""
-    boilerplate, name = tag in BOILERPLATE, tag
+def _marked(tag: str, rest: str) -> tuple[str, bool, bool]:
+    """The element's name in a path, whether it is boilerplate, and whether its class or id suggests so."""
+    boilerplate, named, name = tag in BOILERPLATE, False, tag
     if rest:
         for key, a, b, c in ATTRIBUTE.findall(rest):
             key, value = key.lower(), a or b or c
             if key in ("class", "id"):
                 if tag not in ("html", "body", "article", "main"):
-                    boilerplate |= bool(MARKED.search(value))
+                    named |= bool(MARKED.search(value))
                 if key == "class" and value:
                     name = f"{tag}.{value.split()[0]}" if value.split() else tag
             elif key == "role":
                 boilerplate |= value.lower() in MARKED_ROLE
             elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and "display:none" in value.replace(" ", "").lower():
                 boilerplate = True
-    return name, boilerplate
+    return name, boilerplate, named
+
+
+def unseen_spans(page: str) -> dict[int, int]:
+    """Where each closed element of UNSEEN starts and ends; an end tag belongs to the last one open."""
+    spans: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in UNSEEN_TAG.finditer(page):
+        if (tag := m["tag"]) is None or m["rest"].endswith("/"):
+            continue
+        starts = opened.setdefault(tag.lower(), [])
+        if not m["end"]:
+            starts.append(m.start())
+        elif starts:
+            spans[starts.pop()] = m.end()
+    return spans
 
 
 def blocks_of(page: str) -> list[Block]:
     found: list[Block] = []
-    stack: list[tuple[str, str, int, bool]] = []  # tag, name, number, boilerplate here or above
+    stack: list[tuple[str, str, int, tuple[int, ...], tuple[int, ...]]] = []  # tag, name, number, marked here or above
     parts: list[str] = []
     number = linked = in_link = 0
 
@@ -93,11 +119,13 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         if parts:
             if text := BLANKS.sub(" ", html.unescape("".join(parts))).strip():
-                found.append(Block(tuple(x[1] for x in stack), tuple(x[2] for x in stack), tuple(x[0] for x in stack), bool(stack) and stack[-1][3], text, min(linked, len(text))))
+                found.append(Block(tuple(x[1] for x in stack), tuple(x[2] for x in stack), tuple(x[0] for x in stack), *(stack[-1][3:] if stack else ((), ())), text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page):
+    spans, at = unseen_spans(page), 0
+    while m := TOKEN.match(page, at):
+        at = m.end()
         if (text := m["text"]) is not None:
             parts.append(text)
             if in_link:
@@ -106,6 +134,9 @@ def blocks_of(page: str) -> list[Block]:
         if (tag := m["tag"]) is None:
             continue
         tag = tag.lower()
+        if tag in UNSEEN:
+            at = spans.get(m.start(), at)
+            continue
         if tag in INLINE:
             if tag == "br":
                 parts.append(" ")
@@ -132,15 +163,16 @@ def blocks_of(page: str) -> list[Block]:
                     break
         if tag in VOID:
             continue
-        name, boilerplate = _marked(tag, m["rest"])
+        name, boilerplate, named = _marked(tag, m["rest"])
         number += 1
-        stack.append((tag, name, number, boilerplate or bool(stack) and stack[-1][3]))
+        vetoes, names = stack[-1][3:] if stack else ((), ())
+        stack.append((tag, name, number, (*vetoes, number) if boilerplate else vetoes, (*names, number) if named else names))
     flush()
     return found
 
 
-def path_scores(blocks: list[Block]) -> np.ndarray:
-    """Per block: its path's text ratio times its punctuation ratio, less links, smoothed and fused."""
+def path_scores(blocks: list[Block], left: np.ndarray) -> np.ndarray:
+    """Per block: its path's text ratio times its punctuation ratio, less links, times what marks leave, smoothed and fused."""
     sums: dict[tuple[str, ...], list[float]] = {}
     for b in blocks:
         s = sums.setdefault(b.path, [0, 0, 0, 0])
@@ -149,22 +181,41 @@ def path_scores(blocks: list[Block]) -> np.ndarray:
         s[2] += len(MARKS.findall(b.text))
         s[3] += b.links
     score = {p: (length / n) * math.log1p(1 + marks / n) * max(0.0, 1 - links / length) for p, (n, length, marks, links) in sums.items()}
-    own = np.array([0.0 if b.boilerplate else score[b.path] for b in blocks])
+    own = np.array([score[b.path] for b in blocks]) * left
     reach = np.arange(-int(3 * SIGMA), int(3 * SIGMA) + 1)
     kernel = np.exp(-(reach**2) / (2 * SIGMA**2))
     smooth = np.convolve(own, kernel / kernel.sum(), "full")[len(kernel) // 2 :][: len(own)]
     return np.sqrt(own * smooth)
 
 
+def mark_shares(blocks: list[Block]) -> np.ndarray:
+    """Per block: the share of its score that marks leave; 0 in boilerplate."""
+    if not any(b.vetoes or b.named for b in blocks):
+        return np.ones(len(blocks))
+    scores = path_scores(blocks, np.ones(len(blocks)))
+    cut, total = CUT * scores.mean(), 0
+    held: dict[int, int] = {}
+    around = {n: set(b.within[:i]) for b in blocks for i, n in enumerate(b.within) if n in b.vetoes or n in b.named}
+    articles = {n for b in blocks if not b.vetoes and not b.named for n, tag in zip(b.within, b.tags) if tag in ("article", "main")}
+    for b, f in zip(blocks, scores):
+        if f >= cut:
+            total += len(b.text)
+            for n in {*b.vetoes, *b.named}:
+                held[n] = held.get(n, 0) + len(b.text)
+    lifted = {n for n, length in held.items() if length > MOST * total and articles <= around[n]}
+    return np.array([0.0 if not lifted.issuperset(b.vetoes) else 1.0 if lifted.issuperset(b.named) else NAMED for b in blocks])
+
+
 def main_text(page: str | None) -> str:
     blocks = blocks_of(page) if page else []
-    usable = [b for b in blocks if not b.boilerplate]
-    if not usable:
+    left = mark_shares(blocks)
+    if not left.any():
         return ""
-    fused = path_scores(blocks)
-    live = np.array([not b.boilerplate for b in blocks])
-    cut = CUT * fused[live].mean()
-    held = [b for b, f in zip(blocks, fused) if not b.boilerplate and (f >= cut or "h1" in b.tags)]
+    fused = path_scores(blocks, left)
+    plain = left == left.max()
+    above = (left > 0) & (fused >= CUT * fused[plain].mean())
+    usable = [b for b, p, f in zip(blocks, plain, above) if p or f]
+    held = [b for b, p, f in zip(blocks, plain, above) if f or p and "h1" in b.tags]
     depth = 0
     for i, (tag, number) in enumerate(zip(held[0].tags, held[0].within)):
         if tag not in CONTAINER or any(b.within[i : i + 1] != (number,) for b in held):

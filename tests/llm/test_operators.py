@@ -183,6 +183,30 @@ def test_html_keeps_both_parts_of_an_article(long):
     assert html_extract.main_text(page) == "\n".join(["Title", "A lead, as long as other text, ends here.", *first, *second])
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ["<div id=page class='has-sidebar'>", "<div class=with-sidebar>", "<div class=no-sidebar>", "<section class=header-fixed>", "<div id=x class='search-result'>", "<form action=x method=post>", "<div role=search>", "<form><div class=has-sidebar>"]
+    + ["<svg viewBox='0 0 1 1'/>", "<svg/><svg><text>no</text></svg>", "<select><option>no text", "<select><select><option>gone</select>", "<object>", "<canvas id=c>", "<title-bar>", "<script-x>", "<svg><svg><text>no</text></svg><text>no</text></svg>", "<script src=x/>", "<iframe src=x />"],
+)
+def test_html_marks_and_raw_elements_spare_the_article(wrapper):
+    text = paragraphs("Part", 9)
+    body = "".join(f"<p>{x}</p>" for x in text)
+    page = f"<body><nav><ul><li><a href=/>Home</a></li></ul></nav>{wrapper}<h1>Title</h1>{body}<div class=ad>Buy now, buy.</div><select><option>gone</select><svg></svg></body>"
+    got = html_extract.main_text(page).removeprefix("no text ").removeprefix("no text\n")
+    assert got == "\n".join(["Title", *text])
+
+
+def test_html_marked_name_only_lowers_the_score():
+    text = paragraphs("Part", 9)
+    asides = "".join(f"<p>{x}</p>" for x in paragraphs("Reply", 3))
+    main = "".join(f"<p>{x}</p>" for x in text)
+    assert html_extract.main_text(f"<body><div>{main}</div><div class=comments>{asides}</div></body>") == "\n".join(text)
+    short = "<body>{}<article><h1>Title</h1><p>Short.</p></article><footer>Long footer, which goes on, and on, and on.</footer></body>"
+    assert html_extract.main_text(short.format("<div class=ad>Longer than the rest, and more. Buy now.</div>")) == "Title\nShort."
+    long = "One very long notice, with much to say, and more. " * 400
+    assert long.strip() in html_extract.main_text(f"<body><div>{main * 50}</div><div class=notice><p>{long}</p></div></body>")
+
+
 def test_url_rules(spark):
     urls = ["http://www.Example.com/en/a?x", "https://sub.example.com/en/", "http://example.com/fr/x#y", "http://foo.net/es/1", "http://foo.net/de/", "nonsense", None, "http://bar.org", "http://WWW.example.com"]
     rows = [(i, u, None) for i, u in enumerate(urls)]
