@@ -5,7 +5,8 @@ words gets a 64-bit SimHash of its weighted five-word shingles. Item fingerprint
 blocks of 8 bits, each block with all its variants of up to 2 flipped bits: two fingerprints that
 differ in at most 23 bits differ in at most 2 bits in some block, so every item within that radius
 is a candidate. Candidates are verified by exact weighted Jaccard similarity of the shingle
-multisets. Weights are inverse item frequencies; a shingle of no item weighs most.
+multisets. Weights are inverse item frequencies over the whole benchmark, counted in Spark, so they
+don't depend on the number of passes; a shingle of no item weighs most, as one of a single item does.
 
 Only windows that hold a shingle of an item of their size are formed: all others have similarity 0.
 Items and texts with fewer than five words have one shingle, the whole; an item that short matches
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import table, text_slices
+from riskloom.llm.storage import settle, table, text_slices
 from riskloom.llm.textkernel import BASE, BLANKS, PUNCTUATION, lower_table, mix, texts_of, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -68,26 +69,35 @@ def words_in(column: pa.Array):
 
 @dataclass
 class Items:
-    """The items of one pass, compiled."""
+    """The items of one pass, compiled with the item counts of the whole benchmark's shingles."""
 
     ids: list[int] = field(default_factory=list)
     size: list[int] = field(default_factory=list)
     shingles: list[Counter] = field(default_factory=list)
+    #: Items with words in the whole benchmark; its shingles that several items hold, sorted, and how many hold each.
+    n: int = 0
+    shared: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    held_by: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def __post_init__(self) -> None:
-        n = len(self.ids)
         holders: dict[int, list[int]] = defaultdict(list)
         for i, s in enumerate(self.shingles):
             for h in s:
                 holders[h].append(i)
         self.holders = dict(holders)
-        self.most = math.log(1 + n) if n else 1.0
-        self.idf = {h: math.log(1 + n / len(x)) for h, x in holders.items()}
-        self.known = np.sort(np.array(list(holders), np.uint64))
+        self.most = math.log(1 + self.n) if self.n else 1.0
+        own = np.array(list(holders), np.uint64)
+        #: The shingles whose weight must be looked up: those of this pass, and shared ones of any.
+        self.known = np.union1d(own, self.shared)
+        self.mine = np.isin(self.known, own)
+        count = np.ones(len(self.known), np.int64)
+        count[np.searchsorted(self.known, self.shared)] = self.held_by
+        self.values = np.log(1 + self.n / count)
+        self.idf = {h: v for h, v in zip(self.known[self.mine].tolist(), self.values[self.mine].tolist())}
         self.gate = np.zeros(1 << 20, bool)
         self.gate[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         #: Whole numbers, so that sums over windows are exact.
-        self.weights = np.array([round(1000 * self.idf[int(h)]) for h in self.known], np.int64)
+        self.weights = np.round(1000 * self.values).astype(np.int64)
         self.total = [sum(c * self.idf[h] for h, c in s.items()) for s in self.shingles]
         prints = []
         for s in self.shingles:
@@ -113,8 +123,9 @@ class Items:
         at = np.searchsorted(self.known, shingles[where])
         real = at < len(self.known)
         real[real] = self.known[at[real]] == shingles[where][real]
-        hit[where[~real]] = False
         weight[where[real]] = self.weights[at[real]]
+        hit[where] = False
+        hit[where[real]] = self.mine[at[real]]
         return weight, hit
 
     def candidates(self, prints: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,10 +145,16 @@ class Items:
         near = distance <= RADIUS
         return pairs[near, 0], pairs[near, 1], distance[near]
 
+    def value(self, shingle: int) -> float:
+        if (own := self.idf.get(shingle)) is not None:
+            return own
+        at = int(np.searchsorted(self.known, np.uint64(shingle)))
+        return float(self.values[at]) if at < len(self.known) and int(self.known[at]) == shingle else self.most
+
     def similarity(self, window: Counter, i: int) -> float:
         own = self.shingles[i]
         both = sum(min(c, own[h]) * self.idf[h] for h, c in window.items() if h in own)
-        rest = sum(c * self.idf.get(h, self.most) for h, c in window.items())
+        rest = sum(c * self.value(h) for h, c in window.items())
         return both / (rest + self.total[i] - both)
 
     def leaks(self, words: np.ndarray) -> list[tuple[int, float, int, int]]:
@@ -179,7 +196,8 @@ class Items:
         return [(self.ids[i], s, first, d) for i, (s, first, d) in sorted(best.items())]
 
 
-def compile_items(ids: list[int], texts: list[str | None]) -> Items:
+def compile_items(ids: list[int], texts: list[str | None], counts: tuple[int, np.ndarray, np.ndarray] | None = None) -> Items:
+    """Without `counts` of the whole benchmark, the items are the whole."""
     w = words_in(pa.array(texts, pa.string()))
     edges = np.searchsorted(w.doc, np.arange(len(ids) + 1))
     out = Items([], [], [])
@@ -188,10 +206,33 @@ def compile_items(ids: list[int], texts: list[str | None]) -> Items:
             out.ids.append(i)
             out.size.append(int(b - a))
             out.shingles.append(Counter(ngrams(w.hash[a:b], min(SHINGLE, int(b - a))).tolist()))
+    if counts is None:
+        shingles, held = np.unique(np.array([h for s in out.shingles for h in s], np.uint64), return_counts=True)
+        counts = len(out.ids), shingles[held > 1], held[held > 1]
+    out.n, out.shared, out.held_by = counts
     out.__post_init__()
     return out
 
 
+def shingle_counts(benchmark: DataFrame, item: str, item_text: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """The number of items with words, the shingles that several items hold, sorted, and how many hold each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in text_slices(whole, "text"):
+                w = words_in(b.column("text"))
+                edges = np.searchsorted(w.doc, np.arange(b.num_rows + 1))
+                each = [np.unique(ngrams(w.hash[x:y], min(SHINGLE, int(y - x)))) for x, y in zip(edges[:-1], edges[1:]) if y > x]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *each]).view(np.int64)), pa.array(np.concatenate([np.zeros(0, bool), *(np.arange(len(x)) == 0 for x in each)]))], names=["shingle", "first"])
+
+    found = benchmark.where(F.col(item).cast("long").isNotNull()).select(F.col(item_text).alias("text")).mapInArrow(run, "shingle long, first boolean")
+    counted = settle(found.groupBy("shingle").agg(F.count("*").alias("n"), F.count_if("first").alias("items")), "shingle-counts")
+    shared = counted.where("n > 1").select("shingle", "n").toArrow()
+    shingles = shared.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return counted.agg(F.sum("items")).first()[0] or 0, shingles[order], shared.column("n").to_numpy()[order]
+
+
 def find_leaks(documents: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", item: str = "item_id", item_text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
     """The kept columns, item_id, similarity, first_word and distance: a row for each text and item found in it."""
     found = None
@@ -209,12 +250,13 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text"
 
 
 def item_passes(benchmark: DataFrame, item: str, item_text: str, item_bytes: int) -> Iterator:
-    """Broadcasts of the benchmark, each of bounded size."""
+    """Broadcasts of the benchmark, each of items of bounded size and the counts of shared shingles."""
+    counts = shingle_counts(benchmark, item, item_text)
     size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     passes = max(1, -(-size // item_bytes))
     for n in range(passes):
         part = benchmark.where(F.pmod(F.xxhash64(item, item_text), F.lit(passes)) == n).select(F.col(item).cast("long"), item_text).orderBy(item).collect()
-        yield benchmark.sparkSession.sparkContext.broadcast(([r[0] for r in part], [r[1] for r in part]))
+        yield benchmark.sparkSession.sparkContext.broadcast(([r[0] for r in part], [r[1] for r in part], counts))
 
 
 def _scan(documents: DataFrame, shared, keep: tuple[str, ...], text: str, clean: bool) -> DataFrame:
