@@ -22,8 +22,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the rule ensemble doesn't predict to be of quality 1."""
+    """Drops documents that the rule ensemble doesn't predict to be of quality 1; none if no label can be learnt from."""
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    if not model.learnt:
+        return docs.select(*COLUMNS)
     return score_quality(docs, model, COLUMNS).where("predicted = 1").select(*COLUMNS)
 
 
@@ -34,18 +36,21 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least id in each component of five-word shingle sets with similarity 0.8 or more.
+    """Keeps one row of least id in each component of five-word shingle sets with similarity 0.8 or more.
 
-    Documents without words link with none and stay; rows that repeat an id stay once.
+    A row is known by its id and its text's hash; rows without an id come last. Documents without
+    words link with none and stay; rows that repeat id and text stay once, but all without id and words.
     """
-    found = settle(jaccard_components(docs, k=5, least=80), "pipeline-components")
-    others = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    kept = docs.select(*COLUMNS).join(others, "doc_id", "left_anti")
-    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    row = F.struct(F.col("doc_id").isNull().alias("absent"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
+    keyed = docs.select(*COLUMNS).withColumn("_row", row)
+    found = settle(jaccard_components(keyed, k=5, least=80, key="_row"), "pipeline-components")
+    others = found.where(F.col("_row") != F.col("component_id")).select("_row")
+    kept = keyed.join(others, "_row", "left_anti")
+    again = found.where("NOT _row.absent OR n_shingles > 0").groupBy("_row").count().where("count > 1").select("_row")
     if again.isEmpty():
         return kept.select(*COLUMNS)
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+    once = kept.join(again, "_row", "left_semi").dropDuplicates(["_row"])
+    return kept.join(again, "_row", "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,6 +124,8 @@ class RuleModel:
     rules: tuple[Rule, ...]
     weights: tuple[float, ...]
     intercept: float
+    #: Was there any label to learn from.
+    learnt: bool = True
 
     def column(self) -> Column:
         """The probability of label 1, over the columns of text_statistics()."""
@@ -218,7 +220,7 @@ def lasso_logistic(a: np.ndarray, y: np.ndarray, penalty: float = LASSO, rounds:
 def fit_rules(x: np.ndarray, y: np.ndarray) -> RuleModel:
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
-        return RuleModel((), (), float(np.log(share / (1 - share))))
+        return RuleModel((), (), float(np.log(share / (1 - share))), bool(len(y)))
     x = x.astype(np.float32)
     rules = tree_rules(x, y)
     weights, intercept = lasso_logistic(rule_matrix(x, rules), y)

@@ -43,3 +43,22 @@ def test_stages(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 100
+
+
+def test_join_decides_by_row(spark):
+    words = [" ".join(f"t{i}w{j}" for j in range(30)) for i in range(4)]
+    rows = [(1, words[0]), (2, words[0]), (2, words[1]), (3, words[2]), (3, words[3]), (3, words[3]), (None, words[1]), (None, "a b c d e f"), (None, "a b c d e f"), (None, ""), (None, None), (None, ""), (4, ""), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert left.columns == docs.columns
+    want = [(1, words[0]), (2, words[1]), (3, words[2]), (3, words[3]), (None, "a b c d e f"), (None, ""), (None, ""), (None, None), (4, "")]
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
+def test_quality_without_labels_drops_nothing(spark, monkeypatch):
+    given = corpus_pipeline.table
+    held_out = corpus_pipeline.fit_quality.__globals__["held_out_rows"]("doc_id", 4, 2)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for only in (F.lit(False), held_out):
+        monkeypatch.setattr(corpus_pipeline, "table", lambda spark, folder, name, only=only: given(spark, folder, name).where(only))
+        assert corpus_pipeline.quality(spark, docs, FOLDER).count() == docs.count()
