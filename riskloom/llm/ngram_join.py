@@ -32,6 +32,7 @@ null and never names a component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import settle, table, text_slices
+from riskloom.llm.storage import HOT_KEYS, HOT_ROWS, Scratch, hot_keys, join_apart, table, text_slices
 from riskloom.llm.textkernel import lower_table, mix, sets_of, shingles, texts_of, words_of
 
 #: A shingle of more sets than this is frequent.
@@ -49,7 +50,9 @@ MANY = 16
 SEVERAL_BITS, MANY_BITS, REDUCER_ROWS = 27, 25, 1 << 21
 LEAST_PARTS = 8  # log2
 #: Shingles that a task gathers before it hands on their fingerprints; sets that it remembers having seen.
-FLUSH, SEEN = 2_000_000, 200_000
+FLUSH, SEEN = 1_000_000, 200_000
+#: Keys that a task holds at once to shorten links.
+CONTRACTED = 200_000
 #: log2 of the set size for which one group of frequent shingles is enough.
 GROUP_BITS = 5
 
@@ -222,22 +225,56 @@ def verified(pairs: DataFrame, sets: DataFrame, least: int, parts: int) -> DataF
                 ok.append(parts * both >= least * (len(u) + len(v) - both))
             yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(ok)), b.column("b").filter(pa.array(ok))], names=["a", "b"])
 
-    with_a = pairs.join(sets.select(F.col("key").alias("a"), F.col("items").alias("set_a")), "a")
-    return with_a.join(sets.select(F.col("key").alias("b"), F.col("items").alias("set_b")), "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    with_a = pairs.join(sets.select(F.col("key").alias("a"), F.col("items").alias("set_a")).hint("merge"), "a")
+    return with_a.join(sets.select(F.col("key").alias("b"), F.col("items").alias("set_b")).hint("merge"), "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def contracted(links: DataFrame) -> DataFrame:
+    """Links that connect the same keys in fewer steps: each task joins what it holds, slice by slice, to the least key there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            top = x
+            while (up := parent.setdefault(top, top)) != top:
+                top = up
+            while parent[x] != top:
+                parent[x], x = top, parent[x]
+            return top
+
+        def out() -> pa.RecordBatch:
+            ends = [(x, root(x)) for x in list(parent)]
+            ends = [e for e in ends if e[0] != e[1]]
+            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in ends], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+            if len(parent) > CONTRACTED:
+                yield out()
+                parent.clear()
+        yield out()
+
+    return links.select("a", "b").mapInArrow(run, "a long, b long")
+
+
+def components(links: DataFrame, scratch: Scratch, most_rounds: int = 60) -> DataFrame:
     """key, component (the least key reachable), for every key of the links (a, b)."""
-    both = settle(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    label = both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("component"))
-    label = settle(label, "components")
+    short = contracted(links)
+    both = scratch.settle(short.unionByName(short.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    label = scratch.settle(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "components")
     for _ in range(most_rounds):
-        near = both.join(label.select(F.col("key").alias("b"), F.col("component").alias("near")), "b").groupBy(F.col("a").alias("key")).agg(F.min("near").alias("near"))
-        least = label.join(near, "key").select("key", F.least("component", "near").alias("component"), F.col("component").alias("was"))
+        ends = both.join(label.select(F.col("key").alias("b"), F.col("component").alias("near")).hint("merge"), "b")
+        least = label.join(ends.groupBy(F.col("a").alias("key")).agg(F.min("near").alias("near")).hint("merge"), "key")
+        least = least.select("key", F.least("component", "near").alias("component"), F.col("component").alias("was"))
         jump = label.select(F.col("key").alias("component"), F.col("component").alias("further"))
-        new = settle(least.join(jump, "component", "left").select("key", F.least("component", F.coalesce("further", "component")).alias("component"), "was"), "components")
-        label = new.select("key", "component")
+        new = scratch.settle(least.join(jump.hint("merge"), "component", "left").select("key", F.least("component", F.coalesce("further", "component")).alias("component"), "was"), "components")
+        scratch.drop(label)
+        label = new
         if new.where("component <> was").isEmpty():
+            scratch.drop(both)
             return label
     raise RuntimeError("components did not settle")
 
@@ -245,7 +282,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 def _labelled(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """Adds to (a, b, ...) the components ca and cb; a set without links is its own."""
     for c in ("a", "b"):
-        pairs = pairs.join(label.select(F.col("key").alias(c), F.col("component").alias(f"_{c}")), c, "left").withColumn(f"c{c}", F.coalesce(f"_{c}", c)).drop(f"_{c}")
+        pairs = pairs.join(label.select(F.col("key").alias(c), F.col("component").alias(f"_{c}")).hint("merge"), c, "left").withColumn(f"c{c}", F.coalesce(f"_{c}", c)).drop(f"_{c}")
     return pairs
 
 
@@ -259,8 +296,9 @@ def key_filter(keys: DataFrame, column: str, bits: int = 23) -> np.ndarray:
 
 
 def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_shingles, component_id for every row of `documents`."""
+    """key, n_shingles, component_id for every row of `documents`; other columns are ignored, whatever their names."""
     spark = documents.sparkSession
+    scratch = Scratch(spark)
     given = documents.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
     texts = given.select("_text")
     kind = documents.schema[key].dataType.simpleString()
@@ -269,8 +307,8 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
         for b, _, off, keys in _batches(batches, k):
             yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(np.diff(off), pa.int64()), pa.array(keys.view(np.int64))], names=["id", "n", "key"])
 
-    rows = settle(given.mapInArrow(summary, f"id {kind}, n long, key long"), "join-rows")
-    total = rows.agg(F.sum("n")).first()[0] or 0
+    rows = scratch.settle(given.mapInArrow(summary, f"id {kind}, n long, key long"), "join-rows")
+    total, count = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     filters = spark.sparkContext.broadcast(class_filters(texts, k, total))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,10 +322,13 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
             yield pa.RecordBatch.from_arrays([pa.array(s[keep].view(np.int64)), pa.array(keys[doc[keep]].view(np.int64)), pa.array(np.diff(off)[doc[keep]], pa.int64()), pa.array(rare[doc[keep]], pa.int64()), pa.array(of_pairs[keep]), *(pa.array(np.where(of_pairs[keep], profile[doc[keep], i], 0)) for i in range(4))], names=["signature", "key", "n", "rare", "paired", "p0", "p1", "p2", "p3"])
 
     signed = texts.mapInArrow(sign, "signature long, key long, n long, rare long, paired boolean, p0 long, p1 long, p2 long, p3 long").distinct()
-    held = settle(signed, "join-signatures")
+    held = scratch.settle(signed, "join-signatures")
     filters.destroy()
-    shared = held.groupBy("signature").agg(F.min(F.struct("rare", "key", "n", "p0", "p1", "p2", "p3")).alias("pivot"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
-    buckets = settle(held.join(shared, "signature"), "join-buckets")
+    shared = scratch.settle(held.groupBy("signature").agg(F.min(F.struct("rare", "key", "n", "p0", "p1", "p2", "p3")).alias("pivot"), F.count("*").alias("sets")).where("sets > 1"), "join-pivots")
+    most = max(HOT_ROWS, (shared.agg(F.sum("sets")).first()[0] or 0) // HOT_KEYS)
+    hot = shared.where(F.col("sets") > most).select("signature")
+    buckets = scratch.settle(join_apart(held, shared.drop("sets"), "signature", hot), "join-buckets")
+    scratch.drop(held)
 
     def may_link(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
         """By sizes; and if they met by a pair, by what either has besides rare shingles, and by their profiles."""
@@ -300,9 +341,9 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
 
     near = may_link(F.col, lambda c: F.col(f"pivot.{c}"))
     met = buckets.where((F.col("key") != F.col("pivot.key")) & near).select(F.col("key").alias("a"), F.col("pivot.key").alias("b"), F.col("pivot.rare").alias("rb"))
-    stars = settle(met.distinct(), "join-stars")
-
-    wanted = spark.sparkContext.broadcast(key_filter(buckets.select("key").distinct(), "key"))
+    stars = scratch.settle(met.distinct(), "join-stars")
+    keys = scratch.settle(buckets.select("key").distinct(), "join-keys")
+    wanted = spark.sparkContext.broadcast(key_filter(keys, "key"))
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -316,33 +357,45 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
             yield pa.RecordBatch.from_arrays([pa.array(keys[which].view(np.int64)), pa.array([h[off[i] : off[i + 1]].tobytes() for i in which], pa.binary())], names=["key", "items"])
 
     sets = texts.mapInArrow(whole_sets, "key long, items binary").groupBy("key").agg(F.first("items").alias("items"))
-    sets = settle(sets.join(buckets.select("key").distinct(), "key", "left_semi"), "join-sets")
+    sets = scratch.settle(sets.join(keys.hint("merge"), "key", "left_semi"), "join-sets")
     wanted.destroy()
+    scratch.drop(keys)
 
     first = stars.groupBy("a").agg(F.min(F.struct("rb", "b"))["b"].alias("b"))
-    stars = stars.select("a", "b")
-    links = settle(verified(first, sets, least, parts), "join-links")
-    label = components(links)
-    rest = _labelled(stars.join(first, ["a", "b"], "left_anti"), label).where("ca <> cb").select("a", "b")
-    links = settle(links.unionByName(verified(rest, sets, least, parts)), "join-links")
-    label = components(links)
+    links = scratch.settle(verified(first, sets, least, parts), "join-links")
+    label = components(links, scratch)
+    rest = _labelled(stars.select("a", "b").join(first.hint("merge"), ["a", "b"], "left_anti"), label).where("ca <> cb").select("a", "b")
+    more = scratch.settle(links.unionByName(verified(rest, sets, least, parts)), "join-links")
+    scratch.drop(links, label)
+    links, label = more, components(more, scratch)
 
     # what is left: pairs of one bucket in different components; buckets of one component drop out first
-    marked = buckets.drop("pivot").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    marked = buckets.drop("pivot").join(label.select("key", "component").hint("merge"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    marked = scratch.settle(marked, "join-marked")
+    scratch.drop(buckets)
     mixed = marked.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
-    marked = settle(marked.join(mixed, "signature"), "join-mixed")
-    x, y = (marked.select("signature", *(F.col(c).alias(f"{c}_{side}") for c in marked.columns if c != "signature")) for side in "ab")
+    mixed = scratch.settle(join_apart(marked, mixed, "signature", hot), "join-mixed")
+    scratch.drop(marked)
+    # sets link only if their sizes' classes are neighbours, so a bucket falls into as many parts
+    band = F.floor(F.log("n") / F.lit(math.log(1.001 * parts / least)))
+    x, y = (mixed.select("signature", *(F.col(c).alias(f"{c}_{side}") for c in mixed.columns if c != "signature"), at.alias("band")) for side, at in (("a", band), ("b", F.explode(F.array(band - 1, band, band + 1)))))
     apart = (F.col("key_a") > F.col("key_b")) & (F.col("component_a") != F.col("component_b")) & may_link(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"))
-    cross = x.join(y, "signature").where(apart).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
-    cross = cross.join(stars, ["a", "b"], "left_anti")
-    more = settle(verified(cross, sets, least, parts), "join-links")
+    cross = x.join(y.hint("merge"), ["signature", "band"]).where(apart).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+    cross = cross.join(stars.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+    more = scratch.settle(verified(cross, sets, least, parts), "join-links")
+    scratch.drop(mixed, stars, sets, shared)
     if not more.isEmpty():
-        label = components(links.unionByName(more))
-
-    own = rows.join(label, "key", "left").select("id", "n", F.coalesce("component", "key").alias("set"))
-    own = settle(own, "join-sets-of-rows")
-    names = own.where("n > 0").groupBy("set").agg(F.min("id").alias("component"))
-    return own.join(names, "set", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
+        scratch.drop(label)
+        label = components(links.unionByName(more), scratch)
+    scratch.drop(links, more)
+
+    # copies of one text may be a large part of all rows
+    own = join_apart(rows, label.select("key", "component"), "key", hot_keys(rows, "key", count), "left")
+    own = scratch.settle(own.select("id", "n", F.coalesce("component", "key").alias("set")), "join-sets-of-rows")
+    scratch.drop(rows, label)
+    names = scratch.settle(own.where("n > 0").groupBy("set").agg(F.min("id").alias("component")), "join-names")
+    named = join_apart(own, names, "set", scratch.settle(hot_keys(own, "set", count), "join-hot"), "left")
+    return named.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that a numpy kernel works on at once; bounds a worker's memory whatever Arrow sends.
-SLICE_BYTES = 1_500_000
+SLICE_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +48,40 @@ def hadoop_delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Scratch:
+    """Tables that an operator writes while it works; each is deleted once what was made of it is settled too."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def settle(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = shared_folder(self.spark, purpose)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            hadoop_delete(self.spark, self.paths.pop(id(t))[0])
+
+
+#: Keys that a join treats apart at most, and rows that a key has at least to be one.
+HOT_KEYS, HOT_ROWS = 1000, 1000
+
+
+def hot_keys(rows: DataFrame, on: str, total: int) -> DataFrame:
+    """The keys that hold over 1/HOT_KEYS of all rows: fewer than HOT_KEYS, whatever the input."""
+    return rows.groupBy(on).agg(F.count("*").alias("_n")).where(F.col("_n") > max(HOT_ROWS, total // HOT_KEYS)).select(on)
+
+
+def join_apart(rows: DataFrame, other: DataFrame, on: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """`rows` with `other` (one row a key): rows of hot keys stay where they are and get theirs by broadcast, the rest shuffle."""
+    few = F.broadcast(other.join(F.broadcast(hot), on, "left_semi"))
+    stay = rows.join(F.broadcast(hot), on, "left_semi").join(few, on, how)
+    return rows.join(F.broadcast(hot), on, "left_anti").join(other.hint("merge"), on, how).unionByName(stay)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts hold about `most` bytes; one longer text stands alone."""
     import pyarrow.compute as pc
