@@ -5,10 +5,10 @@ ones, a table of bounded size, are encoded by Spark higher-order functions: a fo
 byte array merges, step after step, the neighbours of lowest rank, with ranks looked up in a
 literal map. That table is broadcast; texts are then split into words and their ids concatenated.
 A word outside the table is folded by the same rule where it stands, so the table's size changes
-no result. Decoding concatenates the ids' binary pieces.
+no result. Decoding concatenates the ids' binary pieces, again by higher-order functions.
 
-Null and empty texts have no ids and decode to no bytes. Repeated rows give equal values, further
-columns are ignored.
+Null and empty texts have no ids and decode to no bytes. Repeated rows give equal values; kept
+columns may have any names, those of the result come first.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import table, text_slices
+from riskloom.llm.storage import Scratch, carried, made, spread, table, text_slices
 
 #: Words that the broadcast table holds at most, and bytes of a word in it.
 TABLE_WORDS, TABLE_WORD_BYTES = 1 << 15, 64
@@ -40,7 +40,10 @@ KNOWN_WORDS = 300_000
 BUCKETS = 8192
 
 
-OUTPUTS = {"ids": "binary", "decoded": "binary", "ids_sha256": "string", "decoded_sha256": "string"}
+#: Ids that are decoded at once.
+PART_IDS = 1 << 16
+#: What encode_texts() can give.
+OUTPUTS = ("ids", "decoded", "ids_sha256", "decoded_sha256")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -148,10 +151,23 @@ def encode_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word")
     return words.withColumn("ids", fold_merges(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), rank_literal(ranks)))
 
 
+def _digits(ids: Column, shown: Column) -> Column:
+    return F.array_join(F.transform(ids, lambda i: F.element_at(shown, i.cast("int") + 1)), "")
+
+
 def decode_ids(ids: Column, pieces: list[bytes]) -> Column:
     """The bytes of an array of ids: their binary pieces, concatenated (as hexadecimal digits, joined once)."""
-    shown = F.from_json(F.lit(json.dumps([p.hex() for p in pieces])), "array<string>")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(shown, i.cast("int") + 1)), ""))
+    return F.unhex(_digits(ids, _shown(pieces)))
+
+
+def decode_parts(parts: Column, pieces: list[bytes]) -> Column:
+    """As decode_ids(), for ids in parts of bounded size: only a part's pieces stand apart at a time."""
+    shown = _shown(pieces)
+    return F.unhex(F.array_join(F.transform(parts, lambda p: _digits(p, shown)), ""))
+
+
+def _shown(pieces: list[bytes]) -> Column:
+    return F.from_json(F.lit(json.dumps([p.hex() for p in pieces])), "array<string>")
 
 
 # ---- the same rule for a word outside the table
@@ -223,12 +239,25 @@ def count_words(documents: DataFrame, rules: tuple[str, str], text: str = "text"
     return documents.select(F.col(text).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def at_least(counted: DataFrame, most: int) -> DataFrame:
+    """The words counted at least so often that no more than `most` words are; a histogram of the counts finds the border."""
+    step = F.floor(F.log2("n") * 64).cast("int")
+    held, border = 0, None
+    for r in counted.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).orderBy(F.desc("step")).collect():
+        held += r["words"]
+        if held > most:
+            break
+        border = r["least"]
+    return counted.limit(0) if border is None else counted.where(F.col("n") >= border)
+
+
 def frequent_words(documents: DataFrame, ranks: dict[bytes, int], rules: tuple[str, str], text: str = "text", most: int = TABLE_WORDS) -> dict[str, bytes]:
     """The most frequent words with their ids as little-endian unsigned 32-bit numbers."""
-    spark = documents.sparkSession
-    words = count_words(documents, rules, text).where(F.octet_length("word") <= TABLE_WORD_BYTES).orderBy(F.desc("n"), "word").limit(most).select("word")
-    parts = max(1, spark.sparkContext.defaultParallelism)
-    got = encode_words(words.repartition(2 * parts), ranks).toArrow()
+    scratch = Scratch(documents.sparkSession)
+    counted = scratch.settle(count_words(documents, rules, text).where(F.octet_length("word") <= TABLE_WORD_BYTES), "word-counts")
+    parts = max(1, documents.sparkSession.sparkContext.defaultParallelism)
+    got = encode_words(at_least(counted, most).select("word").repartition(2 * parts), ranks).toArrow()
+    scratch.drop(counted)
     ids = got.column("ids").combine_chunks()
     flat, at = ids.flatten().to_numpy().astype("<u4"), ids.offsets.to_numpy()
     return {w: flat[a:b].tobytes() for w, a, b in zip(got.column("word").to_pylist(), at[:-1], at[1:])}
@@ -239,18 +268,20 @@ def encode_texts(documents: DataFrame, ranks_path: str, pattern: str, keep: tupl
     spark = documents.sparkSession
     ranks, rules = load_ranks(ranks_path), word_rules(pattern)
     shared = spark.sparkContext.broadcast((ranks, rules, frequent_words(documents, ranks, rules, text, most)))
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for p, r in ranks.items():
+        pieces[r] = p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, rules, frequent = shared.value
         split = Splitter(rules)
-        pieces = [b""] * (max(ranks.values()) + 1)
-        for p, r in ranks.items():
-            pieces[r] = p
 
         class Rare(dict):
             def __missing__(self, word: str) -> bytes:
                 if (got := frequent.get(word)) is None:
                     got = np.array(fold_word(word.encode(), ranks), "<u4").tobytes()
+                    if len(word) > TABLE_WORD_BYTES:
+                        return got  # what is remembered is bounded in bytes
                     if len(self) >= KNOWN_WORDS:
                         self.clear()
                 self[word] = got
@@ -258,19 +289,23 @@ def encode_texts(documents: DataFrame, ranks_path: str, pattern: str, keep: tupl
 
         known = Rare()
         for whole in batches:
-            for b in text_slices(whole, "_text"):
-                ids = [b"".join(map(known.__getitem__, split(t.as_py()))) for t in b.column("_text")]
-                decoded = [b"".join(map(pieces.__getitem__, np.frombuffer(i, "<u4").tolist())) for i in ids]
-                names = [n for n in b.schema.names if n != "_text"]
-                columns = [*(b.column(n) for n in names), pa.array([len(i) // 4 for i in ids], pa.int64())]
-                for out in give:
-                    values = ids if out.startswith("ids") else decoded
-                    columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in values], pa.string()) if out.endswith("_sha256") else pa.array(values, pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_tokens", *give])
-
-    kept = documents.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return documents.select(*keep, F.col(text).alias("_text")).mapInArrow(run, ", ".join([schema, "n_tokens long", *(f"{out} {OUTPUTS[out]}" for out in give)]))
+            for b in text_slices(whole, "content"):
+                ids = [b"".join(map(known.__getitem__, split(t.as_py()))) for t in b.column("content")]
+                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                # parts of a bounded number of ids, text after text
+                counts = [len(i) // 4 for i in ids]
+                ends = np.cumsum([0, *counts])
+                edges = [np.arange(a, e, PART_IDS) for a, e in zip(ends[:-1], ends[1:])]
+                inner = pa.ListArray.from_arrays(pa.array(np.append(np.concatenate([np.zeros(0, np.int64), *edges]), ends[-1]), pa.int32()), flat)
+                outer = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, edges)]), pa.int32()), inner)
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()), outer], names=["row", "n_tokens", "ids", "ids_sha256", "parts"])
+
+    given = carried(documents, keep, text)
+    encoded = given.mapInArrow(run, made(given, "n_tokens long, ids binary, ids_sha256 string, parts array<array<int>>"))
+    outputs = {"ids": F.col("ids"), "ids_sha256": F.col("ids_sha256"), "decoded": F.col("decoded"), "decoded_sha256": F.sha2("decoded", 256)}
+    if any(x.startswith("decoded") for x in give):
+        encoded = encoded.withColumn("decoded", decode_parts(F.col("parts"), pieces))
+    return spread(encoded, keep, ("n_tokens", *(outputs[x].alias(x) for x in give)))
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ don't depend on the number of passes; a shingle of no item weighs most, as one o
 Only windows that hold a shingle of an item of their size are formed: all others have similarity 0.
 Items and texts with fewer than five words have one shingle, the whole; an item that short matches
 windows equal to it. Empty or null texts and items match nothing. A text shorter than an item is
-one window. Repeated texts give their rows each; repeated items (equal words) are each reported.
+one window. Repeated texts give their rows each; repeated items (equal words) are each reported, and so
+are items with a null id. Ids keep their type. Kept columns may have any names; those of the result come first.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, StructField, StructType
 
-from riskloom.llm.storage import settle, table, text_slices
+from riskloom.llm.storage import carried, made, settle, spread, table, text_slices
 from riskloom.llm.textkernel import BASE, BLANKS, PUNCTUATION, lower_table, mix, texts_of, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -71,7 +74,7 @@ def words_in(column: pa.Array):
 class Items:
     """The items of one pass, compiled with the item counts of the whole benchmark's shingles."""
 
-    ids: list[int] = field(default_factory=list)
+    ids: list = field(default_factory=list)
     size: list[int] = field(default_factory=list)
     shingles: list[Counter] = field(default_factory=list)
     #: Items with words in the whole benchmark; its shingles that several items hold, sorted, and how many hold each.
@@ -196,13 +199,13 @@ class Items:
         return [(self.ids[i], s, first, d) for i, (s, first, d) in sorted(best.items())]
 
 
-def compile_items(ids: list[int], texts: list[str | None], counts: tuple[int, np.ndarray, np.ndarray] | None = None) -> Items:
+def compile_items(ids: list, texts: list[str | None], counts: tuple[int, np.ndarray, np.ndarray] | None = None) -> Items:
     """Without `counts` of the whole benchmark, the items are the whole."""
     w = words_in(pa.array(texts, pa.string()))
     edges = np.searchsorted(w.doc, np.arange(len(ids) + 1))
     out = Items([], [], [])
     for i, a, b in zip(ids, edges[:-1], edges[1:]):
-        if b > a and i is not None:
+        if b > a:
             out.ids.append(i)
             out.size.append(int(b - a))
             out.shingles.append(Counter(ngrams(w.hash[a:b], min(SHINGLE, int(b - a))).tolist()))
@@ -214,7 +217,7 @@ def compile_items(ids: list[int], texts: list[str | None], counts: tuple[int, np
     return out
 
 
-def shingle_counts(benchmark: DataFrame, item: str, item_text: str) -> tuple[int, np.ndarray, np.ndarray]:
+def shingle_counts(benchmark: DataFrame, item_text: str) -> tuple[int, np.ndarray, np.ndarray]:
     """The number of items with words, the shingles that several items hold, sorted, and how many hold each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +228,7 @@ def shingle_counts(benchmark: DataFrame, item: str, item_text: str) -> tuple[int
                 each = [np.unique(ngrams(w.hash[x:y], min(SHINGLE, int(y - x)))) for x, y in zip(edges[:-1], edges[1:]) if y > x]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *each]).view(np.int64)), pa.array(np.concatenate([np.zeros(0, bool), *(np.arange(len(x)) == 0 for x in each)]))], names=["shingle", "first"])
 
-    found = benchmark.where(F.col(item).cast("long").isNotNull()).select(F.col(item_text).alias("text")).mapInArrow(run, "shingle long, first boolean")
+    found = benchmark.select(F.col(item_text).alias("text")).mapInArrow(run, "shingle long, first boolean")
     counted = settle(found.groupBy("shingle").agg(F.count("*").alias("n"), F.count_if("first").alias("items")), "shingle-counts")
     shared = counted.where("n > 1").select("shingle", "n").toArrow()
     shingles = shared.column("shingle").to_numpy().view(np.uint64)
@@ -237,7 +240,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, keep: tuple[str, ...]
     """The kept columns, item_id, similarity, first_word and distance: a row for each text and item found in it."""
     found = None
     for shared in item_passes(benchmark, item, item_text, item_bytes):
-        one = _scan(documents, shared, keep, text, clean=False)
+        one = _scan(documents, shared, keep, text, benchmark.schema[item].dataType)
         found = one if found is None else found.unionByName(one)
     return found
 
@@ -245,30 +248,31 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, keep: tuple[str, ...]
 def without_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
     """The rows of `documents`, all columns as they are, in whose text no item is found; no shuffle."""
     for shared in item_passes(benchmark, item, item_text, item_bytes):
-        documents = _scan(documents, shared, tuple(documents.columns), text, clean=True)
+        documents = _scan(documents, shared, tuple(documents.columns), text, None)
     return documents
 
 
 def item_passes(benchmark: DataFrame, item: str, item_text: str, item_bytes: int) -> Iterator:
     """Broadcasts of the benchmark, each of items of bounded size and the counts of shared shingles."""
-    counts = shingle_counts(benchmark, item, item_text)
+    counts = shingle_counts(benchmark, item_text)
     size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     passes = max(1, -(-size // item_bytes))
     for n in range(passes):
-        part = benchmark.where(F.pmod(F.xxhash64(item, item_text), F.lit(passes)) == n).select(F.col(item).cast("long"), item_text).orderBy(item).collect()
+        part = benchmark.where(F.pmod(F.xxhash64(item, item_text), F.lit(passes)) == n).select(item, item_text).orderBy(item, item_text).collect()
         yield benchmark.sparkSession.sparkContext.broadcast(([r[0] for r in part], [r[1] for r in part], counts))
 
 
-def _scan(documents: DataFrame, shared, keep: tuple[str, ...], text: str, clean: bool) -> DataFrame:
-    """The leaks of a pass, or the rows without any."""
+def _scan(documents: DataFrame, shared, keep: tuple[str, ...], text: str, kind: DataType | None) -> DataFrame:
+    """The leaks of a pass, with item ids of the given kind; without a kind, the rows that have no leak."""
+    id_type = None if kind is None else to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = compile_items(*shared.value)
         for whole in batches:
-            for b in text_slices(whole, "_text"):
+            for b in text_slices(whole, "content"):
                 rows = []
                 if items.ids:
-                    w = words_in(b.column("_text"))
+                    w = words_in(b.column("content"))
                     edges = np.searchsorted(w.doc, np.arange(b.num_rows + 1))
                     # texts without any item's shingle are passed over at once
                     suspect = np.zeros(b.num_rows, bool)
@@ -276,19 +280,20 @@ def _scan(documents: DataFrame, shared, keep: tuple[str, ...], text: str, clean:
                         suspect[w.doc[np.flatnonzero(items.weigh(ngrams(w.hash, k))[1])]] = True
                     for i in np.flatnonzero(suspect).tolist():
                         rows += [(i, *x) for x in items.leaks(w.hash[edges[i] : edges[i + 1]])]
-                names = [x for x in b.schema.names if x != "_text"]
-                if clean:
+                if id_type is None:
                     fine = np.ones(b.num_rows, bool)
                     fine[[r[0] for r in rows]] = False
-                    yield b.select(names).filter(pa.array(fine))
+                    yield b.select(["row"]).filter(pa.array(fine))
                     continue
                 which = pa.array([r[0] for r in rows], pa.int64())
-                kinds = [pa.int64(), pa.float64(), pa.int64(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([*(b.column(x).take(which) for x in names), *(pa.array([r[j + 1] for r in rows], k) for j, k in enumerate(kinds))], names=[*names, "item_id", "similarity", "first_word", "distance"])
-
-    kept = documents.select(*keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *([] if clean else ["item_id long, similarity double, first_word long, distance int"])])
-    return documents.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+                kinds = [id_type, pa.float64(), pa.int64(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([b.column("row").take(which), *(pa.array([r[j + 1] for r in rows], k) for j, k in enumerate(kinds))], names=["row", "item_id", "similarity", "first_word", "distance"])
+
+    given = carried(documents, keep, text)
+    if kind is None:
+        return spread(given.mapInArrow(run, made(given, "")), keep, ())
+    schema = StructType([given.schema["row"], StructField("item_id", kind), *StructType.fromDDL("similarity double, first_word long, distance int").fields])
+    return spread(given.mapInArrow(run, schema), keep, ("item_id", "similarity", "first_word", "distance"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Media columns: Netpbm and BMP decoded to numpy arrays, area-resized, tiled as NPY, hashed.
 
 Null bytes give null results; bytes that are no image of these formats give an error text in
-`problem` and nulls elsewhere. Repeated rows give equal values.
+`problem` and nulls elsewhere. Repeated rows give equal values; carried columns may have any names,
+but those of the result come first.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import settle, table, text_slices
+from riskloom.llm.storage import carried, made, settle, spread, table, text_slices
 
 #: Samples in a row of a payload image.
 WIDTH = 64
@@ -135,14 +136,14 @@ def media_columns(images: DataFrame, content: str = "content", key: str = "id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_slices(whole, "_content"):
-                rows = [described(data) for data in batch.column("_content").to_pylist()]
-                kept = [n for n in batch.schema.names if n != "_content"]
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(names.values()))], names=[*kept, *names])
-
-    kept = images.select(key, *carry)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return images.select(key, *carry, F.col(content).alias("_content")).mapInArrow(run, f"{schema}, height int, width int, channels int, tile binary, tile_sha256 string, dhash string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, problem string")
+            for batch in text_slices(whole, "content"):
+                rows = [described(data) for data in batch.column("content").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(names.values()))], names=["row", *names])
+
+    keep = (key, *carry)
+    given = carried(images, keep, content)
+    done = given.mapInArrow(run, made(given, "height int, width int, channels int, tile binary, tile_sha256 string, dhash string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, problem string"))
+    return spread(done, keep, tuple(names))
 
 
 def payload_images(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

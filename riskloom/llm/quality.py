@@ -7,7 +7,7 @@ MOST_LABELLED labelled rows, picked by a hash of their ids; scoring is a project
 
 Null and empty texts have statistics of 0 and are scored like others. Rows without a label, or with
 a null one, aren't learnt from; with one class only, or none, the score is the share of label 1
-(1/2 without labels). Repeated rows repeat; further columns are ignored.
+(1/2 without labels). Repeated rows repeat; kept columns may have any names.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import table, text_slices
+from riskloom.llm.storage import carried, made, spread, table, text_slices
 from riskloom.llm.textkernel import lower_table, texts_of, words_of
 
 #: Labelled rows that a fit uses at most.
@@ -95,18 +95,16 @@ def statistics_of(column: pa.Array) -> np.ndarray:
 
 
 def text_statistics(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The kept columns and one float column a statistic, for every row; no shuffle."""
+    """row (the kept columns as one) and one float column a statistic, for every row; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in text_slices(whole, "_text"):
-                s = statistics_of(b.column("_text"))
-                names = [n for n in b.schema.names if n != "_text"]
-                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), *(pa.array(s[:, i], pa.float32()) for i in range(s.shape[1]))], names=[*names, *(f"s_{x}" for x in STATISTICS)])
+            for b in text_slices(whole, "content"):
+                s = statistics_of(b.column("content"))
+                yield pa.RecordBatch.from_arrays([b.column("row"), *(pa.array(s[:, i], pa.float32()) for i in range(s.shape[1]))], names=["row", *(f"s_{x}" for x in STATISTICS)])
 
-    kept = documents.select(*keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *(f"s_{x} float" for x in STATISTICS)])
-    return documents.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    given = carried(documents, keep, text)
+    return given.mapInArrow(run, made(given, ", ".join(f"s_{x} float" for x in STATISTICS)))
 
 
 @dataclass(frozen=True)
@@ -229,9 +227,17 @@ def fit_rules(x: np.ndarray, y: np.ndarray) -> RuleModel:
 
 
 def labelled_sample(labels: DataFrame, label: str, apart: Column, key: str = "doc_id", most: int = MOST_LABELLED) -> DataFrame:
-    """key, y: at most `most` labelled rows outside the held-out part, picked by a hash of the key."""
+    """key, y: at most `most` labelled rows outside the held-out part, those of least hash of the key."""
     given = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~apart).groupBy(key).agg(F.max(label).cast("double").alias("y"))
-    return given.orderBy(F.xxhash64(key), key).limit(most)
+    return of_least_hash(given, key, most)
+
+
+def of_least_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """The `most` rows of least hash; a share of a fifth more is cut off first, so that tasks send about that many in all."""
+    count = rows.count()
+    share = min(1.0, (1.2 * most + 200) / max(1, count))
+    near = rows if share == 1 else rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(share * (1 << 40)))
+    return near.orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 40)), key).limit(most)
 
 
 def held_out_rows(key: str, folds: int, held: int) -> Column:
@@ -243,15 +249,15 @@ def fit_quality(documents: DataFrame, labels: DataFrame, key: str = "doc_id", la
     """The rule model of the labelled rows' texts; statistics are made for those rows only."""
     sample = labelled_sample(labels, label, held_out_rows(key, folds, held), key, most)
     given = documents.select(key, "text").join(F.broadcast(sample), key)
-    got = text_statistics(given, ("y",)).limit(2 * most).toPandas()
+    values = text_statistics(given, (key, "y")).select(F.col(f"row.{key}").alias("key"), F.struct("row.y", *(f"s_{x}" for x in STATISTICS)).alias("v"))
+    got = values.groupBy("key").agg(F.min("v").alias("v")).select("v.*").toPandas()  # one row a key, whatever repeats
     return fit_rules(got[[f"s_{x}" for x in STATISTICS]].to_numpy(np.float32), got["y"].to_numpy(np.float64))
 
 
 def score_quality(documents: DataFrame, model: RuleModel, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """The kept columns, score and predicted for every row; one pass, no shuffle."""
-    kept = documents.select(*keep, F.col(text).alias("_t"))
-    scored = text_statistics(kept, keep, "_t") if text not in keep else text_statistics(kept.drop("_t"), keep, text)
-    return scored.select(*keep, model.column().alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    scored = text_statistics(documents, keep, text).select("row", model.column().alias("score"))
+    return spread(scored, keep, ("score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text bytes that a numpy kernel works on at once; bounds a worker's memory whatever Arrow sends.
 SLICE_BYTES = 1_000_000
@@ -82,6 +83,22 @@ def join_apart(rows: DataFrame, other: DataFrame, on: str, hot: DataFrame, how:
     return rows.join(F.broadcast(hot), on, "left_anti").join(other.hint("merge"), on, how).unionByName(stay)
 
 
+def carried(rows: DataFrame, keep: tuple[str, ...], content: str) -> DataFrame:
+    """row (the kept columns as one) and content: what a kernel reads, whatever the columns' names."""
+    return rows.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(f"`{content}`").alias("content"))
+
+
+def made(given: DataFrame, columns: str) -> StructType:
+    """The schema of row and of the columns that a kernel adds."""
+    return StructType([given.schema["row"], *StructType.fromDDL(columns).fields]) if columns else StructType([given.schema["row"]])
+
+
+def spread(made_rows: DataFrame, keep: tuple[str, ...], columns: tuple[str | Column, ...]) -> DataFrame:
+    """The kept columns and the added ones; an added one takes the place of a kept one of its name."""
+    names = {made_rows.select(c).columns[0].lower() for c in columns}
+    return made_rows.select(*(F.col("row").getField(c).alias(c) for c in keep if c.lower() not in names), *columns)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts hold about `most` bytes; one longer text stands alone."""
     import pyarrow.compute as pc

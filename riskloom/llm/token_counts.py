@@ -33,6 +33,8 @@ from riskloom.llm.storage import table, text_slices
 CHUNK = 1 << 15
 #: Entries that the tables of pieces, words and states keep before they start afresh.
 MOST_PIECES, MOST_STATES = 400_000, 400_000
+#: Letters of a text that the tables keep at most: with their entries that bounds their bytes.
+KNOWN_LETTERS = 128
 #: Tokens above which a document counts as over the limit.
 LIMIT = 2048
 
@@ -163,6 +165,8 @@ class Known(dict):
     def __missing__(self, text: str) -> int:
         if (got := self.older.get(text)) is None:
             got = self.make(text)
+            if len(text) > KNOWN_LETTERS:
+                return got
         if len(self) >= MOST_PIECES:
             self.older = dict(self)
             self.clear()

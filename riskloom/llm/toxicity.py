@@ -10,7 +10,7 @@ sample's texts and scores every document.
 
 Null and empty texts have no units and get the classifier's base score. Without toxic labels in
 the sample there are no units, and every score is the share of label 1 (0 without labels). Repeated
-rows repeat; labels, languages, sources and ids never enter a score.
+rows repeat; kept columns may have any names; labels, languages, sources and ids never enter a score.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.quality import held_out_rows
-from riskloom.llm.storage import table, text_slices
+from riskloom.llm.quality import held_out_rows, of_least_hash
+from riskloom.llm.storage import carried, made, spread, table, text_slices
 
 #: Labelled rows of either class that mining and training use at most.
 MOST_LABELLED = 3000
@@ -216,7 +216,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", l
     """Units from the labelled sample, a label model of all documents' votes, a linear model of its posterior."""
     given = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out_rows(key, folds, held)).groupBy(key).agg(F.max(label).alias("y"))
     prior = float(given.agg(F.avg("y")).first()[0] or 0.0)
-    picked = [given.where(F.col("y") == y).orderBy(F.xxhash64(key), key).limit(most) for y in (1, 0)]
+    picked = [of_least_hash(given.where(F.col("y") == y), key, most) for y in (1, 0)]
     sample = picked[0].unionByName(picked[1])
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,8 +225,9 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", l
                 sets = [sorted(set(WORD.findall((t or "").lower()))) for t in b.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(sets, pa.list_(pa.string()))], names=["y", "words"])
 
-    texts = documents.select(key, "text").join(F.broadcast(sample), key).select(F.col("y").cast("int").alias("y"), "text")
-    got = texts.mapInArrow(words, "y int, words array<string>").limit(4 * most).toArrow()
+    # of rows that repeat an id the least text is learnt from
+    texts = documents.select(key, "text").join(F.broadcast(sample), key).groupBy(key).agg(F.max("y").cast("int").alias("y"), F.min("text").alias("text")).select("y", "text")
+    got = texts.mapInArrow(words, "y int, words array<string>").toArrow()
     y = np.array(got.column("y").to_pylist(), np.int64)
     pool: dict[str, str] = {}  # each distinct word once
     sets = [tuple([pool.setdefault(w, w) for w in words.as_py()]) for words in got.column("words")]
@@ -257,15 +258,13 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, keep: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(model.units)
         for whole in batches:
-            for b in text_slices(whole, "_text"):
-                scores = [model.score(finder.counts(t.as_py())) for t in b.column("_text")]
-                names = [n for n in b.schema.names if n != "_text"]
-                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(scores, pa.float64())], names=[*names, "score"])
-
-    kept = documents.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    out = documents.select(*keep, F.col(text).alias("_text")).mapInArrow(run, f"{schema}, score double")
-    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+            for b in text_slices(whole, "content"):
+                scores = [model.score(finder.counts(t.as_py())) for t in b.column("content")]
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(scores, pa.float64())], names=["row", "score"])
+
+    given = carried(documents, keep, text)
+    scored = given.mapInArrow(run, made(given, "score double"))
+    return spread(scored, keep, ("score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
 
 def _narrow(sets: list[tuple[str, ...]], units: list[Unit]) -> list[set[str]]:

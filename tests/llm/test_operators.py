@@ -134,7 +134,7 @@ def test_leaks_are_the_same_in_any_number_of_passes(spark):
     one, many = (sorted(map(tuple, decontaminate.find_leaks(documents(spark, texts), bench, item_bytes=n).collect())) for n in (1 << 20, 700))
     assert one == many and len(one) > 10
     whole = decontaminate.compile_items(list(range(24)), items)
-    n, held, counts = decontaminate.shingle_counts(bench, "item_id", "text")
+    n, held, counts = decontaminate.shingle_counts(bench, "text")
     assert n == 24 and held.tolist() == whole.shared.tolist() and counts.tolist() == whole.held_by.tolist() and len(held) >= 48
     grams = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (x.split() for x in items)]
     value = lambda g: np.log(1 + 24 / max(1, sum(g in x for x in grams)))
