@@ -2,12 +2,16 @@
 
 Hosts most of whose pages a rule allows are trusted seeds, hosts most of whose pages a rule blocks
 are distrusted ones. Trust follows links forwards (personalised PageRank from the trusted seeds),
-distrust follows them backwards (a host that links to distrusted ones earns distrust). A page that
-no rule fits is blocked if its host's distrust is above its trust. All of it runs as DataFrame
-operations; edges are summed to one row per pair of hosts before anything is joined.
+distrust follows them backwards (a host that links to distrusted ones earns distrust). Every seed
+starts with a mass of one, so a rank counts seeds, near ones more than far ones, and doesn't depend
+on how many seeds there are elsewhere. A page that no rule fits is blocked if its host's distrust is
+above its trust. Mass that reaches a host without links ends there; handing it back to the seeds
+would multiply all ranks of a walk by one number. All of it runs as DataFrame operations; edges are
+summed to one row per pair of hosts before anything is joined.
 
 A null url, or one without "://", has an empty host and path; no rule fits it and it is allowed.
-Null html has no links. Repeated rows repeat in the result.
+Null html has no links. Repeated rows repeat in the result; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import settle, table
+from riskloom.llm.storage import hot_keys, join_apart, settle, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Absolute and scheme-relative links.
@@ -78,7 +82,7 @@ def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> Data
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 12, settle_every: int = 4) -> DataFrame:
-    """Personalised PageRank of `edges` (src, dst, weight) from `seeds` (host, seed, summing to 1): host, rank."""
+    """Personalised PageRank of `edges` (src, dst, weight) from `seeds` (host, seed: the mass it starts with): host, rank."""
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     shares = settle(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")), "host-shares")
     rank = seeds.select("host", F.col("seed").alias("rank"))
@@ -92,24 +96,24 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
 
 
 def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "page_id", url: str = "url", html: str = "html", damping: float = 0.85, rounds: int = 12) -> DataFrame:
-    """key, host, path, rule, verdict, trust, distrust for every row of `pages`."""
-    given = pages.select(F.col(key).alias(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), F.col(html).alias("html"))
+    """key, host, path, rule, verdict for every row of `pages`."""
+    given = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), F.col(html).alias("html"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     ruled = given.withColumns({"rule": rule, "ruled": verdict})
     hosts = ruled.where(F.col("host") != "").groupBy("host").agg(F.count("*").alias("n"), F.count_if(F.col("ruled") == "allow").alias("allowed"), F.count_if(F.col("ruled") == "block").alias("blocked"))
-    seeds = settle(hosts.select("host", (2 * F.col("allowed") > F.col("n")).alias("good"), (2 * F.col("blocked") > F.col("n")).alias("bad")), "host-seeds")
+    seeds = settle(hosts.select("host", (2 * F.col("allowed") > F.col("n")).alias("good"), (2 * F.col("blocked") > F.col("n")).alias("bad"), "n"), "host-seeds")
     edges = settle(host_edges(ruled), "host-edges")
-    good, bad = seeds.agg(F.count_if("good"), F.count_if("bad")).first()
-    trust = seeds.where("good").select("host", F.lit(1.0 / max(1, good)).alias("seed"))
-    distrust = seeds.where("bad").select("host", F.lit(1.0 / max(1, bad)).alias("seed"))
+    trust, distrust = (seeds.where(side).select("host", F.lit(1.0).alias("seed")) for side in ("good", "bad"))
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     linked = not edges.isEmpty()
     ranks = [propagate(e, s, damping, rounds) if linked else s.select("host", F.col("seed").alias("rank")) for e, s in ((edges, trust), (back, distrust))]
     judged = ranks[0].select("host", F.col("rank").alias("trust")).join(ranks[1].select("host", F.col("rank").alias("distrust")), "host", "full_outer")
-    judged = settle(judged.select("host", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("trust", "distrust"))).where(F.col("distrust") > F.col("trust")), "host-verdicts")
-    found = ruled.drop("html").join(judged, "host", "left")
-    method = F.when(F.col("distrust").isNotNull(), "block").otherwise("allow")
-    return found.select(key, "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"))
+    judged = settle(judged.where(F.coalesce("distrust", F.lit(0.0)) > F.coalesce("trust", F.lit(0.0))).select("host", F.lit("block").alias("judged")), "host-verdicts")
+    # a host may have very many pages
+    named = ruled.drop("html")
+    hot = settle(hot_keys(named, "host", seeds.agg(F.sum("n")).first()[0] or 0), "hot-hosts")
+    found = join_apart(named, judged, "host", hot, "left")
+    return found.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce("ruled", "judged", F.lit("allow")).alias("verdict"))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,20 +1,25 @@
 """WARC: a deterministic sharded writer and a reader.
 
-Records are dealt to key ranges of fixed width (shards), sorted in each, and written by one task a
-shard as gzip members, one a record; a file is closed when its compressed size reaches a limit.
-Record headers, HTTP headers and digests are made anew from url and payload. A task writes under a
-temporary name and renames; only files that the manifest names, itself committed by Spark after
-all tasks, belong to the archive. Names and bytes depend on the rows alone, so a task that runs
-again replaces its files with equal ones.
+Records are range-sorted by key and payload digest. The sorted rows' keys, digests and sizes are
+counted first: a border stands wherever a task has passed so many payload bytes, so a range (shard)
+holds about that many, however the keys lie, and null keys are ranged by digest. Borders are
+bounded in number. Each shard is sorted and written by one task as gzip members, one a record; a
+file is closed when its compressed size reaches a limit. Record headers, HTTP headers and digests
+are made anew from url and payload. A task writes under a temporary name and renames; only files
+that the manifest names, itself committed by Spark after all tasks, belong to the archive, and what
+failed attempts left is deleted then. A shard's files depend on its rows alone, so a late attempt
+finds an equal file and leaves it.
 
 Of records with equal payloads of at least `least` bytes, the one with the largest key is the
-response and the others revisit it. Null html is an empty payload; a null key goes to a shard of
-its own and stays null; rows that repeat a key and payload each give a record of the same type.
+response and the others revisit it. Null html is an empty payload; a null key comes first and stays
+null; rows that repeat a key and payload each give a record of the same type. Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import re
 import zlib
@@ -25,16 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import settle, shared_folder, table, text_slices
+from riskloom.llm.storage import Scratch, hot_keys, join_apart, shared_folder, table, text_slices
 
-#: Compressed size at which a file is closed; raw payload that a shard should hold; shards at least.
-ROLL_BYTES, SHARD_BYTES, LEAST_SHARDS = 64 << 20, 64 << 20, 48
+#: Compressed size at which a file is closed; raw payload that a shard holds (several files); shards to aim at at least, and at most.
+ROLL_BYTES, SHARD_BYTES, LEAST_SHARDS, MOST_SHARDS = 8 << 20, 128 << 20, 48, 20_000
+#: What a record counts besides its payload when shards are cut.
+RECORD_BYTES = 500
 #: Payloads below this size are always responses.
 LEAST = 1000
 WARC_DATE = "2000-01-01T00:00:00Z"
 #: Rows in a batch that the reader returns.
 READ_ROWS = 500
 
+TEMPORARY = ".tmp-"
 MANIFEST = "file string, shard long, part int, records long, bytes long, sha256 string"
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
@@ -90,8 +98,8 @@ class _Roller:
 
     def add(self, member: bytes) -> None:
         if self.stream is None:
-            self.name = f"shard-{self.shard:012d}-{self.part:05d}.warc.gz" if self.shard >= 0 else f"shard-null-{self.part:05d}.warc.gz"
-            self.temporary = f"{self.root}/.{self.name}.{self.attempt}"
+            self.name = f"shard-{self.shard:06d}-{self.part:05d}.warc.gz"
+            self.temporary = f"{self.root}/{TEMPORARY}{self.name}.{self.attempt}"
             self.stream, self.records, self.bytes, self.hash = self.fs.open_output_stream(self.temporary, compression=None), 0, 0, hashlib.sha256()
         self.stream.write(member)
         self.records += 1
@@ -108,13 +116,37 @@ class _Roller:
         self.stream.close()
         self.stream = None
         final = f"{self.root}/{self.name}"
-        if self.fs.get_file_info(final).type != fs.FileType.NotFound:
-            self.fs.delete_file(final)
-        self.fs.move(self.temporary, final)
+        if self.fs.get_file_info(final).type == fs.FileType.NotFound:
+            self.fs.move(self.temporary, final)
+        else:  # renamed whole by another attempt, from the same rows
+            self.fs.delete_file(self.temporary)
         self.rows.append((self.name, self.shard, self.part, self.records, self.bytes, self.hash.hexdigest()))
         self.part += 1
 
 
+def range_borders(marks: DataFrame, shard_bytes: int) -> list[tuple[bool, int, str]]:
+    """Sorted (key is there, key, digest) where shards begin, but for the first; from k, digest, n of all rows."""
+    total, rows = marks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    # a record counts with its headers, so that empty payloads fill shards too
+    whole = total + RECORD_BYTES * rows
+    step = max(1, min(shard_bytes, whole // LEAST_SHARDS), whole // MOST_SHARDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
+        for b in batches:
+            at = []
+            for i, n in enumerate(b.column("n").to_pylist()):
+                held += n + RECORD_BYTES
+                if held >= step:
+                    at.append(i)
+                    held = 0
+            yield b.select(["k", "digest"]).take(pa.array(at, pa.int64()))
+
+    order = [F.col("k").asc_nulls_first(), F.col("digest")]
+    found = marks.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "k long, digest string").collect()
+    return sorted({(r["k"] is not None, r["k"] or 0, r["digest"]) for r in found})
+
+
 def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write one record a row below `folder` (a URI that all executors reach); returns the manifest.
 
@@ -122,32 +154,42 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     record becomes is settled beforehand on keys and digests alone, and joins the stream there.
     """
     spark = pages.sparkSession
+    scratch = Scratch(spark)
     payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(key).cast("long").alias("k"), F.col(url).alias("url"), payload.alias("payload")).select("k", "url", "payload", F.sha1("payload").alias("digest"))
-    marks = settle(rows.select("k", "digest", F.octet_length("payload").cast("long").alias("n")), "warc-marks")
-    low, high, total, nulls = marks.agg(F.min("k"), F.max("k"), F.sum("n"), F.count_if(F.col("k").isNull())).first()
-    shards = max(LEAST_SHARDS, (total or 0) // shard_bytes)
-    low = low or 0
-    width = max(1, -(-((high or 0) - low + 1) // shards))
-    shard = F.coalesce(F.floor((F.col("k") - low) / F.lit(width)), F.lit(-1)).cast("long")
+    marks = scratch.settle(rows.select("k", "digest", F.octet_length("payload").cast("long").alias("n")), "warc-marks")
+    borders = spark.sparkContext.broadcast(range_borders(marks, shard_bytes))
     shared = marks.where(F.col("n") >= least).groupBy("digest").agg(F.max("k").alias("holder"), F.count("*").alias("copies")).where("copies > 1").select("digest", "holder")
-    revisits = marks.where(F.col("n") >= least).join(shared, "digest").where(F.col("k") != F.col("holder")).groupBy("k", "digest").agg(F.first("holder").alias("holder"))
+    shared = scratch.settle(shared, "warc-shared")
+    # a payload that very many pages share would be one task of the join
+    large = marks.where(F.col("n") >= least).select("k", "digest")
+    hot = scratch.settle(hot_keys(large, "digest", large.count()), "warc-hot")
+    revisits = join_apart(large, shared, "digest", hot).where(F.col("k") != F.col("holder")).distinct()
+
+    def shard_of(keys: pa.Array, digests: pa.Array) -> pa.Array:
+        edges = borders.value
+        return pa.array([bisect.bisect_right(edges, (k is not None, k or 0, d)) for k, d in zip(keys.to_pylist(), digests.to_pylist())], pa.int64())
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([shard_of(b.column("k"), b.column("digest")), *b.columns], names=["shard", *b.schema.names])
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole, "payload"):
                 given = [b.column(c).to_pylist() for c in ("k", "url", "payload", "digest")]
                 members = [gzip_member(warc_record(k, u, p, len(p), d)) for k, u, p, d in zip(*given)]
-                yield pa.RecordBatch.from_arrays([b.column("k"), b.column("url"), b.column("digest"), pa.array([len(p) for p in given[2]], pa.int64()), pa.array(members, pa.binary())], names=["k", "url", "digest", "n", "member"])
+                yield pa.RecordBatch.from_arrays([shard_of(b.column("k"), b.column("digest")), b.column("k"), b.column("url"), b.column("digest"), pa.array([len(p) for p in given[2]], pa.int64()), pa.array(members, pa.binary())], names=["shard", "k", "url", "digest", "n", "member"])
 
-    records = rows.mapInArrow(compress, "k long, url string, digest string, n long, member binary").withColumn("holder", F.lit(None).cast("long"))
-    verdicts = revisits.select("k", F.lit(None).cast("string").alias("url"), "digest", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("member"), "holder")
-    sorted_rows = records.unionByName(verdicts).withColumn("shard", shard).repartition("shard").sortWithinPartitions("shard", "k", "digest", F.col("holder").desc_nulls_last(), "url")
+    records = rows.mapInArrow(compress, "shard long, k long, url string, digest string, n long, member binary").withColumn("holder", F.lit(None).cast("long"))
+    placed = revisits.select("k", "digest", "holder").mapInArrow(place, "shard long, k long, digest string, holder long")
+    verdicts = placed.select("shard", "k", F.lit(None).cast("string").alias("url"), "digest", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("member"), "holder")
+    sorted_rows = records.unionByName(verdicts).repartition("shard").sortWithinPartitions("shard", "k", "digest", F.col("holder").desc_nulls_last(), "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        attempt = f"tmp-{TaskContext.get().taskAttemptId()}"
+        attempt = str(TaskContext.get().taskAttemptId())
         roller, holder_of = None, (None, None, None)
         done = []
         for b in batches:
@@ -169,9 +211,15 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
         kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], t) for i, t in enumerate(kinds)], names=["file", "shard", "part", "records", "bytes", "sha256"])
 
+    from pyarrow.fs import FileSelector
+
     fs, root = _file_system(folder)
     fs.create_dir(root, recursive=True)
     sorted_rows.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/_manifest")
+    scratch.drop(marks, shared, hot)
+    for left in fs.get_file_info(FileSelector(root)):
+        if left.base_name.startswith(TEMPORARY):
+            fs.delete_file(left.path)
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
 
 

@@ -1,8 +1,10 @@
 """Each operator against a brute-force version, with nulls, empty and long texts, ties, repeated rows and empty tables."""
 
+import gzip
 import hashlib
 import io
 import itertools
+import os
 import random
 import re
 
@@ -177,6 +179,22 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.write_warc(pages.limit(0), f"file://{tmp_path}/none").count() == 0
 
 
+def test_warc_ranges_hold_about_the_same_bytes(spark, tmp_path):
+    """One far key, a hot range and null keys spread over shards; no shard holds more than its share and one record."""
+    rows = [(i, "u", "x" * 3000 + str(i)) for i in range(300)] + [(9 * 10**18, "far", "f")] + [(10**6 + i, "hot", "y") for i in range(200)] + [(None, "n", "z" * 2000 + str(i)) for i in range(100)]
+    pages = table(spark, rows, "page_id long, url string, html string")
+    shard = 40_000
+    manifest = warc.write_warc(pages, f"file://{tmp_path}/r", roll_bytes=1 << 30, shard_bytes=shard).collect()
+    assert sum(m["records"] for m in manifest) == len(rows) and len(manifest) >= 25
+    payload = {}
+    for m in manifest:
+        raw = gzip.open(f"{tmp_path}/r/{m['file']}").read()
+        payload[m["shard"]] = payload.get(m["shard"], 0) + len(raw)
+    assert max(payload.values()) < 2.5 * shard
+    assert sorted(-1 if r["page_id"] is None else r["page_id"] for r in warc.read_warc(spark, f"file://{tmp_path}/r").collect()) == sorted(-1 if i is None else i for i, *_ in rows)
+    assert [f for f in os.listdir(f"{tmp_path}/r") if f.startswith(".tmp")] == []
+
+
 PAGE = """<html><head><title>t</title><style>p{}</style></head><body><nav><a href=/>Home</a></nav><div class="cookie-notice">We use cookies, ok?</div>
 <aside>Side text, that is long enough to look like content.</aside><div id=main><h1>Head &amp; line</h1><p>First   paragraph, with <b>bold</b> words.<p>Second&nbsp;one; it goes on, and on.</p><!-- no -->
 <div class="ad">Buy now, buy now, buy now.</div><p>Third, the last one.</p></div><div class="comments"><p>Reader said, long and winding words.</p></div><form><p>Name</p></form><footer>(c) x</footer><script>var a = "<p>no</p>";</script></body></html>"""
@@ -234,6 +252,106 @@ def test_html_marked_name_only_lowers_the_score():
     assert long.strip() in html_extract.main_text(f"<body><div>{main * 50}</div><div class=notice><p>{long}</p></div></body>")
 
 
+def test_html_class_words_that_say_something_else():
+    text = paragraphs("Part", 6)
+    body = f"<p>{text[0]}</p><h2 class='related-work'>Related work</h2><p class=notice-board>{text[1]}</p><div class=social-history><p>{text[2]}</p></div>" + "".join(f"<p>{x}</p>" for x in text[3:])
+    page = f"<body><article>{body}<div class='cookie-notice box-2'>We use cookies, ok?</div><div id=sidebar_left>Side.</div></article></body>"
+    assert html_extract.main_text(page) == "\n".join([text[0], "Related work", *text[1:]])
+
+
+@pytest.mark.parametrize("part", ["<div>x", "<p><pre>x", '<script "', "<a ", "<a \"'>", "<nav class=ad>x", "</b></x></p>", "<ul><li>x", "<", "<!-", "<select><option>", "<section><p>", "&amp", "<a href='"])
+def test_html_hostile_pages_take_linear_time(part):
+    """A page of about a megabyte takes seconds at most (quadratic work would take hours), and twice the page about twice the time."""
+    import time
+
+    took = []
+    for size in (500_000, 1_000_000):
+        began = time.perf_counter()
+        html_extract.main_text("<body><p>Text, that stays.</p>" + part * (size // len(part)))
+        took.append(time.perf_counter() - began)
+    assert took[1] < 15 and took[1] < 4 * took[0] + 1
+
+
+def simple_text(page):
+    """The extraction's rules once more, over the tree of a well-formed page, by definition: sums over whole paths and subtrees."""
+    from html.parser import HTMLParser
+
+    blocks, stack, chunks = [], [], []
+
+    def flush():
+        if t := " ".join("".join(chunks).split()):
+            blocks.append(([*stack], t, sum(len(c) for c in chunks if isinstance(c, Linked))))
+        chunks.clear()
+
+    class Linked(str):
+        pass
+
+    class Reader(HTMLParser):
+        inside = False
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("a", "b"):
+                self.inside |= tag == "a"
+                return
+            flush()
+            stack.append((len(blocks), tag, dict(attrs).get("class", ""), object()))
+
+        def handle_endtag(self, tag):
+            if tag in ("a", "b"):
+                self.inside &= tag != "a"
+                return
+            flush()
+            stack.pop()
+
+        def handle_data(self, data):
+            chunks.append(Linked(data) if self.inside else data)
+
+    Reader().feed(page)
+    path = lambda b: tuple((t, c) for _, t, c, _ in b[0])
+    marks = ".,;:!?"
+
+    def fused(left):
+        score = {}
+        for p in map(path, blocks):
+            own = [b for b in blocks if path(b) == p]
+            length = sum(len(b[1]) for b in own)
+            score[p] = length / len(own) * np.log1p(1 + sum(b[1].count(m) for b in own for m in marks) / len(own)) * max(0, 1 - sum(min(b[2], len(b[1])) for b in own) / length)
+        own = [score[path(b)] * w for b, w in zip(blocks, left)]
+        kernel = {d: np.exp(-d * d / 2) for d in range(-3, 4)}
+        return [np.sqrt(o * sum(k * own[i + d] for d, k in kernel.items() if 0 <= i + d < len(own)) / sum(kernel.values())) for i, o in enumerate(own)]
+
+    left = [0.0 if any(t in ("nav", "aside", "footer") for _, t, _, _ in b[0]) else 0.01 if any(c == "comments" for *_, c, _ in b[0]) else 1.0 for b in blocks]
+    values = fused(left)
+    cut = 0.5 * np.mean([v for v, w in zip(values, left) if w == 1])
+    good = [w > 0 and v >= cut for v, w in zip(values, left)]
+    held = [b for b, g, w in zip(blocks, good, left) if g or w == 1 and any(t == "h1" for _, t, _, _ in b[0])]
+    at = []
+    for level in zip(*(b[0] for b in held)):
+        if len({x[3] for x in level}) > 1 or level[0][1] not in ("html", "body", "div", "main", "article", "section"):
+            break
+        at.append(level[0][3])
+        if level[0][1] == "article":
+            break
+    return "\n".join(b[1] for b, g, w in zip(blocks, good, left) if (g or w == 1) and [x[3] for x in b[0]][: len(at)] == at)
+
+
+def test_html_equals_simple_version():
+    rnd = random.Random(9)
+    words = "alpha beta, gamma delta; epsilon. zeta eta! theta iota".split()
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    seen = set()
+    for _ in range(60):
+        main = "".join(f"<{t}>{text(rnd.randint(1, 40))}<b>{text(3)}</b> {text(2)}</{t}>" for t in rnd.choices(["p", "h2", "li", "div"], k=rnd.randint(4, 12)))
+        links = "".join(f"<li><a>{text(2)}</a></li>" for _ in range(rnd.randint(1, 6)))
+        asides = "".join(f"<p>{text(rnd.randint(1, 12))}</p>" for _ in range(rnd.randint(0, 3)))
+        box = rnd.choice(["article", "div", "section", "main"])
+        page = f"<body><nav>{links}</nav><div><h1>{text(4)}</h1><{box}>{main}</{box}><p>{text(rnd.randint(1, 30))}</p></div><div class='comments'>{asides}</div><aside>{text(9)}</aside><footer>{text(5)}</footer></body>"
+        want = simple_text(page)
+        assert html_extract.main_text(page) == want
+        seen.add(want)
+    assert len(seen) == 60
+
+
 def test_url_rules(spark):
     urls = ["http://www.Example.com/en/a?x", "https://sub.example.com/en/", "http://example.com/fr/x#y", "http://foo.net/es/1", "http://foo.net/de/", "nonsense", None, "http://bar.org", "http://WWW.example.com"]
     rows = [(i, u, None) for i, u in enumerate(urls)]
@@ -251,6 +369,39 @@ def test_distrust_flows_backwards(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow"}
 
 
+def test_ranks_equal_power_iteration(spark):
+    """PageRank from the seeds against the closed form, on a random graph with hosts without links."""
+    rng = np.random.default_rng(6)
+    n = 12
+    weight = rng.integers(0, 3, (n, n)) * (rng.random((n, n)) < 0.3)
+    np.fill_diagonal(weight, 0)
+    edges = [(f"h{i}", f"h{j}", float(weight[i, j])) for i in range(n) for j in range(n) if weight[i, j]]
+    seeds = np.array([1.0 if i in (0, 3, 7) else 0.0 for i in range(n)])
+    share = weight / np.maximum(weight.sum(axis=1, keepdims=True), 1)
+    want = 0.15 * seeds @ np.linalg.inv(np.eye(n) - 0.85 * share)
+    got = url_filter.propagate(table(spark, edges, "src string, dst string, weight double"), table(spark, [(f"h{i}", 1.0) for i in (0, 3, 7)], "host string, seed double"), rounds=60, settle_every=6)
+    found = {r["host"]: r["rank"] for r in got.collect()}
+    assert all(abs(found.get(f"h{i}", 0.0) - want[i]) < 1e-3 for i in range(n))
+
+
+def test_verdicts_equal_simple_version(spark):
+    """Hosts that rules don't fit, by trust and distrust in numpy; three trusted hosts outweigh one blocked one among fifty."""
+    link = lambda *hosts: "".join(f'<a href="http://{h}/x">l</a>' for h in hosts)
+    good = [f"g{i}.com" for i in range(50)]
+    pages = {**{h: [] for h in good}, "bad.net": [], "mixed.org": ["bad.net"], "linker.org": ["bad.net", "other.org"], "other.org": [], "far.org": ["linker.org"]}
+    for h in good[:3]:
+        pages[h] = ["mixed.org"]
+    rows = [(i, f"http://{h}/{'es/' if h == 'bad.net' else 'a'}", link(*to)) for i, (h, to) in enumerate(pages.items())]
+    got = {r["host"]: r["verdict"] for r in url_filter.judge_urls(table(spark, rows, "page_id long, url string, html string")).collect()}
+    names = list(pages)
+    m = np.array([[pages[a].count(b) for b in names] for a in names], float)
+    rank = lambda w, seeds: 0.15 * seeds @ np.linalg.inv(np.eye(len(names)) - 0.85 * w / np.maximum(w.sum(axis=1, keepdims=True), 1))
+    trust, distrust = rank(m, np.array([h in good for h in names], float)), rank(m.T, np.array([h == "bad.net" for h in names], float))
+    want = {h: "allow" if h in good else "block" if h == "bad.net" or distrust[i] > trust[i] else "allow" for i, h in enumerate(names)}
+    assert got == want and want["mixed.org"] == "allow" and want["linker.org"] == want["far.org"] == "block"
+    assert url_filter.judge_urls(table(spark, [], "page_id long, url string, html string")).count() == 0
+
+
 def test_media(spark):
     rng = np.random.default_rng(2)
     image = rng.integers(0, 256, (37, 23), np.uint8)
