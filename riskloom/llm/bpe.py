@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import Scratch, carried, made, spread, table, text_slices
+from riskloom.llm.storage import Scratch, carried, made, release, spread, table, text_slices
 
 #: Words that the broadcast table holds at most, and bytes of a word in it.
 TABLE_WORDS, TABLE_WORD_BYTES = 1 << 15, 64
@@ -258,6 +258,7 @@ def frequent_words(documents: DataFrame, ranks: dict[bytes, int], rules: tuple[s
     parts = max(1, documents.sparkSession.sparkContext.defaultParallelism)
     got = encode_words(at_least(counted, most).select("word").repartition(2 * parts), ranks).toArrow()
     scratch.drop(counted)
+    release(documents.sparkSession)
     ids = got.column("ids").combine_chunks()
     flat, at = ids.flatten().to_numpy().astype("<u4"), ids.offsets.to_numpy()
     return {w: flat[a:b].tobytes() for w, a, b in zip(got.column("word").to_pylist(), at[:-1], at[1:])}

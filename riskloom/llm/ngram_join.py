@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.storage import HOT_KEYS, HOT_ROWS, Scratch, hot_keys, join_apart, table, text_slices
+from riskloom.llm.storage import HOT_KEYS, HOT_ROWS, Scratch, hot_keys, join_apart, release, table, text_slices
 from riskloom.llm.textkernel import lower_table, mix, sets_of, shingles, texts_of, words_of
 
 #: A shingle of more sets than this is frequent.
@@ -329,6 +329,7 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
     hot = shared.where(F.col("sets") > most).select("signature")
     buckets = scratch.settle(join_apart(held, shared.drop("sets"), "signature", hot), "join-buckets")
     scratch.drop(held)
+    release(spark)
 
     def may_link(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
         """By sizes; and if they met by a pair, by what either has besides rare shingles, and by their profiles."""
@@ -360,6 +361,7 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
     sets = scratch.settle(sets.join(keys.hint("merge"), "key", "left_semi"), "join-sets")
     wanted.destroy()
     scratch.drop(keys)
+    release(spark)
 
     first = stars.groupBy("a").agg(F.min(F.struct("rb", "b"))["b"].alias("b"))
     links = scratch.settle(verified(first, sets, least, parts), "join-links")
@@ -376,6 +378,7 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
     mixed = marked.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
     mixed = scratch.settle(join_apart(marked, mixed, "signature", hot), "join-mixed")
     scratch.drop(marked)
+    release(spark)
     # sets link only if their sizes' classes are neighbours, so a bucket falls into as many parts
     band = F.floor(F.log("n") / F.lit(math.log(1.001 * parts / least)))
     x, y = (mixed.select("signature", *(F.col(c).alias(f"{c}_{side}") for c in mixed.columns if c != "signature"), at.alias("band")) for side, at in (("a", band), ("b", F.explode(F.array(band - 1, band, band + 1)))))
@@ -393,6 +396,7 @@ def jaccard_components(documents: DataFrame, k: int = 4, least: int = 85, parts:
     own = join_apart(rows, label.select("key", "component"), "key", hot_keys(rows, "key", count), "left")
     own = scratch.settle(own.select("id", "n", F.coalesce("component", "key").alias("set")), "join-sets-of-rows")
     scratch.drop(rows, label)
+    release(spark)
     names = scratch.settle(own.where("n > 0").groupBy("set").agg(F.min("id").alias("component")), "join-names")
     named = join_apart(own, names, "set", scratch.settle(hot_keys(own, "set", count), "join-hot"), "left")
     return named.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))

@@ -49,6 +49,11 @@ def hadoop_delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Spark deletes shuffle files and broadcasts once the driver's JVM has collected what stood for them; ask for that now."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 class Scratch:
     """Tables that an operator writes while it works; each is deleted once what was made of it is settled too."""
 
