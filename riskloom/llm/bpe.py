@@ -107,13 +107,18 @@ def as_text(raw: bytes) -> str:
     return raw.decode("latin-1")
 
 
-def rank_literal(ranks: dict[bytes, int], buckets: int = BUCKETS) -> Column:
-    """The rank map as a literal: an array of small maps by the CRC of the key."""
+def one_value(spark: SparkSession, value: object, kind: str) -> DataFrame:
+    """A table of one row: as a scalar subquery its value is a literal to each task, and plans stay short."""
+    return spark.createDataFrame([(json.dumps(value),)], "value string").select(F.from_json("value", kind).alias("value"))
+
+
+def rank_map(spark: SparkSession, ranks: dict[bytes, int], buckets: int = BUCKETS) -> DataFrame:
+    """The rank map as one value: an array of small maps by the CRC of the key."""
     maps: list[dict[str, int]] = [{} for _ in range(buckets)]
     for piece, rank in ranks.items():
         key = as_text(piece)
         maps[zlib.crc32(key.encode()) % buckets][key] = rank
-    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
+    return one_value(spark, maps, "array<map<string,int>>")
 
 
 def rank_of(piece: Column, literal: Column, buckets: int = BUCKETS) -> Column:
@@ -121,53 +126,49 @@ def rank_of(piece: Column, literal: Column, buckets: int = BUCKETS) -> Column:
     return F.try_element_at(F.element_at(literal, (F.crc32(piece.cast("binary")) % buckets + 1).cast("int")), piece)
 
 
-def fold_merges(word: Column, literal: Column) -> Column:
-    """The ids of a word given as a string of one character a byte, by ranked merges."""
+def fold_merges(word: Column, literal: Column, byte_ids: list[int]) -> Column:
+    """The ids of a word given as a string of one character a byte, by ranked merges; a merged pair's id is its rank.
+
+    The rank map stands in one place only, so that the optimizer puts the subquery there and no row carries it.
+    """
 
-    def merge(state: Column, _: Column) -> Column:
+    def merge(state: Column) -> Column:
         parts = state["parts"]
         joined = F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts) - 1), lambda a, b: F.concat(a, b))
         ranks = F.transform(joined, lambda p: F.coalesce(rank_of(p, literal), F.lit(1 << 30)))
-        return F.struct(parts.alias("parts"), joined.alias("joined"), ranks.alias("ranks"), F.lit(False).alias("done"))
+        return F.struct(parts.alias("parts"), state["ids"].alias("ids"), joined.alias("joined"), ranks.alias("ranks"))
 
     def take(state: Column) -> Column:
-        at = F.array_position(state["ranks"], F.array_min(state["ranks"])).cast("int")
-        merged = F.concat(F.slice(state["parts"], F.lit(1), at - 1), F.array(F.element_at(state["joined"], at)), F.slice(state["parts"], at + 2, F.size(state["parts"])))
-        none = F.array_min(state["ranks"]) == 1 << 30
-        return F.struct(F.when(none, state["parts"]).otherwise(merged).alias("parts"), (none | (F.size(state["parts"]) <= 2)).alias("done"))
-
-    def step(state: Column, n: Column) -> Column:
+        low = F.array_min(state["ranks"])
+        at = F.array_position(state["ranks"], low).cast("int")
+        put = lambda whole, one: F.concat(F.slice(whole, F.lit(1), at - 1), F.array(one), F.slice(whole, at + 2, F.size(whole)))
+        none = low == 1 << 30
+        parts = F.when(none, state["parts"]).otherwise(put(state["parts"], F.element_at(state["joined"], at)))
+        ids = F.when(none, state["ids"]).otherwise(put(state["ids"], low))
+        return F.struct(parts.alias("parts"), ids.alias("ids"), (none | (F.size(state["parts"]) <= 2)).alias("done"))
+
+    def step(state: Column, _: Column) -> Column:
         # one element, so that ranks are computed once and then used several times
-        onward = F.element_at(F.transform(F.array(merge(state, n)), take), 1)
-        return F.when(state["done"], state).otherwise(onward)
+        return F.when(state["done"], state).otherwise(F.element_at(F.transform(F.array(merge(state)), take), 1))
 
     letters = F.filter(F.split(word, ""), lambda c: c != "")
-    start = F.struct(letters.alias("parts"), (F.size(letters) < 2).alias("done"))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), start, step, lambda s: F.transform(s["parts"], lambda p: rank_of(p, literal)))
+    own = F.array(*(F.lit(i) for i in byte_ids))
+    start = F.struct(letters.alias("parts"), F.transform(letters, lambda c: F.element_at(own, F.ascii(c) + 1)).alias("ids"), (F.size(letters) < 2).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), start, step, lambda s: s["ids"])
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
-    """Adds `ids` to a table of distinct words, by higher-order functions alone."""
-    return words.withColumn("ids", fold_merges(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), rank_literal(ranks)))
-
-
-def _digits(ids: Column, shown: Column) -> Column:
-    return F.array_join(F.transform(ids, lambda i: F.element_at(shown, i.cast("int") + 1)), "")
-
-
-def decode_ids(ids: Column, pieces: list[bytes]) -> Column:
-    """The bytes of an array of ids: their binary pieces, concatenated (as hexadecimal digits, joined once)."""
-    return F.unhex(_digits(ids, _shown(pieces)))
-
-
-def decode_parts(parts: Column, pieces: list[bytes]) -> Column:
-    """As decode_ids(), for ids in parts of bounded size: only a part's pieces stand apart at a time."""
-    shown = _shown(pieces)
-    return F.unhex(F.array_join(F.transform(parts, lambda p: _digits(p, shown)), ""))
+    """word, ids for a table of distinct words, by higher-order functions alone."""
+    given = words.select(F.col(word).alias("word"), rank_map(words.sparkSession, ranks).scalar().alias("ranks"))
+    raw = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
+    return given.select(F.col("word").alias(word), fold_merges(raw, F.col("ranks"), [ranks[bytes([b])] for b in range(256)]).alias("ids"))
 
 
-def _shown(pieces: list[bytes]) -> Column:
-    return F.from_json(F.lit(json.dumps([p.hex() for p in pieces])), "array<string>")
+def decode_parts(given: DataFrame, parts: str, pieces: list[bytes]) -> DataFrame:
+    """Adds `decoded`, the bytes of ids in parts of bounded size: their binary pieces, concatenated (as hexadecimal digits, joined part by part)."""
+    shown = one_value(given.sparkSession, [p.hex() for p in pieces], "array<string>").scalar()
+    digits = lambda ids: F.array_join(F.transform(ids, lambda i: F.element_at("shown", i.cast("int") + 1)), "")
+    return given.select("*", shown.alias("shown")).select(*given.columns, F.unhex(F.array_join(F.transform(parts, digits), "")).alias("decoded"))
 
 
 # ---- the same rule for a word outside the table
@@ -305,7 +306,7 @@ def encode_texts(documents: DataFrame, ranks_path: str, pattern: str, keep: tupl
     encoded = given.mapInArrow(run, made(given, "n_tokens long, ids binary, ids_sha256 string, parts array<array<int>>"))
     outputs = {"ids": F.col("ids"), "ids_sha256": F.col("ids_sha256"), "decoded": F.col("decoded"), "decoded_sha256": F.sha2("decoded", 256)}
     if any(x.startswith("decoded") for x in give):
-        encoded = encoded.withColumn("decoded", decode_parts(F.col("parts"), pieces))
+        encoded = decode_parts(encoded, "parts", pieces)
     return spread(encoded, keep, ("n_tokens", *(outputs[x].alias(x) for x in give)))
 
 

@@ -45,8 +45,8 @@ def test_bpe_equals_library(spark):
 
 def test_bpe_decode_column(spark):
     pieces = [bytes([i]) for i in range(256)]
-    got = table(spark, [([104, 105, 255],), ([],)], "ids array<int>").select(bpe.decode_ids(F.col("ids"), pieces).alias("b")).collect()
-    assert [bytes(r["b"]) for r in got] == [b"hi\xff", b""]
+    got = bpe.decode_parts(table(spark, [([[104, 105], [255]],), ([],)], "ids array<array<int>>"), "ids", pieces).collect()
+    assert [bytes(r["decoded"]) for r in got] == [b"hi\xff", b""]
 
 
 def test_token_counts_equal_library(spark):
