@@ -18,8 +18,8 @@ from riskloom.functions.expressions import bin_or_missing, floored, interval_lab
 from riskloom.operators.ordered import cumulative_by_value, quantiles
 
 Cuts = dict[str, list[float]]
-#: Distinct values of a feature above which the tree search works on fine quantiles.
-TREE_VALUES = 20_000
+#: Ranges of a feature's values, by rank, between which the tree search may cut.
+TREE_RANGES = 20_000
 
 
 def long_form(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ("label",)) -> DataFrame:
@@ -58,7 +58,7 @@ def _gini(n: np.ndarray, bad: np.ndarray) -> np.ndarray:
     return np.where(n > 0, 2 * bad * (n - bad) / np.maximum(n, 1), 0.0)
 
 
-def best_first_cuts(value: np.ndarray, n: np.ndarray, bad: np.ndarray, leaves: int, leaf: int) -> list[float]:
+def best_first_cuts(first: np.ndarray, last: np.ndarray, n: np.ndarray, bad: np.ndarray, leaves: int, leaf: int) -> list[float]:
     """Cuts of a gini tree on a sorted histogram that splits its best leaf until it has `leaves`."""
     total_n, total_bad = np.concatenate(([0], np.cumsum(n))), np.concatenate(([0], np.cumsum(bad)))
 
@@ -71,7 +71,7 @@ def best_first_cuts(value: np.ndarray, n: np.ndarray, bad: np.ndarray, leaves: i
             return 0.0, -1
         return float(gain.max()), a + 1 + int(gain.argmax())
 
-    parts = {(0, len(value)): best(0, len(value))}
+    parts = {(0, len(n)): best(0, len(n))}
     cuts = []
     while len(parts) < leaves:
         (a, b), (gain, at) = max(parts.items(), key=lambda x: (x[1][0], -x[0][0]))
@@ -79,30 +79,27 @@ def best_first_cuts(value: np.ndarray, n: np.ndarray, bad: np.ndarray, leaves: i
             break
         del parts[a, b]
         parts[a, at], parts[at, b] = best(a, at), best(at, b)
-        cuts.append((value[at - 1] + value[at]) / 2)
+        cuts.append((last[at - 1] + first[at]) / 2)
     return sorted(float(c) for c in cuts)
 
 
 def tree_cuts(df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 10, leaf: int = 50) -> Cuts:
     """Supervised cuts. Spark sums the label by value; one small sorted histogram a feature is searched.
 
-    A feature with more than TREE_VALUES distinct values is summed over that many value ranges
-    first, each named by its mean, so a histogram is of bounded size.
+    Values are taken in ranges by rank, of one TREE_RANGES-th of the rows each (a value is never
+    split), at every size of the data: with no more rows than that each value is a range of its own,
+    and a histogram is always of bounded size. A cut lies midway between a range's last value and
+    the next range's first.
     """
     rows = long_form(df, features, (F.col(label).alias("label"),)).where("value IS NOT NULL AND label IS NOT NULL")
-    sums = rows.groupBy("feature", "value").agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
-    wide = {r["feature"] for r in sums.groupBy("feature").count().where(F.col("count") > TREE_VALUES).collect()}
-    if wide:
-        many = sums.where(F.col("feature").isin(*wide))
-        cum = cumulative_by_value(many.select("feature", "value", "n", "bad"), ["feature"], "value", {"n": F.sum("n"), "bad": F.sum("bad")})
-        size = cum.groupBy("feature").agg(F.sum("n").alias("size"))
-        part = F.floor((F.col("cum_n") - F.col("n")) * TREE_VALUES / F.col("size"))
-        joined = cum.join(F.broadcast(size), "feature").groupBy("feature", part.alias("part")).agg(F.max("value").alias("value"), F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-        sums = sums.where(~F.col("feature").isin(*wide)).unionByName(joined.select("feature", "value", "n", "bad"))
+    cum = cumulative_by_value(rows, ["feature"], "value", {"n": F.count("*"), "bad": F.sum("label")})
+    size = rows.groupBy("feature").agg(F.count("*").alias("size"))
+    part = F.floor((F.col("cum_n") - F.col("n")) * TREE_RANGES / F.col("size"))
+    sums = cum.join(F.broadcast(size), "feature").groupBy("feature", part.alias("part")).agg(F.min("value").alias("first"), F.max("value").alias("last"), F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("value")
-        cuts = best_first_cuts(rows["value"].to_numpy(), rows["n"].to_numpy(), rows["bad"].to_numpy(), bins, leaf)
+        rows = rows.sort_values("first")
+        cuts = best_first_cuts(rows["first"].to_numpy(), rows["last"].to_numpy(), rows["n"].to_numpy(), rows["bad"].to_numpy(), bins, leaf)
         return pd.DataFrame({"feature": [rows["feature"].iloc[0]], "cuts": [cuts]})
 
     found = sums.groupBy("feature").applyInPandas(search, "feature string, cuts array<double>").collect()
@@ -116,9 +113,9 @@ def cuts_map(cuts: Cuts) -> Column:
 def woe_stats(binned: DataFrame, by: Sequence[str] = ("feature",), bin_: str = "bin", label: str = "label") -> DataFrame:
     """Per bin: bad, total, good, their shares, woe, bad_rate, iv_bin, iv. Null bins don't count.
 
-    A share of 0 becomes 1e-6, so every logarithm is finite.
+    A share of 0 becomes 1e-6, so every logarithm is finite. Rows without a label count nowhere.
     """
-    sums = binned.where(F.col(bin_).isNotNull()).groupBy(*by, bin_).agg(F.sum(label).cast("long").alias("bad"), F.count("*").alias("total"))
+    sums = binned.where(F.col(bin_).isNotNull()).groupBy(*by, bin_).agg(F.coalesce(F.sum(label).cast("long"), F.lit(0).cast("long")).alias("bad"), F.count(label).alias("total"))
     sums = sums.withColumn("good", F.col("total") - F.col("bad"))
     over = W.partitionBy(*by)
     part = lambda c: floored(F.col(c) / F.greatest(F.sum(c).over(over).cast("double"), F.lit(1e-6)))

@@ -73,6 +73,8 @@ def validate_inputs(df: DataFrame, label: str, features: Sequence[str]) -> list[
         notes.append(f"the rarer class has {r['minority_rate']:.2%} of the rows")
     elif r["minority_rate"] > 0.45:
         notes.append("the classes are about even")
+    if r["label_nulls"]:
+        notes.append(f"{r['label_nulls']} rows have no {label}; no figure counts them")
     if r["constant_features"]:
         notes.append(f"{r['constant_features']} feature(s) have one value")
     return notes

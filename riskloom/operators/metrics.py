@@ -16,6 +16,7 @@ from riskloom.operators.ordered import average_rank, cumulative_by_value, quanti
 def ks(df: DataFrame, score: str = "model_score", label: str = "label", by: Sequence[str] = ()) -> DataFrame:
     """by..., ks: the largest distance between the cumulative shares of bad and good, high scores first."""
     by = list(by)
+    df = df.where(F.col(label).isNotNull())
     cum = cumulative_by_value(df.withColumn("_g", F.lit(1)), ["_g", *by], score, {"bad": F.sum(label), "n": F.count("*")}, descending=True)
     totals = df.withColumn("_g", F.lit(1)).groupBy("_g", *by).agg(F.sum(label).alias("_bad"), F.count("*").alias("_n"))
     gap = share(F.col("cum_bad"), F.col("_bad")) - share(F.col("cum_n") - F.col("cum_bad"), F.col("_n") - F.col("_bad"))
@@ -25,7 +26,7 @@ def ks(df: DataFrame, score: str = "model_score", label: str = "label", by: Sequ
 def auc(df: DataFrame, score: str = "model_score", label: str = "label", by: Sequence[str] = ()) -> DataFrame:
     """by..., auc, gini: the rank-sum statistic, ties counting half; null with one class."""
     by = list(by)
-    rows = df.withColumn("_g", F.lit(1))
+    rows = df.where(F.col(label).isNotNull()).withColumn("_g", F.lit(1))
     ranks = average_rank(rows, ["_g", *by], score)
     bads = rows.groupBy("_g", *by, score).agg(F.sum(label).alias("bad"))
     sums = ranks.join(bads, ["_g", *by, score]).groupBy("_g", *by).agg(F.sum(F.col("rank") * F.col("bad")).alias("r"), F.sum("bad").cast("double").alias("p"), F.sum("n").cast("double").alias("n"))

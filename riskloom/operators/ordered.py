@@ -8,43 +8,53 @@ offset, and windows run inside a bucket only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+#: Range buckets of values; their borders are approximate quantiles, so outliers don't crowd the rest into one.
+BUCKETS = 256
+
+
+def _meet(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with their bucket's offsets; null keys meet null keys, so no row is lost."""
+    named = offsets.select(*(F.col(k).alias(f"_at_{i}") for i, k in enumerate(keys)), *(c for c in offsets.columns if c not in keys))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_at_{i}")) for i, k in enumerate(keys)])
+    return rows.join(named, same).drop(*(f"_at_{i}" for i in range(len(keys))))
 
 
 def bucketed_rank(df: DataFrame, by: Sequence[str], bucket: Column, order: Sequence[str], name: str = "rank", size: str | None = None) -> DataFrame:
-    """Adds the 1-based position by (bucket, order) within `by`, and the group's size if named.
+    """Adds the 1-based position by (bucket, order) within `by`, and the group's size if named; nulls come last.
 
     `bucket` must be monotone in the wanted order and of bounded number; only bucket counts meet in
-    one place.
+    one place. Rows with a null in `by` are a group of their own.
     """
     rows = df.withColumn("_bucket", bucket)
     counts = rows.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
-    up = W.partitionBy(*by).orderBy("_bucket")
+    up = W.partitionBy(*by).orderBy(F.asc_nulls_last("_bucket"))
     offsets = counts.select(*by, "_bucket", (F.sum("_n").over(up) - F.col("_n")).alias("_before"), F.sum("_n").over(W.partitionBy(*by)).alias("_all"))
-    inside = F.row_number().over(W.partitionBy(*by, "_bucket").orderBy(*order))
-    out = rows.withColumn("_inside", inside).join(offsets, [*by, "_bucket"]).withColumn(name, F.col("_before") + F.col("_inside"))
+    inside = F.row_number().over(W.partitionBy(*by, "_bucket").orderBy(*map(F.asc_nulls_last, order)))
+    out = _meet(rows.withColumn("_inside", inside), offsets, [*by, "_bucket"]).withColumn(name, F.col("_before") + F.col("_inside"))
     if size:
         out = out.withColumn(size, F.col("_all"))
     return out.drop("_bucket", "_before", "_all", "_inside")
 
 
 def cumulative_by_value(df: DataFrame, by: Sequence[str], value: str, sums: dict[str, Column], descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
-    """by, value, each sum and its running total `cum_<name>` over distinct values in order."""
+    """by, value, each sum and its running total `cum_<name>` over distinct values in order; null keys are a group."""
     flat = df.groupBy(*by, value).agg(*(c.alias(n) for n, c in sums.items()))
-    low, high = (df.agg(f(F.col(value).cast("double"))).scalar() for f in (F.min, F.max))
-    place = F.coalesce(F.floor(F.try_divide((F.col(value).cast("double") - low) * buckets, high - low)), F.lit(0)).cast("int")
-    flat = flat.withColumn("_bucket", F.least(place, F.lit(buckets - 1)))
-    turn = (lambda c: F.desc(c)) if descending else (lambda c: F.asc(c))
+    points = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
+    edges = df.agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), points, F.lit(4 * buckets)))).scalar()
+    columns = flat.columns
+    flat = flat.select("*", edges.alias("_edges")).select(*columns, F.size(F.filter("_edges", lambda e: e < F.col(value).cast("double"))).alias("_bucket"))
+    turn = F.desc if descending else F.asc
     totals = flat.groupBy(*by, "_bucket").agg(*(F.sum(n).alias(f"_{n}") for n in sums))
     over = W.partitionBy(*by).orderBy(turn("_bucket"))
     offsets = totals.select(*by, "_bucket", *((F.sum(f"_{n}").over(over) - F.col(f"_{n}")).alias(f"_{n}") for n in sums))
     inside = W.partitionBy(*by, "_bucket").orderBy(turn(value)).rowsBetween(W.unboundedPreceding, 0)
-    out = flat.withColumns({f"cum_{n}": F.sum(n).over(inside) for n in sums}).join(offsets, [*by, "_bucket"])
+    out = _meet(flat.withColumns({f"cum_{n}": F.sum(n).over(inside) for n in sums}), offsets, [*by, "_bucket"])
     return out.select(*by, value, *sums, *((F.col(f"cum_{n}") + F.col(f"_{n}")).alias(f"cum_{n}") for n in sums))
 
 

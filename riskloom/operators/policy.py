@@ -114,17 +114,17 @@ def segment_grid(df: DataFrame, features: Sequence[str], review: float, rates: S
     Thresholds are a small table; rows meet it by segment, so all segments share one scan.
     """
     rows = segments_of(df, features, (F.col(by).alias("dataset"), F.col(label).alias("y"), F.col(score).alias("s")))
-    rows = rows.withColumn("segment", F.concat_ws("=", "segment_feature", F.coalesce("segment_value", F.lit("null"))))
+    rows = rows.withColumn("segment", F.concat_ws("=", "segment_feature", F.coalesce("segment_value", F.lit("\0"))))
     sizes = rows.groupBy("segment").agg(F.count_if(F.col("dataset") == "train").alias("nt"), F.count_if(F.col("dataset") == "valid").alias("nv")).where((F.col("nt") >= least) & (F.col("nv") >= least)).select("segment")
     cuts = quantiles(rows.where("dataset = 'train'"), "s", [1 - r for r in rates], ["segment"]).join(sizes, "segment")
     grid = cuts.select("segment", F.inline(F.array(*[F.struct(F.lit(f"r{r:.3f}").alias("rate_name"), F.element_at("q", i + 1).alias("reject_threshold")) for i, r in enumerate(rates)])))
     grid = grid.groupBy("segment").agg(F.collect_list(F.struct("rate_name", "reject_threshold")).alias("g"))
     # sums by threshold array keep the scan at one row a row: each action's mask is counted per position
-    met = rows.join(F.broadcast(grid), "segment")
+    met = rows.join(grid, "segment")
     flat = met.select("dataset", "segment_feature", "segment_value", "y", "s", F.inline("g"))
     masks = action_masks(F.col("s"), F.col("reject_threshold"), F.lit(float(review)))
     sums = flat.groupBy("dataset", "segment_feature", "segment_value", "rate_name", "reject_threshold").agg(F.count("*").alias("n"), F.sum("y").alias("b"), *(c for a, m in masks.items() for c in (F.count_if(m).alias(f"h{a}"), F.sum(F.when(m, F.col("y")).otherwise(0)).alias(f"b{a}"))))
-    names = F.concat(F.lit("segment_"), "segment_feature", F.lit("_"), F.coalesce("segment_value", F.lit("null")), F.lit("_"), "rate_name")
+    names = F.concat(F.lit("segment_"), "segment_feature", F.lit("_"), F.when(F.col("segment_value") == "null", "'null'").otherwise(F.coalesce("segment_value", F.lit("null"))), F.lit("_"), "rate_name")
     actions = F.inline(F.array(*[F.struct(F.lit(a).alias("action"), F.col(f"h{a}").alias("count"), F.col(f"b{a}").alias("hb")) for a in ACTIONS]))
     long = sums.select(names.alias("policy_id"), "dataset", "segment_feature", "segment_value", "reject_threshold", F.lit(float(review)).alias("review_threshold"), "n", "b", actions)
     return _figures(long).withColumn("policy_type", F.lit("segment"))
@@ -139,7 +139,7 @@ def pick_segments(grid: DataFrame, least_hits: int = 10, least_lift: float = 2.0
     rows = rows.withColumn("recommend_segment_strategy", F.coalesce(good, F.lit(False)))
     order = F.struct(~F.col("recommend_segment_strategy"), -F.col("lift"), -F.col("bad_rate"), "policy_id")
     best = rows.groupBy("segment_feature", "segment_value").agg(F.min_by(F.struct("policy_id", "recommend_segment_strategy", "lift_gap_test_valid", "abs_lift_gap_test_valid"), order).alias("w")).select("w.*")
-    return grid.join(F.broadcast(best), "policy_id").withColumn("fallback_to_global", ~F.col("recommend_segment_strategy"))
+    return grid.join(best, "policy_id").withColumn("fallback_to_global", ~F.col("recommend_segment_strategy"))
 
 
 def segment_masks(picked: Sequence[dict], score: str = "model_score") -> tuple[Column, Column]:

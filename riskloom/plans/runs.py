@@ -77,13 +77,20 @@ def train(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], out
         gaps = {d: results[best].get(d, {}).get("KS") or 0.0 for d in ("train", "test", "valid")}
         summary = {"run_time": datetime.now().isoformat(timespec="seconds"), "label_col": label, "n_total": scored.count(), "best_model": best, "model_metrics": results, "overfit_diagnostics": {"train_test_ks_gap": round(gaps["train"] - gaps["test"], 4), "test_valid_ks_gap": round(gaps["test"] - gaps["valid"], 4)}, "n_single_rules": len(mined), "n_stable_rules": len(stable), "config": config.snapshot(), "notes": notes}
         files.write_json(summary, root / "run_summary.json")
-        reports = {n: [r.asDict() for r in df.sparkSession.read.parquet(f"{root}/reports/{n}").limit(200).collect()] for n in ("split_profile", "iv_table", "score_bins", "strategy_leaderboard", "final_strategy_comparison")}
+        reports = {n: first_rows(df.sparkSession, f"{root}/reports/{n}") for n in ("split_profile", "iv_table", "score_bins", "strategy_leaderboard", "final_strategy_comparison")}
         (root / "dashboard.html").write_text(render(summary, reports), encoding="utf-8")
         return summary
     finally:
         scored.unpersist()
 
 
+def first_rows(spark: SparkSession, path: str, most: int = 200) -> list[dict]:
+    """What the page shows of a report: its first rows by rank, else in the order of its columns."""
+    report = spark.read.parquet(path)
+    order = [c for c in report.columns if c.endswith("rank")] or report.columns
+    return [r.asDict() for r in report.orderBy(*order).limit(most).collect()]
+
+
 def load_model(run: Path, spark: SparkSession):
     """The scoring function of a run; an unknown algorithm is an error."""
     meta = files.read_json(run / "model_meta.json")

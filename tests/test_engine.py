@@ -12,7 +12,7 @@ from riskloom.operators import binning, eda, metrics, policy, rules, scoring, sp
 from riskloom.operators.boosting import Booster, BoosterParams
 from riskloom.operators.encoder import WoeEncoder
 from riskloom.operators.models import Calibrator, fit_logistic
-from riskloom.operators.ordered import quantiles
+from riskloom.operators.ordered import cumulative_by_value, quantiles
 from riskloom.operators.rules import Condition, Rule
 from riskloom.operators.selection import drop_correlated
 from riskloom.operators.tree_rules import mine_tree_rules
@@ -67,7 +67,40 @@ def test_tree_cuts(frame):
     cuts = binning.tree_cuts(frame, ["x", "z"])
     assert cuts == binning.tree_cuts(frame.repartition(7), ["x", "z"])
     assert len(cuts["x"]) <= 9 and cuts["x"] == sorted(cuts["x"])
-    assert binning.best_first_cuts(np.arange(4.0), np.full(4, 60), np.array([0, 0, 60, 60]), 2, 50) == [1.5]
+    assert binning.best_first_cuts(np.arange(4.0), np.arange(4.0), np.full(4, 60), np.array([0, 0, 60, 60]), 2, 50) == [1.5]
+
+
+def test_no_row_is_lost_to_nulls(spark):
+    rows = [(i, None if i % 10 == 0 else f"2024-01-{1 + i % 28:02d}", None if i % 7 == 0 else i % 2, float(i % 13)) for i in range(100)]
+    df = spark.createDataFrame(rows, "k long, t string, label int, x double").withColumn("t", F.to_timestamp("t"))
+    timed = splits.time_split(df, "t", "k").collect()
+    assert len(timed) == 100 and {r["split"] for r in timed if r["t"] is None} == {"valid"}
+    assert [sum(r["split"] == p for r in timed) for p in ("train", "test", "valid")] == [70, 15, 15]
+    parts = splits.stratified_split(df, "label", splits.shuffled("k"), "k").collect()
+    assert len(parts) == 100 and {r["split"] for r in parts if r["label"] is None} == {"train", "test", "valid"}
+    known = [r for r in rows if r[2] is not None]
+    stats = binning.woe_numeric(df, ["x"], cuts={"x": [6.0]}).collect()
+    assert sum(r["total"] for r in stats) == len(known) and sum(r["bad"] for r in stats) == sum(r[2] for r in known)
+    scored = df.withColumn("model_score", F.col("x") / 13)
+    only = scored.where("label IS NOT NULL")
+    assert metrics.ks(scored).collect() == metrics.ks(only).collect() and metrics.auc(scored).collect() == metrics.auc(only).collect()
+    assert any("no label" in n for n in eda.validate_inputs(df, "label", ["x"]))
+
+
+def test_order_holds_with_outliers(spark):
+    """One far value leaves the others spread over buckets; figures don't change."""
+    rows = [(float(i % 997), 1) for i in range(4000)] + [(1e12, 1), (-1e12, 1)]
+    df = spark.createDataFrame(rows, "v double, n int")
+    got = {r["v"]: r["cum_n"] for r in cumulative_by_value(df, [], "v", {"n": F.sum("n")}).collect()}
+    values = sorted(v for v, _ in rows)
+    assert all(got[v] == np.searchsorted(values, v, "right") for v in set(values))
+
+
+def test_tree_cuts_by_ranges(spark, monkeypatch):
+    """With fewer ranges than rows the cut is still where the label changes."""
+    monkeypatch.setattr(binning, "TREE_RANGES", 100)
+    df = spark.createDataFrame([(i / 7, int(i >= 1500)) for i in range(4000)], "x double, label int")
+    assert abs(binning.tree_cuts(df, ["x"], bins=2)["x"][0] - 1500 / 7) <= 40 / 7
 
 
 def test_encoder_round_trip(frame):
