@@ -184,7 +184,7 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     records = rows.mapInArrow(compress, "shard long, k long, url string, digest string, n long, member binary").withColumn("holder", F.lit(None).cast("long"))
     placed = revisits.select("k", "digest", "holder").mapInArrow(place, "shard long, k long, digest string, holder long")
     verdicts = placed.select("shard", "k", F.lit(None).cast("string").alias("url"), "digest", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("member"), "holder")
-    sorted_rows = records.unionByName(verdicts).repartition("shard").sortWithinPartitions("shard", "k", "digest", F.col("holder").desc_nulls_last(), "url")
+    sorted_rows = records.unionByName(verdicts).repartition(len(borders.value) + 1, "shard").sortWithinPartitions("shard", "k", "digest", F.col("holder").desc_nulls_last(), "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
