@@ -132,19 +132,28 @@ def range_borders(marks: DataFrame, shard_bytes: int) -> list[tuple[bool, int, s
     step = max(1, min(shard_bytes, whole // LEAST_SHARDS), whole // MOST_SHARDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = 0
+        held, last = 0, None
+        part = lambda k, d, n: pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(d, pa.string()), pa.array(n, pa.int64())], names=["k", "digest", "bytes"])
         for b in batches:
-            at = []
-            for i, n in enumerate(b.column("n").to_pylist()):
-                held += n + RECORD_BYTES
+            found = []
+            for last in zip(*(b.column(c).to_pylist() for c in ("k", "digest", "n"))):
+                held += last[2] + RECORD_BYTES
                 if held >= step:
-                    at.append(i)
+                    found.append((*last[:2], held))
                     held = 0
-            yield b.select(["k", "digest"]).take(pa.array(at, pa.int64()))
+            yield part(*([f[i] for f in found] for i in range(3)))
+        if held:  # a task may hold less than a shard
+            yield part([last[0]], [last[1]], [held])
 
     order = [F.col("k").asc_nulls_first(), F.col("digest")]
-    found = marks.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "k long, digest string").collect()
-    return sorted({(r["k"] is not None, r["k"] or 0, r["digest"]) for r in found})
+    found = marks.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "k long, digest string, bytes long").collect()
+    borders, held = set(), 0
+    for *key, n in sorted((r["k"] is not None, r["k"] or 0, r["digest"], r["bytes"]) for r in found):
+        held += n
+        if held >= step:
+            borders.add(tuple(key))
+            held = 0
+    return sorted(borders)
 
 
 def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
