@@ -1,4 +1,4 @@
-"""Each operator against a brute-force version, with nulls, empty and long texts, ties, repeated rows and empty tables."""
+"""Operators against plain versions, libraries, round trips or labels, with nulls, empty and long texts, ties, repeated rows, clashing names and empty tables."""
 
 import gzip
 import hashlib
@@ -121,6 +121,19 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(documents(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_items_of_any_id_and_columns_of_any_name(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    docs = table(spark, [(1, "x " + item, 7, "r", "c"), (2, "other text here", 8, "r", "c")], "doc_id long, text string, _text int, row string, content string")
+    bench = table(spark, [(None, item), ("a1", item)], "item_id string, text string")
+    got = decontaminate.find_leaks(docs, bench, tuple(docs.columns)).collect()
+    assert sorted((r["doc_id"], r["item_id"] or "", r["_text"], r["row"]) for r in got) == [(1, "", 7, "r"), (1, "a1", 7, "r")]
+    clean = decontaminate.without_leaks(docs, bench.where("item_id IS NULL"))
+    assert clean.columns == docs.columns and [r["doc_id"] for r in clean.collect()] == [2]
+    scored = quality.score_quality(docs, quality.fit_rules(np.zeros((0, 22)), np.zeros(0)), tuple(docs.columns))
+    assert scored.columns == [*docs.columns, "score", "predicted"] and scored.count() == 2
+    assert decontaminate.find_leaks(docs.limit(0), bench).count() == 0
+
+
 def test_leaks_are_the_same_in_any_number_of_passes(spark):
     """Items share passages, so weights differ if a pass counts its own items only; the row of one pass is checked by hand."""
     rnd = random.Random(3)
