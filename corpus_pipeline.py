@@ -65,7 +65,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", quality), ("toxicity", toxicity), ("n-gram Jaccard join", near_duplicates), ("benchmark decontamination", decontamination), ("byte-level BPE", encoding)]
 
-#: SQL can't express the classifiers; tests/llm/test_pipeline.py holds each stage against a brute-force version.
+#: SQL can't express the classifiers; tests/llm/test_pipeline.py holds the join, decontamination and encoding against
+#: plain versions; the classifiers are held against labels only.
 ORACLE_SQL = None
 
 
