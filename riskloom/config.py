@@ -33,6 +33,9 @@ class Model:
     primary_metric: str = "ks"
     cv_folds: int = 5
     trials: int = 50
+    tune: bool = False
+    tune_trees: tuple[int, int] = (100, 500)
+    importance: bool = True
     woe_missing_min_samples: int = 50
     monotone: bool = True
     monotone_min_abs_corr: float = 0.02
@@ -48,10 +51,14 @@ class Strategy:
     rule_min_hit_count: int = 5
     rule_max_lift_drop: float = 0.35
     rule_overlap_threshold: float = 0.8
+    tree_max_depth: int = 3
+    tree_max_features: int = 3
+    tree_min_samples_leaf: int = 50
     score_reject_quantile: float = 0.95
     score_review_quantile: float = 0.85
     segment_features: tuple[str, ...] = ("channel", "region")
     segment_min_samples: int = 50
+    segment_use_discrimination_filter: bool = True
     reject_rate_grid: tuple[float, ...] = (0.03, 0.05, 0.08, 0.10)
     review_rate_grid: tuple[float, ...] = (0.05, 0.10, 0.15)
     segment_reject_rate_grid: tuple[float, ...] = (0.03, 0.05, 0.08)

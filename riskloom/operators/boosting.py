@@ -19,8 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import bin_right_closed, cuts_literal, no_nan
+from riskloom.session import settled
 
 MOST_BINS = 64
+#: Trees after which the margin, a column of the rows, is written down, so that plans stay short.
+SETTLE_TREES = 16
 
 
 @dataclass(frozen=True)
@@ -101,24 +104,24 @@ class Booster:
         """Logistic loss; rows of label 1 weigh as much as the others together. `monotone` has +1 or -1 by feature."""
         p, monotone = params or BoosterParams(), monotone or {}
         points = [i / MOST_BINS for i in range(1, MOST_BINS)]
-        row = df.agg(F.count("*").alias("n"), F.sum(F.col(label).cast("double")).alias("b"), *(F.percentile_approx(no_nan(f), points, 100_000).alias(f) for f in features)).first()
+        row = df.agg(F.count(label).alias("n"), F.sum(F.col(label).cast("double")).alias("b"), *(F.percentile_approx(no_nan(f), points, 100_000).alias(f) for f in features)).first()
         if not row["b"] or row["b"] == row["n"]:
             raise ValueError("both classes are needed")
         heavy = (row["n"] - row["b"]) / row["b"]
         model = Booster({f: sorted(set(row[f] or [])) for f in features}, 0.0)
         mark = F.xxhash64(*(F.col(key) if key else F.col(f) for f in ([key] if key else features)))
-        rows = model.binned(df.select(*features, F.col(label).cast("double").alias("_y"), mark.alias("_key"))).select("_y", "_key", *(f"_b_{f}" for f in features)).persist()
+        rows = settled(model.binned(df.where(F.col(label).isNotNull()).select(*features, F.col(label).cast("double").alias("_y"), mark.alias("_key"))).select("_y", "_key", F.lit(float(model.base)).alias("_m"), *(f"_b_{f}" for f in features)))
         draw = random.Random(p.seed)
-        try:
-            for t in range(p.trees):
-                used = draw.sample(list(features), max(1, round(p.colsample * len(features))))
-                q = 1 / (1 + F.exp(-model.margin()))
-                w = F.when(F.col("_y") == 1, F.lit(heavy)).otherwise(1.0)
-                part = rows.where(F.pmod(F.xxhash64("_key", F.lit(p.seed + t)), F.lit(1000)) < int(1000 * p.subsample))
-                part = part.select((w * (q - F.col("_y"))).alias("g"), F.greatest(w * q * (1 - q), F.lit(1e-16)).alias("h"), *(f"_b_{f}" for f in features))
-                model.trees.append(model._tree(part, used, p, monotone))
-        finally:
-            rows.unpersist()
+        for t in range(p.trees):
+            used = draw.sample(list(features), max(1, round(p.colsample * len(features))))
+            q = 1 / (1 + F.exp(-F.col("_m")))
+            w = F.when(F.col("_y") == 1, F.lit(heavy)).otherwise(1.0)
+            part = rows.where(F.pmod(F.xxhash64("_key", F.lit(p.seed + t)), F.lit(1000)) < int(1000 * p.subsample))
+            part = part.select((w * (q - F.col("_y"))).alias("g"), F.greatest(w * q * (1 - q), F.lit(1e-16)).alias("h"), *(f"_b_{f}" for f in features))
+            model.trees.append(model._tree(part, used, p, monotone))
+            rows = rows.withColumn("_m", F.col("_m") + model._value(model.trees[-1]))
+            if (t + 1) % SETTLE_TREES == 0 and t + 1 < p.trees:
+                rows = settled(rows)
         return model
 
     def _tree(self, part: DataFrame, used: Sequence[str], p: BoosterParams, monotone: dict[str, int]) -> dict:
@@ -195,13 +198,13 @@ class Booster:
         return {k: node[k] for k in ("feature", "bin", "missing_left", "gain")} | {s: self._clean(node[s], rate) for s in ("left", "right")}
 
 
-def tune_booster(train: DataFrame, inner: DataFrame, features: Sequence[str], label: str = "label", trials: int = 10, seed: int = 42, monotone: dict[str, int] | None = None) -> BoosterParams:
+def tune_booster(train: DataFrame, inner: DataFrame, features: Sequence[str], label: str = "label", trials: int = 10, seed: int = 42, monotone: dict[str, int] | None = None, trees: tuple[int, int] = (100, 500)) -> BoosterParams:
     """The parameters of best KS on `inner`, among seeded random draws."""
     from riskloom.operators import metrics
 
     draw, best = random.Random(seed), None
     for _ in range(trials):
-        p = BoosterParams(draw.randrange(100, 501, 50), draw.randint(3, 7), math.exp(draw.uniform(math.log(0.01), math.log(0.2))), draw.uniform(0.6, 1), draw.uniform(0.6, 1), draw.randint(5, 50), draw.uniform(0, 5), draw.uniform(0, 2), draw.uniform(1, 10), seed)
+        p = BoosterParams(draw.randrange(trees[0], trees[1] + 1, 50), draw.randint(3, 7), math.exp(draw.uniform(math.log(0.01), math.log(0.2))), draw.uniform(0.6, 1), draw.uniform(0.6, 1), draw.randint(5, 50), draw.uniform(0, 5), draw.uniform(0, 2), draw.uniform(1, 10), seed)
         value = metrics.ks(Booster.fit(train, features, label, p, monotone).score(inner, "_p"), "_p", label).first()["ks"]
         if best is None or value > best[0]:
             best = (value, p)

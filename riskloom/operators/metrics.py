@@ -108,6 +108,11 @@ def smoothed_rates(bins: DataFrame, by: Sequence[str], order: str, rate: str, we
     return bins.join(fit.withColumnRenamed("_i", order), few)
 
 
+def running_minimum(bins: DataFrame, by: Sequence[str], order: str, rate: str, name: str) -> DataFrame:
+    """Adds the least rate so far: the plain form of smoothed_rates(), without weights."""
+    return bins.withColumn(name, F.min(rate).over(W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, 0)))
+
+
 def score_bins(df: DataFrame, score: str = "model_score", label: str = "label", by: str = "split", base: str = "train", bins: int = 10) -> DataFrame:
     """Report by score bin, cut at the base's quantiles, highest scores first."""
     cuts = quantiles(df.where(F.col(by) == base), score, [i / bins for i in range(bins + 1)]).first()["q"]

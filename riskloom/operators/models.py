@@ -12,11 +12,15 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.operators import metrics
 from riskloom.operators.encoder import WoeEncoder
 
+#: Rows of a bucket in which permutation_importance() shifts values.
+IMPORTANCE_ROWS = 100_000
+
 
 @dataclass
 class Scorecard:
@@ -104,9 +108,16 @@ class Calibrator:
 
     @staticmethod
     def fit(df: DataFrame, score: str, label: str = "label") -> Calibrator:
-        points = df.groupBy(F.col(score).alias("s")).agg(F.avg(F.col(label).cast("double")).alias("y"), F.count("*").cast("double").alias("w"))
+        points = df.where(F.col(label).isNotNull()).groupBy(F.col(score).alias("s")).agg(F.avg(F.col(label).cast("double")).alias("y"), F.count("*").cast("double").alias("w"))
         return Calibrator(IsotonicRegression(featuresCol="s", labelCol="y", weightCol="w", predictionCol="_c").fit(points))
 
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(path)
+
+    @staticmethod
+    def load(path: str) -> Calibrator:
+        return Calibrator(IsotonicRegressionModel.load(path))
+
     def apply(self, df: DataFrame, score: str, name: str = "calibrated_prob") -> DataFrame:
         """Linear between knots, flat beyond them, within 0 and 1."""
         out = self.model.setFeaturesCol(score).setPredictionCol("_c").transform(df)
@@ -114,16 +125,19 @@ class Calibrator:
 
 
 def permutation_importance(df: DataFrame, features: Sequence[str], score, label: str = "label", key: str = "app_id", seed: int = 7) -> DataFrame:
-    """feature, importance: the loss of AUC when a feature's values are dealt to other rows of its hash bucket.
+    """feature, importance: the loss of AUC when each row takes a feature's value from the row before it, in random order
+    within hash buckets of about IMPORTANCE_ROWS rows.
 
     Stands in for attributions by game values, which need a tree library that Spark doesn't bring.
     """
     base = metrics.auc(score(df), "model_score", label).first()["auc"]
     rows = []
+    bucket = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(df.count() // IMPORTANCE_ROWS + 1))
+    turn = W.partitionBy("_b").orderBy(F.xxhash64(key, F.lit(seed + 1)), key)
     for f in features:
-        a = df.withColumn("_b", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(997)))
-        moved = a.groupBy("_b").agg(F.collect_list(F.struct(F.col(f).alias("v"))).alias("_vs"))
-        mixed = a.drop(f).join(moved, F.pmod(F.col("_b") + 1, F.lit(997)) == moved["_b"]).withColumn(f, F.try_element_at("_vs", (F.pmod(F.xxhash64(key), F.size("_vs")) + 1).cast("int"))["v"]).drop("_vs", "_b")
+        held = F.struct(F.col(f).alias("v"))
+        before = F.coalesce(F.lag(held).over(turn), F.last(held).over(turn.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+        mixed = df.withColumn("_b", bucket).withColumn("_moved", before["v"]).withColumn(f, F.col("_moved")).drop("_moved", "_b")
         rows.append((f, float(base - metrics.auc(score(mixed), "model_score", label).first()["auc"])))
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
@@ -131,5 +145,3 @@ def permutation_importance(df: DataFrame, features: Sequence[str], score, label:
 def assemble(df: DataFrame, features: Sequence[str], name: str = "features") -> DataFrame:
     """Raw numeric features as a vector with missing values kept."""
     return VectorAssembler(inputCols=list(features), outputCol=name, handleInvalid="keep").transform(df)
-
-

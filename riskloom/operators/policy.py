@@ -108,6 +108,12 @@ def segment_discrimination(df: DataFrame, features: Sequence[str], least_share:
     return wide.withColumn("recommend_as_segment_feature", F.col("share_pass") & F.col("bad_rate_gap_pass") & F.col("stable_order_pass")).drop(*(f"{d}_riskiest" for d in DATASETS))
 
 
+def segment_features_of(discrimination: DataFrame, wanted: Sequence[str]) -> list[str]:
+    """Those of the wanted features, in their order, that segment_discrimination() recommends."""
+    good = {r["segment_feature"] for r in discrimination.where("recommend_as_segment_feature").select("segment_feature").collect()}
+    return [f for f in wanted if f in good]
+
+
 def segment_grid(df: DataFrame, features: Sequence[str], review: float, rates: Sequence[float] = SEGMENT_RATES, least: int = 50, score: str = "model_score", label: str = "label", by: str = "split") -> DataFrame:
     """Reject thresholds at each segment's own train quantiles, for segments with enough train and valid rows.
 

@@ -123,6 +123,13 @@ def rules_of(mined: DataFrame) -> list[Rule]:
     return [Rule((Condition(r["feature"], r["direction"], r["value"] if r["direction"] == "==" else r["threshold"]),), "single", i, r.asDict()) for i, r in enumerate(rows)]
 
 
+def merge_rules(*mined: Sequence[Rule]) -> list[Rule]:
+    """Rules of several miners in one list, best lift first and numbered anew; of rules with one text the first stays."""
+    ordered = sorted((r for part in mined for r in part), key=lambda r: (-r.stats["lift"], r.text))
+    once = list({r.text: r for r in reversed(ordered)}.values())[::-1]
+    return [Rule(r.conditions, r.rule_type, i, r.stats) for i, r in enumerate(once)]
+
+
 def _chunks(items: Sequence, size: int = CHUNK):
     return [items[i : i + size] for i in range(0, len(items), size)]
 

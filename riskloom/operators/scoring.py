@@ -80,18 +80,22 @@ def drift_check(df: DataFrame, baseline: DataFrame) -> DataFrame:
     return out.select("feature", "psi", psi_label(F.col("psi")).alias("psi_level"), "train_missing_rate", "new_missing_rate", F.round(F.col("new_missing_rate") - F.col("train_missing_rate"), 6).alias("missing_rate_delta"))
 
 
-def flatten_run(summary: dict) -> dict[str, object]:
-    """A run's summary as metric names and values, in a fixed order."""
+def flatten_run(summary: dict, policy: dict | None = None) -> dict[str, object]:
+    """A run's summary, best strategy and policy as metric names and values, in a fixed order."""
     out = {k: summary.get(k) for k in ("n_total", "best_model", "n_selected_vars", "n_stable_rules") if k in summary}
     for model, parts in (summary.get("model_metrics") or {}).items():
         for part, figures in parts.items():
             out |= {f"{model}_{part}_{k}": figures[k] for k in ("KS", "AUC") if k in figures}
-    return out | dict(summary.get("overfit_diagnostics") or {})
+    out |= dict(summary.get("overfit_diagnostics") or {}) | dict(summary.get("best_strategy") or {})
+    if policy:
+        at = policy.get("score_thresholds") or {}
+        out |= {"policy_reject_threshold": at.get("reject"), "policy_review_threshold": at.get("review"), "policy_n_reject_rules": len(policy.get("reject_rules", [])), "policy_n_segment_overrides": len(policy.get("segment_overrides", []))}
+    return out
 
 
-def diff_runs(a: dict, b: dict) -> list[dict]:
+def diff_runs(a: dict, b: dict, policy_a: dict | None = None, policy_b: dict | None = None) -> list[dict]:
     """metric, run_a, run_b, delta_b_minus_a for every metric of either run, first seen first."""
-    fa, fb = flatten_run(a), flatten_run(b)
+    fa, fb = flatten_run(a, policy_a), flatten_run(b, policy_b)
     rows = []
     for m in dict.fromkeys([*fa, *fb]):
         x, y = fa.get(m), fb.get(m)

@@ -33,6 +33,12 @@ def shuffled(key: str, seed: int = 42, buckets: int = 100_003) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
 
 
+def inner_split(train: DataFrame, label: str, key: str, share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The train part in two of equal label rate, the second to choose parameters on."""
+    rows = stratified_split(train, label, shuffled(key, seed), key, (share, 1 - share, 0.0), "_inner")
+    return tuple(rows.where(F.col("_inner") == part).drop("_inner") for part in ("train", "test"))
+
+
 def time_split(df: DataFrame, time: str, key: str, ratios: Sequence[float] = RATIOS, name: str = "split") -> DataFrame:
     """The earliest rows train, the latest are valid; days are the buckets of the order."""
     _check(ratios)

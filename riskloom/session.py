@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", app: str = "riskloom", **more: str) -> SparkSession:
@@ -15,3 +17,19 @@ def build_session(master: str = "local[*]", app: str = "riskloom", **more: str)
         "spark.driver.memory": "8g",
     } | more
     return SparkSession.builder.master(master).appName(app).config(map=conf).getOrCreate()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written to the folder of spark.checkpoint.dir and read from there, without their lineage.
+
+    Only on a local master without that setting is the folder a temporary one.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="riskloom-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
