@@ -33,10 +33,10 @@ def long_text(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ("la
     return df.select(*keep, F.inline(pairs))
 
 
-def quantile_cuts(df: DataFrame, features: Sequence[str], bins: int = 10, distributed: bool = False) -> Cuts:
+def quantile_cuts(df: DataFrame, features: Sequence[str], bins: int = 10) -> Cuts:
     """Inner quantiles of each feature, without repeats or the feature's ends."""
     points = [i / bins for i in range(bins + 1)]
-    found = quantiles(long_form(df, features, ()), "value", points, ["feature"], distributed).collect()
+    found = quantiles(long_form(df, features, ()), "value", points, ["feature"]).collect()
     out: Cuts = {f: [] for f in features}
     for r in found:
         q = sorted({x for x in r["q"] or [] if x is not None})

@@ -43,7 +43,7 @@ def bucketed_rank(df: DataFrame, by: Sequence[str], bucket: Column, order: Seque
 
 
 def cumulative_by_value(df: DataFrame, by: Sequence[str], value: str, sums: dict[str, Column], descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
-    """by, value, each sum and its running total `cum_<name>` over distinct values in order; null keys are a group."""
+    """by, value, each sum, its running total `cum_<name>` over distinct values in order and the whole `all_<name>`; null keys are a group."""
     flat = df.groupBy(*by, value).agg(*(c.alias(n) for n, c in sums.items()))
     points = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
     edges = df.agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), points, F.lit(4 * buckets)))).scalar()
@@ -52,29 +52,29 @@ def cumulative_by_value(df: DataFrame, by: Sequence[str], value: str, sums: dict
     turn = F.desc if descending else F.asc
     totals = flat.groupBy(*by, "_bucket").agg(*(F.sum(n).alias(f"_{n}") for n in sums))
     over = W.partitionBy(*by).orderBy(turn("_bucket"))
-    offsets = totals.select(*by, "_bucket", *((F.sum(f"_{n}").over(over) - F.col(f"_{n}")).alias(f"_{n}") for n in sums))
+    whole = W.partitionBy(*by)
+    offsets = totals.select(*by, "_bucket", *((F.sum(f"_{n}").over(over) - F.col(f"_{n}")).alias(f"_{n}") for n in sums), *(F.sum(f"_{n}").over(whole).alias(f"all_{n}") for n in sums))
     inside = W.partitionBy(*by, "_bucket").orderBy(turn(value)).rowsBetween(W.unboundedPreceding, 0)
     out = _meet(flat.withColumns({f"cum_{n}": F.sum(n).over(inside) for n in sums}), offsets, [*by, "_bucket"])
-    return out.select(*by, value, *sums, *((F.col(f"cum_{n}") + F.col(f"_{n}")).alias(f"cum_{n}") for n in sums))
+    return out.select(*by, value, *sums, *((F.col(f"cum_{n}") + F.col(f"_{n}")).alias(f"cum_{n}") for n in sums), *(f"all_{n}" for n in sums))
 
 
-def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = (), distributed: bool = False) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = (), distributed: bool = True) -> DataFrame:
     """by..., q: exact quantiles with linear interpolation, as an array.
 
-    The plain form keeps a group's distinct values in one aggregate; `distributed` ranks them over
-    all executors and gives the same numbers.
+    Values are ranked over all executors. The plain form gives the same numbers and keeps a group's
+    distinct values in one aggregate: for tables known to be small.
     """
     if not distributed:
         return df.groupBy(*by).agg(F.percentile(value, F.array(*map(F.lit, map(float, probabilities)))).alias("q"))
     given = df.where(F.col(value).isNotNull())
     cum = cumulative_by_value(given, by, value, {"n": F.count("*")})
-    if by:
-        cum = cum.join(given.groupBy(*by).agg(F.count("*").alias("_size")), list(by))
-    else:
-        cum = cum.withColumn("_size", given.agg(F.count("*")).scalar())
-    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)]))
-    at = cum.select(*by, F.col(value).alias("_v"), "n", "cum_n", "_size", wanted.alias("w")).withColumn("_at", (F.col("_size") - 1) * F.col("w.p"))
+    asked = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
     holds = lambda r: (F.col("cum_n") - F.col("n") <= r) & (r < F.col("cum_n"))
+    place = lambda w: (F.col("all_n") - 1) * w["p"]
+    # a value meets only the probabilities whose two neighbours it is
+    near = F.filter(asked, lambda w: holds(F.floor(place(w))) | holds(F.ceil(place(w))))
+    at = cum.select(*by, F.col(value).cast("double").alias("_v"), "n", "cum_n", "all_n", F.explode(near).alias("w")).withColumn("_at", place(F.col("w")))
     low, high = F.floor("_at"), F.ceil("_at")
     pair = at.groupBy(*by, F.col("w.i").alias("i")).agg(F.max(F.when(holds(low), F.col("_v"))).alias("_lo"), F.max(F.when(holds(high), F.col("_v"))).alias("_hi"), F.first(F.col("_at") - low).alias("_f"))
     one = pair.withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))

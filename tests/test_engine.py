@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from riskloom.config import Config
 from riskloom.functions.expressions import psi_label, score_points
 from riskloom.operators import binning, eda, metrics, policy, rules, scoring, splits
-from riskloom.operators.boosting import Booster, BoosterParams
+from riskloom.operators.boosting import Booster, BoosterParams, tune_booster
 from riskloom.operators.encoder import WoeEncoder
-from riskloom.operators.models import Calibrator, fit_logistic
+from riskloom.operators.models import Calibrator, assemble, fit_logistic, permutation_importance, tune_logistic
 from riskloom.operators.ordered import cumulative_by_value, quantiles
 from riskloom.operators.rules import Condition, Rule
 from riskloom.operators.selection import drop_correlated
@@ -36,6 +36,10 @@ def test_quantiles_equal_numpy(frame):
     known = [r[0] for r in frame.select("x").dropna().collect()]
     for distributed in (False, True):
         assert np.allclose(quantiles(frame.where("x IS NOT NULL"), "x", p, (), distributed).first()["q"], np.quantile(known, p))
+    few = frame.withColumn("few", F.col("app_id") % 4)
+    for by in (["c"], ["split", "c"]):
+        a, b = ({tuple(r[k] for k in by): r["q"] for r in quantiles(few, v, p, by, d).collect()} for v, d in (("few", False), ("few", True)))
+        assert a == b
 
 
 def test_ks_and_auc(spark):
@@ -189,6 +193,51 @@ def test_tree_rules_mean_the_same_everywhere(frame):
         assert frame.where(rules.rule_mask(r, frame.columns)).count() == r.stats["hit_count"]
 
 
+def test_rules_merge_by_lift():
+    a, b = (Rule((Condition("x", ">=", v),), kind, 7, {"lift": lift}) for v, kind, lift in ((1.0, "single", 2.0), (2.0, "tree", 3.0)))
+    again = Rule(a.conditions, "tree", 3, {"lift": 2.0})
+    assert [(r.rule_id, r.text, r.rule_type) for r in rules.merge_rules([a], [b, again])] == [(0, "x >= 2.0", "tree"), (1, "x >= 1.0", "single")]
+    assert rules.merge_rules([], []) == []
+
+
+def test_segment_features_keep_the_wanted_order(spark):
+    spread = spark.createDataFrame([("a", True), ("b", False), ("c", True)], "segment_feature string, recommend_as_segment_feature boolean")
+    assert policy.segment_features_of(spread, ["c", "b", "a", "d"]) == ["c", "a"]
+
+
+def test_running_minimum(spark):
+    df = spark.createDataFrame([("p", i, r) for i, r in enumerate([0.5, 0.3, 0.4, 0.1])], "d string, i int, r double")
+    assert [x["m"] for x in metrics.running_minimum(df, ["d"], "i", "r", "m").orderBy("i").collect()] == [0.5, 0.3, 0.3, 0.1]
+
+
+def test_tuning_on_the_inner_split(frame):
+    a, b = splits.inner_split(frame, "label", "app_id")
+    assert a.count() + b.count() == 1200 and abs(b.count() - 240) <= 2 and a.join(b, "app_id").count() == 0
+    p = tune_booster(a, b, ["x", "z"], trials=2, trees=(1, 1))
+    assert p.trees == 1 and 3 <= p.depth <= 7
+    e = WoeEncoder.fit(frame, ["x"], ["c"])
+    assert 1e-3 <= tune_logistic(frame, e, ["x"], "app_id", trials=1, folds=2) <= 10
+
+
+def test_importance_finds_the_signal(frame):
+    rows = frame.withColumn("x", F.coalesce("x", F.lit(0.0)))
+    got = {r["feature"]: r["importance"] for r in permutation_importance(rows, ["x", "z"], lambda d: d.withColumn("model_score", 1 / (1 + F.exp(-F.col("x"))))).collect()}
+    assert got["x"] > 0.2 and abs(got["z"]) < 1e-9
+
+
+def test_vectors_keep_missing_values(frame):
+    assert assemble(frame, ["x", "z"]).count() == 1200
+
+
+def test_tables_and_reports(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,NaN\n2,0.5\n", encoding="utf-8")
+    rows = files.read_table(spark, str(tmp_path / "t.csv"), "a int, b double").orderBy("a").collect()
+    assert [tuple(r) for r in rows] == [(1, None), (2, 0.5)] and files.read_table(spark, str(tmp_path / "t.csv")).count() == 2
+    files.write_report(spark.range(2), str(tmp_path / "r"))
+    assert files.read_report(spark, str(tmp_path / "r"), "id long").count() == 2
+    assert files.read_report(spark, str(tmp_path / "absent"), "id long").count() == 0
+
+
 def test_policy_and_decisions(frame):
     scored = frame.withColumn("model_score", 1 / (1 + F.exp(-F.coalesce("x", F.lit(0.0)))))
     grid = policy.global_grid(scored)
