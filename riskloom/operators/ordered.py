@@ -7,13 +7,18 @@ offset, and windows run inside a bucket only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskloom.functions.expressions import no_nan
+from riskloom.session import settled
+
 #: Range buckets of values; their borders are approximate quantiles, so outliers don't crowd the rest into one.
 BUCKETS = 256
 
@@ -42,13 +47,27 @@ def bucketed_rank(df: DataFrame, by: Sequence[str], bucket: Column, order: Seque
     return out.drop("_bucket", "_before", "_all", "_inside")
 
 
+def _by_bucket(df: DataFrame, by: Sequence[str], value: str, sums: dict[str, Column], buckets: int) -> DataFrame:
+    """by, value, each sum, and the range bucket of the value, whose borders split the distinct values evenly; nulls are below all.
+
+    The sums are written once; borders, totals and windows read them, so the rows are read once. At
+    most `buckets` borders pass through the driver.
+    """
+    flat = settled(df.groupBy(*by, value).agg(*(c.alias(n) for n, c in sums.items())))
+    v = no_nan(F.col(value).cast("double"))
+    points = [i / buckets for i in range(1, buckets)]
+    found = flat.agg(F.percentile_approx(v, points, 4 * buckets)).first()[0] or []
+    borders = sorted(set(found) - {-math.inf, math.inf})
+    if not borders:
+        return flat.withColumn("_bucket", F.when(F.col(value).isNotNull(), 0).otherwise(-1))
+    cut = Bucketizer(splits=[-math.inf, *borders, math.inf], inputCol="_v", outputCol="_in", handleInvalid="keep")
+    placed = cut.transform(flat.withColumn("_v", F.col(value).cast("double")))
+    return placed.withColumn("_bucket", F.when(F.col(value).isNull(), -1).otherwise(F.col("_in").cast("int"))).drop("_v", "_in")
+
+
 def cumulative_by_value(df: DataFrame, by: Sequence[str], value: str, sums: dict[str, Column], descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """by, value, each sum, its running total `cum_<name>` over distinct values in order and the whole `all_<name>`; null keys are a group."""
-    flat = df.groupBy(*by, value).agg(*(c.alias(n) for n, c in sums.items()))
-    points = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
-    edges = df.agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), points, F.lit(4 * buckets)))).scalar()
-    columns = flat.columns
-    flat = flat.select("*", edges.alias("_edges")).select(*columns, F.size(F.filter("_edges", lambda e: e < F.col(value).cast("double"))).alias("_bucket"))
+    flat = _by_bucket(df, by, value, sums, buckets)
     turn = F.desc if descending else F.asc
     totals = flat.groupBy(*by, "_bucket").agg(*(F.sum(n).alias(f"_{n}") for n in sums))
     over = W.partitionBy(*by).orderBy(turn("_bucket"))
@@ -62,21 +81,26 @@ def cumulative_by_value(df: DataFrame, by: Sequence[str], value: str, sums: dict
 def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = (), distributed: bool = True) -> DataFrame:
     """by..., q: exact quantiles with linear interpolation, as an array.
 
-    Values are ranked over all executors. The plain form gives the same numbers and keeps a group's
-    distinct values in one aggregate: for tables known to be small.
+    Only range buckets that hold an asked position are ordered, each in its own task. The plain form
+    gives the same numbers and keeps a group's distinct values in one aggregate: for tables known to be small.
     """
     if not distributed:
         return df.groupBy(*by).agg(F.percentile(value, F.array(*map(F.lit, map(float, probabilities)))).alias("q"))
-    given = df.where(F.col(value).isNotNull())
-    cum = cumulative_by_value(given, by, value, {"n": F.count("*")})
+    flat = _by_bucket(df.where(F.col(value).isNotNull()), by, value, {"n": F.count("*")}, BUCKETS)
     asked = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)])
-    holds = lambda r: (F.col("cum_n") - F.col("n") <= r) & (r < F.col("cum_n"))
-    place = lambda w: (F.col("all_n") - 1) * w["p"]
-    # a value meets only the probabilities whose two neighbours it is
-    near = F.filter(asked, lambda w: holds(F.floor(place(w))) | holds(F.ceil(place(w))))
-    at = cum.select(*by, F.col(value).cast("double").alias("_v"), "n", "cum_n", "all_n", F.explode(near).alias("w")).withColumn("_at", place(F.col("w")))
+    place = lambda w: (F.col("_all") - 1) * w["p"]
+    holds = lambda r, start, end: (start <= r) & (r < end)
+    either = lambda w, start, end: holds(F.floor(place(w)), start, end) | holds(F.ceil(place(w)), start, end)
+    totals = flat.groupBy(*by, "_bucket").agg(F.sum("n").alias("_n"))
+    offsets = totals.select(*by, "_bucket", "_n", (F.sum("_n").over(W.partitionBy(*by).orderBy("_bucket")) - F.col("_n")).alias("_before"), F.sum("_n").over(W.partitionBy(*by)).alias("_all"))
+    # a bucket, then a value, meets only the probabilities whose two neighbours it holds
+    wanted = offsets.select(*by, "_bucket", "_before", "_all", F.filter(asked, lambda w: either(w, F.col("_before"), F.col("_before") + F.col("_n"))).alias("_asked")).where(F.size("_asked") > 0)
+    inside = W.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+    cum = _meet(flat, wanted, [*by, "_bucket"]).select(*by, F.col(value).cast("double").alias("_v"), "_all", "_asked", (F.col("_before") + F.sum("n").over(inside)).alias("_end"), "n")
+    start, end = F.col("_end") - F.col("n"), F.col("_end")
+    at = cum.select("*", F.explode(F.filter("_asked", lambda w: either(w, start, end))).alias("w")).withColumn("_at", place(F.col("w")))
     low, high = F.floor("_at"), F.ceil("_at")
-    pair = at.groupBy(*by, F.col("w.i").alias("i")).agg(F.max(F.when(holds(low), F.col("_v"))).alias("_lo"), F.max(F.when(holds(high), F.col("_v"))).alias("_hi"), F.first(F.col("_at") - low).alias("_f"))
+    pair = at.groupBy(*by, F.col("w.i").alias("i")).agg(F.max(F.when(holds(low, start, end), F.col("_v"))).alias("_lo"), F.max(F.when(holds(high, start, end), F.col("_v"))).alias("_hi"), F.first(F.col("_at") - low).alias("_f"))
     one = pair.withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
     return one.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "_q"))), lambda s: s["_q"]).alias("q"))
 
