@@ -15,14 +15,15 @@ from riskloom.llm.quality import op10_quality_classifier
 from riskloom.llm.token_counts import op4_token_counts
 from riskloom.llm.toxicity import op3_toxicity
 from riskloom.llm.url_filter import op8_url_filter
+from riskloom.llm.vector_codes import OP11_SQL, op11_vector_codes
 from riskloom.llm.warc import OP5_SQL, op5_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_toxicity, op4_token_counts, op5_warc, op6_decontamination, op7_html_extraction, op8_url_filter, op9_media_columns, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_toxicity, op4_token_counts, op5_warc, op6_decontamination, op7_html_extraction, op8_url_filter, op9_media_columns, op10_quality_classifier, op11_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": OP5_SQL}
+    return {"op5_warc": OP5_SQL, "op11_vector_codes": OP11_SQL}
