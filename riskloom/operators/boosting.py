@@ -1,6 +1,8 @@
 """Gradient boosting on histograms, with monotone constraints.
 
-Features are cut into at most MOST_BINS bins once. Each level of a tree is one aggregate: sums of
+Features are cut into at most MOST_BINS bins once; categories are cut by their weight of evidence, and
+missing or unseen ones have a branch of their own where the training rows hold any, else go where an
+evidence of zero goes. Each level of a tree is one aggregate: sums of
 gradients and hessians by node, feature and bin, whose size doesn't depend on the rows. The driver
 searches splits in them; trees are compiled to expressions over the binned columns, so no row ever
 leaves the executors and a lost one costs its partitions only.
@@ -8,6 +10,7 @@ leaves the executors and a lost one costs its partitions only.
 
 from __future__ import annotations
 
+import bisect
 import json
 import math
 import random
@@ -19,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import bin_right_closed, cuts_literal, no_nan
+from riskloom.operators.search import Dimension, Search
 from riskloom.session import settled
 
 MOST_BINS = 64
@@ -38,25 +42,34 @@ class BoosterParams:
     alpha: float = 0.3
     ridge: float = 4.0
     seed: int = 42
+    #: The weight of label 1 against that which makes both classes weigh the same.
+    positive: float = 1.0
 
 
 @dataclass
 class Booster:
     cuts: dict[str, list[float]]
     base: float
-    #: A tree is a leaf {"leaf": w} or {"feature", "bin", "missing_left", "left", "right", "gain"}.
+    #: A tree is a leaf {"leaf": w} or {"feature", "bin", "missing_left", "left", "right", "gain"}; "cover" is the hessian of its training rows.
     trees: list[dict] = field(default_factory=list)
+    #: The weight of evidence of each category of the categorical features, whose cuts are in these.
+    woe: dict[str, dict[str, float]] = field(default_factory=dict)
 
     # ---- as columns
 
     def binned(self, df: DataFrame) -> DataFrame:
-        """Adds _b_<feature>: the bin, -1 if missing."""
+        """Adds _b_<feature>: the bin, -1 if missing or an unseen category."""
         cols = {}
         for f, c in self.cuts.items():
-            x = no_nan(f)
+            x = self._evidence(f) if f in self.woe else no_nan(f)
             cols[f"_b_{f}"] = F.when(x.isNull(), F.lit(-1)).otherwise(bin_right_closed(x, cuts_literal(c)))
         return df.withColumns(cols)
 
+    def _evidence(self, feature: str) -> Column:
+        items = F.create_map(*[x for k, v in self.woe[feature].items() for x in (F.lit(k), F.lit(float(v)))])
+        key = F.col(feature).cast("string")
+        return F.when(key.isNotNull(), F.try_element_at(items, key))
+
     @staticmethod
     def _left(node: dict) -> Column:
         b = F.col(f"_b_{node['feature']}")
@@ -100,15 +113,16 @@ class Booster:
     # ---- fitting
 
     @staticmethod
-    def fit(df: DataFrame, features: Sequence[str], label: str = "label", params: BoosterParams | None = None, monotone: dict[str, int] | None = None, key: str | None = None) -> Booster:
-        """Logistic loss; rows of label 1 weigh as much as the others together. `monotone` has +1 or -1 by feature."""
-        p, monotone = params or BoosterParams(), monotone or {}
+    def fit(df: DataFrame, features: Sequence[str], label: str = "label", params: BoosterParams | None = None, monotone: dict[str, int] | None = None, key: str | None = None, woe: dict[str, dict[str, float]] | None = None) -> Booster:
+        """Logistic loss; rows of label 1 weigh as much as the others together. `monotone` has +1 or -1 by feature,
+        `woe` the evidence of each category of the features that are categorical."""
+        p, monotone, woe = params or BoosterParams(), monotone or {}, {f: w for f, w in (woe or {}).items() if f in features}
         points = [i / MOST_BINS for i in range(1, MOST_BINS)]
-        row = df.agg(F.count(label).alias("n"), F.sum(F.col(label).cast("double")).alias("b"), *(F.percentile_approx(no_nan(f), points, 100_000).alias(f) for f in features)).first()
+        row = df.agg(F.count(label).alias("n"), F.sum(F.col(label).cast("double")).alias("b"), *(F.percentile_approx(no_nan(f), points, 100_000).alias(f) for f in features if f not in woe)).first()
         if not row["b"] or row["b"] == row["n"]:
             raise ValueError("both classes are needed")
-        heavy = (row["n"] - row["b"]) / row["b"]
-        model = Booster({f: sorted(set(row[f] or [])) for f in features}, 0.0)
+        heavy = p.positive * (row["n"] - row["b"]) / row["b"]
+        model = Booster({f: category_cuts(woe[f]) if f in woe else sorted(set(row[f] or [])) for f in features}, 0.0, woe=woe)
         mark = F.xxhash64(*(F.col(key) if key else F.col(f) for f in ([key] if key else features)))
         rows = settled(model.binned(df.where(F.col(label).isNotNull()).select(*features, F.col(label).cast("double").alias("_y"), mark.alias("_key"))).select("_y", "_key", F.lit(float(model.base)).alias("_m"), *(f"_b_{f}" for f in features)))
         draw = random.Random(p.seed)
@@ -139,8 +153,8 @@ class Booster:
                 sums[r["_node"]][r["f"]][r["b"]] = (r["g"], r["h"])
             following = []
             for n in open_:
-                found = self._split(sums[n["id"]], p, monotone, n, depth < p.depth)
-                n.update(found)
+                n["cover"] = sum(h for _, h in next(iter(sums[n["id"]].values()), {}).values())
+                n.update(self._split(sums[n["id"]], p, monotone, n, depth < p.depth))
                 if "left" in n:
                     following += [n["left"], n["right"]]
             open_ = following
@@ -170,11 +184,12 @@ class Booster:
         best: tuple[float, dict] | None = None
         for f, bins in sorted(sums.items()) if may else ():
             mg, mh = bins.get(-1, (0.0, 0.0))
+            neutral = bisect.bisect_left(self.cuts[f], 0.0) if f in self.woe else None
             gl = hl = 0.0
             known = sorted(b for b in bins if b >= 0)
             for b in known[:-1] if mh == 0 else known:
                 gl, hl = gl + bins[b][0], hl + bins[b][1]
-                for missing_left in ((False, True) if mh else (False,)):
+                for missing_left in (False, True) if mh else (neutral is not None and neutral <= b,):
                     lg, lh = (gl + mg, hl + mh) if missing_left else (gl, hl)
                     if min(lh, H - lh) < p.least_hessian:
                         continue
@@ -194,21 +209,36 @@ class Booster:
 
     def _clean(self, node: dict, rate: float) -> dict:
         if "leaf" in node:
-            return {"leaf": node["leaf"] * rate}
-        return {k: node[k] for k in ("feature", "bin", "missing_left", "gain")} | {s: self._clean(node[s], rate) for s in ("left", "right")}
+            return {"leaf": node["leaf"] * rate, "cover": node["cover"]}
+        return {k: node[k] for k in ("feature", "bin", "missing_left", "gain", "cover")} | {s: self._clean(node[s], rate) for s in ("left", "right")}
+
+
+def category_cuts(woe: dict[str, float]) -> list[float]:
+    """Cuts midway between different weights of evidence, evenly thinned to MOST_BINS bins."""
+    w = sorted(set(woe.values()))
+    between = [(a + b) / 2 for a, b in zip(w, w[1:])]
+    step = max(1.0, len(between) / (MOST_BINS - 1))
+    return [between[int(i * step)] for i in range(min(len(between), MOST_BINS - 1))]
+
 
+def booster_space(trees: tuple[int, int] = (100, 500)) -> tuple[Dimension, ...]:
+    return (
+        Dimension("trees", *trees, whole=True), Dimension("depth", 3, 7, whole=True), Dimension("rate", 0.01, 0.3, log=True), Dimension("subsample", 0.6, 1.0),
+        Dimension("colsample", 0.6, 1.0), Dimension("least_hessian", 1, 10, whole=True), Dimension("gamma", 0.0, 5.0), Dimension("positive", 0.5, 2.0),
+    )
 
-def tune_booster(train: DataFrame, inner: DataFrame, features: Sequence[str], label: str = "label", trials: int = 10, seed: int = 42, monotone: dict[str, int] | None = None, trees: tuple[int, int] = (100, 500)) -> BoosterParams:
-    """The parameters of best KS on `inner`, among seeded random draws."""
+
+def tune_booster(train: DataFrame, inner: DataFrame, features: Sequence[str], label: str = "label", trials: int = 10, seed: int = 42, monotone: dict[str, int] | None = None, trees: tuple[int, int] = (100, 500), woe: dict[str, dict[str, float]] | None = None, search: Search | None = None) -> BoosterParams:
+    """The parameters of best KS on `inner`, by a Parzen estimator; `search` may hold earlier trials and gets the new ones."""
     from riskloom.operators import metrics
 
-    draw, best = random.Random(seed), None
-    for _ in range(trials):
-        p = BoosterParams(draw.randrange(trees[0], trees[1] + 1, 50), draw.randint(3, 7), math.exp(draw.uniform(math.log(0.01), math.log(0.2))), draw.uniform(0.6, 1), draw.uniform(0.6, 1), draw.randint(5, 50), draw.uniform(0, 5), draw.uniform(0, 2), draw.uniform(1, 10), seed)
-        value = metrics.ks(Booster.fit(train, features, label, p, monotone).score(inner, "_p"), "_p", label).first()["ks"]
-        if best is None or value > best[0]:
-            best = (value, p)
-    return best[1]
+    search = search or Search(booster_space(trees), seed)
+
+    def value(given: dict) -> float | None:
+        model = Booster.fit(train, features, label, BoosterParams(**given, seed=seed), monotone, woe=woe)
+        return metrics.ks(model.score(inner, "_p"), "_p", label).first()["ks"]
+
+    return BoosterParams(**search.run(value, trials), seed=seed)
 
 
 def monotone_constraints(df: DataFrame, features: Sequence[str], label: str = "label", least: float = 0.02) -> dict[str, int]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import math
-import random
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import metrics
 from riskloom.operators.encoder import WoeEncoder
+from riskloom.operators.search import Dimension, Search
 
 #: Rows of a bucket in which permutation_importance() shifts values.
 IMPORTANCE_ROWS = 100_000
@@ -84,20 +84,22 @@ def scorecard_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence
     return fit_logistic(train, encoder, encoder.features, label, c)
 
 
-def tune_logistic(train: DataFrame, encoder: WoeEncoder, features: Sequence[str], key: str, label: str = "label", trials: int = 10, folds: int = 5, seed: int = 42) -> float:
-    """The penalty of best mean AUC over folds, among seeded log-uniform draws from 0.001 to 10."""
-    draw = random.Random(seed)
-    fold = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(folds))
-    rows = train.withColumn("_fold", fold)
-    best = (-1.0, 1.0)
-    for _ in range(trials):
-        c = math.exp(draw.uniform(math.log(1e-3), math.log(10)))
+PENALTY_SPACE = (Dimension("c", 1e-3, 10.0, log=True),)
+
+
+def tune_logistic(train: DataFrame, encoder: WoeEncoder, features: Sequence[str], key: str, label: str = "label", trials: int = 10, folds: int = 5, seed: int = 42, search: Search | None = None) -> float:
+    """The penalty of best mean AUC over folds, by a Parzen estimator; `search` may hold earlier trials and gets the new ones."""
+    search = search or Search(PENALTY_SPACE, seed)
+    rows = train.withColumn("_fold", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(folds)))
+
+    def value(given: dict) -> float:
         values = []
         for k in range(folds):
-            model = fit_logistic(rows.where(F.col("_fold") != k), encoder, features, label, c)
+            model = fit_logistic(rows.where(F.col("_fold") != k), encoder, features, label, given["c"])
             values.append(metrics.auc(model.score(rows.where(F.col("_fold") == k), "_p"), "_p", label).first()["auc"] or 0.5)
-        best = max(best, (sum(values) / folds, c))
-    return best[1]
+        return sum(values) / folds
+
+    return search.run(value, trials)["c"]
 
 
 @dataclass
@@ -126,9 +128,7 @@ class Calibrator:
 
 def permutation_importance(df: DataFrame, features: Sequence[str], score, label: str = "label", key: str = "app_id", seed: int = 7) -> DataFrame:
     """feature, importance: the loss of AUC when each row takes a feature's value from the row before it, in random order
-    within hash buckets of about IMPORTANCE_ROWS rows.
-
-    Stands in for attributions by game values, which need a tree library that Spark doesn't bring.
+    within hash buckets of about IMPORTANCE_ROWS rows; for models of any kind.
     """
     base = metrics.auc(score(df), "model_score", label).first()["auc"]
     rows = []

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
+from riskloom.plans.queries import FIXED_BOOSTER
 from riskloom.sources.apps import APPS_SQL
 
 D = "CAST({} AS DOUBLE)".format
@@ -201,6 +205,44 @@ BASELINE = (
 )
 
 
+def _tree(model: dict, node: dict, known: frozenset[str]) -> str:
+    """A tree's value if only the features in `known` are: others send a row down both sides in shares of the covers."""
+    if "leaf" in node:
+        return D(node["leaf"])
+    f, (left, right) = node["feature"], (_tree(model, node[s], known) for s in ("left", "right"))
+    if f not in known:
+        a, b = node["left"]["cover"], node["right"]["cover"]
+        return f"({D(a / (a + b))} * {left} + {D(b / (a + b))} * {right})"
+    x = f"CASE {f} " + " ".join(f"WHEN '{k}' THEN {D(v)}" for k, v in model["woe"][f].items()) + " END" if f in model["woe"] else f
+    return f"CASE WHEN coalesce({x} <= {D(model['cuts'][f][node['bin']])}, {str(node['missing_left']).lower()}) THEN {left} ELSE {right} END"
+
+
+def _known(model: dict, features) -> str:
+    return " + ".join([D(model["base"]), *(_tree(model, t, frozenset(features)) for t in model["trees"])])
+
+
+def _shapley(model: dict) -> str:
+    """A CTE with the margin of each row for every coalition of features, and Shapley values from their differences."""
+    names = list(model["cuts"])
+    sets = [frozenset(c) for k in range(len(names) + 1) for c in itertools.combinations(names, k)]
+    name = {s: f"v{i}" for i, s in enumerate(sets)}
+    share = lambda s: D(math.factorial(len(s)) * math.factorial(len(names) - len(s) - 1) / math.factorial(len(names)))
+    each = ", ".join(" + ".join(f"{share(s)} * ({name[s | {f}]} - {name[s]})" for s in sets if f not in s) + f" AS shap_{f}" for f in names)
+    return f"coalitions AS (SELECT app_id, {', '.join(f'{_known(model, s)} AS {n}' for s, n in name.items())} FROM apps), shap AS (SELECT app_id, {each}, v0 AS shap_base FROM coalitions)"
+
+
+ISOTONIC = (
+    "pts AS (SELECT model_score AS s, avg(CAST(label AS DOUBLE)) AS y, count(*) AS w, row_number() OVER (ORDER BY model_score) AS i FROM apps WHERE split = 'test' GROUP BY model_score)",
+    "cum AS (SELECT i, s, sum(w) OVER (ORDER BY i) AS cw, sum(w * y) OVER (ORDER BY i) AS cy FROM pts)",
+    "spans AS (SELECT j.i AS j, k.i AS k, (k.cy - coalesce(b.cy, 0)) / (k.cw - coalesce(b.cw, 0)) AS m FROM cum j JOIN cum k ON k.i >= j.i LEFT JOIN cum b ON b.i = j.i - 1)",
+    # the least mean of stretches from j to i or beyond, then the largest of these over j
+    "least_ AS (SELECT j, k AS i, min(m) OVER (PARTITION BY j ORDER BY k DESC) AS m FROM spans)",
+    "fit AS (SELECT p.i, p.s, max(l.m) AS y FROM least_ l JOIN pts p USING (i) GROUP BY p.i, p.s)",
+    "pairs AS (SELECT s AS s0, y AS y0, coalesce(lead(s) OVER (ORDER BY s), s) AS s1, coalesce(lead(y) OVER (ORDER BY s), y) AS y1 FROM fit)",
+    "cal AS (SELECT a.split, a.label, CASE WHEN p.s0 IS NULL THEN (SELECT arg_min(y, s) FROM fit) WHEN p.s1 = p.s0 THEN p.y0 ELSE p.y0 + (p.y1 - p.y0) * (a.model_score - p.s0) / (p.s1 - p.s0) END AS c FROM apps a ASOF LEFT JOIN pairs p ON a.model_score >= p.s0)",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     mono = ("total_price", "acct_bal", "sum_qty")
     order = lambda cols: ", ".join(c[1:] + " DESC" if c[0] == "-" else c for c in cols)
@@ -226,6 +268,7 @@ def oracle_sql() -> dict[str, str]:
     firsts = ", ".join(f"({m}) AS m{i}" for i, (m, _) in enumerate(RULES))
     first = "CASE " + " ".join(f"WHEN m{i} THEN {i}" for i in range(len(RULES))) + " ELSE -1 END"
     woe_map = _woe("bin", "fitrows")
+    shap = [*(f"shap_{f}" for f in FIXED_BOOSTER["cuts"]), "shap_base"]
     return {
         "apps": _with("SELECT * FROM apps"),
         "woe_iv_quantile": _woe_numeric(CUTS),
@@ -275,5 +318,9 @@ def oracle_sql() -> dict[str, str]:
         "decision_counts": _with("SELECT split, decision, count(*) AS n FROM final GROUP BY 1, 2", DECIDE),
         "drift_baseline": _with("SELECT feature, CAST(bin AS INTEGER) AS bin, round(expected, 6) AS expected_pct, missing_rate FROM base_", *BASELINE),
         "drift_check": _with("SELECT feature, psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'warning' ELSE 'unstable' END AS psi_level, train_missing_rate, new_missing_rate, round(new_missing_rate - train_missing_rate, 6) AS missing_rate_delta FROM (SELECT feature, round(sum((a - e) * ln(a / e)), 6) AS psi, max(missing_rate) AS train_missing_rate, max(new_missing) AS new_missing_rate FROM (SELECT b.feature, b.missing_rate, greatest(round(b.expected, 8), CAST(1e-6 AS DOUBLE)) AS e, greatest(coalesce(c.n, 0) / CAST(t.known AS DOUBLE), CAST(1e-6 AS DOUBLE)) AS a, round((t.n - t.known) / CAST(t.n AS DOUBLE), 6) AS new_missing FROM base_ b JOIN btot t ON b.feature = t.feature AND t.split = 'valid' LEFT JOIN bcnt c ON b.feature = c.feature AND b.bin = c.bin AND c.split = 'valid') GROUP BY 1)", *BASELINE),
+        "gbt_fixed_scores": _with(f"SELECT app_id, {_r('1 / (1 + exp(-(' + _known(FIXED_BOOSTER, FIXED_BOOSTER['cuts']) + ')))', 'gbt_score')} FROM apps"),
+        "shap_values": _with("SELECT app_id, " + ", ".join(_r(c, c) for c in shap) + " FROM shap", _shapley(FIXED_BOOSTER)),
+        "shap_importance": _with(" UNION ALL ".join(f"SELECT '{c[5:]}' AS feature, {_r(f'avg(abs({c}))', 'shap_importance')} FROM shap" for c in shap[:-1]), _shapley(FIXED_BOOSTER)),
+        "isotonic_calibration": _with("SELECT split, round(avg(c), 6) AS mean_calibrated, round(min(c), 6) AS low, round(max(c), 6) AS high, round(avg(CAST(label AS DOUBLE)), 6) AS bad_rate FROM cal GROUP BY 1", *ISOTONIC),
         "run_diff": _with("SELECT metric, round(run_a, 6) AS run_a, round(run_b, 6) AS run_b, round(run_b - run_a, 6) AS delta_b_minus_a FROM (SELECT metric, max(value) FILTER (WHERE split = 'train') AS run_a, max(value) FILTER (WHERE split = 'valid') AS run_b FROM rl GROUP BY 1)", "rl AS (SELECT split, 'n_total' AS metric, CAST(count(*) AS DOUBLE) AS value FROM apps GROUP BY 1 UNION ALL SELECT split, 'bad_rate', avg(CAST(label AS DOUBLE)) FROM apps GROUP BY 1 UNION ALL SELECT split, 'mean_score', avg(model_score) FROM apps GROUP BY 1)"),
     }

@@ -26,6 +26,20 @@ POLICY = {"score_thresholds": {"reject": 0.75, "review": 0.55}, "segment_overrid
     {"segment_feature": "channel", "segment_value": None, "reject_threshold": 0.6, "review_threshold": 0.4},
     {"segment_feature": "region", "segment_value": "ASIA", "reject_threshold": 0.8, "review_threshold": 0.6},
 ], "reject_rules": [r.document() for r in RULES[:2]]}
+#: Two small trees, as a fitted booster writes them, with a category and a feature met twice on a path.
+FIXED_BOOSTER = {
+    "cuts": {"total_price": [150000.0, 250000.0, 380000.0], "acct_bal": [0.0, 4000.0], "sum_qty": [60.0, 120.0], "channel": [-0.05, 0.03]},
+    "base": -0.25,
+    "woe": {"channel": {"AUTOMOBILE": -0.1, "BUILDING": 0.0, "FURNITURE": 0.0, "HOUSEHOLD": 0.05, "MACHINERY": 0.1}},
+    "trees": [
+        {"feature": "total_price", "bin": 1, "missing_left": False, "gain": 9.0, "cover": 100.0,
+         "left": {"feature": "acct_bal", "bin": 0, "missing_left": True, "gain": 3.0, "cover": 64.0, "left": {"leaf": -0.3, "cover": 24.0}, "right": {"leaf": -0.1, "cover": 40.0}},
+         "right": {"feature": "total_price", "bin": 2, "missing_left": False, "gain": 4.0, "cover": 36.0, "left": {"leaf": 0.2, "cover": 30.0}, "right": {"leaf": 0.7, "cover": 6.0}}},
+        {"feature": "sum_qty", "bin": 1, "missing_left": True, "gain": 5.0, "cover": 90.0,
+         "left": {"feature": "channel", "bin": 0, "missing_left": False, "gain": 2.0, "cover": 50.0, "left": {"leaf": 0.15, "cover": 10.0}, "right": {"leaf": -0.05, "cover": 40.0}},
+         "right": {"feature": "acct_bal", "bin": 1, "missing_left": False, "gain": 2.5, "cover": 40.0, "left": {"leaf": 0.25, "cover": 15.0}, "right": {"leaf": 0.05, "cover": 25.0}}},
+    ],
+}
 TRANSFORM_CUTS = {"total_price": [100000.0, 200000.0, 300000.0], "acct_bal": [0.0, 5000.0]}
 
 
@@ -308,6 +322,38 @@ def gbt_importance(apps):
     return apps.sparkSession.createDataFrame(sorted(model.importance().items()), "feature string, importance double")
 
 
+def gbt_fixed_scores(apps):
+    from riskloom.operators.boosting import Booster
+
+    return _round(Booster(**FIXED_BOOSTER).score(apps, "gbt_score").select("app_id", "gbt_score"))
+
+
+def shap_values(apps):
+    from riskloom.operators.attribution import attributions
+    from riskloom.operators.boosting import Booster
+
+    return _round(attributions(Booster(**FIXED_BOOSTER), apps, ["app_id"]))
+
+
+def shap_importance(apps):
+    from riskloom.operators import attribution
+    from riskloom.operators.boosting import Booster
+
+    return _round(attribution.shap_importance(Booster(**FIXED_BOOSTER), apps))
+
+
+def gbt_categories(apps):
+    """A booster over numbers and a category, fitted on the train part: what it attributes to each on the test part."""
+    from riskloom.operators import attribution
+    from riskloom.operators.boosting import Booster, BoosterParams
+    from riskloom.operators.encoder import WoeEncoder
+
+    part = _train(apps)
+    woe = WoeEncoder.fit(part, (), ("channel", "priority")).categories
+    model = Booster.fit(part, ("total_price", "sum_qty", "channel", "priority"), "label", BoosterParams(trees=4, depth=3, least_hessian=1, gamma=0), {"channel": -1, "priority": -1}, "app_id", woe)
+    return _round(attribution.shap_importance(model, apps.where("split = 'test'")))
+
+
 def tree_rules(apps):
     from riskloom.operators.tree_rules import mine_tree_rules
 
@@ -322,7 +368,7 @@ _BUILDERS: tuple[Callable[[DataFrame], DataFrame], ...] = (
     rule_single_candidates, rule_single_mined, rule_backtest, rule_combined, rule_overlap, rule_stability, rule_marginal,
     score_policy, global_grid, global_pick, segment_report, segment_discrimination, segment_grid, segment_pick, final_comparison, leaderboard, recommendation_tiers,
     prob_to_score, woe_transform, score_decisions, decision_counts, drift_baseline, drift_check, run_diff,
-    tree_cuts, variable_selection, lr_scorecard, isotonic_calibration, gbt_scores, gbt_importance, tree_rules,
+    tree_cuts, variable_selection, lr_scorecard, isotonic_calibration, gbt_scores, gbt_importance, gbt_fixed_scores, shap_values, shap_importance, gbt_categories, tree_rules,
 )
 
 

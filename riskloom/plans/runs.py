@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from riskloom.config import Config
 from riskloom.functions.expressions import score_points
 from riskloom.operators import binning, eda, metrics, models, policy, rules, scoring, splits
-from riskloom.operators.boosting import Booster, BoosterParams, monotone_constraints, tune_booster
+from riskloom.operators.attribution import shap_importance
+from riskloom.operators.boosting import Booster, BoosterParams, booster_space, monotone_constraints, tune_booster
 from riskloom.operators.encoder import WoeEncoder
+from riskloom.operators.search import Search
 from riskloom.operators.selection import select_variables
 from riskloom.operators.tree_rules import mine_tree_rules
 from riskloom.plans.dashboard import render
@@ -67,7 +69,7 @@ def _train(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ro
     explore(part, df, numeric, categorical, label, by, config, time, key, save)
     chosen = save("variable_selection", select_variables(part, numeric, categorical, label, time, key, config.eda.corr_threshold, config.eda.monotone_spearman_min, config.eda.psi_stable))
     selected = {r["feature"] for r in chosen.where("status = 'kept'").collect()}
-    card, booster = fit_models(df, part, numeric, categorical, label, by, config, algorithms, key)
+    card, booster = fit_models(part, numeric, categorical, label, config, algorithms, key, save)
     save("scorecard", card.scorecard())
     fitted = {"lr": card.score} | ({"gbt": booster.score} if booster else {})
     tables = {name: metrics.model_metrics(score(df, "model_score"), "model_score", label, (by,)).collect() for name, score in fitted.items()}
@@ -75,6 +77,8 @@ def _train(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ro
     save("model_comparison", df.sparkSession.createDataFrame([(name, r[by], r["auc"], r["ks"], r["gini"]) for name, rows in tables.items() for r in rows], "model string, dataset string, auc double, ks double, gini double"))
     best = max(results, key=lambda n: results[n].get("test", {}).get(config.model.primary_metric.upper()) or 0.0)
     if config.model.importance:
+        if booster:
+            save("shap_importance", shap_importance(booster, df.where(F.col(by) == "test")))
         save("feature_importance", models.permutation_importance(df.where(F.col(by) == "test"), numeric, lambda x: fitted[best](x, "model_score"), label, key))
     scored = settled(fitted[best](df, "model_score"))
     calibrator = models.Calibrator.fit(scored.where(F.col(by) == "test"), "model_score", label)
@@ -109,20 +113,30 @@ def explore(part: DataFrame, df: DataFrame, numeric: Sequence[str], categorical:
     save("vif_table", eda.vif_table(part, numeric, config.eda.vif_threshold))
 
 
-def fit_models(df: DataFrame, part: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, by: str, config: Config, algorithms: Sequence[str], key: str) -> tuple[models.Scorecard, Booster | None]:
-    """The scorecard and, if asked for, the booster; with `tune` their parameters are searched on the train part only."""
-    m = config.model
+def fit_models(part: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, config: Config, algorithms: Sequence[str], key: str, save: Save) -> tuple[models.Scorecard, Booster | None]:
+    """The scorecard and, if asked for, the booster over numbers and the encoder's categories; with `tune` their parameters
+    are searched on the train part only, and the trials are reports."""
+    m, seed = config.model, config.split.random_state
+    spark = part.sparkSession
     encoder = WoeEncoder.fit(part, numeric, categorical, label, least_missing=m.woe_missing_min_samples)
-    c = models.tune_logistic(part, encoder, encoder.features, key, label, m.trials, m.cv_folds, config.split.random_state) if m.tune else m.lr_c
+    c = m.lr_c
+    if m.tune:
+        search = Search(models.PENALTY_SPACE, seed)
+        c = models.tune_logistic(part, encoder, encoder.features, key, label, m.trials, m.cv_folds, seed, search)
+        save("lr_trials", search.table(spark))
     card = models.fit_logistic(part, encoder, encoder.features, label, c)
     if "gbt" not in algorithms:
         return card, None
-    ways = monotone_constraints(part, numeric, label, m.monotone_min_abs_corr) if m.monotone else {}
+    woe = encoder.categories
+    features = [*numeric, *woe]
+    ways = monotone_constraints(part, numeric, label, m.monotone_min_abs_corr) | dict.fromkeys(woe, -1) if m.monotone else {}
     params = BoosterParams(**m.booster)
     if m.tune:
-        outer, inner = splits.inner_split(part, label, key, seed=config.split.random_state)
-        params = tune_booster(outer, inner, numeric, label, m.trials, config.split.random_state, ways, m.tune_trees)
-    return card, Booster.fit(part, numeric, label, params, ways, key)
+        outer, inner = splits.inner_split(part, label, key, seed=seed)
+        search = Search(booster_space(m.tune_trees), seed)
+        params = tune_booster(outer, inner, features, label, m.trials, seed, ways, woe=woe, search=search)
+        save("gbt_trials", search.table(spark))
+    return card, Booster.fit(part, features, label, params, ways, key, woe)
 
 
 def judge(scored: DataFrame, calibrator: models.Calibrator, numeric: Sequence[str], label: str, by: str, key: str, config: Config, root: Path, save: Save) -> None:
