@@ -11,16 +11,16 @@ from riskloom.streaming.scorer import score_stream
 REPORTS = (
     "split_profile", "quality", "woe_bin_report", "iv_table", "psi_table", "vif_table", "variable_selection", "scorecard", "model_comparison", "feature_importance",
     "calibration_report", "score_bins", "score_bin_stability", "stability_report", "rules_merged", "rule_backtest", "rule_stability", "score_policy", "global_policy_grid",
-    "segment_discrimination", "segment_policy_grid", "segment_recommendation", "final_strategy_comparison", "strategy_leaderboard", "strategy_recommendation", "overfit_diagnostics",
+    "segment_discrimination", "segment_policy_grid", "segment_recommendation", "final_strategy_comparison", "strategy_leaderboard", "strategy_recommendation", "overfit_diagnostics", "shap_importance", "lr_trials", "gbt_trials",
 )
 FEATURES = (("total_price", "sum_qty"), ("channel",))
 
 
 def test_train_score_promote_compare(spark, tmp_path):
     apps = load_apps(spark, "/root/testdata/sf0.001").drop("model_score").persist()
-    config = Config().override({"model": {"booster": {"trees": 2}}, "strategy": {"segment_features": ["channel"], "rule_max_coverage": 0.1, "rule_min_lift": 1.5, "rule_max_lift_drop": 2.0, "segment_use_discrimination_filter": False}})
-    summary = runs.train(apps, *FEATURES, str(tmp_path / "a"), config=config, algorithms=("lr",), time="apply_time")
-    assert summary["best_model"] == "lr" and summary["n_total"] == 1500 and summary["model_metrics"]["lr"]["test"]["AUC"] > 0.7
+    config = Config().override({"model": {"tune": True, "trials": 2, "cv_folds": 2, "tune_trees": [1, 2]}, "strategy": {"segment_features": ["channel"], "rule_max_coverage": 0.1, "rule_min_lift": 1.5, "rule_max_lift_drop": 2.0, "segment_use_discrimination_filter": False}})
+    summary = runs.train(apps, *FEATURES, str(tmp_path / "a"), config=config, time="apply_time")
+    assert summary["best_model"] in ("lr", "gbt") and summary["n_total"] == 1500 and min(summary["model_metrics"][m]["test"]["AUC"] for m in ("lr", "gbt")) > 0.7
     assert summary["n_selected_vars"] >= 1 and summary["n_single_rules"] >= 1 and summary["best_strategy"]["best_strategy"]
     for name in REPORTS:
         assert spark.read.parquet(str(tmp_path / "a" / "reports" / name)).count() > 0, name
