@@ -183,7 +183,7 @@ def coded(rows: DataFrame, codebooks: np.ndarray, key: str) -> DataFrame:
     digits = max(2, len(f"{max(0, entries - 1):x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = [Nearest(book) for book in codebooks]
+        trees = [Nearest(book) for book in codebooks] if entries else []
         for batch, m in _blocks(batches, parts * width):
             found = [tree(m[:, p * width : (p + 1) * width]) for p, tree in enumerate(trees)]
             codes = np.stack([index for index, _ in found], axis=1)
