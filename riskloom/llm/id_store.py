@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.storage import Scratch, shared_folder, table, text_slices
-from riskloom.llm.token_counts import BEYOND, Known
+from riskloom.llm.token_counts import BEYOND, KNOWN_LETTERS, MOST_PIECES, Known
 from riskloom.llm.warc import SHARD_BYTES, TEMPORARY, _file_system, range_borders
 
 #: Documents that the dictionary is trained on at most, text bytes of each at most, bytes of the dictionary.
@@ -52,6 +53,7 @@ class Coder:
     def __init__(self, config: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores already
         self.library = Tokenizer.from_str(config)
         self.known = Known(self.whole)
         spec = json.loads(config)
@@ -68,20 +70,33 @@ class Coder:
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
     def whole(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit integers."""
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers."""
+    def pieces(self, text: str) -> list[str] | None:
+        """The stretches between blanks, in lower case; None for texts that only the library can take apart."""
         if not self.by_piece or BEYOND.search(text):
-            return self.whole(text)
+            return None
         low = text.lower()
-        if any(m in low for m in self.marks):
-            return self.whole(text)
-        return b"".join(map(self.known.__getitem__, low.split()))
-
-    def serialized(self, text: str | None, end_id: int) -> bytes:
-        ids = np.frombuffer(self.encode(text or "") + struct.pack("<I", end_id), "<u4")
-        return ids.astype(f"<u{self.width}").tobytes()
+        return None if any(m in low for m in self.marks) else low.split()
+
+    def learn(self, texts: list[list[str] | None]) -> None:
+        """Has the library encode all pieces that aren't remembered at once."""
+        known, older = self.known, self.known.older
+        new = [w for w in {w for t in texts if t for w in t if w not in known and w not in older} if len(w) <= KNOWN_LETTERS]
+        if len(known) + len(new) > MOST_PIECES:
+            known.older = dict(known)
+            known.clear()
+        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
+            known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+    def serialized(self, texts: list[str | None], end_id: int) -> list[bytes]:
+        """Each text's ids and the end id, in as many bytes each as the vocabulary needs."""
+        taken = [self.pieces(t or "") for t in texts]
+        self.learn(taken)
+        end, narrow = struct.pack("<I", end_id), f"<u{self.width}"
+        raw = [self.whole(t) if p is None else b"".join(map(self.known.__getitem__, p)) for t, p in zip(texts, taken)]
+        return [np.frombuffer(r + end, "<u4").astype(narrow).tobytes() for r in raw]
 
 
 _coders: dict[str, Coder] = {}
@@ -162,7 +177,7 @@ def write_ids(documents: DataFrame, folder: str, tokenizer_path: str, text: str
     marks = scratch.settle(rows.select("k", "digest", "n"), "ids-marks")
     borders = range_borders(marks, shard_bytes)
     short = rows.where(F.col("n") <= SAMPLE_BYTES).orderBy(F.xxhash64("digest", "k"), "digest", "k").limit(SAMPLE_ROWS).select("text").collect()
-    dictionary = train_dictionary([coder_of(config).serialized(r["text"], end_id) for r in short])
+    dictionary = train_dictionary(coder_of(config).serialized([r["text"] for r in short], end_id))
     given = spark.sparkContext.broadcast((config, dictionary, borders))
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +188,7 @@ def write_ids(documents: DataFrame, folder: str, tokenizer_path: str, text: str
             for b in text_slices(whole, "text"):
                 keys, digests = b.column("k").to_pylist(), b.column("digest").to_pylist()
                 shards = [bisect.bisect_right(borders, (k is not None, k or 0, d)) for k, d in zip(keys, digests)]
-                raw = [coder.serialized(t, end_id) for t in b.column("text").to_pylist()]
+                raw = coder.serialized(b.column("text").to_pylist(), end_id)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shards, pa.int32()), b.column("k"), b.column("digest"), pa.array([len(r) // coder.width for r in raw], pa.int64()), pa.array([packer.compress(r) for r in raw], pa.binary())],
                     names=["shard", "k", "digest", "ids", "frame"],
