@@ -18,99 +18,125 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.storage import Scratch, hot_keys, join_apart, release, table, text_slices
-from riskloom.llm.textkernel import lower_table, texts_of
+from riskloom.llm.textkernel import texts_of
 
 #: The contract's numbers: least occurrences, words of a phrase, phrases a language, percent at which a longer phrase makes up for a shorter.
 LEAST, MAX_WORDS, TOP, ABSORB = 100, 5, 2000, 100
+LINE, SPACE = pa.scalar(b"\n", pa.large_binary()), pa.scalar(b" ", pa.large_binary())
 #: Text bytes whose phrases are added up at once in a task.
 SLICE = 8 << 20
+#: Rows in a batch that a task hands on.
+ROWS = 50_000
 #: Parts of a language that are ranked apart before the last ranking, which then sees TOP rows of each at most.
 RANK_PARTS = 64
 
 #: Characters between pieces, and those between words of a piece.
 BETWEEN_PIECES, BETWEEN_WORDS = b".,;:!?\n\x0b\x0c\r", b" \t"
-_LOWER = lower_table(BETWEEN_PIECES + BETWEEN_WORDS)
-_BREAK = np.zeros(256, bool)
+_SOLID, _BREAK = np.ones(256, bool), np.zeros(256, bool)
+_SOLID[list(BETWEEN_PIECES + BETWEEN_WORDS)] = False
 _BREAK[list(BETWEEN_PIECES)] = True
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[0x41:0x5B] += 0x20
 
 
 class Words:
-    """The words of a slice of texts: numbers by (language, word), room to the end of their piece, and their bytes joined by spaces."""
+    """The words of a slice of texts: numbers by language and word, and how many words stand from each to the end of its piece."""
 
     def __init__(self, texts: pa.Array, langs: pa.Array):
         raw, offsets = texts_of(texts)
-        seen = _LOWER[raw]
-        solid = np.zeros(len(raw) + 2, bool)
-        solid[1:-1] = seen != 0
-        first = solid[1:-1] & ~solid[:-2]
+        solid = np.ones(len(raw) + 2, bool)
+        solid[1:-1] = _SOLID[raw]
+        solid[[0, -1]] = False
+        edge = solid[1:] != solid[:-1]
         inner = offsets[1:-1]
-        inner = inner[inner < len(raw)]
-        first[inner] = solid[1:-1][inner]  # a text's start also starts a word
-        start = np.flatnonzero(first)
-        self.n = n = len(start)
-        letters = np.add.reduceat(solid[1:-1], start, dtype=np.int64) if n else np.zeros(0, np.int64)
-        lowered = np.where(seen == 256, 0, seen).astype(np.uint8)[solid[1:-1]]
-        ends = np.cumsum(letters)
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int64)), pa.py_buffer(lowered)])
-        #: All words, each followed by a space; where they begin and end there.
-        self.begin = ends - letters + np.arange(n)
-        self.end = ends + np.arange(n)
-        text = np.full(len(lowered) + n, 32, np.uint8)
-        text[np.arange(len(lowered)) + np.repeat(np.arange(n), letters)] = lowered
-        self.text = text.tobytes()
-        doc = np.searchsorted(offsets, start, "right") - 1
-        breaks = np.concatenate(([0], np.cumsum(_BREAK[raw])))[start]
-        new = np.ones(n, bool)
-        new[1:] = (breaks[1:] != breaks[:-1]) | (doc[1:] != doc[:-1])
-        piece = np.flatnonzero(new)
-        self.room = np.repeat(np.diff(np.append(piece, n)), np.diff(np.append(piece, n))) - (np.arange(n) - np.repeat(piece, np.diff(np.append(piece, n))))
-        known = langs.dictionary_encode()
-        self.langs = known.dictionary
-        self.lang = known.indices.to_numpy(zero_copy_only=False)[doc].astype(np.int64)
-        self.word = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-
-    def phrases(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where each distinct phrase of a language first starts, and how often it occurs; in the order of word numbers."""
+        twice = np.zeros(len(edge), np.int8)
+        twice[inner[solid[inner] & solid[inner + 1]]] = 1  # a text's start also parts words: an end and a start
+        at = np.flatnonzero(edge | (twice > 0))
+        at = np.repeat(at, 1 + twice[at])
+        start, end = at[::2], at[1::2]
+        n = len(start)
+        ends = np.concatenate(([0], np.cumsum(end - start)))
+        word = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(_LOW[raw[solid[1:-1]]])]).dictionary_encode()
+        doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, offsets)))
+        new = np.zeros(n + 1, bool)
+        new[0] = True
+        new[1:-1] = doc[1:] != doc[:-1]
+        new[np.searchsorted(start, np.flatnonzero(_BREAK[raw]))] = True
+        piece = np.append(np.flatnonzero(new[:-1]), n)
+        self.room = np.repeat(piece[1:], np.diff(piece)) - np.arange(n)
+        lang = langs.dictionary_encode()
+        self.words, self.langs = word.dictionary, lang.dictionary
+        self.number = lang.indices.to_numpy(zero_copy_only=False)[doc].astype(np.int64) * max(1, len(self.words)) + word.indices.to_numpy(zero_copy_only=False)
+        self.most = max(1, len(self.words)) * max(1, len(self.langs))
+
+    def phrases(self, length: int) -> tuple[pa.Array, np.ndarray]:
+        """Each distinct phrase of a language, after the language and a line end, and its count; the same beginnings together."""
         at = np.flatnonzero(self.room >= length)
-        number = (self.lang[at] << 32) | self.word[at]
+        # numbers of parts are put side by side in 64 bits; where they don't fit, those so far are numbered anew
+        key, most, shifts, older = self.number[at], self.most, [], []
         for i in range(1, length):
-            _, number = np.unique(number, return_inverse=True)
-            number = (number << 32) | self.word[at + i]
-        _, first, count = np.unique(number, return_index=True, return_counts=True)
-        return at[first], count
+            bits = int(self.most).bit_length()
+            if int(most).bit_length() + bits > 62:
+                key, known = pd.factorize(key)
+                older.append((known, shifts))
+                most, shifts = max(1, len(known)), []
+            key = (key.astype(np.int64) << bits) | self.number[at + i]
+            most, shifts = most << bits, [*shifts, bits]
+        key.sort()
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        where = np.flatnonzero(new)
+        count, key = np.diff(np.append(where, len(key))), key[where]
+        numbers = []
+        while True:
+            for bits in reversed(shifts):
+                numbers.append(key & ((1 << bits) - 1))
+                key = key >> bits
+            if not older:
+                break
+            known, shifts = older.pop()
+            key = known[key]
+        numbers = [key, *reversed(numbers)]
+        langs, words = np.divmod(np.stack(numbers) if numbers else np.zeros((1, 0), np.int64), max(1, len(self.words)))
+        first, *rest = [self.words.take(pa.array(w)) for w in words]
+        phrase = pc.binary_join_element_wise(self.langs.cast(pa.large_binary()).take(pa.array(langs[0])), first, LINE)
+        return (pc.binary_join_element_wise(phrase, *rest, SPACE) if rest else phrase), count
 
 
 def phrase_rows(documents: DataFrame, length: int, text: str, lang: str) -> DataFrame:
-    """lang, phrase, n: rows of all phrases of a length, equal ones of a slice added up; with length 1 also the number of words, as the empty phrase."""
+    """key, n: rows of all phrases of a length, equal ones of a slice added up; with length 1 also the number of words, as the
+    empty phrase. The key is the language and the phrase, with a line end, which no word holds, between them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole, "text", SLICE):
                 w = Words(b.column("text"), b.column("lang"))
-                at, count = w.phrases(length)
-                phrases = [w.text[i:j] for i, j in zip(w.begin[at].tolist(), w.end[at + length - 1].tolist())]
-                langs = w.lang[at]
+                keys, count = w.phrases(length)
+                for i in range(0, len(keys), ROWS):
+                    yield pa.RecordBatch.from_arrays([keys.slice(i, ROWS).cast(pa.binary()).cast(pa.string()), pa.array(count[i : i + ROWS], pa.int64())], names=["key", "n"])
                 if length == 1:
-                    total = np.bincount(w.lang, minlength=len(w.langs))
-                    phrases += [b""] * len(total)
-                    langs, count = np.concatenate((langs, np.arange(len(total)))), np.concatenate((count, total))
-                yield pa.RecordBatch.from_arrays([w.langs.take(pa.array(langs)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(count, pa.int64())], names=["lang", "phrase", "n"])
+                    total = np.bincount(w.number // max(1, len(w.words)), minlength=len(w.langs))
+                    yield pa.RecordBatch.from_arrays([pa.array([f"{x}\n" for x in w.langs.to_pylist()], pa.string()), pa.array(total, pa.int64())], names=["key", "n"])
 
     given = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    return given.mapInArrow(run, "lang string, phrase string, n long")
+    return given.mapInArrow(run, "key string, n long")
 
 
 def frequent_phrases(documents: DataFrame, least: int, max_words: int, text: str, lang: str, scratch: Scratch) -> list[DataFrame]:
     """For each length a settled table (lang, phrase, a) of phrases that occur `least` times; with the first, the empty phrase."""
     found = []
     for length in range(1, max_words + 1):
-        counted = phrase_rows(documents, length, text, lang).groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
-        found.append(scratch.settle(counted.where((F.col("a") >= least) | (F.col("phrase") == "")), f"phrases-{length}"))
+        counted = phrase_rows(documents, length, text, lang).groupBy("key").agg(F.sum("n").alias("a"))
+        phrase = F.substring_index("key", "\n", -1)
+        parted = counted.where((F.col("a") >= least) | F.col("key").endswith("\n")).select(F.expr("left(key, length(key) - length(substring_index(key, '\n', -1)) - 1)").alias("lang"), phrase.alias("phrase"), "a")
+        found.append(scratch.settle(parted, f"phrases-{length}"))
         release(documents.sparkSession)
         if found[-1].where("phrase <> ''").isEmpty():
             break
