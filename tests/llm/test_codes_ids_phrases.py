@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -68,7 +69,7 @@ def test_vector_codes_decode_repeat_and_need_no_rows(spark):
     df = spark.createDataFrame([(None, [0.1] * 16), (3, [0.2] * 16), (3, [0.2] * 16)], "vec_id long, embedding array<float>")
     codes, books = vector_codes.vector_codes(df, label=None)
     rows = vector_codes.decoded(codes, books).collect()
-    assert len(rows) == 3 and {r["code"] for r in rows if r["vec_id"] == 3} == {"00" * 16}
+    assert len(rows) == 3 and {r["code"] for r in rows if r["vec_id"] == 3} == {"00" * 16} and books.shape == (16, 3, 1)
     assert all(abs(r["vector"][0] - (0.2 if r["vec_id"] == 3 else 0.1)) < 1 / 128 for r in rows)
     codes, books = vector_codes.vector_codes(df.where("vec_id < 0"), label=None)
     assert codes.count() == 0 and books.size == 0
@@ -147,8 +148,8 @@ def test_phrases_equal_plain_version(spark):
     rows = [(t, [None, "en", "und", "fr"][i % 4]) for i, t in enumerate(texts)]
     df = spark.createDataFrame([(t, g, "p") for t, g in rows], "text string, lang string, phrase string").repartition(3)
     for least, top in ((4, 2000), (8, 5)):
-        got = phrases.collocations(df, least=least, top=top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()
-        assert {tuple(r) for r in got} == plain_phrases(rows, least, 5, top)
+        got = phrases.collocations(df.withColumn("lang", F.when(F.col("lang") == "fr", "f\nr").otherwise(F.col("lang"))), least=least, top=top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()
+        assert {tuple(r) for r in got} == plain_phrases([(t, "f\nr" if g == "fr" else g) for t, g in rows], least, 5, top)
     assert phrases.collocations(df.where("text = 'none'")).count() == 0
 
 
