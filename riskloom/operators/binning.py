@@ -7,19 +7,20 @@ are small (a few numbers a feature); they reach the rows as literals.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, fields
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import bin_or_missing, floored, interval_label, iv_label, no_nan, share
 from riskloom.operators.ordered import cumulative_by_value, quantiles
+from riskloom.session import settled
 
 Cuts = dict[str, list[float]]
-#: Ranges of a feature's values, by rank, between which the tree search may cut.
-TREE_RANGES = 20_000
+#: Ranges that the tree search starts with, parts that a range is made of when it is looked into, and ranges looked into in a round.
+TREE_RANGES, FINER, MOST_REFINED = 1024, 32, 4096
 
 
 def long_form(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ("label",)) -> DataFrame:
@@ -58,52 +59,123 @@ def _gini(n: np.ndarray, bad: np.ndarray) -> np.ndarray:
     return np.where(n > 0, 2 * bad * (n - bad) / np.maximum(n, 1), 0.0)
 
 
-def best_first_cuts(first: np.ndarray, last: np.ndarray, n: np.ndarray, bad: np.ndarray, leaves: int, leaf: int) -> list[float]:
-    """Cuts of a gini tree on a sorted histogram that splits its best leaf until it has `leaves`."""
-    total_n, total_bad = np.concatenate(([0], np.cumsum(n))), np.concatenate(([0], np.cumsum(bad)))
+@dataclass
+class Ranges:
+    """A feature's values in order, in ranges of neighbours; a range of one value can't be cut, others hold `values` of them.
+
+    Ranges are those of a number of equal steps of position, `step` the how manieth; `level` says how fine the steps are.
+    """
+
+    first: np.ndarray
+    last: np.ndarray
+    n: np.ndarray
+    bad: np.ndarray
+    values: np.ndarray
+    level: np.ndarray
+    step: np.ndarray
+
+    @staticmethod
+    def of(rows: Sequence[Sequence], level: int) -> Ranges:
+        """From (first, last, n, bad, values, step)."""
+        first, last, n, bad, values, step = (np.array(c, t) for c, t in zip(zip(*sorted(rows)), (float, float, *[np.int64] * 4)))
+        return Ranges(first, last, n, bad, values, np.full(len(n), level), step)
+
+    def refined(self, gone: np.ndarray, new: Sequence[Ranges]) -> Ranges:
+        """With finer ranges in place of those at `gone`."""
+        parts = [np.concatenate([np.delete(getattr(self, f.name), gone), *(getattr(r, f.name) for r in new)]) for f in fields(self)]
+        order = np.argsort(parts[0], kind="stable")
+        return Ranges(*(p[order] for p in parts))
+
+
+def search_ranges(r: Ranges, leaves: int, leaf: int) -> tuple[list[float], dict[int, float]]:
+    """Cuts of a gini tree that splits its best leaf until it has `leaves`, between ranges; and the ranges inside which a better
+    cut may lie, with the most that it can gain.
+
+    A gain is a convex function of the rows and bad rows to the left. Inside a range these lie in a parallelogram, with
+    corners at the range's ends and where all its bad rows come first or last; no cut inside gains more than the corners.
+    """
+    total_n, total_bad = np.concatenate(([0], np.cumsum(r.n))), np.concatenate(([0], np.cumsum(r.bad)))
+    mixed = (r.values > 1) & (r.bad > 0) & (r.bad < r.n)
+    open_: dict[int, float] = {}
 
     def best(a: int, b: int) -> tuple[float, int]:
-        left_n, left_bad = total_n[a + 1 : b] - total_n[a], total_bad[a + 1 : b] - total_bad[a]
         all_n, all_bad = total_n[b] - total_n[a], total_bad[b] - total_bad[a]
-        gain = _gini(np.array([all_n]), np.array([all_bad]))[0] - _gini(left_n, left_bad) - _gini(all_n - left_n, all_bad - left_bad)
-        gain = np.where((left_n >= leaf) & (all_n - left_n >= leaf), gain, -1.0)
-        if not len(gain) or gain.max() <= 1e-12:
-            return 0.0, -1
-        return float(gain.max()), a + 1 + int(gain.argmax())
-
-    parts = {(0, len(n)): best(0, len(n))}
+        whole = _gini(np.array([all_n]), np.array([all_bad]))[0]
+        gain = lambda n, bad: whole - _gini(n, bad) - _gini(all_n - n, all_bad - bad)
+        left_n, left_bad = total_n[a + 1 : b] - total_n[a], total_bad[a + 1 : b] - total_bad[a]
+        found = np.where((left_n >= leaf) & (all_n - left_n >= leaf), gain(left_n, left_bad), -1.0)
+        most, at = (float(found.max()), a + 1 + int(found.argmax())) if len(found) else (0.0, -1)
+        if most <= 1e-12:
+            most, at = 0.0, -1
+        before_n, before_bad, n, bad = total_n[a:b] - total_n[a], total_bad[a:b] - total_bad[a], r.n[a:b], r.bad[a:b]
+        inside = mixed[a:b] & (before_n + n > leaf) & (all_n - before_n > leaf)
+        bound = np.maximum(np.maximum(gain(before_n + bad, before_bad + bad), gain(before_n + n - bad, before_bad)), np.maximum(gain(before_n, before_bad), gain(before_n + n, before_bad + bad)))
+        for i in np.flatnonzero(inside & (bound > 1e-12) & (bound >= most * (1 - 1e-12))):
+            open_[a + int(i)] = max(open_.get(a + int(i), 0.0), float(bound[i]))
+        return most, at
+
+    parts = {(0, len(r.n)): best(0, len(r.n))}
     cuts = []
     while len(parts) < leaves:
-        (a, b), (gain, at) = max(parts.items(), key=lambda x: (x[1][0], -x[0][0]))
+        (a, b), (_, at) = max(parts.items(), key=lambda x: (x[1][0], -x[0][0]))
         if at < 0:
             break
         del parts[a, b]
         parts[a, at], parts[at, b] = best(a, at), best(at, b)
-        cuts.append((last[at - 1] + first[at]) / 2)
-    return sorted(float(c) for c in cuts)
+        cuts.append((r.last[at - 1] + r.first[at]) / 2)
+    return sorted(float(c) for c in cuts), open_
+
 
+def best_first_cuts(first: np.ndarray, last: np.ndarray, n: np.ndarray, bad: np.ndarray, leaves: int, leaf: int) -> list[float]:
+    """Cuts of a gini tree on a sorted histogram that splits its best leaf until it has `leaves`."""
+    one = np.ones(len(n), np.int64)
+    return search_ranges(Ranges(first, last, n, bad, one, one, one), leaves, leaf)[0]
 
-def tree_cuts(df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 10, leaf: int = 50) -> Cuts:
-    """Supervised cuts. Spark sums the label by value; one small sorted histogram a feature is searched.
 
-    Values are taken in ranges by rank, of one TREE_RANGES-th of the rows each (a value is never
-    split), at every size of the data: with no more rows than that each value is a range of its own,
-    and a histogram is always of bounded size. A cut lies midway between a range's last value and
-    the next range's first.
+def tree_cuts(df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 10, leaf: int = 50, ranges: int | None = None) -> Cuts:
+    """Supervised cuts, the same as of a search over all values, at every size of the data.
+
+    Spark sums the label by value and by ranges of neighbouring values. The search over ranges also
+    tells which ranges may hold a better cut; Spark parts these into finer ones, until none may. So
+    the driver gets a bounded number of ranges a round, and how many there are at first (`ranges`, else
+    TREE_RANGES) changes no cut. A cut lies midway between two neighbouring values.
     """
+    ranges = ranges or TREE_RANGES
     rows = long_form(df, features, (F.col(label).alias("label"),)).where("value IS NOT NULL AND label IS NOT NULL")
     cum = cumulative_by_value(rows, ["feature"], "value", {"n": F.count("*"), "bad": F.sum("label")})
-    size = rows.groupBy("feature").agg(F.count("*").alias("size"))
-    part = F.floor((F.col("cum_n") - F.col("n")) * TREE_RANGES / F.col("size"))
-    sums = cum.join(F.broadcast(size), "feature").groupBy("feature", part.alias("part")).agg(F.min("value").alias("first"), F.max("value").alias("last"), F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-
-    def search(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("first")
-        cuts = best_first_cuts(rows["first"].to_numpy(), rows["last"].to_numpy(), rows["n"].to_numpy(), rows["bad"].to_numpy(), bins, leaf)
-        return pd.DataFrame({"feature": [rows["feature"].iloc[0]], "cuts": [cuts]})
-
-    found = sums.groupBy("feature").applyInPandas(search, "feature string, cuts array<double>").collect()
-    return {f: [] for f in features} | {r["feature"]: list(r["cuts"]) for r in found}
+    spots = settled(cum.select("feature", "value", "n", "bad", (F.col("cum_n") - F.col("n")).alias("start"), F.col("all_n").alias("size")))
+
+    def at(level: int) -> Column:
+        """The step of a value: which of ranges * FINER^level equal parts its first row lies in."""
+        return F.expr(f"CAST(CAST(start AS DECIMAL(19,0)) * CAST({ranges * FINER**level} AS DECIMAL(19,0)) div size AS BIGINT)")
+
+    def summed(part: DataFrame, level: int) -> dict[str, list[tuple]]:
+        out: dict[str, list[tuple]] = {}
+        sums = part.groupBy("feature", at(level).alias("step")).agg(F.min("value").alias("first"), F.max("value").alias("last"), F.sum("n").alias("n"), F.sum("bad").cast("long").alias("bad"), F.count("*").alias("values"))
+        for r in sums.collect():
+            out.setdefault(r["feature"], []).append((r["first"], r["last"], r["n"], r["bad"], r["values"], r["step"]))
+        return out
+
+    known = {f: Ranges.of(x, 0) for f, x in summed(spots, 0).items()}
+    cuts: Cuts = {f: [] for f in features}
+    wanted = list(known)
+    while wanted:
+        asked: list[tuple[float, str, int]] = []
+        for f in wanted:
+            cuts[f], open_ = search_ranges(known[f], bins, leaf)
+            asked += [(-bound, f, i) for i, bound in open_.items()]
+        asked = sorted(asked)[:MOST_REFINED]  # the others' turn comes later
+        wanted = sorted({f for _, f, _ in asked})
+        finer: dict[str, list[Ranges]] = {f: [] for f in wanted}
+        for level in sorted({int(known[f].level[i]) for _, f, i in asked}):
+            steps = [(f, int(known[f].step[i])) for _, f, i in asked if known[f].level[i] == level]
+            chosen = df.sparkSession.createDataFrame(steps, "feature string, step long")
+            part = spots.withColumn("step", at(level)).join(F.broadcast(chosen), ["feature", "step"], "left_semi").drop("step")
+            for f, x in summed(part, level + 1).items():
+                finer[f].append(Ranges.of(x, level + 1))
+        for f in wanted:
+            known[f] = known[f].refined(np.array([i for _, g, i in asked if g == f]), finer[f])
+    return cuts
 
 
 def cuts_map(cuts: Cuts) -> Column:
