@@ -3,11 +3,13 @@
 Letters A-Z are lowered, texts are split at punctuation and line ends into pieces and at blanks into
 words. All phrases of 1 to max_words words become DataFrame rows and are hash-aggregated by language,
 one length after the other, so that only one length's rows are shuffled at a time; a task first adds
-up what it reads in slices. The phrase of no words stands for all words of a language. Counts of a
-candidate's first and last parts are joined to it, its score is computed in decimals, candidates that
-a phrase one word longer makes up for are removed by an anti join, and what is left is ranked in a
-window. No frequent phrase has a part that is less frequent, so lengths above the first without a
-frequent phrase are not looked at, and phrases one word longer stand for all longer ones.
+up what it reads in slices. No frequent phrase has a part that is less frequent, so a phrase becomes a
+row only if the phrases one word shorter in it are frequent, as far as a bit filter of bounded size
+tells (it may say yes wrongly, never no; the more it holds, the less it spares), lengths above the
+first without a frequent phrase are not looked at, and phrases one word longer stand for all longer
+ones. The phrase of no words stands for all words of a language. Counts of a candidate's first and
+last parts are joined to it, its score is computed in decimals, candidates that a phrase one word
+longer makes up for are removed by an anti join, and what is left is ranked in a window.
 
 Null texts are empty and give nothing; a null language is `und`; an empty table gives no rows; rows
 that repeat count each time; other columns are ignored, whatever their names.
@@ -25,13 +27,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.storage import Scratch, hot_keys, join_apart, release, table, text_slices
-from riskloom.llm.textkernel import texts_of
+from riskloom.llm.textkernel import BASE, mix, powers, texts_of
 
 #: The contract's numbers: least occurrences, words of a phrase, phrases a language, percent at which a longer phrase makes up for a shorter.
 LEAST, MAX_WORDS, TOP, ABSORB = 100, 5, 2000, 100
 LINE, SPACE = pa.scalar(b"\n", pa.large_binary()), pa.scalar(b" ", pa.large_binary())
 #: Text bytes whose phrases are added up at once in a task.
-SLICE = 8 << 20
+SLICE = 4 << 20
+#: Bits of a filter for each phrase in it, and in all at least (the part that a task makes) and at most (16 MB).
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
 #: Rows in a batch that a task hands on.
 ROWS = 50_000
 #: Parts of a language that are ranked apart before the last ranking, which then sees TOP rows of each at most.
@@ -46,6 +50,17 @@ _LOW = np.arange(256, dtype=np.uint8)
 _LOW[0x41:0x5B] += 0x20
 
 
+def hashes(words: pa.LargeBinaryArray) -> np.ndarray:
+    """A hash of each of a few distinct words, from its bytes alone."""
+    raw, at = texts_of(words)
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        up, back = powers(len(raw))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)])))
+        return mix((sums[at[1:]] - sums[at[:-1]]) * back[at[:-1]] + np.diff(at).astype(np.uint64))
+
+
 class Words:
     """The words of a slice of texts: numbers by language and word, and how many words stand from each to the end of its piece."""
 
@@ -61,7 +76,7 @@ class Words:
         at = np.flatnonzero(edge | (twice > 0))
         at = np.repeat(at, 1 + twice[at])
         start, end = at[::2], at[1::2]
-        n = len(start)
+        self.n = n = len(start)
         ends = np.concatenate(([0], np.cumsum(end - start)))
         word = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(_LOW[raw[solid[1:-1]]])]).dictionary_encode()
         doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, offsets)))
@@ -75,10 +90,27 @@ class Words:
         self.words, self.langs = word.dictionary, lang.dictionary
         self.number = lang.indices.to_numpy(zero_copy_only=False)[doc].astype(np.int64) * max(1, len(self.words)) + word.indices.to_numpy(zero_copy_only=False)
         self.most = max(1, len(self.words)) * max(1, len(self.langs))
-
-    def phrases(self, length: int) -> tuple[pa.Array, np.ndarray]:
-        """Each distinct phrase of a language, after the language and a line end, and its count; the same beginnings together."""
+        with np.errstate(over="ignore"):
+            words, langs = hashes(self.words), hashes(self.langs.cast(pa.large_binary()))
+            self.hash = mix(words[word.indices.to_numpy(zero_copy_only=False)] + BASE * langs[lang.indices.to_numpy(zero_copy_only=False)[doc]]) if n else np.zeros(0, np.uint64)
+
+    def hashed(self, length: int) -> np.ndarray:
+        """A hash of the phrase of some words from each word on, which may reach beyond its piece."""
+        h = self.hash
+        with np.errstate(over="ignore"):
+            for i in range(1, length):
+                h = mix(h[:-1] * BASE + self.hash[i:])
+        return h
+
+    def phrases(self, length: int, shorter: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+        """Each distinct phrase of a language, after the language and a line end, and its count; the same beginnings together.
+
+        With the bits of the phrases one word shorter that are frequent, only those that hold two of them.
+        """
         at = np.flatnonzero(self.room >= length)
+        if shorter is not None and len(at):
+            known = marked(shorter, self.hashed(length - 1))
+            at = at[known[at] & known[at + 1]]
         # numbers of parts are put side by side in 64 bits; where they don't fit, those so far are numbered anew
         key, most, shifts, older = self.number[at], self.most, [], []
         for i in range(1, length):
@@ -110,15 +142,52 @@ class Words:
         return (pc.binary_join_element_wise(phrase, *rest, SPACE) if rest else phrase), count
 
 
-def phrase_rows(documents: DataFrame, length: int, text: str, lang: str) -> DataFrame:
+def places(bits: int, hashed: np.ndarray) -> np.ndarray:
+    return (hashed & np.uint64(bits - 1)).astype(np.int64)
+
+
+def marked(filter_: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set."""
+    at = places(len(filter_) * 8, hashed)
+    return filter_[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
+
+
+def filter_of(found: DataFrame, length: int) -> np.ndarray:
+    """A bit for the hash of each phrase of `found` (lang, phrase), all of one length; its size follows their number up to a bound."""
+    count = found.count()
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * count).bit_length()))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w = Words(b.column("phrase"), b.column("lang"))
+            at = places(bits, w.hashed(length)[w.room[: max(0, w.n - length + 1)] == length])
+            yield pa.RecordBatch.from_arrays([pa.array(at // LEAST_BITS, pa.int32()), pa.array(at % LEAST_BITS, pa.int32())], names=["part", "at"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for b in batches:
+            part, at = b.column("part").to_numpy(), b.column("at").to_numpy()
+            for p in np.unique(part).tolist():
+                np.bitwise_or.at(parts.setdefault(p, np.zeros(LEAST_BITS // 8, np.uint8)), at[part == p] >> 3, (1 << (at[part == p] & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([x.tobytes() for x in parts.values()], pa.binary())], names=["part", "bits"])
+
+    out = np.zeros(bits // 8, np.uint8)
+    size = LEAST_BITS // 8
+    for r in found.select("lang", "phrase").mapInArrow(place, "part int, at int").repartition("part").mapInArrow(pack, "part int, bits binary").collect():
+        out[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def phrase_rows(documents: DataFrame, length: int, text: str, lang: str, shorter: np.ndarray | None = None) -> DataFrame:
     """key, n: rows of all phrases of a length, equal ones of a slice added up; with length 1 also the number of words, as the
     empty phrase. The key is the language and the phrase, with a line end, which no word holds, between them."""
+    bits = documents.sparkSession.sparkContext.broadcast(shorter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole, "text", SLICE):
                 w = Words(b.column("text"), b.column("lang"))
-                keys, count = w.phrases(length)
+                keys, count = w.phrases(length, bits.value)
                 for i in range(0, len(keys), ROWS):
                     yield pa.RecordBatch.from_arrays([keys.slice(i, ROWS).cast(pa.binary()).cast(pa.string()), pa.array(count[i : i + ROWS], pa.int64())], names=["key", "n"])
                 if length == 1:
@@ -131,15 +200,17 @@ def phrase_rows(documents: DataFrame, length: int, text: str, lang: str) -> Data
 
 def frequent_phrases(documents: DataFrame, least: int, max_words: int, text: str, lang: str, scratch: Scratch) -> list[DataFrame]:
     """For each length a settled table (lang, phrase, a) of phrases that occur `least` times; with the first, the empty phrase."""
-    found = []
+    found, shorter = [], None
     for length in range(1, max_words + 1):
-        counted = phrase_rows(documents, length, text, lang).groupBy("key").agg(F.sum("n").alias("a"))
+        counted = phrase_rows(documents, length, text, lang, shorter).groupBy("key").agg(F.sum("n").alias("a"))
         phrase = F.substring_index("key", "\n", -1)
         parted = counted.where((F.col("a") >= least) | F.col("key").endswith("\n")).select(F.expr("left(key, length(key) - length(substring_index(key, '\n', -1)) - 1)").alias("lang"), phrase.alias("phrase"), "a")
         found.append(scratch.settle(parted, f"phrases-{length}"))
         release(documents.sparkSession)
-        if found[-1].where("phrase <> ''").isEmpty():
+        some = found[-1].where("phrase <> ''")
+        if length == max_words or some.isEmpty():
             break
+        shorter = filter_of(some, length)
     return found
 
 

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +159,26 @@ def test_phrase_slices_end_at_texts(monkeypatch, spark):
     df = spark.createDataFrame([("ab cd", "x"), ("ab cd", "x"), ("ef", "x"), ("ab cd" + " q" * 50, "x")], "text string, lang string").coalesce(1)
     got = {(r["phrase"], r["a"]) for r in phrases.collocations(df, least=2).collect()}
     assert ("ab cd", 3) in got and not any("ef" in p for p, _ in got)
+
+
+def test_full_filters_spare_nothing_and_lose_nothing(monkeypatch, spark):
+    rng = np.random.default_rng(9)
+    rows = [(" ".join(rng.choice(list("abcdefgh"), 30)), str(rng.choice(["x", "y"]))) for _ in range(80)]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    columns = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    plain = plain_phrases(rows, 5, 4, 2000)
+    assert {tuple(r) for r in phrases.collocations(df, least=5, max_words=4).select(*columns).collect()} == plain
+    monkeypatch.setattr(phrases, "LEAST_BITS", 16)
+    monkeypatch.setattr(phrases, "MOST_BITS", 64)
+    monkeypatch.setattr(phrases, "BITS_EACH", 1)
+    assert {tuple(r) for r in phrases.collocations(df, least=5, max_words=4).select(*columns).collect()} == plain
+
+
+def test_filter_holds_every_phrase(spark):
+    rows = [("x", f"w{i} v{i % 7}") for i in range(500)] + [("y", "w1 v1")]
+    bits = phrases.filter_of(spark.createDataFrame(rows, "lang string, phrase string").repartition(3), 2)
+    w = phrases.Words(pa.array(["w3 v3 w4 v4", "w1 v2", "w1 v1"]), pa.array(["x", "x", "y"]))
+    keys, _ = w.phrases(2)
+    assert {k.as_py() for k in keys} == {b"x\nw3 v3", b"x\nv3 w4", b"x\nw4 v4", b"x\nw1 v2", b"y\nw1 v1"}
+    held = phrases.marked(bits, w.hashed(2))
+    assert held[[0, 2, 6]].all() and held.sum() <= 4
