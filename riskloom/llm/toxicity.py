@@ -1,16 +1,20 @@
 """Toxicity by weak supervision.
 
 Units of toxic speech, whole words (lexicon) and word beginnings (patterns), are mined from a
-bounded labelled sample. They are dealt to a fixed number of voters. A generative model of two
-classes is fitted by expectation maximisation to the counts of vote patterns over all documents,
-without labels: per voter the chance of a vote in either class, that is its accuracy, and between
-voters the correlation beyond what the class explains, by which votes that repeat each other count
-less. A linear classifier over per-unit counts is then trained on the posterior labels of the
-sample's texts and scores every document.
+bounded labelled sample. Units that occur in the same toxic texts form a group (a language or a
+manner), and each group has two voters, one for its words and one for its patterns. A voter says
+toxic where its units stand densely, clean where only a stray one does, and abstains elsewhere. A
+generative model of two classes is fitted by expectation maximisation to the counts of vote
+patterns over all documents, without labels: per voter the chances of its votes in either class,
+that is its accuracy, and between voters the correlation beyond what the class explains, measured
+anew in each round, by which votes that repeat each other count less. A linear classifier over
+units and their density is then trained on the posterior labels of the sample's texts and scores
+every document.
 
 Null and empty texts have no units and get the classifier's base score. Without toxic labels in
-the sample there are no units, and every score is the share of label 1 (0 without labels). Repeated
-rows repeat; kept columns may have any names; labels, languages, sources and ids never enter a score.
+the sample there are no units, and every score is the share of label 1 (0 without labels). An empty
+table gives no rows. Repeated rows repeat; kept columns may have any names; labels, languages,
+sources and ids never enter a score.
 """
 
 from __future__ import annotations
@@ -33,43 +37,56 @@ from riskloom.llm.storage import carried, made, spread, table, text_slices
 #: Labelled rows of either class that mining and training use at most.
 MOST_LABELLED = 3000
 THRESHOLD = 0.7
-VOTERS = 10
+#: Groups of units at most; each has a voter for words and one for patterns.
+GROUPS = 5
+VOTERS = 2 * GROUPS
 #: A unit stands in so many toxic texts of the sample at least, and is so much likelier there (log odds).
 SUPPORT, ODDS = 5, 2.5
-PREFIX = (4, 5, 6, 7)
-MOST_UNITS = 400
+PREFIX = (3, 4, 5, 6, 7)
+#: Units are dense in a text where so many words hold them, and this share of its words.
+DENSE_WORDS, DENSE_SHARE = 2, 0.01
+#: What a voter says.
+ABSTAIN, CLEAN, TOXIC = 0, 1, 2
 
 WORD = re.compile(r"\w+")
 Unit = tuple[str, bool]  # the letters, and whether a word may go on after them
 
 
+def is_dense(hits: int, words: int) -> bool:
+    return hits >= DENSE_WORDS and hits >= DENSE_SHARE * words
+
+
 def mine_units(toxic: list[tuple[str, ...]], clean: list[tuple[str, ...]]) -> list[Unit]:
     """Words and word beginnings that mark the toxic texts, each text given as its distinct words.
 
-    A beginning replaces the words that it covers where at least three words share it; of nested
-    beginnings the shortest that is marked enough stays.
+    A word counts where it occurs, a beginning where words of it are dense. A beginning replaces the
+    words that it covers where at least three words share it; of nested beginnings the longest stays
+    that is marked nearly as well as the best.
     """
 
     def count(texts: list[tuple[str, ...]]) -> tuple[Counter, Counter]:
         words, starts = Counter(), Counter()
         for t in texts:
             words.update(t)
-            starts.update({w[:k] for w in t for k in PREFIX if len(w) > k})
+            each = Counter(w[:k] for w in t for k in PREFIX if len(w) > k)
+            starts.update(p for p, c in each.items() if is_dense(c, len(t)))
         return words, starts
 
     toxic = _families(toxic)
     (tw, ts), (cw, cs) = count(toxic), count(clean)
     nt, nc = max(1, len(toxic)), max(1, len(clean))
     odds = lambda a, b: math.log((a + 0.5) / (nt - a + 0.5)) - math.log((b + 0.5) / (nc - b + 0.5))
-    marked = lambda a, b: a >= max(min(SUPPORT, max(3, nt // 4)), nt // 150) and odds(a, b) >= ODDS and b <= 0.02 * a * nc / nt
-    words = {w: odds(a, cw[w]) for w, a in tw.items() if marked(a, cw[w])}
-    starts = {p: odds(a, cs[p]) for p, a in ts.items() if marked(a, cs[p])}
+    marked = lambda a, b: a >= max(min(SUPPORT, max(3, nt // 4)), nt // 300) and odds(a, b) >= ODDS and b <= 0.02 * a * nc / nt
+    starts = {p: odds(a, cs[p]) * math.sqrt(a) for p, a in ts.items() if marked(a, cs[p])}
     spread = Counter(w[:k] for w in tw for k in PREFIX if len(w) > k and w[:k] in starts)
     starts = {p: o for p, o in starts.items() if spread[p] >= 3}
-    starts = {p: o for p, o in starts.items() if not any(p[:k] in starts for k in range(PREFIX[0], len(p)))}
-    words = {w: o for w, o in words.items() if not any(w[:k] in starts for k in PREFIX if k < len(w))}
-    units = [(o * math.sqrt(tw[w]), (w, False)) for w, o in words.items()] + [(o * math.sqrt(ts[p]), (p, True)) for p, o in starts.items()]
-    return [u for _, u in sorted(units, key=lambda x: (-x[0], x[1]))[:MOST_UNITS]]
+    kept: list[str] = []
+    for p in sorted(starts, key=lambda p: (-round(starts[p], 9), -len(p), p)):
+        if not any(p.startswith(q) or q.startswith(p) for q in kept):
+            kept.append(p)
+    words = {w: odds(a, cw[w]) * math.sqrt(a) for w, a in tw.items() if marked(a, cw[w]) and not w.startswith(tuple(kept))}
+    units = [(o, (w, False)) for w, o in words.items()] + [(starts[p], (p, True)) for p in kept]
+    return [u for _, u in sorted(units, key=lambda x: (-x[0], x[1]))]
 
 
 def _families(texts: list[tuple[str, ...]]) -> list[tuple[str, ...]]:
@@ -115,53 +132,80 @@ class Finder:
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Chance of a vote by voter, in clean and in toxic texts; weights by correlation; log odds without votes.
+    """Chances of each vote by class (clean, toxic) and voter; weights by correlation; log odds where all abstain.
 
-    A voter votes "toxic" or abstains. An abstention says nothing of its own, as most voters know
-    one language or manner only; a text on which all abstain has the log odds `silent`.
+    An abstention says nothing of its own, as most voters know one language or manner only; a text
+    on which all abstain has the log odds `silent`.
     """
 
-    vote: np.ndarray
+    chance: np.ndarray
     weight: np.ndarray
     prior: float
     silent: float
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        ratio = votes @ (self.weight * np.log(self.vote[1] / self.vote[0])) + math.log(self.prior / (1 - self.prior))
-        return 1 / (1 + np.exp(-np.clip(np.where(votes.any(axis=1), ratio, self.silent), -30, 30)))
+        ratio = np.log(self.chance[1] / self.chance[0])
+        said = np.stack([votes == v for v in (CLEAN, TOXIC)], axis=2) * ratio[None, :, 1:]
+        total = said.sum(axis=2) @ self.weight + math.log(self.prior / (1 - self.prior))
+        return 1 / (1 + np.exp(-np.clip(np.where(votes.any(axis=1), total, self.silent), -30, 30)))
+
+
+def correlation_weights(votes: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """By how much each vote counts, given what it shares with the other votes inside the classes; `mass` is by class and pattern."""
+    says = (votes == TOXIC).astype(float) - (votes == CLEAN)
+    m = votes.shape[1]
+    cov = np.zeros((m, m))
+    for each in mass:
+        centred = says - (each @ says) / max(1e-9, each.sum())
+        cov += (centred * each[:, None]).T @ centred
+    scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+    shared = np.clip(np.abs(cov) / np.outer(scale, scale), 0, 1)
+    np.fill_diagonal(shared, 0)
+    return 1 / (1 + shared.sum(axis=1))
 
 
-def fit_label_model(votes: np.ndarray, counts: np.ndarray, known: np.ndarray, known_y: np.ndarray, rounds: int = 100) -> LabelModel:
-    """Votes are distinct patterns (rows) of 0 and 1 with their counts over all documents.
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, known: np.ndarray, known_y: np.ndarray, stands: np.ndarray | None = None, rounds: int = 100) -> LabelModel:
+    """Votes are distinct patterns (rows) with their counts over all documents.
 
-    `known` are the votes of the labelled sample: its rates start the estimate and stay in it as
-    so many texts of known class, which keeps the two classes from changing places.
+    `known` are the votes of the labelled sample, of which each row stands for so many: its rates
+    start the estimate and stay in it with as much mass as all documents have, at every size of the
+    corpus, which keeps the two classes from changing places.
     """
-    m = votes.shape[1]
-    sure = np.stack([1.0 - known_y, known_y.astype(np.float64)])
-    prior = float(np.clip(known_y.mean(), 0.01, 0.5)) if len(known_y) else 0.1
-    rates = lambda mass, of: np.clip((mass @ of + 0.01) / (mass.sum(axis=1, keepdims=True) + 1), 1e-4, 1 - 1e-4)
-    model = LabelModel(rates(sure, known), np.ones(m), prior, math.log(0.02 / 0.98))
-    n, alone = counts.sum(), ~votes.any(axis=1)
-    still = known_y[~known.any(axis=1)] if len(known) else np.zeros(0)
+    stands = np.ones(len(known_y)) if stands is None else stands
+    still = known_y[~known.any(axis=1)]
     share = float(np.clip((still.sum() * 0.1 + 0.01) / (len(still) + 1), 1e-4, 0.3))
-    for _ in range(rounds):
+    silent = math.log(share / (1 - share))
+    # all chances are those of texts on which some voter speaks
+    spoken = votes.any(axis=1)
+    votes, counts = votes[spoken], counts[spoken]
+    known_y, stands = known_y[known.any(axis=1)], stands[known.any(axis=1)]
+    known = known[known.any(axis=1)]
+    stands = stands * counts.sum() / max(1e-9, stands.sum())
+    sure = np.stack([(1.0 - known_y) * stands, known_y * stands])
+
+    def rates(mass: np.ndarray, of: np.ndarray) -> np.ndarray:
+        each = np.stack([mass @ (of == v) for v in (ABSTAIN, CLEAN, TOXIC)], axis=2) + 0.1
+        return each / each.sum(axis=2, keepdims=True)
+
+    prior = lambda mass: float(np.clip(mass[1].sum() / max(1e-9, mass.sum()), 0.01, 0.9))
+    model = LabelModel(rates(sure, known), np.ones(votes.shape[1]), prior(sure), silent)
+    for _ in range(rounds if len(votes) else 0):
         q = model.posterior(votes)
         mass = np.stack([(1 - q) * counts, q * counts])
-        vote = rates(np.hstack([mass, sure]), np.vstack([votes, known]))
-        new = LabelModel(vote, np.ones(m), float(np.clip(mass[1][~alone].sum() / n, 1e-3, 0.5)), math.log(share / (1 - share)))
-        done = np.abs(new.vote - model.vote).max() < 1e-6
+        every = np.hstack([mass, sure])
+        chance = rates(every, np.vstack([votes, known]))
+        new = LabelModel(chance, correlation_weights(votes, mass), prior(every), silent)
+        done = np.abs(new.chance - model.chance).max() < 1e-6
         model = new
         if done:
             break
-    # correlation within toxic texts beyond what the class explains; votes that repeat each other count less
-    centred = votes - model.vote[1]
-    mass = model.posterior(votes) * counts
-    cov = (centred * mass[:, None]).T @ centred / max(1e-9, mass.sum())
-    scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-    shared = np.clip(cov / np.outer(scale, scale), 0, 1)
-    np.fill_diagonal(shared, 0)
-    return LabelModel(model.vote, 1 / (1 + shared.sum(axis=1)), model.prior, model.silent)
+    return model
+
+
+def features(found: dict[int, int], words: int, m: int) -> dict[int, float]:
+    """Per unit the logarithm of its count, then that of all hits, and their share of the words up to a twentieth, a place each."""
+    hits = sum(found.values())
+    return {i: math.log1p(c) for i, c in found.items()} | ({m: math.log1p(hits), m + 1: 100 * min(0.05, hits / max(1, words))} if hits else {})
 
 
 @dataclass(frozen=True)
@@ -170,18 +214,18 @@ class ToxicityModel:
     weights: np.ndarray
     intercept: float
 
-    def score(self, found: dict[int, int]) -> float:
-        total = self.intercept + sum(self.weights[i] * math.log1p(c) for i, c in found.items())
+    def score(self, found: dict[int, int], words: int) -> float:
+        total = self.intercept + sum(self.weights[i] * x for i, x in features(found, words, len(self.units)).items())
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
 
 
-def fit_linear(rows: list[dict[int, int]], target: np.ndarray, m: int, ridge: float = 1e-4, rounds: int = 40) -> tuple[np.ndarray, float]:
+def fit_linear(rows: list[dict[int, float]], target: np.ndarray, m: int, ridge: float = 1e-4, rounds: int = 40) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by damped Newton steps."""
     a = np.zeros((len(rows), m + 1))
     a[:, m] = 1
     for i, r in enumerate(rows):
-        for j, c in r.items():
-            a[i, j] = math.log1p(c)
+        for j, x in r.items():
+            a[i, j] = x
     keep = np.append(np.full(m, ridge), 1e-6)
     w = np.zeros(m + 1)
     for _ in range(rounds):
@@ -196,60 +240,92 @@ def fit_linear(rows: list[dict[int, int]], target: np.ndarray, m: int, ridge: fl
     return w[:m], float(w[m])
 
 
-def voter_of(units: list[Unit], voters: int = VOTERS) -> np.ndarray:
-    """Lexicon units and pattern units are dealt in turn, each kind to its own half of the voters."""
-    half, seen, out = voters // 2, [0, 0], []
-    for _, onward in units:
-        out.append(seen[onward] % half + (half if onward else 0))
-        seen[onward] += 1
-    return np.array(out, np.int64)
+def voter_of(units: list[Unit], toxic: list[dict[int, int]]) -> np.ndarray:
+    """The voter of each unit: units that stand in the same toxic texts share a group.
 
-
-def vote_bits(found: dict[int, int], deal: np.ndarray) -> int:
-    bits = 0
-    for i in found:
-        bits |= 1 << int(deal[i])
-    return bits
+    The best unit of those that are left opens a group; a unit joins the group whose first unit it is met with most often.
+    """
+    where: list[set[int]] = [set() for _ in units]
+    for row, found in enumerate(toxic):
+        for i in found:
+            where[i].add(row)
+    firsts: list[int] = []
+    group = np.zeros(len(units), np.int64)
+    for i in range(len(units)):
+        met = [len(where[i] & where[f]) / max(1, min(len(where[i]), len(where[f]))) for f in firsts]
+        if len(firsts) < GROUPS and max(met, default=0.0) < 0.2:
+            firsts.append(i)
+            group[i] = len(firsts) - 1
+        else:
+            group[i] = int(np.argmax(met))
+    return 2 * group + np.array([onward for _, onward in units], np.int64)
+
+
+def votes_of(found: dict[int, int], words: int, deal: np.ndarray) -> int:
+    """What the voters say of a text, as the digits of one number."""
+    hits: dict[int, int] = {}
+    for i, c in found.items():
+        hits[int(deal[i])] = hits.get(int(deal[i]), 0) + c
+    return sum((TOXIC if is_dense(h, words) else CLEAN) * 3**v for v, h in hits.items())
+
+
+def unfolded(votes: np.ndarray) -> np.ndarray:
+    return np.asarray(votes, np.int64)[:, None] // 3 ** np.arange(VOTERS) % 3
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", folds: int = 3, held: int = 1, most: int = MOST_LABELLED) -> ToxicityModel:
     """Units from the labelled sample, a label model of all documents' votes, a linear model of its posterior."""
     given = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out_rows(key, folds, held)).groupBy(key).agg(F.max(label).alias("y"))
-    prior = float(given.agg(F.avg("y")).first()[0] or 0.0)
+    sizes = {int(r["y"]): r["n"] for r in given.groupBy("y").agg(F.count("*").alias("n")).collect() if r["y"] in (0, 1)}
+    prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
     picked = [of_least_hash(given.where(F.col("y") == y), key, most) for y in (1, 0)]
     sample = picked[0].unionByName(picked[1])
 
+    # of rows that repeat an id the least text is learnt from
+    texts = documents.select(key, "text").join(F.broadcast(sample), key).groupBy(key).agg(F.max("y").cast("int").alias("y"), F.min("text").alias("text")).select("y", "text")
+
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole, "text"):
                 sets = [sorted(set(WORD.findall((t or "").lower()))) for t in b.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(sets, pa.list_(pa.string()))], names=["y", "words"])
 
-    # of rows that repeat an id the least text is learnt from
-    texts = documents.select(key, "text").join(F.broadcast(sample), key).groupBy(key).agg(F.max("y").cast("int").alias("y"), F.min("text").alias("text")).select("y", "text")
     got = texts.mapInArrow(words, "y int, words array<string>").toArrow()
     y = np.array(got.column("y").to_pylist(), np.int64)
     pool: dict[str, str] = {}  # each distinct word once
     sets = [tuple([pool.setdefault(w, w) for w in words.as_py()]) for words in got.column("words")]
     del got
     units = mine_units([s for s, v in zip(sets, y) if v], [s for s, v in zip(sets, y) if not v])
-    deal = voter_of(units)
+    del sets, pool
+
+    def run_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(units)
+        for whole in batches:
+            for b in text_slices(whole, "text"):
+                each = [(finder.counts(t), len((t or "").split())) for t in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column("y"), pa.array([n for _, n in each], pa.int64()), pa.array([list(f.items()) for f, _ in each], pa.map_(pa.int32(), pa.int32()))], names=["y", "words", "found"])
+
+    if not units:
+        return ToxicityModel([], np.zeros(0), math.log((prior + 1e-6) / (1 - prior + 1e-6)))
+    known = texts.mapInArrow(run_found, "y int, words long, found map<int, int>").collect()
+    y = np.array([r["y"] for r in known], np.int64)
+    deal = voter_of(units, [r["found"] for r in known if r["y"]])
 
     def run_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, seen = Finder(units), Counter()
         for b in batches:
             for t in b.column("text"):
-                seen[vote_bits(finder.counts(t.as_py()), deal)] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["bits", "n"])
+                text = t.as_py()
+                found = finder.counts(text)
+                seen[votes_of(found, len(text.split()), deal) if found else 0] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["votes", "n"])
 
-    if units:
-        tallied = documents.select("text").mapInArrow(run_votes, "bits long, n long").groupBy("bits").agg(F.sum("n").alias("n")).collect()
-        bits, counts = np.array([r["bits"] for r in tallied]), np.array([r["n"] for r in tallied], np.float64)
-        rows = [{i: 1 for i, (u, onward) in enumerate(units) if (any(w.startswith(u) for w in s) if onward else u in s)} for s in _narrow(sets, units)]
-        votes = np.array([[vote_bits(r, deal) >> v & 1 for v in range(VOTERS)] for r in rows], np.float64)
-        model = fit_label_model((bits[:, None] >> np.arange(VOTERS) & 1).astype(np.float64), counts, votes, y)
-        return ToxicityModel(units, *fit_linear(rows, model.posterior(votes), len(units)))
-    return ToxicityModel([], np.zeros(0), math.log((prior + 1e-6) / (1 - prior + 1e-6)))
+    stands = np.array([sizes[int(v)] / max(1, (y == v).sum()) for v in y])
+    # at most as many rows as vote patterns, 3 ** VOTERS
+    tallied = documents.select("text").mapInArrow(run_votes, "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")).collect()
+    votes = unfolded([votes_of(r["found"], r["words"], deal) for r in known])
+    model = fit_label_model(unfolded([r["votes"] for r in tallied]), np.array([r["n"] for r in tallied], np.float64), votes, y, stands)
+    return ToxicityModel(units, *fit_linear([features(r["found"], r["words"], len(units)) for r in known], model.posterior(votes), len(units) + 2))
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -259,7 +335,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, keep: tuple[str,
         finder = Finder(model.units)
         for whole in batches:
             for b in text_slices(whole, "content"):
-                scores = [model.score(finder.counts(t.as_py())) for t in b.column("content")]
+                scores = [model.score(finder.counts(t), len((t or "").split())) for t in b.column("content").to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(scores, pa.float64())], names=["row", "score"])
 
     given = carried(documents, keep, text)
@@ -267,13 +343,6 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, keep: tuple[str,
     return spread(scored, keep, ("score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
 
-def _narrow(sets: list[tuple[str, ...]], units: list[Unit]) -> list[set[str]]:
-    """Only the words of each set that some unit could match."""
-    starts = {u[: PREFIX[0]] for u, _ in units}
-    short = {u for u, _ in units if len(u) < PREFIX[0]}
-    return [{w for w in s if w[: PREFIX[0]] in starts or w in short} for s in sets]
-
-
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = score_toxicity(documents, fit_toxicity(documents, labels))
