@@ -19,7 +19,6 @@ from __future__ import annotations
 import bisect
 import hashlib
 import json
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,13 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.storage import Scratch, shared_folder, table, text_slices
-from riskloom.llm.token_counts import BEYOND, KNOWN_LETTERS, MOST_PIECES, Known
+from riskloom.llm.token_counts import BEYOND, Known
 from riskloom.llm.warc import SHARD_BYTES, TEMPORARY, _file_system, range_borders
 
 #: Documents that the dictionary is trained on at most, text bytes of each at most, bytes of the dictionary.
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 4096, 64 << 10
 LEVEL = 3
 END_ID = 2
+#: Signs that often end a word; a run of them is one word to the tokenizer.
+SIGNS = ".,;:!?"
 #: Bytes of frames read at once.
 READ_BYTES = 4 << 20
 
@@ -52,10 +53,10 @@ class Coder:
 
     def __init__(self, config: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores already
         self.library = Tokenizer.from_str(config)
-        self.known = Known(self.whole)
+        self.known, self.model = Known(self.piece), self.library.model
         spec = json.loads(config)
         steps = lambda part, inner: [s["type"] for s in ((spec[part] or {}).get(inner) or [spec[part] or {"type": ""}])]
         words = next((s for s in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if s["type"] == "Split"), {})
@@ -66,6 +67,9 @@ class Coder:
             and bool(words.get("invert"))
             and words["pattern"].get("Regex", "").endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         )
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        #: Letters up to where BEYOND begins, as the library writes their bytes.
+        self.letters = {c: as_bytes(chr(c))[0][0] for c in range(0x80, 0x300)}
         self.marks = {t["content"][:2].lower() for t in spec["added_tokens"]}
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
@@ -80,20 +84,17 @@ class Coder:
         low = text.lower()
         return None if any(m in low for m in self.marks) else low.split()
 
-    def learn(self, texts: list[list[str] | None]) -> None:
-        """Has the library encode all pieces that aren't remembered at once."""
-        known, older = self.known, self.known.older
-        new = [w for w in {w for t in texts if t for w in t if w not in known and w not in older} if len(w) <= KNOWN_LETTERS]
-        if len(known) + len(new) > MOST_PIECES:
-            known.older = dict(known)
-            known.clear()
-        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+    def piece(self, text: str) -> bytes:
+        """The ids of a stretch without blanks: a word of letters needs the library's merges alone, signs at its end are a word of their own."""
+        if text.isalpha():
+            ids = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.letters))]
+            return struct.pack(f"<{len(ids)}I", *ids)
+        word = text.rstrip(SIGNS)
+        return self.known[word] + self.known[text[len(word) :]] if word != text and word.isalpha() else self.whole(text)
 
     def serialized(self, texts: list[str | None], end_id: int) -> list[bytes]:
         """Each text's ids and the end id, in as many bytes each as the vocabulary needs."""
         taken = [self.pieces(t or "") for t in texts]
-        self.learn(taken)
         end, narrow = struct.pack("<I", end_id), f"<u{self.width}"
         raw = [self.whole(t) if p is None else b"".join(map(self.known.__getitem__, p)) for t, p in zip(texts, taken)]
         return [np.frombuffer(r + end, "<u4").astype(narrow).tobytes() for r in raw]
