@@ -39,6 +39,10 @@ from riskloom.llm.storage import carried, made, spread, table, text_slices
 SIGMA, CUT = 1.0, 0.5
 #: Share of a path's score that is left inside an element with a marked class or id; share of the scored text that lifts a mark.
 NAMED, MOST = 0.01, 0.5
+#: Share of links in a path's text above which it is a menu, unless it scores above the cut.
+MENU = 0.5
+#: Words of a label at most.
+LABEL = 4
 
 #: HTML elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,7 +61,7 @@ CLOSABLE = frozenset().union(*CLOSES.values())
 STRAY, HELD = frozenset("p li div span".split()), ("article", "main", "body")
 #: Words of a class or id that mark boilerplate, and words that say nothing beside them.
 MARKED = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promos promotion comment comments disqus reply replies respond cookie cookies consent gdpr"
+    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promos promotion comment comments disqus discussion feedback guestbook reply replies respond responses talkback cookie cookies consent gdpr"
     " notice notices alert popup modal overlay sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar topbar header masthead footer copyright"
     " legal related recommended recirc share sharing social newsletter subscribe signup login search widget skip toc".split()
 )
@@ -363,7 +367,24 @@ def main_text(page: str | None) -> str:
             at = i
             if nodes[i].tag == "article":
                 break
-    return "\n".join(b.text for b, p, f in zip(blocks, plain, above) if (p or f) and at <= b.node <= last[at])
+    kept = above | plain & ~outlying(nodes, blocks, above, [titled[b.node] for b in blocks])
+    return "\n".join(b.text for b, k in zip(blocks, kept) if k and at <= b.node <= last[at])
+
+
+def outlying(nodes: list[Node], blocks: list[Block], above: np.ndarray, titled: list[bool]) -> np.ndarray:
+    """Per block: below the cut it is no part of the article, as its path is mostly links, or as it is a label before or after
+    the article (a few words without a mark, in no paragraph, heading or list) on a path of which no block is above the cut."""
+    text, links = {}, {}
+    for b in blocks:
+        path = nodes[b.node].path
+        text[path], links[path] = text.get(path, 0) + len(b.text), links.get(path, 0) + b.links
+    good = {nodes[b.node].path for b, f, h in zip(blocks, above, titled) if f or h}
+    inside = np.flatnonzero(above | np.array(titled, bool))
+    order = np.arange(len(blocks))
+    beyond = (order < inside[0]) | (order > inside[-1]) if len(inside) else np.zeros(len(blocks), bool)
+    menu = np.array([links[nodes[b.node].path] > MENU * text[nodes[b.node].path] for b in blocks])
+    label = np.array([nodes[b.node].path not in good and nodes[b.node].tag in CONTAINER and len(b.text.split()) <= LABEL and not MARKS.search(b.text) for b in blocks])
+    return ~above & (menu | beyond & label)
 
 
 def extract_text(pages: DataFrame, html_column: str = "html", key: str = "page_id", carry: tuple[str, ...] = ()) -> DataFrame:
