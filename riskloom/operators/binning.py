@@ -87,11 +87,19 @@ class Ranges:
         return Ranges(*(p[order] for p in parts))
 
 
-def search_ranges(r: Ranges, leaves: int, leaf: int) -> tuple[list[float], dict[int, float]]:
+def split_gain(r: Ranges, cut: float, weights: tuple[float, float] = (1.0, 1.0)) -> float:
+    """What a cut between ranges takes off the gini impurity of all rows; `weights` are those of a good and of a bad row."""
+    left = r.last < cut
+    bad, n = weights[1] * r.bad, weights[0] * (r.n - r.bad) + weights[1] * r.bad
+    part = lambda m: float(_gini(np.array([n[m].sum()]), np.array([bad[m].sum()]))[0])
+    return part(left | True) - part(left) - part(~left)
+
+
+def search_ranges(r: Ranges, leaves: int, leaf: int, weights: tuple[float, float] = (1.0, 1.0)) -> tuple[list[float], dict[int, float]]:
     """Cuts of a gini tree that splits its best leaf until it has `leaves`, between ranges; and the ranges inside which a better
     cut may lie, with the most that it can gain.
 
-    A gain is a convex function of the rows and bad rows to the left. Inside a range these lie in a parallelogram, with
+    Rows weigh as their class does (good, bad); `leaf` counts rows. A gain is a convex function of the rows and bad rows to the left. Inside a range these lie in a parallelogram, with
     corners at the range's ends and where all its bad rows come first or last; no cut inside gains more than the corners.
     """
     total_n, total_bad = np.concatenate(([0], np.cumsum(r.n))), np.concatenate(([0], np.cumsum(r.bad)))
@@ -100,8 +108,9 @@ def search_ranges(r: Ranges, leaves: int, leaf: int) -> tuple[list[float], dict[
 
     def best(a: int, b: int) -> tuple[float, int]:
         all_n, all_bad = total_n[b] - total_n[a], total_bad[b] - total_bad[a]
-        whole = _gini(np.array([all_n]), np.array([all_bad]))[0]
-        gain = lambda n, bad: whole - _gini(n, bad) - _gini(all_n - n, all_bad - bad)
+        gini = lambda n, bad: _gini(weights[0] * (n - bad) + weights[1] * bad, weights[1] * bad)
+        whole = gini(np.array([all_n]), np.array([all_bad]))[0]
+        gain = lambda n, bad: whole - gini(n, bad) - gini(all_n - n, all_bad - bad)
         left_n, left_bad = total_n[a + 1 : b] - total_n[a], total_bad[a + 1 : b] - total_bad[a]
         found = np.where((left_n >= leaf) & (all_n - left_n >= leaf), gain(left_n, left_bad), -1.0)
         most, at = (float(found.max()), a + 1 + int(found.argmax())) if len(found) else (0.0, -1)
@@ -132,8 +141,9 @@ def best_first_cuts(first: np.ndarray, last: np.ndarray, n: np.ndarray, bad: np.
     return search_ranges(Ranges(first, last, n, bad, one, one, one), leaves, leaf)[0]
 
 
-def tree_cuts(df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 10, leaf: int = 50, ranges: int | None = None) -> Cuts:
-    """Supervised cuts, the same as of a search over all values, at every size of the data.
+def searched(rows: DataFrame, leaves: int, leaf: int, weights: tuple[float, float] = (1.0, 1.0), ranges: int | None = None) -> dict[str, tuple[list[float], Ranges]]:
+    """For each group of (group, value, label) the cuts of a gini tree, the same as of a search over all values, and the
+    ranges at the end, between which they lie.
 
     Spark sums the label by value and by ranges of neighbouring values. The search over ranges also
     tells which ranges may hold a better cut; Spark parts these into finer ones, until none may. So
@@ -141,9 +151,8 @@ def tree_cuts(df: DataFrame, features: Sequence[str], label: str = "label", bins
     TREE_RANGES) changes no cut. A cut lies midway between two neighbouring values.
     """
     ranges = ranges or TREE_RANGES
-    rows = long_form(df, features, (F.col(label).alias("label"),)).where("value IS NOT NULL AND label IS NOT NULL")
-    cum = cumulative_by_value(rows, ["feature"], "value", {"n": F.count("*"), "bad": F.sum("label")})
-    spots = settled(cum.select("feature", "value", "n", "bad", (F.col("cum_n") - F.col("n")).alias("start"), F.col("all_n").alias("size")))
+    cum = cumulative_by_value(rows.where("value IS NOT NULL AND label IS NOT NULL"), ["group"], "value", {"n": F.count("*"), "bad": F.sum("label")})
+    spots = settled(cum.select("group", "value", "n", "bad", (F.col("cum_n") - F.col("n")).alias("start"), F.col("all_n").alias("size")))
 
     def at(level: int) -> Column:
         """The step of a value: which of ranges * FINER^level equal parts its first row lies in."""
@@ -151,31 +160,39 @@ def tree_cuts(df: DataFrame, features: Sequence[str], label: str = "label", bins
 
     def summed(part: DataFrame, level: int) -> dict[str, list[tuple]]:
         out: dict[str, list[tuple]] = {}
-        sums = part.groupBy("feature", at(level).alias("step")).agg(F.min("value").alias("first"), F.max("value").alias("last"), F.sum("n").alias("n"), F.sum("bad").cast("long").alias("bad"), F.count("*").alias("values"))
+        sums = part.groupBy("group", at(level).alias("step")).agg(F.min("value").alias("first"), F.max("value").alias("last"), F.sum("n").alias("n"), F.sum("bad").cast("long").alias("bad"), F.count("*").alias("values"))
         for r in sums.collect():
-            out.setdefault(r["feature"], []).append((r["first"], r["last"], r["n"], r["bad"], r["values"], r["step"]))
+            out.setdefault(r["group"], []).append((r["first"], r["last"], r["n"], r["bad"], r["values"], r["step"]))
         return out
 
-    known = {f: Ranges.of(x, 0) for f, x in summed(spots, 0).items()}
-    cuts: Cuts = {f: [] for f in features}
+    known = {g: Ranges.of(x, 0) for g, x in summed(spots, 0).items()}
+    cuts: dict[str, list[float]] = {}
     wanted = list(known)
     while wanted:
         asked: list[tuple[float, str, int]] = []
-        for f in wanted:
-            cuts[f], open_ = search_ranges(known[f], bins, leaf)
-            asked += [(-bound, f, i) for i, bound in open_.items()]
-        asked = sorted(asked)[:MOST_REFINED]  # the others' turn comes later
-        wanted = sorted({f for _, f, _ in asked})
-        finer: dict[str, list[Ranges]] = {f: [] for f in wanted}
-        for level in sorted({int(known[f].level[i]) for _, f, i in asked}):
-            steps = [(f, int(known[f].step[i])) for _, f, i in asked if known[f].level[i] == level]
-            chosen = df.sparkSession.createDataFrame(steps, "feature string, step long")
-            part = spots.withColumn("step", at(level)).join(F.broadcast(chosen), ["feature", "step"], "left_semi").drop("step")
-            for f, x in summed(part, level + 1).items():
-                finer[f].append(Ranges.of(x, level + 1))
-        for f in wanted:
-            known[f] = known[f].refined(np.array([i for _, g, i in asked if g == f]), finer[f])
-    return cuts
+        for g in wanted:
+            cuts[g], open_ = search_ranges(known[g], leaves, leaf, weights)
+            asked += [(-bound, g, i) for i, bound in open_.items()]
+        # those beyond the bound have their turn in a later round
+        later = {g for _, g, _ in sorted(asked)[MOST_REFINED:]}
+        asked = sorted(asked)[:MOST_REFINED]
+        finer: dict[str, list[Ranges]] = {g: [] for _, g, _ in asked}
+        for level in sorted({int(known[g].level[i]) for _, g, i in asked}):
+            steps = [(g, int(known[g].step[i])) for _, g, i in asked if known[g].level[i] == level]
+            chosen = rows.sparkSession.createDataFrame(steps, "group string, step long")
+            part = spots.withColumn("step", at(level)).join(F.broadcast(chosen), ["group", "step"], "left_semi").drop("step")
+            for g, x in summed(part, level + 1).items():
+                finer[g].append(Ranges.of(x, level + 1))
+        for g in finer:
+            known[g] = known[g].refined(np.array([i for _, h, i in asked if h == g]), finer[g])
+        wanted = sorted(later | set(finer))
+    return {g: (cuts[g], known[g]) for g in known}
+
+
+def tree_cuts(df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 10, leaf: int = 50, ranges: int | None = None) -> Cuts:
+    """Supervised cuts of each feature: those of a search over all its values, at every size of the data."""
+    rows = long_form(df, features, (F.col(label).alias("label"),)).withColumnRenamed("feature", "group")
+    return {f: [] for f in features} | {g: cuts for g, (cuts, _) in searched(rows, bins, leaf, ranges=ranges).items()}
 
 
 def cuts_map(cuts: Cuts) -> Column:

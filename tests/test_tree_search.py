@@ -86,3 +86,58 @@ def test_bounds_hold_inside_every_range(seed):
     whole = binning.best_first_cuts(np.arange(60.0), np.arange(60.0), n, bad, 2, 5)
     if whole and whole != cuts:
         assert any(parts[i][0] < whole[0] < parts[i][-1] for i in open_)
+
+
+def plain_tree(columns, labels, depth, leaf, draws, weights):
+    """Leaves as lists of (feature, op, threshold), by a search over all values of each node's features."""
+    def best(rows, features):
+        top = None
+        for i, f in enumerate(features):
+            x = columns[f][rows]
+            for t in np.unique(x)[:-1]:
+                left = x <= t
+                if left.sum() < leaf or (~left).sum() < leaf:
+                    continue
+                w = np.where(labels[rows] == 1, weights[1], weights[0])
+                part = lambda m: gini(w[m].sum(), (w * labels[rows])[m].sum())  # noqa: B023, E731
+                g = part(left | True) - part(left) - part(~left)
+                if g > 1e-12 and (top is None or g > top[0] + 1e-12):
+                    after = np.unique(x)[np.searchsorted(np.unique(x), t) + 1]
+                    top = (g, f, round(float((t + after) / 2), 6))
+        return top
+
+    def grow(node, rows, path):
+        order = draws(node)
+        found = None
+        if node.bit_length() <= depth:
+            for at in range(0, len(order), 2):
+                found = found or best(rows, order[at : at + 2])
+        if not found:
+            return [path] if path else []
+        _, f, t = found
+        left = columns[f][rows] <= t
+        return grow(2 * node, rows[left], [*path, (f, "<=", t)]) + grow(2 * node + 1, rows[~left], [*path, (f, ">", t)])
+
+    return grow(1, np.arange(len(labels)), [])
+
+
+def test_tree_rules_equal_a_plain_tree(spark):
+    import random
+
+    from riskloom.operators.tree_rules import mine_tree_rules
+
+    rng = np.random.default_rng(8)
+    columns = {"a": np.round(rng.normal(size=900), 2), "b": rng.integers(0, 9, 900).astype(float), "c": np.round(rng.random(900), 3)}
+    labels = (rng.random(900) < 0.05 + 0.5 * ((columns["a"] > 0.8) & (columns["c"] > 0.4)) + 0.03 * columns["b"]).astype(int)
+    df = frame_of(spark, **columns, label=labels)
+    draws = lambda n: random.Random(f"7/{n}").sample(["a", "b", "c"], 3)
+    n, b = 900, int(labels.sum())
+    plain = plain_tree(columns, labels, 3, 20, draws, (n / (2 * (n - b)), n / (2 * b)))
+    rules = mine_tree_rules(df, ["a", "b", "c"], depth=3, most_features=2, leaf=20, most_coverage=1.0, least_lift=0.0, least_hits=0, seed=7)
+    assert len(plain) >= 5 and sorted([(c.feature, c.op, c.value) for c in r.conditions] for r in rules) == sorted(plain)
+    for r in rules:
+        hit = np.logical_and.reduce([columns[c.feature] <= c.value if c.op == "<=" else columns[c.feature] > c.value for c in r.conditions])
+        assert r.stats["hit_count"] == hit.sum() and abs(r.stats["lift"] - labels[hit].mean() / labels.mean()) < 1e-4
+    assert mine_tree_rules(df.withColumn("label", F.lit(0)), ["a"]) == [] == mine_tree_rules(df.limit(0), ["a"])
+    none = df.withColumn("a", F.lit(None).cast("double"))
+    assert all(c.feature != "a" for r in mine_tree_rules(none, ["a", "b"], most_coverage=1.0, least_lift=0.0) for c in r.conditions)
