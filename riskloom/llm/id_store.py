@@ -177,7 +177,10 @@ def write_ids(documents: DataFrame, folder: str, tokenizer_path: str, text: str
     rows = rows.select("k", "text", F.md5(F.col("text").cast("binary")).alias("digest"), F.octet_length("text").cast("long").alias("n"))
     marks = scratch.settle(rows.select("k", "digest", "n"), "ids-marks")
     borders = range_borders(marks, shard_bytes)
-    short = rows.where(F.col("n") <= SAMPLE_BYTES).orderBy(F.xxhash64("digest", "k"), "digest", "k").limit(SAMPLE_ROWS).select("text").collect()
+    # a share by hash first, so that all tasks together send not many more rows than are taken
+    share = min(1.0, 1.2 * SAMPLE_ROWS / max(1, marks.where(F.col("n") <= SAMPLE_BYTES).count()))
+    turn = F.pmod(F.xxhash64("digest", "k"), F.lit(1 << 40))
+    short = rows.where((F.col("n") <= SAMPLE_BYTES) & (turn <= int(share * (1 << 40)))).orderBy(turn, "digest", "k").limit(SAMPLE_ROWS).select("text").collect()
     dictionary = train_dictionary(coder_of(config).serialized([r["text"] for r in short], end_id))
     given = spark.sparkContext.broadcast((config, dictionary, borders))
 
