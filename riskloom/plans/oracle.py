@@ -243,6 +243,51 @@ ISOTONIC = (
 )
 
 
+def _gini(n: str, bad: str) -> str:
+    return f"(CASE WHEN {n} > 0 THEN 2 * ({bad}) * ({n} - ({bad})) / CAST({n} AS DOUBLE) ELSE 0 END)"
+
+
+def _gains(name: str, source: str, by: str, good: str = "1", bad: str = "1") -> str:
+    """A CTE of `source` (by, value, n rows, b bad ones) with what a cut after each value takes off the impurity; the classes weigh."""
+    over = f"OVER (PARTITION BY {by}"
+    inner = f"SELECT *, sum(n) {over} ORDER BY value) AS ln, sum(b) {over} ORDER BY value) AS lb, sum(n) {over}) AS tn, sum(b) {over}) AS tb, lead(value) {over} ORDER BY value) AS following FROM {source}"
+    sides = f"SELECT *, tn - ln AS rn, tb - lb AS rb FROM ({inner})"
+    total, left, right = (_gini(f"({good} * ({x}n - {x}b) + {bad} * {x}b)", f"{bad} * {x}b") for x in "tlr")
+    return f"{name} AS MATERIALIZED (SELECT *, {total} - {left} - {right} AS gain FROM ({sides}) WHERE following IS NOT NULL AND ln >= 50 AND rn >= 50)"
+
+
+def _tree_cuts(features, leaves: int = 10) -> str:
+    """Splits each feature's best part until there are enough, one step after the other."""
+    steps = [f"rows_ AS (SELECT * FROM ({_long(features, 'label, split')}) WHERE split = 'train' AND value IS NOT NULL)", "p0 AS MATERIALIZED (SELECT feature, value, 0 AS part, count(*) AS n, CAST(sum(label) AS BIGINT) AS b FROM rows_ GROUP BY 1, 2)"]
+    for i in range(leaves - 1):
+        steps += [
+            _gains(f"g{i}", f"p{i}", "feature, part"),
+            f"s{i} AS MATERIALIZED (SELECT feature, part, value AS last, (value + following) / 2 AS cut FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, value) AS k FROM g{i}) WHERE k = 1 AND gain > {D('1e-12')})",
+            f"p{i + 1} AS MATERIALIZED (SELECT p.feature, p.value, CASE WHEN p.part = s.part AND p.value > s.last THEN {i + 1} ELSE p.part END AS part, p.n, p.b FROM p{i} p LEFT JOIN s{i} s ON p.feature = s.feature)",
+        ]
+    every = " UNION ALL ".join(f"SELECT feature, cut FROM s{i}" for i in range(leaves - 1))
+    return _with(f"SELECT feature, CAST(row_number() OVER (PARTITION BY feature ORDER BY cut) - 1 AS INTEGER) AS position, cut FROM ({every})", *steps)
+
+
+def _tree_rules(features, depth: int, most_coverage: float, least_lift: float) -> str:
+    """Grows a tree of balanced weights level by level over imputed train rows; its leaves' conditions are the rules."""
+    filled = ", ".join(f"coalesce({f}, (SELECT quantile_cont({f}, {D(0.5)}) FROM apps WHERE split = 'train')) AS {f}" for f in features)
+    w = "(SELECT {}/ (2 * CAST({} AS DOUBLE)) FROM weights)".format
+    good, bad = w("n", "(n - b)"), w("n", "b")
+    steps = ["weights AS (SELECT count(*) AS n, CAST(sum(label) AS BIGINT) AS b FROM apps WHERE split = 'train')", f"t0 AS MATERIALIZED (SELECT app_id, label, 1 AS node, '' AS path, {filled} FROM apps WHERE split = 'train')"]
+    for i in range(depth):
+        value = "CASE s.feature " + " ".join(f"WHEN '{f}' THEN t.{f}" for f in features) + " END"
+        long = " UNION ALL ".join(f"SELECT node, '{f}' AS feature, {f} AS value, label FROM t{i} WHERE node >= {2**i}" for f in features)
+        steps += [
+            f"h{i} AS (SELECT node, feature, CAST(value AS DOUBLE) AS value, count(*) AS n, CAST(sum(label) AS BIGINT) AS b FROM ({long}) GROUP BY 1, 2, 3)",
+            _gains(f"g{i}", f"h{i}", "node, feature", good, bad),
+            f"s{i} AS MATERIALIZED (SELECT node, feature, round((value + following) / 2, 6) AS cut FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, value) AS k FROM g{i}) WHERE k = 1 AND gain > {D('1e-12')})",
+            f"t{i + 1} AS MATERIALIZED (SELECT t.app_id, t.label, CASE WHEN s.cut IS NULL THEN t.node WHEN {value} <= s.cut THEN 2 * t.node ELSE 2 * t.node + 1 END AS node, CASE WHEN s.cut IS NULL THEN t.path ELSE t.path || CASE WHEN t.path = '' THEN '' ELSE ' and ' END || s.feature || CASE WHEN {value} <= s.cut THEN ' <= ' ELSE ' > ' END || CAST(s.cut AS VARCHAR) END AS path, {', '.join('t.' + f for f in features)} FROM t{i} t LEFT JOIN s{i} s ON t.node = s.node)",
+        ]
+    figures = f"SELECT path, count(*) AS h, count(*) / CAST(max(w.n) AS DOUBLE) AS coverage, avg(CAST(label AS DOUBLE)) AS bad_rate, avg(CAST(label AS DOUBLE)) / (max(w.b) / CAST(max(w.n) AS DOUBLE)) AS lift FROM t{depth}, weights w WHERE path <> '' GROUP BY path"
+    return _with(f"SELECT CAST(row_number() OVER (ORDER BY lift DESC, path) - 1 AS INTEGER) AS rule_id, path AS condition_str, round(coverage, 4) AS coverage, h AS hit_count, round(bad_rate, 4) AS bad_rate, round(lift, 4) AS lift FROM ({figures}) WHERE coverage <= {most_coverage} AND lift >= {least_lift} AND h >= 5", *steps)
+
+
 def oracle_sql() -> dict[str, str]:
     mono = ("total_price", "acct_bal", "sum_qty")
     order = lambda cols: ", ".join(c[1:] + " DESC" if c[0] == "-" else c for c in cols)
@@ -318,6 +363,8 @@ def oracle_sql() -> dict[str, str]:
         "decision_counts": _with("SELECT split, decision, count(*) AS n FROM final GROUP BY 1, 2", DECIDE),
         "drift_baseline": _with("SELECT feature, CAST(bin AS INTEGER) AS bin, round(expected, 6) AS expected_pct, missing_rate FROM base_", *BASELINE),
         "drift_check": _with("SELECT feature, psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'warning' ELSE 'unstable' END AS psi_level, train_missing_rate, new_missing_rate, round(new_missing_rate - train_missing_rate, 6) AS missing_rate_delta FROM (SELECT feature, round(sum((a - e) * ln(a / e)), 6) AS psi, max(missing_rate) AS train_missing_rate, max(new_missing) AS new_missing_rate FROM (SELECT b.feature, b.missing_rate, greatest(round(b.expected, 8), CAST(1e-6 AS DOUBLE)) AS e, greatest(coalesce(c.n, 0) / CAST(t.known AS DOUBLE), CAST(1e-6 AS DOUBLE)) AS a, round((t.n - t.known) / CAST(t.n AS DOUBLE), 6) AS new_missing FROM base_ b JOIN btot t ON b.feature = t.feature AND t.split = 'valid' LEFT JOIN bcnt c ON b.feature = c.feature AND b.bin = c.bin AND c.split = 'valid') GROUP BY 1)", *BASELINE),
+        "tree_cuts": _tree_cuts(("total_price", "acct_bal", "sum_qty")),
+        "tree_rules": _tree_rules(("total_price", "acct_bal", "sum_qty"), 3, 0.3, 1.5),
         "gbt_fixed_scores": _with(f"SELECT app_id, {_r('1 / (1 + exp(-(' + _known(FIXED_BOOSTER, FIXED_BOOSTER['cuts']) + ')))', 'gbt_score')} FROM apps"),
         "shap_values": _with("SELECT app_id, " + ", ".join(_r(c, c) for c in shap) + " FROM shap", _shapley(FIXED_BOOSTER)),
         "shap_importance": _with(" UNION ALL ".join(f"SELECT '{c[5:]}' AS feature, {_r(f'avg(abs({c}))', 'shap_importance')} FROM shap" for c in shap[:-1]), _shapley(FIXED_BOOSTER)),
