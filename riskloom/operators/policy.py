@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import share
+from riskloom.operators.joins import looked_up
 from riskloom.operators.ordered import quantiles
 from riskloom.operators.rules import Rule, any_rule
 
 REJECT_RATES, REVIEW_RATES, SEGMENT_RATES = (0.03, 0.05, 0.08, 0.10), (0.05, 0.10, 0.15), (0.03, 0.05, 0.08)
 DATASETS = ("train", "test", "valid")
 ACTIONS = ("reject", "review", "approve")
+SEGMENT_TABLE = "position long, segment_feature string, segment_value string, reject_threshold double, review_threshold double"
 #: Policies that one aggregate evaluates.
 CHUNK = 40
 
@@ -148,6 +150,33 @@ def pick_segments(grid: DataFrame, least_hits: int = 10, least_lift: float = 2.0
     return grid.join(best, "policy_id").withColumn("fallback_to_global", ~F.col("recommend_segment_strategy"))
 
 
+def segment_table(spark: SparkSession, overrides: Sequence[dict]) -> DataFrame:
+    """Segments' thresholds as a table; `position` is their order, in which later ones win."""
+    rows = [(i, o["segment_feature"], None if o["segment_value"] is None else str(o["segment_value"]), float(o["reject_threshold"]), float(o["review_threshold"])) for i, o in enumerate(overrides)]
+    return spark.createDataFrame(rows, SEGMENT_TABLE)
+
+
+def with_segments(df: DataFrame, segments: DataFrame) -> tuple[DataFrame, list[str]]:
+    """`df` with a column for each segment feature: position and thresholds of the row's segment, null where it has none."""
+    names = []
+    for r in segments.select("segment_feature").distinct().orderBy("segment_feature").collect():  # as many as the policy has features
+        feature, name = r[0], f"_segment_{len(names)}"
+        own = segments.where(F.col("segment_feature") == feature)
+        last = own.groupBy("segment_value").agg(F.max(F.struct("position", "reject_threshold", "review_threshold")).alias("t")).select("segment_value", "t.*")
+        df = looked_up(df, last, F.col(feature), "segment_value", name)
+        names.append(name)
+    return df, names
+
+
+def table_thresholds(overall: dict | None, names: Sequence[str]) -> tuple[Column, Column]:
+    """Reject and review thresholds of a row of with_segments(): those of its latest segment, else the global ones."""
+    met = F.greatest(*names) if len(names) > 1 else F.col(names[0]) if names else None
+    base = {n: F.lit(None if overall is None else float(overall[n])).cast("double") for n in ("reject", "review")}
+    if met is None:
+        return base["reject"], base["review"]
+    return tuple(F.when(met.isNull(), base[n]).otherwise(met[f"{n}_threshold"]) for n in ("reject", "review"))
+
+
 def segment_masks(picked: Sequence[dict], score: str = "model_score") -> tuple[Column, Column]:
     """Reject and review masks of the recommended segments' thresholds."""
     reject = review = F.lit(False)
@@ -159,18 +188,34 @@ def segment_masks(picked: Sequence[dict], score: str = "model_score") -> tuple[C
     return reject, review
 
 
-def compare_strategies(df: DataFrame, rules: Sequence[Rule], overall: dict, picked: Sequence[dict], score: str = "model_score", label: str = "label", by: str = "split", replace: bool = False) -> DataFrame:
+def table_masks(names: Sequence[str], score: str = "model_score") -> tuple[Column, Column]:
+    """segment_masks() of the columns of with_segments()."""
+    reject = review = F.lit(False)
+    for n in names:
+        masks = action_masks(F.col(score), F.col(f"{n}.reject_threshold"), F.col(f"{n}.review_threshold"))
+        reject, review = (a | F.coalesce(F.col(n).isNotNull() & masks[k], F.lit(False)) for a, k in ((reject, "reject"), (review, "review")))
+    return reject, review
+
+
+def compare_strategies(df: DataFrame, rules: Sequence[Rule], overall: dict, picked: Sequence[dict] | DataFrame, score: str = "model_score", label: str = "label", by: str = "split", replace: bool = False) -> DataFrame:
     """global, segment, and both with rules: what each rejects, reviews and approves on each part.
 
     `replace` adds a fourth row for thresholds as decisions use them: a segment's replace the global.
+    The segments may be a table of any size.
     """
+    if isinstance(picked, DataFrame):
+        df, names = with_segments(df, picked)
+        seg_reject, seg_review = table_masks(names, score)
+        thresholds = table_thresholds(overall, names)
+    else:
+        seg_reject, seg_review = segment_masks(picked, score)
+        thresholds = decision_thresholds(overall, picked)
     g = action_masks(F.col(score), F.lit(overall["reject"]), F.lit(overall["review"]))
-    seg_reject, seg_review = segment_masks(picked, score)
     rule = any_rule(rules, df.columns)
     mixed = g["reject"] | rule | seg_reject
     named = {"global_strategy": (g["reject"], g["review"]), "segment_strategy": (seg_reject, seg_review), "global_plus_segment_rules": (mixed, (g["review"] | seg_review) & ~mixed)}
     if replace:
-        reject, review = decision_thresholds(overall, picked)
+        reject, review = thresholds
         hit = rule | (F.col(score) >= reject)
         named["decisions"] = (hit, (F.col(score) >= review) & ~hit)
     flat = df.select(F.col(by).alias("dataset"), F.col(label).alias("y"), *(F.coalesce(m, F.lit(False)).alias(f"{k}{i}") for i, pair in enumerate(named.values()) for k, m in zip("jv", pair)))

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from riskloom.functions.expressions import bin_left_closed, floored, psi_label, share
 from riskloom.operators.binning import cuts_map, long_form
 from riskloom.operators.ordered import quantiles
-from riskloom.operators.policy import decision_thresholds
+from riskloom.operators.policy import decision_thresholds, segment_table, table_thresholds, with_segments
 from riskloom.operators.rules import Rule, rule_mask
 
+#: Segments of a policy that become branches of a plan; more are met as a table.
+MOST_INLINE = 100
 RESERVED = ("decision", "reject_by_rule", "reject_by_score", "hit_rules", "reject_threshold", "review_threshold", "out_credit_score", "calibrated_prob")
 
 
@@ -23,9 +25,11 @@ def policy_document(overall: dict, picked: Sequence[dict], rules: Sequence[Rule]
     return {"generated_at": (now or datetime.now()).isoformat(timespec="seconds"), "label_col": label, "score_thresholds": {k: float(overall[k]) for k in ("reject", "review")}, "segment_overrides": overrides, "reject_rules": [r.document() for r in rules]}
 
 
-def apply_policy(df: DataFrame, policy: dict | None, score: str = "model_score") -> DataFrame:
+def apply_policy(df: DataFrame, policy: dict | None, score: str = "model_score", segments: DataFrame | None = None) -> DataFrame:
     """Adds decision, reasons and thresholds: reject before review before approve, later segments first.
 
+    Segments' thresholds come from the policy, or from a table of any size (policy.segment_table()).
+
     Without a policy the rows pass as they are. Unknown columns are an error, as a rule that can't
     be read must not turn into one that hits everything or nothing.
     """
@@ -35,8 +39,15 @@ def apply_policy(df: DataFrame, policy: dict | None, score: str = "model_score")
         raise ValueError(f"the input has columns that decisions write: {taken}")
     rules = [Rule.of(d, i) for i, d in enumerate(policy.get("reject_rules", []))]
     masks = [rule_mask(r, df.columns) for r in rules]
-    reject, review = decision_thresholds(policy.get("score_thresholds"), policy.get("segment_overrides", []))
-    out = df.withColumns({"reject_threshold": reject, "review_threshold": review})
+    overrides, names = policy.get("segment_overrides", []), []
+    if segments is None and len(overrides) > MOST_INLINE:
+        segments = segment_table(df.sparkSession, overrides)
+    if segments is None:
+        reject, review = decision_thresholds(policy.get("score_thresholds"), overrides)
+    else:
+        df, names = with_segments(df, segments)
+        reject, review = table_thresholds(policy.get("score_thresholds"), names)
+    out = df.withColumns({"reject_threshold": reject, "review_threshold": review}).drop(*names)
     by_rule = F.lit(False)
     for m in masks:
         by_rule = by_rule | m

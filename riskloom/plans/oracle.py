@@ -314,7 +314,7 @@ def oracle_sql() -> dict[str, str]:
     first = "CASE " + " ".join(f"WHEN m{i} THEN {i}" for i in range(len(RULES))) + " ELSE -1 END"
     woe_map = _woe("bin", "fitrows")
     shap = [*(f"shap_{f}" for f in FIXED_BOOSTER["cuts"]), "shap_base"]
-    return {
+    found = {
         "apps": _with("SELECT * FROM apps"),
         "woe_iv_quantile": _woe_numeric(CUTS),
         "woe_iv_uniform": _woe_numeric(UNIFORM),
@@ -371,3 +371,4 @@ def oracle_sql() -> dict[str, str]:
         "isotonic_calibration": _with("SELECT split, round(avg(c), 6) AS mean_calibrated, round(min(c), 6) AS low, round(max(c), 6) AS high, round(avg(CAST(label AS DOUBLE)), 6) AS bad_rate FROM cal GROUP BY 1", *ISOTONIC),
         "run_diff": _with("SELECT metric, round(run_a, 6) AS run_a, round(run_b, 6) AS run_b, round(run_b - run_a, 6) AS delta_b_minus_a FROM (SELECT metric, max(value) FILTER (WHERE split = 'train') AS run_a, max(value) FILTER (WHERE split = 'valid') AS run_b FROM rl GROUP BY 1)", "rl AS (SELECT split, 'n_total' AS metric, CAST(count(*) AS DOUBLE) AS value FROM apps GROUP BY 1 UNION ALL SELECT split, 'bad_rate', avg(CAST(label AS DOUBLE)) FROM apps GROUP BY 1 UNION ALL SELECT split, 'mean_score', avg(model_score) FROM apps GROUP BY 1)"),
     }
+    return found | {"score_decisions_by_table": found["score_decisions"], "final_comparison_by_table": found["final_comparison"]}

@@ -264,6 +264,15 @@ def score_decisions(apps):
     return scoring.apply_policy(apps, POLICY).select("app_id", "decision", "reject_by_rule", "reject_by_score", "hit_rules", "reject_threshold", "review_threshold")
 
 
+def score_decisions_by_table(apps):
+    segments = policy.segment_table(apps.sparkSession, POLICY["segment_overrides"])
+    return scoring.apply_policy(apps, POLICY, segments=segments).select("app_id", "decision", "reject_by_rule", "reject_by_score", "hit_rules", "reject_threshold", "review_threshold")
+
+
+def final_comparison_by_table(apps):
+    return policy.compare_strategies(apps, RULES[:2], OVERALL, policy.segment_table(apps.sparkSession, PICKED))
+
+
 def decision_counts(apps):
     return scoring.apply_policy(apps, POLICY).groupBy("split", "decision").agg(F.count("*").alias("n"))
 
@@ -367,7 +376,7 @@ _BUILDERS: tuple[Callable[[DataFrame], DataFrame], ...] = (
     spearman_matrix, high_corr_pairs, monotonicity, vif, feature_summary, split_stratified, split_time, split_recent_valid,
     rule_single_candidates, rule_single_mined, rule_backtest, rule_combined, rule_overlap, rule_stability, rule_marginal,
     score_policy, global_grid, global_pick, segment_report, segment_discrimination, segment_grid, segment_pick, final_comparison, leaderboard, recommendation_tiers,
-    prob_to_score, woe_transform, score_decisions, decision_counts, drift_baseline, drift_check, run_diff,
+    prob_to_score, woe_transform, score_decisions, score_decisions_by_table, final_comparison_by_table, decision_counts, drift_baseline, drift_check, run_diff,
     tree_cuts, variable_selection, lr_scorecard, isotonic_calibration, gbt_scores, gbt_importance, gbt_fixed_scores, shap_values, shap_importance, gbt_categories, tree_rules,
 )
 

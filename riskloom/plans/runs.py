@@ -24,8 +24,9 @@ from riskloom.session import settled
 from riskloom.sources import files
 
 log = logging.getLogger(__name__)
-#: Segments with thresholds of their own in one policy, which is a document and a plan; more are an error.
+#: Segments with thresholds of their own that the policy's document lists; of more it names the table.
 MOST_SEGMENTS = 1000
+SEGMENTS = "segment_thresholds"
 Save = Callable[[str, DataFrame], DataFrame]
 
 
@@ -87,7 +88,9 @@ def _train(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ro
     mined, stable = find_rules(scored, [f for f in numeric if f in selected], [f for f in categorical if f in selected], label, by, config, save)
     overall, segments, leader = find_policy(scored, stable, label, by, config, save)
     base = scoring.drift_baseline(part, numeric).collect()
-    document = scoring.policy_document(overall, segments, stable, label)
+    document = scoring.policy_document(overall, listed_segments(segments), stable, label)
+    if segments is not None and not document["segment_overrides"]:
+        document["segment_table"] = f"reports/{SEGMENTS}"
     files.write_json(document, root / "policy.json")
     meta = {"best_algo": best, "label_col": label, "features": [*numeric, *categorical], "scorecard": config.model.scorecard, "lr": card.dumps(), "gbt": booster.dumps() if booster else None, "drift_baseline": {r["feature"]: {"breakpoints": r["breakpoints"], "expected_pct": r["expected_pct"], "missing_rate": r["missing_rate"]} for r in base}}
     files.write_json(meta, root / "model_meta.json")
@@ -173,8 +176,8 @@ def find_rules(scored: DataFrame, numeric: Sequence[str], categorical: Sequence[
     return mined, stable
 
 
-def find_policy(scored: DataFrame, stable: Sequence[rules.Rule], label: str, by: str, config: Config, save: Save) -> tuple[dict, list[dict], Row]:
-    """Global thresholds, those of the segments that discriminate, and the strategies compared; the best strategy's row."""
+def find_policy(scored: DataFrame, stable: Sequence[rules.Rule], label: str, by: str, config: Config, save: Save) -> tuple[dict, DataFrame | None, Row]:
+    """Global thresholds, the table of those of segments that discriminate, and the strategies compared; the best strategy's row."""
     s = config.strategy
     save("score_policy", policy.score_policy(scored, s.score_reject_quantile, s.score_review_quantile, label=label, by=by))
     grid = save("global_policy_grid", policy.global_grid(scored, s.reject_rate_grid, s.review_rate_grid, label=label, by=by))
@@ -187,19 +190,27 @@ def find_policy(scored: DataFrame, stable: Sequence[rules.Rule], label: str, by:
         spread = save("segment_discrimination", policy.segment_discrimination(scored, features, label=label, by=by))
         if s.segment_use_discrimination_filter:
             features = policy.segment_features_of(spread, features)
-    segments = []
+    segments = None
     if features:
         cut = save("segment_policy_grid", policy.segment_grid(scored, features, overall["review"], s.segment_reject_rate_grid, s.segment_min_samples, label=label, by=by))
         chosen = save("segment_recommendation", policy.pick_segments(cut, s.segment_min_valid_hits, s.segment_min_lift, s.segment_max_lift_gap))
-        segments = [r.asDict() for r in chosen.where("recommend_segment_strategy AND dataset = 'valid' AND action = 'reject'").limit(MOST_SEGMENTS + 1).collect()]
-        if len(segments) > MOST_SEGMENTS:
-            raise ValueError(f"more than {MOST_SEGMENTS} segments have thresholds of their own; name segment features of fewer values")
-    comparison = save("final_strategy_comparison", policy.compare_strategies(scored, stable, overall, segments, label=label, by=by, replace=True))
+        position = F.array_position(F.array(*map(F.lit, features)), F.col("segment_feature")).alias("position")
+        good = chosen.where("recommend_segment_strategy AND dataset = 'valid' AND action = 'reject'")
+        segments = save(SEGMENTS, good.select(position, "segment_feature", "segment_value", "reject_threshold", "review_threshold"))
+    comparison = save("final_strategy_comparison", policy.compare_strategies(scored, stable, overall, [] if segments is None else segments, label=label, by=by, replace=True))
     board = save("strategy_leaderboard", policy.leaderboard(comparison))
     save("strategy_recommendation", policy.recommend(board, s.segment_min_lift))
     return overall, segments, board.orderBy(F.desc("leaderboard_score"), "strategy_name").first()
 
 
+def listed_segments(segments: DataFrame | None) -> list[dict]:
+    """The segments for the policy's document, if they are few enough; in the order in which later ones win."""
+    if segments is None:
+        return []
+    few = segments.limit(MOST_SEGMENTS + 1).collect()
+    return sorted((r.asDict() for r in few), key=lambda r: (r["position"], r["segment_value"] is None, r["segment_value"] or "")) if len(few) <= MOST_SEGMENTS else []
+
+
 def first_rows(spark: SparkSession, path: str, most: int = 200) -> list[dict]:
     """What the page shows of a report: its first rows by rank, else in the order of its columns."""
     report = spark.read.parquet(path)
@@ -224,7 +235,9 @@ def score(df: DataFrame, run: str | Path) -> tuple[DataFrame, DataFrame]:
     if missing := [f for f in meta["features"] if f not in df.columns]:
         raise eda.InputError(f"missing columns: {missing}")
     out = apply(df, "model_score").withColumn("out_credit_score", F.round(score_points(F.col("model_score"), **meta["scorecard"]), 1))
-    decided = scoring.apply_policy(out.withColumnRenamed("out_credit_score", "_points"), files.read_json(run / "policy.json")).withColumnRenamed("_points", "out_credit_score")
+    document = files.read_json(run / "policy.json")
+    segments = df.sparkSession.read.parquet(f"{run}/{document['segment_table']}") if "segment_table" in document else None
+    decided = scoring.apply_policy(out.withColumnRenamed("out_credit_score", "_points"), document, segments=segments).withColumnRenamed("_points", "out_credit_score")
     if (run / "calibrator").exists():
         decided = models.Calibrator.load(str(run / "calibrator")).apply(decided, "model_score")
     if df.isStreaming:
