@@ -43,7 +43,7 @@ class Scorecard:
         return 1 / (1 + F.exp(-total))
 
     def score(self, df: DataFrame, name: str = "model_score") -> DataFrame:
-        return df.withColumn(name, self.probability())
+        return self.encoder.detached(self.encoder.attached(df, self.features).withColumn(name, self.probability()))
 
     def scorecard(self) -> DataFrame:
         """feature, bin, woe, coef, points for each bin, and a base row; the points of a row sum to its score."""
@@ -51,22 +51,26 @@ class Scorecard:
         offset = self.base + factor * math.log(self.base_odds)
         rows = [("__base__", "", 0.0, float(self.intercept), round(offset - factor * self.intercept, 2))]
         for f, c in zip(self.features, self.coefficients):
-            table = self.encoder.woe.get(f) or self.encoder.categories[f]
+            table = {} if f in self.encoder.large else self.encoder.woe.get(f) or self.encoder.categories[f]
             rows += [(f, b, float(w), float(c), round(-factor * c * w, 2)) for b, w in sorted(table.items())]
-        return self.session.createDataFrame(rows, "feature string, bin string, woe double, coef double, points double")
+        card = self.session.createDataFrame(rows, "feature string, bin string, woe double, coef double, points double")
+        for f, c in zip(self.features, self.coefficients):
+            if f in self.encoder.large:
+                card = card.unionByName(self.encoder.table.where(F.col("feature") == f).select("feature", F.col("value").alias("bin"), "woe", F.lit(float(c)).alias("coef"), F.round(-factor * c * F.col("woe"), 2).alias("points")))
+        return card
 
     def dumps(self) -> str:
         return json.dumps({"encoder": json.loads(self.encoder.dumps()), "features": self.features, "coefficients": self.coefficients, "intercept": self.intercept, "pdo": self.pdo, "base": self.base, "base_odds": self.base_odds})
 
     @staticmethod
-    def loads(text: str, session: object = None) -> Scorecard:
+    def loads(text: str, session: object = None, table: DataFrame | None = None) -> Scorecard:
         d = json.loads(text)
-        return Scorecard(WoeEncoder(**d.pop("encoder")), session=session, **d)
+        return Scorecard(WoeEncoder(**d.pop("encoder"), table=table), session=session, **d)
 
 
 def fit_logistic(train: DataFrame, encoder: WoeEncoder, features: Sequence[str], label: str = "label", c: float = 1.0, iterations: int = 1000) -> Scorecard:
     """L2 logistic regression with balanced class weights on standardised WOE; the penalty is 1 / (c * sum of weights)."""
-    rows = train.select(F.col(label).cast("double").alias("_y"), *(encoder.column(f).alias(f) for f in features)).where("_y IS NOT NULL")
+    rows = encoder.attached(train, features).select(F.col(label).cast("double").alias("_y"), *(encoder.column(f).alias(f) for f in features)).where("_y IS NOT NULL")
     row = rows.agg(F.count("*").alias("_n"), F.sum("_y").alias("_b"), *(F.avg(f).alias(f"m_{f}") for f in features), *(F.stddev_pop(f).alias(f"s_{f}") for f in features)).first()
     n, b = row["_n"], row["_b"]
     if not n or not 0 < b < n:

@@ -26,7 +26,7 @@ from riskloom.sources import files
 log = logging.getLogger(__name__)
 #: Segments with thresholds of their own that the policy's document lists; of more it names the table.
 MOST_SEGMENTS = 1000
-SEGMENTS = "segment_thresholds"
+SEGMENTS, CATEGORIES = "segment_thresholds", "woe_categories"
 Save = Callable[[str, DataFrame], DataFrame]
 
 
@@ -122,6 +122,9 @@ def fit_models(part: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     m, seed = config.model, config.split.random_state
     spark = part.sparkSession
     encoder = WoeEncoder.fit(part, numeric, categorical, label, least_missing=m.woe_missing_min_samples)
+    if encoder.large:
+        encoder.table = save(CATEGORIES, encoder.table)
+        log.info("features of very many categories, which only the scorecard uses: %s", encoder.large)
     c = m.lr_c
     if m.tune:
         search = Search(models.PENALTY_SPACE, seed)
@@ -222,7 +225,10 @@ def load_model(run: Path, spark: SparkSession):
     """The scoring function of a run; an unknown algorithm is an error."""
     meta = files.read_json(run / "model_meta.json")
     if meta["best_algo"] == "lr":
-        return meta, models.Scorecard.loads(meta["lr"], spark).score
+        card = models.Scorecard.loads(meta["lr"], spark)
+        if card.encoder.large:
+            card.encoder.table = spark.read.parquet(f"{run}/reports/{CATEGORIES}")
+        return meta, card.score
     if meta["best_algo"] == "gbt":
         return meta, Booster.loads(meta["gbt"]).score
     raise ValueError(f"unknown algorithm {meta['best_algo']}")
