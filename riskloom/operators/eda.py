@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +15,10 @@ from pyspark.sql import types as T
 from riskloom.functions.expressions import no_nan, share
 from riskloom.operators.metrics import psi_report
 from riskloom.operators.ordered import average_rank, bucketed_rank
+from riskloom.session import settled
+
+#: Triangular factors that are stacked and factored at once.
+FAN = 64
 
 
 def numeric_columns(df: DataFrame, besides: Sequence[str] = ()) -> list[str]:
@@ -119,25 +124,65 @@ def high_correlations(pairs: DataFrame, threshold: float = 0.7) -> DataFrame:
     return pairs.where(F.abs("correlation") >= threshold)
 
 
-def vif_table(df: DataFrame, features: Sequence[str], threshold: float = 10.0) -> DataFrame:
-    """feature, vif, high_vif over rows without nulls, from one aggregate: the matrix of products.
+def triangular_factor(rows: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """R of the QR decomposition of the rows' matrix: tasks factor their rows block by block, and factors are stacked and
+    factored again in a tree, so that no task and no driver sees more than FAN of them at once."""
+    k = len(columns)
+    kinds = "part long, r array<double>"
+
+    def packed(part: int, r: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([r.ravel().tolist()], pa.list_(pa.float64()))], names=["part", "r"])
+
+    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        r = np.zeros((0, k))
+        for b in batches:
+            r = np.linalg.qr(np.vstack([r, np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1)]), mode="r")
+        if len(r):
+            yield packed(TaskContext.get().partitionId(), r)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r, first = np.zeros((0, k)), None
+        for b in batches:
+            for part, x in zip(b.column("part").to_pylist(), b.column("r").to_pylist()):
+                first = part // FAN if first is None else first
+                r = np.linalg.qr(np.vstack([r, np.array(x).reshape(-1, k)]), mode="r")
+        if first is not None:
+            yield packed(first, r)
+
+    factors = settled(rows.select(*(F.col(c).cast("double").alias(c) for c in columns)).mapInArrow(factor, kinds))
+    while (last := factors.agg(F.max("part")).first()[0] or 0) >= FAN:
+        groups = last // FAN + 1
+        factors = settled(factors.repartitionById(groups, F.expr(f"CAST(part div {FAN} AS INT)")).mapInArrow(merge, kinds))
+    parts = [np.array(r["r"]).reshape(-1, k) for r in factors.orderBy("part").collect()]
+    return np.linalg.qr(np.vstack([np.zeros((k, k)), *parts]), mode="r")
+
+
+def inflation(r: np.ndarray) -> np.ndarray:
+    """1 / (1 - R^2) of each column on the others, without intercept; infinite where the others make it up."""
+    length = np.sqrt((r * r).sum(axis=0))
+    unit = r / np.where(length > 0, length, 1.0)
+    sizes = np.linalg.svd(unit, compute_uv=False)
+    if sizes[-1] > 1e-12 * sizes[0]:
+        return (np.linalg.inv(unit) ** 2).sum(axis=1)
+    out = []
+    for j in range(len(unit)):
+        others = np.delete(unit, j, axis=1)
+        left = unit[:, j] - others @ np.linalg.lstsq(others, unit[:, j], rcond=1e-12)[0]
+        out.append(np.inf if length[j] == 0 or (left @ left) < 1e-24 else 1 / (left @ left))
+    return np.array(out)
 
-    vif_i = G_ii * (G^-1)_ii, the uncentred form (no intercept). A singular matrix gives infinity.
-    """
+
+def vif_table(df: DataFrame, features: Sequence[str], threshold: float = 10.0) -> DataFrame:
+    """feature, vif, high_vif over rows without nulls, by a QR decomposition, which unlike the matrix of products keeps
+    nearly collinear columns apart; the uncentred form (no intercept). Without rows and for made-up columns infinite."""
     spark, k = df.sparkSession, len(features)
     schema = "feature string, vif double, high_vif boolean"
     if k < 2:
         return spark.createDataFrame([], schema)
-    rows = df.select(*(no_nan(f).alias(f) for f in features)).dropna()
-    scale = rows.agg(*(F.sqrt(F.sum(F.col(f) * F.col(f))).alias(f) for f in features)).first()
-    unit = [F.col(f) / F.lit(scale[f] or 1.0) for f in features]
-    sums = rows.agg(*[F.sum(unit[i] * unit[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
-    g = np.array([[sums[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
-    try:
-        v = np.diag(g) * np.diag(np.linalg.inv(g)) if np.linalg.cond(g) < 1e14 else np.full(k, np.inf)
-    except np.linalg.LinAlgError:
-        v = np.full(k, np.inf)
-    return spark.createDataFrame([(f, float(x), bool(x > threshold)) for f, x in zip(features, v)], schema).orderBy(F.desc("vif"), "feature")
+    r = triangular_factor(df.select(*(no_nan(f).alias(f) for f in features)).dropna(), features)
+    return spark.createDataFrame([(f, float(x), bool(x > threshold)) for f, x in zip(features, inflation(r))], schema).orderBy(F.desc("vif"), "feature")
 
 
 def half_split_psi(df: DataFrame, features: Sequence[str], time: str | None, key: str, bins: int = 10) -> DataFrame:
