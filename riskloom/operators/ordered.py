@@ -21,6 +21,8 @@ from riskloom.session import settled
 
 #: Range buckets of values; their borders are approximate quantiles, so outliers don't crowd the rest into one.
 BUCKETS = 256
+#: Rows of a bucket above which it may be parted, into how many parts, and rows that the borders are taken from.
+LARGE_BUCKET, PARTS, PART_SAMPLE = 1_000_000, 64, 4096
 
 
 def _meet(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,15 +32,41 @@ def _meet(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame
     return rows.join(named, same).drop(*(f"_at_{i}" for i in range(len(keys))))
 
 
+def _parted(rows: DataFrame, hot: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows with the buckets in `hot` split, as (none, at, part): parts lie between borders taken from a share of the
+    bucket's rows, picked by hash; rows that are equal in the order stay together."""
+    place = F.struct(*(c for o in order for c in (F.col(o).isNull().alias(f"n_{o}"), F.col(o).alias(f"v_{o}"))))
+    keys = [*by, "_bucket"]
+    held = hot.select(*keys, "_n")
+    sample = _meet(rows.select(*keys, place.alias("_place"), *(F.col(o).alias(f"_o{i}") for i, o in enumerate(order))), F.broadcast(held), keys)
+    sample = sample.where(F.pmod(F.xxhash64(*(f"_o{i}" for i in range(len(order)))), F.col("_n")) < PART_SAMPLE)
+    listed = sample.groupBy(*keys).agg(F.array_sort(F.collect_set("_place")).alias("_all"))
+    steps = F.sequence(F.lit(1), F.lit(PARTS - 1))
+    borders = F.array_distinct(F.transform(steps, lambda i: F.element_at("_all", F.greatest(F.lit(1), F.ceil(F.size("_all") * i / PARTS)).cast("int"))))
+    borders = settled(listed.select(*keys, borders.alias("_borders")))
+    # as many rows as hot buckets, fewer than BUCKETS in all
+    named = borders.select(*(F.col(k).alias(f"_at_{i}") for i, k in enumerate(keys)), "_borders")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_at_{i}")) for i, k in enumerate(keys)])
+    met = rows.join(F.broadcast(named), same, "left")
+    part = F.coalesce(F.size(F.filter("_borders", lambda b: b < place)), F.lit(0))
+    return met.withColumn("_bucket", F.struct("_bucket.none", "_bucket.at", part.alias("part"))).drop("_borders", *(f"_at_{i}" for i in range(len(keys))))
+
+
 def bucketed_rank(df: DataFrame, by: Sequence[str], bucket: Column, order: Sequence[str], name: str = "rank", size: str | None = None) -> DataFrame:
     """Adds the 1-based position by (bucket, order) within `by`, and the group's size if named; nulls come last.
 
     `bucket` must be monotone in the wanted order and of bounded number; only bucket counts meet in
-    one place. Rows with a null in `by` are a group of their own.
+    one place. A bucket of very many rows (a hot day) is parted again at borders in `order`. Rows with
+    a null in `by` are a group of their own.
     """
-    rows = df.withColumn("_bucket", bucket)
-    counts = rows.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
-    up = W.partitionBy(*by).orderBy(F.asc_nulls_last("_bucket"))
+    rows = df.withColumn("_bucket", F.struct(bucket.isNull().alias("none"), bucket.alias("at")))
+    counts = settled(rows.groupBy(*by, "_bucket").agg(F.count("*").alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.where(F.col("_n") > max(LARGE_BUCKET, total // BUCKETS))
+    if not hot.isEmpty():
+        rows = _parted(rows, hot, by, order)
+        counts = settled(rows.groupBy(*by, "_bucket").agg(F.count("*").alias("_n")))
+    up = W.partitionBy(*by).orderBy("_bucket")
     offsets = counts.select(*by, "_bucket", (F.sum("_n").over(up) - F.col("_n")).alias("_before"), F.sum("_n").over(W.partitionBy(*by)).alias("_all"))
     inside = F.row_number().over(W.partitionBy(*by, "_bucket").orderBy(*map(F.asc_nulls_last, order)))
     out = _meet(rows.withColumn("_inside", inside), offsets, [*by, "_bucket"]).withColumn(name, F.col("_before") + F.col("_inside"))
