@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import re
 
 from riskloom.plans.queries import FIXED_BOOSTER
 from riskloom.sources.apps import APPS_SQL
@@ -243,6 +244,18 @@ ISOTONIC = (
 )
 
 
+def _runs_compared() -> str:
+    """The metrics of the scores and of the scores rounded to one place, side by side, with their differences."""
+    renamed = lambda text, i, names: re.sub(rf"\b({'|'.join(names)})\b", rf"\g<1>{i}", text)
+    parts = []
+    for i, score in ((1, "model_score"), (2, "coarse")):
+        own = re.findall(r"(?:^|, |\n)(\w+) AS \(", f"{KS}, {AUC}, {METRICS}")
+        parts.append(renamed(f"{KS}, {AUC}, {METRICS}", i, own).replace("FROM apps", "FROM scored").replace("model_score", score))
+    long = " UNION ALL ".join(f"SELECT 'lr_' || a.dataset || '_{k}' AS metric, CAST(a.{c} AS DOUBLE) AS run_a, CAST(b.{c} AS DOUBLE) AS run_b FROM metrics1 a JOIN metrics2 b USING (dataset)" for k, c in (("KS", "ks"), ("AUC", "auc")))
+    total = "SELECT 'n_total' AS metric, CAST(count(*) AS DOUBLE) AS run_a, CAST(count(*) AS DOUBLE) AS run_b FROM apps"
+    return _with(f"SELECT metric, run_a, run_b, round(run_b - run_a, 6) AS delta_b_minus_a FROM ({total} UNION ALL {long})", "scored AS (SELECT *, round(model_score, 1) AS coarse FROM apps)", *parts)
+
+
 def _gini(n: str, bad: str) -> str:
     return f"(CASE WHEN {n} > 0 THEN 2 * ({bad}) * ({n} - ({bad})) / CAST({n} AS DOUBLE) ELSE 0 END)"
 
@@ -363,6 +376,7 @@ def oracle_sql() -> dict[str, str]:
         "decision_counts": _with("SELECT split, decision, count(*) AS n FROM final GROUP BY 1, 2", DECIDE),
         "drift_baseline": _with("SELECT feature, CAST(bin AS INTEGER) AS bin, round(expected, 6) AS expected_pct, missing_rate FROM base_", *BASELINE),
         "drift_check": _with("SELECT feature, psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'warning' ELSE 'unstable' END AS psi_level, train_missing_rate, new_missing_rate, round(new_missing_rate - train_missing_rate, 6) AS missing_rate_delta FROM (SELECT feature, round(sum((a - e) * ln(a / e)), 6) AS psi, max(missing_rate) AS train_missing_rate, max(new_missing) AS new_missing_rate FROM (SELECT b.feature, b.missing_rate, greatest(round(b.expected, 8), CAST(1e-6 AS DOUBLE)) AS e, greatest(coalesce(c.n, 0) / CAST(t.known AS DOUBLE), CAST(1e-6 AS DOUBLE)) AS a, round((t.n - t.known) / CAST(t.n AS DOUBLE), 6) AS new_missing FROM base_ b JOIN btot t ON b.feature = t.feature AND t.split = 'valid' LEFT JOIN bcnt c ON b.feature = c.feature AND b.bin = c.bin AND c.split = 'valid') GROUP BY 1)", *BASELINE),
+        "runs_compared": _runs_compared(),
         "tree_cuts": _tree_cuts(("total_price", "acct_bal", "sum_qty")),
         "tree_rules": _tree_rules(("total_price", "acct_bal", "sum_qty"), 3, 0.3, 1.5),
         "gbt_fixed_scores": _with(f"SELECT app_id, {_r('1 / (1 + exp(-(' + _known(FIXED_BOOSTER, FIXED_BOOSTER['cuts']) + ')))', 'gbt_score')} FROM apps"),

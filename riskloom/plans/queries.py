@@ -294,6 +294,17 @@ def run_diff(apps):
     return _round(run("train", "run_a").join(run("valid", "run_b"), "metric", "full_outer").withColumn("delta_b_minus_a", F.col("run_b") - F.col("run_a")))
 
 
+def runs_compared(apps):
+    """Two runs' summaries, of scores as they are and of scores cut to a decimal, by the run diff."""
+    def summary(score: str) -> dict:
+        rows = metrics.model_metrics(apps, score).collect()
+        return {"n_total": apps.count(), "model_metrics": {"lr": {r["split"]: {"KS": r["ks"], "AUC": r["auc"]} for r in sorted(rows, key=lambda r: r["split"])}}}
+
+    apps = apps.withColumn("coarse", F.round("model_score", 1))
+    found = scoring.diff_runs(summary("model_score"), summary("coarse"))
+    return apps.sparkSession.createDataFrame([(d["metric"], float(d["run_a"]), float(d["run_b"]), float(d["delta_b_minus_a"])) for d in found], "metric string, run_a double, run_b double, delta_b_minus_a double")
+
+
 def tree_cuts(apps):
     cuts = binning.tree_cuts(_train(apps), ("total_price", "acct_bal", "sum_qty"))
     return apps.sparkSession.createDataFrame([(f, i, c) for f, x in sorted(cuts.items()) for i, c in enumerate(x)], "feature string, position int, cut double")
@@ -376,7 +387,7 @@ _BUILDERS: tuple[Callable[[DataFrame], DataFrame], ...] = (
     spearman_matrix, high_corr_pairs, monotonicity, vif, feature_summary, split_stratified, split_time, split_recent_valid,
     rule_single_candidates, rule_single_mined, rule_backtest, rule_combined, rule_overlap, rule_stability, rule_marginal,
     score_policy, global_grid, global_pick, segment_report, segment_discrimination, segment_grid, segment_pick, final_comparison, leaderboard, recommendation_tiers,
-    prob_to_score, woe_transform, score_decisions, score_decisions_by_table, final_comparison_by_table, decision_counts, drift_baseline, drift_check, run_diff,
+    prob_to_score, woe_transform, score_decisions, score_decisions_by_table, final_comparison_by_table, decision_counts, drift_baseline, drift_check, run_diff, runs_compared,
     tree_cuts, variable_selection, lr_scorecard, isotonic_calibration, gbt_scores, gbt_importance, gbt_fixed_scores, shap_values, shap_importance, gbt_categories, tree_rules,
 )
 
