@@ -31,7 +31,7 @@ Save = Callable[[str, DataFrame], DataFrame]
 
 
 def train(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], out: str, label: str = "label", by: str = "split", config: Config | None = None, algorithms: Sequence[str] = ("lr", "gbt"), time: str | None = None, key: str = "app_id") -> dict:
-    """Explore, select, fit, calibrate, mine and search over a table that has its parts in `by`.
+    """Split (unless the table has its parts in `by`), explore, select, fit, calibrate, mine and search.
 
     Writes reports, scored rows, documents, the log and the page below `out`. Rows without a label
     are noted and left out of all figures.
@@ -59,7 +59,11 @@ def _train(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ro
     notes = eda.validate_inputs(df, label, [*numeric, *categorical])
     for n in notes:
         log.warning(n)
-    df = df.where(F.col(label).isNotNull())
+    df, time = df.where(F.col(label).isNotNull()), time or config.split.time_col
+    if by not in df.columns:
+        split_rows(df, label, by, config, time, key).write.mode("overwrite").partitionBy(by).parquet(f"{root}/split")
+        df = df.sparkSession.read.parquet(f"{root}/split")
+        log.info("split by %s", f"the last {config.split.valid_months} months of {time}" if time else "label")
     part = df.where(F.col(by) == "train")
 
     def save(name: str, report: DataFrame) -> DataFrame:
@@ -106,6 +110,14 @@ def _train(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ro
     return summary
 
 
+def split_rows(df: DataFrame, label: str, by: str, config: Config, time: str | None, key: str) -> DataFrame:
+    """The parts by configuration: with a time the latest months are valid and the rest is split by label, else all are split by label."""
+    s, order = config.split, splits.shuffled(key, config.split.random_state)
+    if time:
+        return splits.recent_valid_split(df, time, label, order, key, s.valid_months, s.test_ratio / (s.train_ratio + s.test_ratio), s.min_valid_samples, by)
+    return splits.stratified_split(df, label, order, key, (s.train_ratio, s.test_ratio, s.holdout_ratio), by)
+
+
 def explore(part: DataFrame, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, by: str, config: Config, time: str | None, key: str, save: Save) -> None:
     """Reports on the table before any model."""
     save("split_profile", eda.dataset_profile(df, label, time, by))
@@ -265,3 +277,11 @@ def score_to(df: DataFrame, run: str | Path, out: str, key: str | None = None) -
 def compare(run_a: str | Path, run_b: str | Path) -> list[dict]:
     a, b = ({n: files.read_json(Path(r) / f"{n}.json") for n in ("run_summary", "policy")} for r in (run_a, run_b))
     return scoring.diff_runs(a["run_summary"], b["run_summary"], a["policy"], b["policy"])
+
+
+def compare_to(run_a: str | Path, run_b: str | Path, out: str, spark: SparkSession) -> DataFrame:
+    """The diff of two runs as a report: metric, run_a, run_b (as text), delta_b_minus_a, in the order of the diff."""
+    text = lambda x: None if x is None else str(x)
+    rows = [(i, d["metric"], text(d["run_a"]), text(d["run_b"]), None if d["delta_b_minus_a"] is None else float(d["delta_b_minus_a"])) for i, d in enumerate(compare(run_a, run_b))]
+    files.write_report(spark.createDataFrame(rows, "position int, metric string, run_a string, run_b string, delta_b_minus_a double"), out)
+    return spark.read.parquet(out)
