@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.ordered import bucketed_rank
+from riskloom.operators.ordered import before_borders, bucketed_rank
 
 RATIOS = (0.70, 0.15, 0.15)
 
@@ -17,14 +17,21 @@ def _check(ratios: Sequence[float]) -> None:
         raise ValueError(f"the parts must be 0 or more and sum to 1: {ratios}")
 
 
+def _ends(ratios: Sequence[float]) -> tuple[Column, Column]:
+    return F.floor(F.col("_size") * ratios[0]), F.floor(F.col("_size") * (ratios[0] + ratios[1]))
+
+
 def _part(ratios: Sequence[float]) -> Column:
-    first, second = F.floor(F.col("_size") * ratios[0]), F.floor(F.col("_size") * (ratios[0] + ratios[1]))
+    first, second = _ends(ratios)
     return F.when(F.col("_rank") <= first, "train").when(F.col("_rank") <= second, "test").otherwise("valid")
 
 
 def stratified_split(df: DataFrame, label: str, shuffle: Column, key: str, ratios: Sequence[float] = RATIOS, name: str = "split") -> DataFrame:
     """Parts of equal label rate: rows of a label in the order of `shuffle`, a key's bounded hash, then of `key`."""
     _check(ratios)
+    borders = before_borders(df, label, shuffle, [key], _ends(ratios))
+    if borders is not None:
+        return df.withColumn(name, F.when(borders[0], "train").when(borders[1], "test").otherwise("valid"))
     return bucketed_rank(df, [label], shuffle, [key], "_rank", "_size").withColumn(name, _part(ratios)).drop("_rank", "_size")
 
 

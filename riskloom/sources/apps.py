@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.splits import stratified_split
+from riskloom.session import settled
 
 NUMERIC = ("total_price", "acct_bal", "n_items", "sum_qty", "avg_disc", "price_copy", "drifting")
 CATEGORICAL = ("channel", "priority", "region")
@@ -13,7 +14,10 @@ DRIFT_FROM = "1997-01-01"
 
 
 def load_apps(spark: SparkSession, folder: str) -> DataFrame:
-    """app_id, apply_time, features, label, model_score, split."""
+    """app_id, apply_time, features, label, model_score, split.
+
+    The joined rows are written once; every pass of a query reads the columns that it needs from there.
+    """
     read = lambda name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     items = read("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").cast("int").alias("n"), F.sum("l_quantity").alias("sum_qty"), F.avg("l_discount").alias("avg_disc"))
     places = read("nation").join(F.broadcast(read("region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
@@ -30,7 +34,7 @@ def load_apps(spark: SparkSession, folder: str) -> DataFrame:
         (F.lit(100.0) * tp * tp * tp + qty / F.lit(10.0) + ((key * 7919) % 1000) / F.lit(12.0) > 105).cast("int").alias("label"),
         F.round(1 / (1 + F.exp(-(F.lit(10.0) * tp + qty / F.lit(200.0) - F.lit(9.0)))), 12).alias("model_score"),
     )
-    return stratified_split(apps, "label", (F.col("app_id") * 7919) % 100003, "app_id")
+    return stratified_split(settled(apps), "label", (F.col("app_id") * 7919) % 100003, "app_id")
 
 
 #: The same table for DuckDB, as the head of every query's SQL.
