@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.expressions import no_nan, share
+from riskloom.operators.joins import HOT_KEYS, HOT_ROWS, SMALL
 from riskloom.operators.metrics import psi_report
-from riskloom.operators.ordered import average_rank, bucketed_rank
+from riskloom.operators.ordered import before_borders, bucketed_rank, cumulative_by_value
 from riskloom.session import settled
 
+#: Patterns of missing values that pairs of features are grouped by at most.
+MOST_PATTERNS = 10_000
 #: Triangular factors that are stacked and factored at once.
 FAN = 64
 
@@ -98,26 +101,44 @@ def monotonicity(stats: DataFrame, least: float = 0.6, bin_: str = "bin") -> Dat
 def spearman_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """feature_a, feature_b, correlation for each pair in column order, over the rows where both are known.
 
-    Pairs that share the same known rows share one ranking of them.
+    Pairs that share the same known rows share one ranking of them. All rankings are columns of one table by feature and value;
+    each feature's part of it meets the rows once.
     """
-    rows = df.select(*(no_nan(f).alias(f) for f in features)).persist()
-    try:
-        known = rows.agg(*(F.count_if(F.col(f).isNull()).alias(f) for f in features)).first()
-        holed = {f for f in features if known[f]}
-        groups: dict[frozenset, list[tuple[str, str]]] = {}
-        for a, b in combinations(features, 2):
-            groups.setdefault(frozenset({a, b} & holed), []).append((a, b))
-        found: dict[tuple[str, str], float | None] = {}
-        for holes, pairs in groups.items():
-            base = rows.dropna(subset=sorted(holes)) if holes else rows
-            part = base  # ranks come from the rows as they were, so that plans don't grow with each join
-            for f in [f for f in features if any(f in p for p in pairs)]:
-                part = part.join(average_rank(base.select(F.lit(1).alias("_g"), f), ["_g"], f).select(f, F.col("rank").alias(f"r_{f}")), f)
-            got = part.agg(*[F.round(F.corr(f"r_{a}", f"r_{b}"), 6).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]).first()
-            found |= dict(zip(pairs, got))
-    finally:
-        rows.unpersist()
-    return df.sparkSession.createDataFrame([(a, b, found[a, b]) for a, b in combinations(features, 2)], "feature_a string, feature_b string, correlation double")
+    pairs = list(combinations(features, 2))
+    rows = settled(df.select(*(no_nan(f).alias(f"v{i}") for i, f in enumerate(features))))
+    at = {f: i for i, f in enumerate(features)}
+    hole = lambda i: F.col(f"v{i}").isNull()
+    patterns = rows.groupBy(*(hole(i).alias(f"h{i}") for i in range(len(features)))).count().drop("count").limit(MOST_PATTERNS + 1).collect()
+    if len(patterns) <= MOST_PATTERNS:
+        known = {(a, b): frozenset(k for k, p in enumerate(patterns) if not (p[at[a]] or p[at[b]])) for a, b in pairs}
+    else:
+        known = {p: frozenset(p) for p in pairs}
+    groups = {g: k for k, g in enumerate(sorted(set(known.values()), key=sorted))}
+    sample = {groups[known[p]]: p for p in reversed(pairs)}  # a pair of each group
+    long = rows.select(*((~hole(at[a]) & ~hole(at[b])).cast("int").alias(f"g{k}") for k, (a, b) in sorted(sample.items())), F.inline(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"v{i}").alias("value")) for i in range(len(features))])))
+    sums = {f"g{k}": F.sum(f"g{k}") for k in sample}
+    cum = cumulative_by_value(long.where("value IS NOT NULL"), ["f"], "value", {"n": F.count("*"), **sums})
+    ranks = settled(cum.select("f", "value", "n", *((F.col(f"cum_g{k}") - F.col(f"g{k}") + (F.col(f"g{k}") + 1) / 2).alias(f"g{k}") for k in sample)))
+    size = {r["f"]: (r["d"], r["n"]) for r in ranks.groupBy("f").agg(F.count("*").alias("d"), F.sum("n").alias("n")).collect()}
+    met = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(1000)).cast("int") + 1)
+    for i, f in enumerate(features):
+        used = sorted({groups[known[p]] for p in pairs if f in p})
+        table = ranks.where(F.col("f") == i).select(F.col("value").alias("_k"), "n", F.struct(*(F.col(f"g{k}").alias(f"g{k}") for k in used)).alias(f"r{i}"))
+        distinct, n = size.get(i, (0, 0))
+        if distinct <= SMALL:
+            met = met.join(F.broadcast(table.drop("n")), F.col(f"v{i}") == F.col("_k"), "left").drop("_k")
+            continue
+        # values of very many rows get theirs by broadcast; they and missing ones spread by salt in the join of the rest
+        often = F.col("n") > max(HOT_ROWS, n // HOT_KEYS)
+        hot = F.broadcast(table.where(often).select("_k", F.col(f"r{i}").alias("_hot")))
+        met = met.join(hot, F.col(f"v{i}") == F.col("_k"), "left").drop("_k").withColumn("_cold", F.when(F.col("_hot").isNull(), F.col(f"v{i}")))
+        met = met.withColumn("_s", F.when(F.col("_cold").isNull(), F.col("_salt")).otherwise(0))
+        rest = table.where(~often).select("_k", F.lit(0).alias("_s2"), f"r{i}")
+        met = met.join(rest, (F.col("_cold") == F.col("_k")) & (F.col("_s") == F.col("_s2")), "left")
+        met = met.withColumn(f"r{i}", F.coalesce("_hot", f"r{i}")).drop("_k", "_s", "_s2", "_hot", "_cold")
+    rank = lambda f, p: F.col(f"r{at[f]}")[f"g{groups[known[p]]}"]
+    got = met.agg(*[F.round(F.corr(rank(p[0], p), rank(p[1], p)), 6).alias(f"c{k}") for k, p in enumerate(pairs)]).first() if pairs else ()
+    return df.sparkSession.createDataFrame([(*p, c) for p, c in zip(pairs, got)], "feature_a string, feature_b string, correlation double")
 
 
 def high_correlations(pairs: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -187,9 +208,12 @@ def vif_table(df: DataFrame, features: Sequence[str], threshold: float = 10.0) -
 
 def half_split_psi(df: DataFrame, features: Sequence[str], time: str | None, key: str, bins: int = 10) -> DataFrame:
     """psi_report() of the earlier against the later half of the rows (by hash of the key without a time)."""
-    rows = df.withColumn("_one", F.lit(1))
     bucket = F.to_date(time) if time else F.pmod(F.xxhash64(key), F.lit(100_003))
-    ranked = bucketed_rank(rows, ["_one"], bucket, [time, key] if time else [key], "_rank", "_size")
+    order = [time, key] if time else [key]
+    half = before_borders(df, None, bucket, order, [F.floor(F.col("_size") / 2)])
+    if half is not None:
+        return psi_report(df, features, half[0], ~half[0], bins)
+    ranked = bucketed_rank(df.withColumn("_one", F.lit(1)), ["_one"], bucket, order, "_rank", "_size")
     early = F.col("_rank") <= F.floor(F.col("_size") / 2)
     return psi_report(ranked, features, early, ~early, bins)
 
