@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import bin_or_missing, bin_right_closed, cuts_literal, floored, no_nan
-from riskloom.operators.binning import Cuts, cuts_map, long_form, long_text, tree_cuts, woe_stats
+from riskloom.operators.binning import Cuts, cuts_map, few_values, long_form, long_text, tree_cuts, woe_stats
 from riskloom.operators.joins import looked_up
 from riskloom.operators.ordered import quantiles
 from riskloom.session import settled
@@ -47,8 +47,8 @@ class WoeEncoder:
         where there are `least_missing`; missing categories count nowhere."""
         out = WoeEncoder()
         if numeric:
-            known = {r["feature"]: r["n"] for r in long_form(df, numeric, ()).groupBy("feature").agg(F.count_distinct("value").alias("n")).collect()}
-            numeric = [f for f in numeric if known.get(f, 0) >= 3]
+            flat = few_values(df.select(*(no_nan(f).alias(f) for f in numeric)), numeric, 2)
+            numeric = [f for f in numeric if f not in flat]
         if numeric:
             out.cuts = cuts or tree_cuts(df, numeric, label, bins)
             row = df.agg(*(F.count_if(no_nan(f).isNull()).alias(f"n_{f}") for f in numeric)).first()

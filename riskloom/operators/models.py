@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import metrics
 from riskloom.operators.encoder import WoeEncoder
 from riskloom.operators.search import Dimension, Search
+from riskloom.session import settled
 
 #: Rows of a bucket in which permutation_importance() shifts values.
 IMPORTANCE_ROWS = 100_000
@@ -69,14 +70,22 @@ class Scorecard:
 
 
 def fit_logistic(train: DataFrame, encoder: WoeEncoder, features: Sequence[str], label: str = "label", c: float = 1.0, iterations: int = 1000) -> Scorecard:
-    """L2 logistic regression with balanced class weights on standardised WOE; the penalty is 1 / (c * sum of weights)."""
+    """L2 logistic regression with balanced class weights on standardised WOE; the penalty is 1 / (c * sum of weights).
+
+    WOE takes few values, so rows equal in all of them and the label are one row of their count; the sums are the same.
+    """
     rows = encoder.attached(train, features).select(F.col(label).cast("double").alias("_y"), *(encoder.column(f).alias(f) for f in features)).where("_y IS NOT NULL")
-    row = rows.agg(F.count("*").alias("_n"), F.sum("_y").alias("_b"), *(F.avg(f).alias(f"m_{f}") for f in features), *(F.stddev_pop(f).alias(f"s_{f}") for f in features)).first()
+    rows = settled(rows.groupBy("_y", *features).agg(F.count("*").cast("double").alias("_n")))
+    row = rows.agg(F.sum("_n").alias("_n"), F.sum(F.col("_y") * F.col("_n")).alias("_b"), *(F.sum(F.col(f) * F.col("_n")).alias(f"m_{f}") for f in features)).first()
     n, b = row["_n"], row["_b"]
     if not n or not 0 < b < n:
         raise ValueError("both classes are needed")
-    mean, std = [row[f"m_{f}"] for f in features], [row[f"s_{f}"] or 1.0 for f in features]
-    scaled = rows.select("_y", F.when(F.col("_y") == 1, n / (2 * b)).otherwise(n / (2 * (n - b))).alias("_w"), *(((F.col(f) - m) / s).alias(f) for f, m, s in zip(features, mean, std)))
+    mean = [row[f"m_{f}"] / n for f in features]
+    # the squares are of distances from the mean: a feature of one value is off it by rounding at most
+    row = rows.agg(*(F.sum(F.col("_n") * (F.col(f) - m) * (F.col(f) - m)).alias(f"s_{f}") for f, m in zip(features, mean)), *(F.min(f).eqNullSafe(F.max(f)).alias(f"c_{f}") for f in features)).first()
+    std = [1.0 if row[f"c_{f}"] else math.sqrt(row[f"s_{f}"] / n) for f in features]
+    weight = F.col("_n") * F.when(F.col("_y") == 1, n / (2 * b)).otherwise(n / (2 * (n - b)))
+    scaled = rows.select("_y", weight.alias("_w"), *(((F.col(f) - m) / s).alias(f) for f, m, s in zip(features, mean, std)))
     model = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_w", standardization=False, elasticNetParam=0.0, regParam=1 / (c * n), maxIter=iterations, tol=1e-9).fit(VectorAssembler(inputCols=list(features), outputCol="_x").transform(scaled))
     coef = [float(k) / s for k, s in zip(model.coefficients, std)]
     return Scorecard(encoder, list(features), coef, float(model.intercept) - sum(k * m for k, m in zip(coef, mean)), session=train.sparkSession)
