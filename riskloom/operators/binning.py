@@ -241,6 +241,12 @@ def woe_categories(df: DataFrame, features: Sequence[str], label: str = "label",
 
 def few_values(df: DataFrame, features: Sequence[str], bins: int) -> list[str]:
     """Numeric features with no more than `bins` distinct values, which are binned by value."""
+    # a feature has at least as many values as bits that their hashes set; only those that may have few are counted by value
+    bit = lambda f: F.when(F.col(f).isNotNull(), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(f), F.lit(64)).cast("int")))
+    bits = df.agg(*[F.bit_count(F.bit_or(bit(f))).alias(str(i)) for i, f in enumerate(features)]).first()
+    features = [f for i, f in enumerate(features) if (bits[i] or 0) <= bins]
+    if not features:
+        return []
     n = df.agg(*[F.count_distinct(f).alias(str(i)) for i, f in enumerate(features)]).first()
     return [f for i, f in enumerate(features) if n[i] <= bins]
 
