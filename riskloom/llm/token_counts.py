@@ -63,9 +63,14 @@ class WordTransducer:
             if left in parts and right in parts and left + right in vocab:
                 parts.setdefault(left + right, parts[left] + parts[right])
         self.parts = parts
+        #: The merge that makes a token last, as (its rank, left, right); symbols are there from the start.
+        self.made: dict[str, tuple[int, str, str]] = {s: (-1, s, s) for s in [*self.inner, *self.final]}
         for text, symbols in parts.items():
-            if len(symbols) == 1 or self.merged(symbols) == [text]:
+            if len(symbols) == 1:
                 self.tokens[symbols] = text
+            elif len(halves := self.merged(symbols, 2)) == 2 and (rank := self.ranks.get(tuple(halves))) is not None:
+                self.tokens[symbols] = text
+                self.made[text] = (rank, *halves)
         #: Every proper prefix of a token: a suffix of the text that may yet become a token.
         self.open = {s[:i] for s in self.tokens for i in range(1, len(s))}
         self.neighbours: dict[tuple[str, str], bool] = {}
@@ -86,10 +91,10 @@ class WordTransducer:
             self.steps.append({})
         return at
 
-    def merged(self, symbols: tuple[str, ...]) -> list[str]:
+    def merged(self, symbols: tuple[str, ...], down_to: int = 1) -> list[str]:
         """Plain ranked merging, for short strings: the definition that the transducer is compiled from."""
         out, ranks = list(symbols), self.ranks
-        while len(out) > 1:
+        while len(out) > down_to:
             best, at = min((ranks.get(p, 1 << 60), i) for i, p in enumerate(zip(out, out[1:])))
             if best == 1 << 60:
                 break
@@ -105,14 +110,33 @@ class WordTransducer:
             out = made
         return out
 
+    def apart(self, left: str, right: str) -> bool:
+        """Whether merging both tokens' symbols leaves the two tokens: no merge across the border comes before those that make them.
+
+        The later merge is undone first; where both are equal, the right one, as equal merges go from left to right.
+        """
+        ranks, made = self.ranks, self.made
+        before = 1 << 60
+        while True:
+            if ranks.get((left, right), 1 << 60) < before:
+                return False
+            a, b = made[left], made[right]
+            if a[0] > b[0]:
+                before, left = a[0], a[2]
+            elif b[0] < 0:
+                return True
+            else:
+                before, right = b[0] + 1, b[1]
+
     def fits(self, left: str | None, right: str) -> bool:
+        """apart(), remembered; the text's start fits all."""
         if left is None:
             return True
         key = (left, right)
         if (known := self.neighbours.get(key)) is None:
             if len(self.neighbours) > 4 * MOST_STATES:
                 self.neighbours.clear()
-            known = self.neighbours[key] = self.merged(self.parts[left] + self.parts[right]) == [left, right]
+            known = self.neighbours[key] = self.apart(left, right)
         return known
 
     def step(self, at: int, number: int) -> tuple[int, int]:
@@ -141,7 +165,10 @@ class WordTransducer:
             self.reset()
         at, total, steps = self.start, 0, self.steps
         for b in word[:-1]:
-            at, emitted = steps[at].get(b) or self.step(at, b)
+            try:
+                at, emitted = steps[at][b]
+            except KeyError:
+                at, emitted = self.step(at, b)
             total += emitted
         return total + self.step(at, 256 + word[-1])[1]
 
