@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.operators.splits import stratified_split
@@ -13,13 +14,28 @@ CATEGORICAL = ("channel", "priority", "region")
 DRIFT_FROM = "1997-01-01"
 
 
+def in_stored_order(df: DataFrame, key: str) -> DataFrame:
+    """The rows of Parquet files parted by `key`, those of a key next to each other and in the order of the files' names and rows.
+
+    Sums of doubles over them don't depend on how files are cut into row groups and tasks.
+    """
+    df = df.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    if len(df.inputFiles()) > 1:
+        files = df.select("_file").distinct().select("_file", F.row_number().over(W.orderBy("_file")).alias("_nth"))
+        df = df.join(F.broadcast(files), "_file")
+    else:
+        df = df.withColumn("_nth", F.lit(1))
+    return df.drop("_file").repartition(key).sortWithinPartitions(key, "_nth", "_row").drop("_nth", "_row")
+
+
 def load_apps(spark: SparkSession, folder: str) -> DataFrame:
     """app_id, apply_time, features, label, model_score, split.
 
     The joined rows are written once; every pass of a query reads the columns that it needs from there.
     """
     read = lambda name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-    items = read("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").cast("int").alias("n"), F.sum("l_quantity").alias("sum_qty"), F.avg("l_discount").alias("avg_disc"))
+    lines = in_stored_order(read("lineitem").select("l_orderkey", "l_quantity", "l_discount"), "l_orderkey")
+    items = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").cast("int").alias("n"), F.sum("l_quantity").alias("sum_qty"), F.avg("l_discount").alias("avg_disc"))
     places = read("nation").join(F.broadcast(read("region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
     people = read("customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_acctbal", "c_mktsegment", "r_name")
     key, tp = F.col("o_orderkey"), F.col("o_totalprice") / F.lit(500000.0)
