@@ -46,3 +46,7 @@ def test_lines_are_added_in_stored_order(spark, folder):
 
 def test_data_quality_counts_no_other_average(spark, folder):
     assert {r["unique_count"] for r in queries.queries()["data_quality"](spark, folder).where("feature = 'avg_disc'").collect()} == {1}
+
+
+def test_a_constant_average_is_not_eligible(spark, folder):
+    assert "avg_disc" not in {r["feature"] for r in queries.queries()["eligible_features"](spark, folder).collect()}
