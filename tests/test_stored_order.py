@@ -50,3 +50,7 @@ def test_data_quality_counts_no_other_average(spark, folder):
 
 def test_a_constant_average_is_not_eligible(spark, folder):
     assert "avg_disc" not in {r["feature"] for r in queries.queries()["eligible_features"](spark, folder).collect()}
+
+
+def test_equal_averages_share_a_bin(spark, folder):
+    assert [r["total"] for r in queries.queries()["woe_bin_report"](spark, folder).where("feature = 'avg_disc'").collect()] == [20]
